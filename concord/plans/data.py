@@ -101,3 +101,14 @@ def sensor_stream(ev: DataFrame) -> DataFrame:
     """events as a sensor stream: name = 'user_' || user_id, timestamp = ts, value."""
     return ev.select(F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("name"),
                      F.col("ts").alias("timestamp"), F.col("value"))
+
+
+def orders_legacy(o: DataFrame) -> DataFrame:
+    """Left (legacy) side for the drill-down: history from 1996 only, with current/deleted flags.
+
+    current = 'N' for keys % 10 = 0; deleted = 'Y' for keys % 15 = 0.
+    """
+    k = F.col("o_orderkey")
+    return o.where(F.year("o_orderdate") >= 1996).select(
+        "*", F.when(k % 10 == 0, "N").otherwise("Y").alias("current_flag"),
+        F.when(k % 15 == 0, "Y").otherwise("N").alias("deleted_flag"))

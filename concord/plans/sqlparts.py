@@ -96,3 +96,10 @@ def multiset_counts(left_sql: str, right_sql: str, cols: list[str]) -> str:
       SELECT {c}, 1 AS _l, 0 AS _r FROM ({left_sql})
       UNION ALL
       SELECT {c}, 0 AS _l, 1 AS _r FROM ({right_sql})) GROUP BY {c})"""
+
+ORDERS_LEGACY = """
+  SELECT *, CASE WHEN o_orderkey % 10 = 0 THEN 'N' ELSE 'Y' END AS current_flag,
+            CASE WHEN o_orderkey % 15 = 0 THEN 'Y' ELSE 'N' END AS deleted_flag
+  FROM orders WHERE year(o_orderdate) >= 1996
+"""
+ORDERS_LEGACY_CURRENT = f"SELECT * FROM ({ORDERS_LEGACY}) WHERE current_flag = 'Y' AND deleted_flag = 'N'"
