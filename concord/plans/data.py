@@ -112,3 +112,16 @@ def orders_legacy(o: DataFrame) -> DataFrame:
     return o.where(F.year("o_orderdate") >= 1996).select(
         "*", F.when(k % 10 == 0, "N").otherwise("Y").alias("current_flag"),
         F.when(k % 15 == 0, "Y").otherwise("N").alias("deleted_flag"))
+
+
+def with_modified(snap: DataFrame) -> DataFrame:
+    """Snapshot 2 with a modification time: changed (% 3 = 1) and new rows at 2024-01-02, others at order date."""
+    k = F.col("o_orderkey")
+    return snap.withColumn("o_modified", F.when((k % 3 == 1) | (k >= 1_000_000_000),
+                                                F.to_timestamp_ntz(F.lit("2024-01-02 00:00:00")))
+                           .otherwise(F.col("o_orderdate")))
+
+
+def part_dim(p: DataFrame) -> DataFrame:
+    """Part dimension with every 7th part missing (late-arriving members)."""
+    return p.where(F.col("p_partkey") % 7 != 0)

@@ -103,3 +103,10 @@ ORDERS_LEGACY = """
   FROM orders WHERE year(o_orderdate) >= 1996
 """
 ORDERS_LEGACY_CURRENT = f"SELECT * FROM ({ORDERS_LEGACY}) WHERE current_flag = 'Y' AND deleted_flag = 'N'"
+
+ORDERS_SNAPSHOT2_MOD = f"""
+  SELECT *, CASE WHEN o_orderkey % 3 = 1 OR o_orderkey >= 1000000000 THEN TIMESTAMP '2024-01-02 00:00:00'
+                 ELSE o_orderdate END AS o_modified
+  FROM ({ORDERS_SNAPSHOT2})
+"""
+PART_DIM = "SELECT * FROM part WHERE p_partkey % 7 <> 0"
