@@ -1,4 +1,4 @@
 """Registered queries over the driver tables and their DuckDB oracle texts."""
 
-from . import drill, loading, profiles, reconcile  # noqa: F401  (registers queries)
+from . import drill, loading, profiles, reconcile, series  # noqa: F401  (registers queries)
 from .registry import ORACLES, QUERIES, SURVEY_IDS  # noqa: F401
