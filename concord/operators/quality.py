@@ -62,9 +62,11 @@ def measure_parity(left: DataFrame, right: DataFrame, period: Column | str, meas
 
 def verdict(checks: DataFrame, name_col: str = "check", passed_col: str = "passed",
             tolerance_pct: float = 0.0) -> DataFrame:
-    """Q16: one row: all_passed and a JSON details text of every check."""
+    """Q16: one row: all_passed, number of checks, failed checks and a JSON details text of every check."""
     return checks.agg(
         F.min(F.col(passed_col).cast("int")).cast("boolean").alias("all_passed"),
+        F.count(F.lit(1)).cast("bigint").alias("checks"),
+        F.count_if(~F.col(passed_col)).cast("bigint").alias("failed"),
         F.to_json(F.struct(F.lit(tolerance_pct).alias("tolerance_pct"),
                            F.array_sort(F.collect_list(F.struct(F.col(name_col).alias("check"),
                                                                 F.col(passed_col).alias("passed"))))
