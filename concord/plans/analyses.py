@@ -124,3 +124,35 @@ def access_log(ev):
                       CAST(count(*) AS BIGINT) AS views FROM ({_ACCESS_SQL}) GROUP BY 1""")
 def error_classes(spark, sf):
     return U.error_counts(U.classify_errors(access_log(D.load(spark, sf, "events")), "access_status", "error_message"))
+
+
+# ------------------------------------------------------------------ scalar functions
+
+from ..functions import scalars as SC  # noqa: E402
+
+# Fixed values for the example: zone per customer-key class.
+_ZONES = {"0": "Australia/Perth", "1": "Europe/Paris", "2": "America/New_York"}
+
+
+@query("scalar_functions", ("F3", "F5", "F12", "F13", "F18", "F19", "F10", "F11", "F15", "N16"),
+       sql="""SELECT o_orderkey,
+                     TRY_CAST(nullif(regexp_extract(o_orderpriority, '(\\d+)', 1), '') AS BIGINT) AS sort_key,
+                     concat_ws(' - ', upper(trim(o_orderstatus)), trim(o_orderpriority)) AS display,
+                     CAST((o_orderdate AT TIME ZONE CASE CAST(o_custkey % 3 AS VARCHAR) WHEN '0' THEN 'Australia/Perth'
+                          WHEN '1' THEN 'Europe/Paris' ELSE 'America/New_York' END) AT TIME ZONE 'UTC' AS TIMESTAMP) AS utc_time,
+                     CAST(o_orderdate AS DATE) AS date_key, strftime(o_orderdate, '%H%M') AS time_key,
+                     CAST(strptime(CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS VARCHAR), '%Y%m%d') AS DATE) AS from_int,
+                     round(CASE WHEN o_custkey = 0 THEN NULL ELSE CAST(o_orderkey AS DOUBLE) * 100.0 / CAST(o_custkey AS DOUBLE) END, 3) AS key_ratio_pct,
+                     least(o_totalprice, 100000.0) AS capped_price
+              FROM orders""")
+def scalar_functions(spark, sf):
+    o = D.load(spark, sf, "orders")
+    k = F.col("o_orderdate")
+    ymd = F.year(k) * 10000 + F.month(k) * 100 + F.dayofmonth(k)
+    return o.select("o_orderkey", SC.first_number(F.col("o_orderpriority")).alias("sort_key"),
+                    SC.display_name(F.col("o_orderstatus"), F.col("o_orderpriority")).alias("display"),
+                    SC.local_to_utc(k, (F.col("o_custkey") % 3).cast("string"), _ZONES).alias("utc_time"),
+                    SC.date_key(k).alias("date_key"), SC.time_key(k).alias("time_key"),
+                    SC.int_to_date(ymd).alias("from_int"),
+                    F.round(SC.safe_pct(F.col("o_orderkey"), F.col("o_custkey")), 3).alias("key_ratio_pct"),
+                    F.least(F.col("o_totalprice"), F.lit(100000.0)).alias("capped_price"))
