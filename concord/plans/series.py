@@ -51,13 +51,15 @@ def sensor_name_map(spark, sf):
     return TS.name_map(_long(spark, sf))
 
 
-ADDED = (F.col("ts") >= F.to_timestamp_ntz(F.lit("2024-01-18 00:00:00"))) & (F.col("event_id") % 3 == 0)
+def _added():
+    return (F.col("ts") >= F.to_timestamp_ntz(F.lit("2024-01-18 00:00:00"))) & (F.col("event_id") % 3 == 0)
 
 
 @query("sensor_incremental", ("M15", "V5", "J7", "J8", "U1", "S12", "N11"), sql=LONG_SQL)
 def sensor_incremental(spark, sf):
-    """Previous output from the events outside ``ADDED`` + the added events == full run over all events."""
+    """Previous output from the events outside ``_added()`` + the added events == full run over all events."""
     ev = D.load(spark, sf, "events")
-    prev = TS.sensor_long(D.sensor_stream(ev.where(~ADDED)), GRAIN, STEP, CHUNK)
-    out = TS.sensor_incremental(prev, D.sensor_stream(ev.where(ADDED)), GRAIN, STEP, CHUNK)
+    added = _added()
+    prev = TS.sensor_long(D.sensor_stream(ev.where(~added)), GRAIN, STEP, CHUNK)
+    out = TS.sensor_incremental(prev, D.sensor_stream(ev.where(added)), GRAIN, STEP, CHUNK)
     return rounded(out)
