@@ -63,7 +63,7 @@ FROM l FULL JOIN r ON l.l_key = r.column_name
 """
 
 
-@query("schema_diff", ("Q1", "S2", "P1", "P2", "F7", "J1", "J5", "X1", "X2", "N2"), sql=_SCHEMA_SQL)
+@query("schema_diff", ("Q1", "S2", "P1", "P2", "P8", "U5", "F7", "J1", "J5", "X1", "X2", "N2"), sql=_SCHEMA_SQL)
 def schema_diff(spark, sf):
     li = D.load(spark, sf, "lineitem")
     left = CT.filter_catalogue(_left_cat(spark, li), prefixes=["OMD"], suffixes=["_SK"])
@@ -213,3 +213,142 @@ def expectation_counts(spark, sf):
 def quarantine(spark, sf):
     _, bad = QY.quarantine(D.orders_right(D.load(spark, sf, "orders")), _rules())
     return bad.select("o_orderkey", "o_orderstatus", "failed_rules")
+
+
+# ------------------------------------------------------------------ batch runner, views, metadata
+
+from ..functions import normalize as N  # noqa: E402
+from ..operators import load as L  # noqa: E402
+
+
+def _pairs(spark, sf):
+    li, o, c, n = (D.load(spark, sf, t) for t in ("lineitem", "orders", "customer", "nation"))
+    return {"lineitem": (li, D.lineitem_right(li)),
+            "orders": (o, D.orders_right(o).drop("o_orderpriority")),
+            "customer": (c, D.customer_right(c)),
+            "nation": (n, n)}
+
+
+def compare_pair(spark, left, right):
+    """One pair of the batch: schema + counts (X3: composed with DataFrame.transform)."""
+    common, l_only, r_only = N.column_sets(left.columns, right.columns)
+    counts = C.row_counts(left, right)
+    return counts.select("left_row_count", "right_row_count", "row_count_matches",
+                         F.lit(not l_only and not r_only).alias("schema_matches"))
+
+
+@query("batch_compare", ("Q13", "X3", "U5"),
+       sql="""SELECT pair_name, left_row_count, right_row_count, left_row_count = right_row_count AS row_count_matches,
+                     schema_matches, CAST(NULL AS VARCHAR) AS error,
+                     CASE WHEN left_row_count <> right_row_count THEN 'row_mismatch' WHEN NOT schema_matches THEN 'schema_mismatch'
+                          ELSE 'match' END AS status
+              FROM (SELECT 'lineitem' AS pair_name, (SELECT count(*) FROM lineitem) AS left_row_count,
+                           (SELECT count(*) FROM lineitem WHERE l_orderkey % 97 <> 0) + (SELECT count(*) FROM lineitem WHERE l_orderkey % 97 <> 0 AND l_orderkey % 89 = 0) AS right_row_count,
+                           TRUE AS schema_matches
+                    UNION ALL SELECT 'orders', (SELECT count(*) FROM orders), (SELECT count(*) FROM orders) + (SELECT count(*) FROM orders WHERE o_orderkey % 19 = 0), FALSE
+                    UNION ALL SELECT 'customer', (SELECT count(*) FROM customer WHERE TRUE),
+                          (SELECT count(*) FROM customer WHERE c_custkey % 23 <> 0) + (SELECT count(*) FROM customer WHERE c_custkey % 23 <> 0 AND c_custkey % 29 = 0), TRUE
+                    UNION ALL SELECT 'nation', (SELECT count(*) FROM nation), (SELECT count(*) FROM nation), TRUE)""")
+def batch_compare(spark, sf):
+    parts = []
+    for name, (l, r) in _pairs(spark, sf).items():
+        try:
+            res = l.transform(lambda df: compare_pair(spark, df, r)).select(
+                F.lit(name).alias("pair_name"), "*", F.lit(None).cast("string").alias("error"))
+        except Exception as e:  # a failing pair is reported, the batch goes on
+            res = spark.createDataFrame([(name, None, None, False, False, str(e)[:300])],
+                                        "pair_name string, left_row_count bigint, right_row_count bigint, "
+                                        "row_count_matches boolean, schema_matches boolean, error string")
+        parts.append(res)
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return C.batch_summary(u)
+
+
+@query("conditional_upsert", ("M5",),
+       sql=f"""WITH t AS (SELECT * FROM orders), s AS ({S.ORDERS_SNAPSHOT2})
+               SELECT CASE WHEN t.o_orderstatus <> s.o_orderstatus THEN s.o_orderkey ELSE t.o_orderkey END AS o_orderkey,
+                      CASE WHEN t.o_orderstatus <> s.o_orderstatus THEN s.o_custkey ELSE t.o_custkey END AS o_custkey,
+                      CASE WHEN t.o_orderstatus <> s.o_orderstatus THEN s.o_orderstatus ELSE t.o_orderstatus END AS o_orderstatus,
+                      CASE WHEN t.o_orderstatus <> s.o_orderstatus THEN s.o_totalprice ELSE t.o_totalprice END AS o_totalprice,
+                      CASE WHEN t.o_orderstatus <> s.o_orderstatus THEN s.o_orderdate ELSE t.o_orderdate END AS o_orderdate,
+                      CASE WHEN t.o_orderstatus <> s.o_orderstatus THEN s.o_orderpriority ELSE t.o_orderpriority END AS o_orderpriority
+               FROM t LEFT JOIN s ON t.o_orderkey = s.o_orderkey
+               WHERE NOT (s.o_orderkey IS NOT NULL AND s.o_totalprice > 400000)
+               UNION ALL
+               SELECT s.* FROM s LEFT JOIN t ON t.o_orderkey = s.o_orderkey WHERE t.o_orderkey IS NULL AND s.o_orderpriority <> '5-LOW'""")
+def conditional_upsert(spark, sf):
+    o = D.load(spark, sf, "orders")
+    s = D.orders_snapshot2(o)
+    return L.conditional_upsert(o, s, ["o_orderkey"],
+                                delete_when=F.col("s.o_totalprice") > 400000,
+                                update_when=F.col("t.o_orderstatus") != F.col("s.o_orderstatus"),
+                                insert_when=F.col("s.o_orderpriority") != "5-LOW")
+
+
+@query("labelled_pairs", ("P9", "J4"),
+       sql="""SELECT quality, toxic, CAST(count(*) AS BIGINT) AS docs FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+              WHERE quality IS NOT NULL AND toxic IS NOT NULL GROUP BY ALL""")
+def labelled_pairs(spark, sf):
+    d, lab = D.load(spark, sf, "documents").select("doc_id"), D.load(spark, sf, "labels")
+    j = d.join(lab, "doc_id", "left").dropna(subset=["quality", "toxic"])
+    return j.groupBy("quality", "toxic").agg(F.count(F.lit(1)).cast("bigint").alias("docs"))
+
+
+@query("role_playing_views", ("P12",),
+       sql="""SELECT sn.n_name AS supplier_nation, cn.n_name AS customer_nation, CAST(count(*) AS BIGINT) AS lines
+              FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN orders o ON l.l_orderkey = o.o_orderkey
+              JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation sn ON s.s_nationkey = sn.n_nationkey
+              JOIN nation cn ON c.c_nationkey = cn.n_nationkey GROUP BY ALL""")
+def role_playing_views(spark, sf):
+    """One nation dimension in two roles, exposed as contract views with only the referenced columns."""
+    nat = D.load(spark, sf, "nation")
+    nat.select(F.col("n_nationkey").alias("supplier_nationkey"), F.col("n_name").alias("supplier_nation")) \
+        .createOrReplaceTempView("dim_supplier_nation")
+    nat.select(F.col("n_nationkey").alias("customer_nationkey"), F.col("n_name").alias("customer_nation")) \
+        .createOrReplaceTempView("dim_customer_nation")
+    D.load(spark, sf, "lineitem").select("l_orderkey", "l_suppkey").createOrReplaceTempView("fact_line")
+    D.load(spark, sf, "supplier").select("s_suppkey", "s_nationkey").createOrReplaceTempView("dim_supplier")
+    D.load(spark, sf, "orders").select("o_orderkey", "o_custkey").createOrReplaceTempView("fact_order")
+    D.load(spark, sf, "customer").select("c_custkey", "c_nationkey").createOrReplaceTempView("dim_customer")
+    return spark.sql("""
+        SELECT sn.supplier_nation, cn.customer_nation, CAST(count(*) AS BIGINT) AS lines
+        FROM fact_line l JOIN dim_supplier s ON l.l_suppkey = s.s_suppkey
+        JOIN fact_order o ON l.l_orderkey = o.o_orderkey JOIN dim_customer c ON o.o_custkey = c.c_custkey
+        JOIN dim_supplier_nation sn ON s.s_nationkey = sn.supplier_nationkey
+        JOIN dim_customer_nation cn ON c.c_nationkey = cn.customer_nationkey
+        GROUP BY sn.supplier_nation, cn.customer_nation""")
+
+
+@query("shared_columns", ("J14", "P10"),
+       sql=f"""SELECT a.table_name, a.column_name FROM information_schema.columns a
+               WHERE a.table_name IN ({", ".join(f"'{t}'" for t in _ALL)})
+                 AND EXISTS (SELECT 1 FROM information_schema.columns b WHERE b.table_name IN ({", ".join(f"'{t}'" for t in _ALL)})
+                             AND b.column_name = a.column_name AND b.table_name <> a.table_name)""")
+def shared_columns(spark, sf):
+    cat = CT.column_catalogue(spark, {t: D.load(spark, sf, t) for t in _ALL}).select("table_name", "column_name")
+    other = cat.select(F.col("table_name").alias("other_table"), F.col("column_name").alias("other_column"))
+    return cat.join(other, (cat.column_name == other.other_column) & (cat.table_name != other.other_table), "left_semi")
+
+
+@query("entity_metadata", ("S19", "F24"),
+       sql=f"""SELECT table_name AS logical_name, CASE WHEN length(table_name) > 5 THEN upper(table_name) END AS display_name,
+                      table_name || 's' AS entity_set_name, ends_with(table_name, 's') AS is_custom
+               FROM (SELECT DISTINCT table_name FROM information_schema.columns WHERE table_name IN ({", ".join(f"'{t}'" for t in _ALL)}))
+               WHERE NOT starts_with(table_name, 'r')""")
+def entity_metadata(spark, sf):
+    """Entity metadata documents (nested, optional label) derived from the table catalogue, landed as JSON
+    and flattened."""
+    cat = CT.column_catalogue(spark, {t: D.load(spark, sf, t) for t in _ALL}).select("table_name").distinct()
+    t = F.col("table_name")
+    docs = cat.select(t.alias("LogicalName"),
+                      F.when(F.length(t) > 5, F.struct(F.struct(F.upper(t).alias("Label")).alias("UserLocalizedLabel")))
+                      .alias("DisplayName"),
+                      F.when(~t.startswith("r"), F.concat(t, F.lit("s"))).alias("EntitySetName"),
+                      t.endswith("s").alias("IsCustomEntity"))
+    path = scratch_path(spark, "entity-metadata")
+    docs.write.json(path)
+    raw = spark.read.schema("LogicalName string, DisplayName struct<UserLocalizedLabel: struct<Label: string>>, "
+                            "EntitySetName string, IsCustomEntity boolean").json(path)
+    return CT.entity_metadata(raw)
