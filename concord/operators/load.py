@@ -231,8 +231,7 @@ def scd2(target: DataFrame, source: DataFrame, keys: Sequence[str], tracked: Seq
     biz = [c for c in source.columns]
     hist = target.where(~F.col(current))
     cur = target.where(F.col(current))
-    sp = merge_split(cur.drop(valid_from, valid_to, current, deleted).join(
-        cur.select(*keys, valid_from, deleted), list(keys)), source, keys, compare_cols=list(tracked))
+    sp = merge_split(cur, source, keys, compare_cols=list(tracked))
     m = F.col("_merge")
     t_deleted = F.col(f"t.`{deleted}`")
     t_from = F.col(f"t.`{valid_from}`")

@@ -139,10 +139,10 @@ def stream_ingest(spark, sf):
 def stream_window_counts(spark, sf):
     src = _land_events(spark, sf)
     root = scratch_path(spark, "gold-window-counts")
-    agg = J.windowed_counts(J.file_stream(spark, src, EVENTS_SCHEMA, max_files_per_trigger=2), "ts", "1 day",
+    agg = J.windowed_counts(J.file_stream(spark, src, EVENTS_SCHEMA, max_files_per_trigger=4), "ts", "1 day",
                             "31 days", ["event_type"])
-    J.run_to_completion(J.upsert_batches(agg, ["window_start", "event_type"], root))
-    return spark.read.parquet(J.current_version(spark, root))
+    J.run_to_completion(J.upsert_batches(agg, ["window_start", "event_type"], root, buckets=8))
+    return J.read_table(spark, root, ["window_start", "event_type"], agg.schema)
 
 
 FEED_SCHEMA = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
@@ -160,18 +160,17 @@ FEED_SCHEMA = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructF
                            CASE WHEN _change_type = 'delete' THEN 0 ELSE 1 END DESC) AS rn FROM f) WHERE rn = 1)
                SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM l WHERE _change_type <> 'delete'""")
 def stream_cdc_merge(spark, sf):
-    """The change feed is landed one folder per commit version; the stream applies it batch by batch
-    (one version per trigger) onto an empty target, so the result equals the feed's final state."""
+    """The change feed is landed one folder per commit version and streamed a few files per trigger, in
+    whatever order the files are listed; the keyed table applies newest-version-wins per key, so the result
+    equals the feed's final state."""
     o = D.load(spark, sf, "orders")
     feed = D.orders_change_feed(o)
     land = scratch_path(spark, "landing-feed")
     feed.write.partitionBy("_commit_version").parquet(land)  # a version = a folder of files
-    stream = (spark.readStream.schema(FEED_SCHEMA)
-              .option("maxFilesPerTrigger", 1000).parquet(land))
+    stream = spark.readStream.schema(FEED_SCHEMA).option("maxFilesPerTrigger", 4).parquet(land)
     root = scratch_path(spark, "silver-orders")
-    empty = spark.createDataFrame([], o.schema)
-    J.run_to_completion(J.apply_change_feed(stream, ["o_orderkey"], root, empty))
-    return spark.read.parquet(J.current_version(spark, root))
+    J.run_to_completion(J.apply_change_feed(stream, ["o_orderkey"], root, o.schema, buckets=16))
+    return J.read_change_table(spark, root, ["o_orderkey"], o.schema)
 
 
 @query("stream_bookmark", ("R7",),

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import load as L
+from ..operators import load as L  # noqa: F401
+from ..operators.dedup import latest_per_key
 from ..session import scratch_path
+from .keyed_table import BucketedTable
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -63,63 +65,69 @@ def windowed_counts(stream: DataFrame, time_col: str, window: str, watermark: st
 
 
 def upsert_batches(stream: DataFrame, keys: Sequence[str], table_root: str, checkpoint: str | None = None,
-                   trigger: str = "availableNow", output_mode: str = "update") -> StreamingQuery:
-    """R3 (update) + R5: each micro-batch of updated rows is merged by key into a versioned Parquet table.
-
-    Version n+1 = (version n without the batch's keys) + batch rows; the new
-    version is written to its own folder (a plain Parquet path cannot be
-    overwritten while read), and ``_current`` records the latest version.
-    """
+                   trigger: str = "availableNow", output_mode: str = "update", buckets: int = 64) -> StreamingQuery:
+    """R3 (update) + R5: each micro-batch of updated rows replaces the rows of its keys in a bucketed keyed
+    table (see :class:`BucketedTable`); only the buckets a batch touches are rewritten."""
     spark = stream.sparkSession
     cp = checkpoint or scratch_path(spark, "ckpt-upsert")
+    table = BucketedTable(spark, table_root, keys, stream.schema, buckets)
 
     def merge(batch: DataFrame, epoch: int) -> None:
-        cur = current_version(spark, table_root)
-        path = f"{table_root.rstrip('/')}/v{epoch:08d}"
-        if cur is None:
-            batch.write.mode("overwrite").parquet(path)
-        else:
-            old = spark.read.parquet(cur)
-            old.join(batch.select(*keys), list(keys), "left_anti").unionByName(batch).write.mode("overwrite").parquet(path)
-        spark.createDataFrame([(path,)], "path string").write.mode("overwrite").json(f"{table_root.rstrip('/')}/_current")
+        table.apply(batch, epoch, lambda old, b: old.join(b.select(*keys), list(keys), "left_anti").unionByName(b))
 
     w = stream.writeStream.outputMode(output_mode).option("checkpointLocation", cp).foreachBatch(merge)
     return _trigger(w, trigger).start()
 
 
-def current_version(spark: SparkSession, table_root: str) -> str | None:
-    """Path of the latest version written by :func:`upsert_batches` / :func:`apply_change_feed`."""
-    marker = f"{table_root.rstrip('/')}/_current"
-    try:
-        return spark.read.json(marker).first()["path"]
-    except Exception:
-        return None
+def read_table(spark: SparkSession, table_root: str, keys: Sequence[str], schema: T.StructType) -> DataFrame:
+    """Current content of a table written by :func:`upsert_batches`."""
+    return BucketedTable(spark, table_root, keys, schema).read()
 
 
-def apply_change_feed(feed_stream: DataFrame, keys: Sequence[str], table_root: str, initial: DataFrame,
-                      checkpoint: str | None = None, trigger: str = "availableNow",
-                      version_col: str = "_commit_version", change_col: str = "_change_type") -> StreamingQuery:
-    """Stream a change feed into a keyed table; every micro-batch is a delta load (M4).
+def _change_schema(schema: T.StructType, version_col: str) -> T.StructType:
+    return T.StructType(list(schema.fields) + [T.StructField(version_col, T.LongType()),
+                                               T.StructField("_deleted", T.BooleanType())])
+
 
-    The checkpoint holds the offsets (the bookmark of what was applied), so
-    a restart continues after the last committed batch.
+def apply_change_feed(feed_stream: DataFrame, keys: Sequence[str], table_root: str, schema: T.StructType,
+                      checkpoint: str | None = None, trigger: str = "availableNow",
+                      version_col: str = "_commit_version", change_col: str = "_change_type",
+                      buckets: int = 64) -> StreamingQuery:
+    """Stream a change feed into a keyed table, touching only the buckets of each micro-batch.
+
+    The table keeps each key's commit version and a tombstone for deletes, and
+    a batch wins per key only with a newer version (insert before delete at
+    one version, N13).  Applying batches is therefore order-independent and
+    idempotent: late or replayed files cannot roll a key back.  The checkpoint
+    holds the source offsets (the bookmark of what was applied).
     """
     spark = feed_stream.sparkSession
     cp = checkpoint or scratch_path(spark, "ckpt-cdc")
-    cols = initial.columns
+    full = _change_schema(schema, version_col)
+    table = BucketedTable(spark, table_root, keys, full, buckets)
+    cols = schema.names
+
+    def merge_rows(old: DataFrame, b: DataFrame) -> DataFrame:
+        ch = (b.where(F.col(change_col).isin("insert", "update_postimage", "delete"))
+              .select(*cols, F.col(version_col).cast("bigint").alias(version_col),
+                      (F.col(change_col) == "delete").alias("_deleted")))
+        prio = F.when(F.col("_deleted"), 0).otherwise(1)
+        return latest_per_key(old.unionByName(ch), keys, [F.col(version_col), prio])
 
     def merge(batch: DataFrame, epoch: int) -> None:
-        cur = current_version(spark, table_root)
-        base = spark.read.parquet(cur) if cur else initial
-        new = L.delta_load(base, batch, keys, watermark=-1, version_col=version_col, change_col=change_col)
-        path = f"{table_root.rstrip('/')}/v{epoch:08d}"
-        new.select(*cols).write.mode("overwrite").parquet(path)
-        spark.createDataFrame([(path,)], "path string").write.mode("overwrite").json(f"{table_root.rstrip('/')}/_current")
+        table.apply(batch, epoch, merge_rows)
 
     w = feed_stream.writeStream.option("checkpointLocation", cp).foreachBatch(merge)
     return _trigger(w, trigger).start()
 
 
+def read_change_table(spark: SparkSession, table_root: str, keys: Sequence[str], schema: T.StructType,
+                      version_col: str = "_commit_version") -> DataFrame:
+    """Live rows of a table written by :func:`apply_change_feed` (tombstones removed)."""
+    t = BucketedTable(spark, table_root, keys, _change_schema(schema, version_col)).read()
+    return t.where(~F.col("_deleted")).select(*schema.names)
+
+
 def bookmarks(feed: DataFrame, source: str, target: str, version_col: str = "_commit_version") -> DataFrame:
     """R7 as a table: last applied commit version per (source, target)."""
     return feed.agg(F.max(version_col).alias("last_version")).select(
