@@ -101,15 +101,19 @@ def key_gap(left: DataFrame, right: DataFrame, keys: Sequence[str],
     distinct left keys missing on the right: > 95 % critical_missing, > 5 %
     significant_gap, else mostly_covered.
     """
-    lk = left.select(*keys).distinct()
-    rk = right.select(*keys).distinct()
-    only_l = lk.join(rk, list(keys), "left_anti")
-    only_r = rk.join(lk, list(keys), "left_anti")
-    rem = left.join(only_l, list(keys), "left_semi")
-    parts = [lk.select(F.lit("left_keys").alias("m")), only_l.select(F.lit("left_only").alias("m")),
-             only_r.select(F.lit("right_only").alias("m"))]
-    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    counts = u.agg(*[F.count_if(F.col("m") == k).cast("bigint").alias(k) for k in ("left_keys", "left_only", "right_only")])
+    # one shuffle classifies every distinct key (partial aggregation collapses hot keys map-side)
+    t = (left.select(*keys, F.lit(1).alias("_l"), F.lit(0).alias("_r"))
+         .unionByName(right.select(*keys, F.lit(0).alias("_l"), F.lit(1).alias("_r"))))
+    g = t.groupBy(*keys).agg(F.max("_l").alias("in_l"), F.max("_r").alias("in_r"))
+    any_null = None
+    for k in keys:
+        any_null = F.col(k).isNull() if any_null is None else any_null | F.col(k).isNull()
+    both = (F.col("in_l") == 1) & (F.col("in_r") == 1) & ~any_null
+    left_only = (F.col("in_l") == 1) & ~both
+    counts = g.agg(F.count_if(F.col("in_l") == 1).cast("bigint").alias("left_keys"),
+                   F.count_if(left_only).cast("bigint").alias("left_only"),
+                   F.count_if((F.col("in_r") == 1) & ~both).cast("bigint").alias("right_only"))
+    rem = left.join(g.where(left_only).select(*keys), list(keys), "left_semi")
     extra = [F.count_distinct(F.col(c)).cast("bigint").alias(f"remainder_distinct_{c}") for c in describe_cols]
     rem_stats = rem.agg(F.count(F.lit(1)).cast("bigint").alias("remainder_rows"), *extra)
     share = F.try_divide(F.col("left_only").cast("double"), F.col("left_keys").cast("double"))

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 MAX_ROUNDS = 10_000
 
 
@@ -31,6 +33,7 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None, src:
     Min-label propagation plus pointer jumping (label <- label of label), so
     the number of rounds grows with log(diameter) rather than the diameter.
     """
+    ensure_checkpoint_dir(edges.sparkSession)
     e = undirected(edges, src, dst).checkpoint()
     n = nodes if nodes is not None else nodes_of(e)
     labels = n.select("node", F.col("node").alias("label")).distinct().checkpoint()
@@ -58,6 +61,7 @@ def shortest_path_lengths(edges: DataFrame, nodes: DataFrame | None = None, src:
     The output has one row per reachable pair by definition; it is the
     operator's result, not an intermediate.
     """
+    ensure_checkpoint_dir(edges.sparkSession)
     e = undirected(edges, src, dst).checkpoint()
     n = nodes if nodes is not None else nodes_of(e)
     visited = n.select(F.col("node").alias("source"), F.col("node").alias("target"),

@@ -297,15 +297,20 @@ def hot_slice(df: DataFrame, date_col: str, as_of: Column, months: int = 6) -> D
 
 
 def guarded_dim_join(fact: DataFrame, dim: DataFrame, fact_sk: str, dim_sk: str,
-                     attrs: Sequence[str], default: object = "Unknown", broadcast_dim: bool = False) -> DataFrame:
+                     attrs: Sequence[str], default: object = "Unknown", broadcast_dim: bool | str = "auto",
+                     max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """``LEFT JOIN dim ON sk = sk AND (sk > 0 OR sk IS NULL)`` with defaults on a miss (F8).
 
     The guard is applied to the dimension before the join (pushed into its
-    scan).  Broadcasting the dimension is the caller's choice after checking
-    its size (see :func:`concord.operators.sizing.broadcast_if_small`).
+    scan).  ``broadcast_dim="auto"`` broadcasts the dimension only when its
+    row count is proven below ``max_broadcast_rows``; ``True``/``False`` force it.
     """
+    from .sizing import broadcast_if_small
+
     d = dim.where((F.col(dim_sk) > 0) | F.col(dim_sk).isNull()).select(F.col(dim_sk).alias("_dsk"), *attrs)
-    if broadcast_dim:
+    if broadcast_dim == "auto":
+        d = broadcast_if_small(d, max_broadcast_rows)
+    elif broadcast_dim:
         d = F.broadcast(d)
     j = fact.join(d, fact[fact_sk] == d["_dsk"], "left")
     return j.select(*[fact[c] for c in fact.columns],

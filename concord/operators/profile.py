@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import types as TY
+from ..session import ensure_checkpoint_dir
 
 STAT_SCHEMA = ("column_name string, type_family string, nulls bigint, distinct_values bigint, "
                "num_min double, num_max double, num_avg double, date_min string, date_max string, "
@@ -95,6 +96,7 @@ def _ranked_value_counts(vc: DataFrame, partitions: int | None = None) -> DataFr
     give the offsets.
     """
     spark = vc.sparkSession
+    ensure_checkpoint_dir(spark)
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rp = (vc.repartitionByRange(p, "v").select("v", "c", F.spark_partition_id().alias("pid")).checkpoint())
     part = rp.groupBy("pid").agg(F.sum("c").alias("pc"))

@@ -1,0 +1,23 @@
+"""Size checks before a broadcast.
+
+A side is broadcast only when its row count is proven below a bound: the check
+reads at most ``max_rows + 1`` rows (``limit`` short-circuits the scan).  Beyond
+the bound the normal shuffle join is kept, so the plan is safe when the
+"small" side grows with the data.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 1_000_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` unchanged."""
+    return F.broadcast(df) if has_at_most(df, max_rows) else df

@@ -20,13 +20,15 @@ RECORD = T.StructType([T.StructField("id", T.LongType()), T.StructField("type_id
 @query("json_price_records", ("S5", "F17", "F10", "S21"),
        sql="""SELECT o_orderkey AS id, o_orderpriority AS type_id, o_orderdate AS date, o_totalprice AS price FROM orders""")
 def json_price_records(spark, sf):
-    """Orders landed as JSON envelopes (one ``{"data": [...]}`` line per order day) and read back typed."""
+    """Orders landed as JSON envelopes (``{"data": [...]}`` lines of at most 1000 records) and read back typed."""
     o = D.load(spark, sf, "orders")
     rec = F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("type_id"),
                    F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date"),
                    F.col("o_totalprice").cast("string").alias("price"))
     path = scratch_path(spark, "json-envelopes")
-    (o.groupBy(F.to_date("o_orderdate").alias("d")).agg(F.collect_list(rec).alias("data"))  # one order day per line
+    # envelopes of at most 1000 consecutive records of one input partition: a bounded group per line
+    env = F.floor(F.monotonically_increasing_id() / 1000)
+    (o.select(env.alias("env"), rec.alias("r")).groupBy("env").agg(F.collect_list("r").alias("data"))
      .select("data").write.mode("overwrite").json(path))
     r = RD.json_envelope(spark, path, RECORD)
     return r.select("id", "type_id", RD.parse_iso_utc(F.col("date")).alias("date"),
