@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_BUCKET = "day"
 
@@ -23,12 +24,20 @@ def _bucket(order_col: str, bucket: str) -> Column:
 
 def forward_fill(df: DataFrame, keys: Sequence[str], order_col: str, cols: Sequence[str],
                  flag_col: str | None = "forward_filled", bucket: str = DEFAULT_BUCKET,
-                 tie_break: Sequence[Column] = ()) -> DataFrame:
+                 tie_break: Sequence[Column] = (), values_from: DataFrame | None = None,
+                 until: Column | None = None) -> DataFrame:
     """Fill NULLs in ``cols`` with the last non-null value of earlier rows of the same key.
 
     ``flag_col`` (if given) is 1 where ``cols[0]`` was NULL before filling.
     ``order_col`` must be a timestamp (buckets are ``date_trunc(bucket)``);
     rows are ordered by (order_col, *tie_break).
+
+    ``values_from`` may name a (usually much smaller) DataFrame that holds all
+    the non-null values of ``cols`` (e.g. the measurements before they were laid
+    on a dense grid); the per-bucket summary is then computed from it instead
+    of from ``df``, so the expensive input is not evaluated twice.  ``until``
+    (required with it) is the last time of ``df``: each summary bucket supplies
+    the carry for every later bucket up to the next bucket that has data.
     """
     keys = list(keys)
     b = df.select("*", _bucket(order_col, bucket).alias("_bkt"))
@@ -38,13 +47,30 @@ def forward_fill(df: DataFrame, keys: Sequence[str], order_col: str, cols: Seque
     w_local = Window.partitionBy(*keys, "_bkt").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = b.select(*[c for c in b.columns if c not in cols],
                      *[F.last(F.col(c), ignorenulls=True).over(w_local).alias(c) for c in cols])
-    # last non-null value per (key, bucket): one row per key and bucket
-    okey = F.struct(*order) if tie_break else F.col(order_col)
-    summ = b.groupBy(*keys, "_bkt").agg(*[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), okey)).alias(f"_l_{c}")
-                                          for c in cols])
-    w_carry = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    carry = summ.select(*keys, "_bkt", *[F.last(F.col(f"_l_{c}"), ignorenulls=True).over(w_carry).alias(f"_c_{c}")
-                                         for c in cols])
+    if values_from is not None:
+        if until is None:
+            raise ValueError("until is required with values_from")
+        step = F.expr(f"INTERVAL 1 {bucket.upper()}")
+        src = values_from.select(*keys, F.col(order_col), *[F.col(c) for c in cols],
+                                 _bucket(order_col, bucket).alias("_bkt"))
+        summ = src.groupBy(*keys, "_bkt").agg(*[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order_col)))
+                                                .alias(f"_l_{c}") for c in cols])
+        w_cum = Window.partitionBy(*keys).orderBy("_bkt")
+        cum = summ.select(*keys, "_bkt", F.lead("_bkt").over(w_cum).alias("_next"),
+                          *[F.last(F.col(f"_l_{c}"), ignorenulls=True).over(
+                              w_cum.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_c_{c}") for c in cols])
+        lo = F.col("_bkt") + step
+        hi = F.coalesce(F.col("_next"), F.date_trunc(bucket, until))
+        empty = F.array().cast(T.ArrayType(cum.schema["_bkt"].dataType))
+        carry = cum.select(*keys, F.explode(F.when(lo <= hi, F.sequence(lo, hi, step)).otherwise(empty)).alias("_bkt"),
+                           *[f"_c_{c}" for c in cols])
+    else:
+        # last non-null value per (key, bucket) = the locally filled value of the bucket's last row
+        okey = F.struct(*order) if tie_break else F.col(order_col)
+        summ = local.groupBy(*keys, "_bkt").agg(*[F.max_by(F.col(c), okey).alias(f"_l_{c}") for c in cols])
+        w_carry = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+        carry = summ.select(*keys, "_bkt", *[F.last(F.col(f"_l_{c}"), ignorenulls=True).over(w_carry)
+                                             .alias(f"_c_{c}") for c in cols])
     j = local.join(carry, [*keys, "_bkt"], "left")
     return j.select(*[F.coalesce(F.col(c), F.col(f"_c_{c}")).alias(c) if c in cols else F.col(c)
                       for c in local.columns if c != "_bkt"])

@@ -83,7 +83,8 @@ def fill_on_grid(lists: DataFrame, names: DataFrame, start: Column, end: Column,
     """J9 + W4: left join the grid to the lists and forward fill values and median per name."""
     grid = dense_grid(names, start, end, step, chunk)
     j = grid.join(lists, ["name", "timestamp"], "left")
-    return forward_fill(j, ["name"], "timestamp", ["values", "median"], "forward_filled", bucket=fill_bucket)
+    return forward_fill(j, ["name"], "timestamp", ["values", "median"], "forward_filled", bucket=fill_bucket,
+                        values_from=lists, until=end)
 
 
 def sensor_long(stream: DataFrame, grain: str = "second", step: str = "1 second", chunk: str = "1 hour",

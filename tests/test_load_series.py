@@ -164,3 +164,16 @@ def test_chain_graph_converges(spark):
     e = spark.createDataFrame([(f"n{i:03d}", f"n{i + 1:03d}") for i in range(n)], "src string, dst string")
     cc = G.connected_components(e)
     assert cc.select("component").distinct().collect()[0][0] == "n000"
+
+
+def test_forward_fill_values_from_spans_empty_buckets(spark):
+    grid = spark.createDataFrame([("a", T(2024, 1, d, 12)) for d in range(1, 6)], "k string, t timestamp_ntz")
+    data = spark.createDataFrame([("a", T(2024, 1, 2, 12), 7.0), ("a", T(2024, 1, 4, 12), 9.0)],
+                                 "k string, t timestamp_ntz, v double")
+    j = grid.join(data, ["k", "t"], "left")
+    fast = FL.forward_fill(j, ["k"], "t", ["v"], "f", bucket="day", values_from=data,
+                           until=F.lit(T(2024, 1, 5, 12)).cast("timestamp_ntz"))
+    slow = FL.forward_fill(j, ["k"], "t", ["v"], "f", bucket="day")
+    assert rows(fast, "t", "v", "f") == rows(slow, "t", "v", "f") == [
+        (T(2024, 1, 1, 12), None, 1), (T(2024, 1, 2, 12), 7.0, 0), (T(2024, 1, 3, 12), 7.0, 1),
+        (T(2024, 1, 4, 12), 9.0, 0), (T(2024, 1, 5, 12), 9.0, 1)]
