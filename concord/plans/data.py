@@ -130,3 +130,8 @@ def with_modified(snap: DataFrame) -> DataFrame:
 def part_dim(p: DataFrame) -> DataFrame:
     """Part dimension with every 7th part missing (late-arriving members)."""
     return p.where(F.col("p_partkey") % 7 != 0)
+
+
+def orders_left_gap(o: DataFrame) -> DataFrame:
+    """Left side for the key-gap verdict: orders without the keys % 3 = 0 (a partial backfill)."""
+    return o.where(F.col("o_orderkey") % 3 != 0)

@@ -85,7 +85,7 @@ def distinct_coverage(spark, sf):
                             (SELECT CAST(count(*) AS BIGINT) FROM orr) AS c)""")
 def key_gap_verdict(spark, sf):
     o = D.load(spark, sf, "orders")
-    left = o.where(F.col("o_orderkey") % 3 != 0).withColumn("year", F.year("o_orderdate"))
+    left = D.orders_left_gap(o).withColumn("year", F.year("o_orderdate"))
     right = DD.current_records(D.orders_legacy(o), "current_flag", "deleted_flag")
     return DD.key_gap(left, right, ["o_custkey", "o_orderpriority"], ["o_orderstatus", "year"])
 

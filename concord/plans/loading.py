@@ -95,10 +95,10 @@ def delta_load(spark, sf):
        sql=f"""SELECT o_orderkey, _commit_version, _change_type, o_totalprice,
                       lag(_commit_version) OVER w AS prev_version, lag(_change_type) OVER w AS prev_change_type,
                       lag(o_totalprice) OVER w AS prev_o_totalprice, row_number() OVER w AS change_seq
-               FROM ({S.ORDERS_FEED}) WHERE o_orderkey % 7 = 0
+               FROM ({S.ORDERS_FEED})
                WINDOW w AS (PARTITION BY o_orderkey ORDER BY _commit_version, CASE WHEN _change_type = 'delete' THEN 0 ELSE 1 END)""")
 def change_history(spark, sf):
-    feed = D.orders_change_feed(D.load(spark, sf, "orders")).where(F.col("o_orderkey") % 7 == 0)
+    feed = D.orders_change_feed(D.load(spark, sf, "orders"))
     h = DU.change_history(feed, ["o_orderkey"], value_cols=["o_totalprice"])
     return h.select("o_orderkey", "_commit_version", "_change_type", "o_totalprice", "prev_version",
                     "prev_change_type", "prev_o_totalprice", F.col("change_seq").cast("bigint").alias("change_seq"))

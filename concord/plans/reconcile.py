@@ -146,3 +146,12 @@ def key_diagnostics(spark, sf):
 def key_uniqueness(spark, sf):
     ev = D.load(spark, sf, "events")
     return C.key_uniqueness(ev, C.candidate_keys(ev))
+
+
+@query("copies_describe", ("A8",),
+       sql=f"""SELECT 'right' AS dataset, CAST(count(*) AS BIGINT) AS count, round(avg(copies), 6) AS mean,
+                      round(stddev_samp(copies), 6) AS std, CAST(min(copies) AS BIGINT) AS min, CAST(max(copies) AS BIGINT) AS max
+               FROM (SELECT count(*) AS copies FROM ({S.LINEITEM_RIGHT}) GROUP BY {_LI})""")
+def copies_describe(spark, sf):
+    li = D.load(spark, sf, "lineitem")
+    return rounded(C.copies_describe(C.copies_histogram(D.lineitem_right(li), dataset="right")))
