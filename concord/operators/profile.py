@@ -33,13 +33,19 @@ def _c(name: str) -> Column:
 
 
 def column_stats(df: DataFrame, cols: Sequence[str] | None = None, families: dict | None = None,
-                 distinct: str = "exact") -> DataFrame:
-    """Long-form per-column summary in one pass (A2, A3, A4).
+                 distinct: str = "exact", distinct_group: int = 8) -> DataFrame:
+    """Long-form per-column summary (A2, A3, A4).
 
     nulls and distinct for every column; numeric min/max/avg as double; date
     min/max (as text); string length min/max.  ``families`` may force a type
-    family per column (e.g. the left system's types); ``distinct="approx"``
-    uses HyperLogLog++ instead of an exact distinct count.
+    family per column (e.g. the left system's types).
+
+    All statistics except the distinct counts come from one ``agg`` (one scan,
+    no row expansion).  Exact distinct counts are computed in groups of at
+    most ``distinct_group`` columns: a multi-column ``count(DISTINCT)`` expands
+    every row once per column, so grouping bounds that expansion while column
+    pruning still reads each column only once overall.  ``distinct="approx"``
+    uses HyperLogLog++ in the main pass instead.
     """
     cols = list(cols or df.columns)
     fam = {f.name: TY.spark_family(f.dataType) for f in df.schema.fields}
@@ -48,8 +54,9 @@ def column_stats(df: DataFrame, cols: Sequence[str] | None = None, families: dic
     null = F.lit(None)
     for i, c in enumerate(cols):
         x = _c(c)
-        dcount = F.approx_count_distinct(x) if distinct == "approx" else F.count_distinct(x)
-        a = {"nulls": F.count_if(x.isNull()).cast("bigint"), "distinct_values": dcount.cast("bigint"),
+        a = {"nulls": F.count_if(x.isNull()).cast("bigint"),
+             "distinct_values": (F.approx_count_distinct(x).cast("bigint") if distinct == "approx"
+                                 else null.cast("bigint")),
              "num_min": null.cast("double"), "num_max": null.cast("double"), "num_avg": null.cast("double"),
              "date_min": null.cast("string"), "date_max": null.cast("string"),
              "len_min": null.cast("bigint"), "len_max": null.cast("bigint")}
@@ -66,16 +73,29 @@ def column_stats(df: DataFrame, cols: Sequence[str] | None = None, families: dic
     wide = df.agg(*aggs)
     st = F.stack(F.lit(len(cols)), *[e for i, (c, f) in enumerate(rows)
                                      for e in [F.lit(c), F.lit(f)] + [F.col(f"s{i}__{k}") for k in STAT_COLS]])
-    return wide.select(st.alias("column_name", "type_family", *STAT_COLS))
+    out = wide.select(st.alias("column_name", "type_family", *STAT_COLS))
+    if distinct == "approx":
+        return out
+    dist = None
+    for g in range(0, len(cols), max(1, distinct_group)):
+        part = cols[g:g + distinct_group]
+        d = df.agg(*[F.count_distinct(_c(c)).cast("bigint").alias(f"d{j}") for j, c in enumerate(part)])
+        d = d.select(F.stack(F.lit(len(part)), *[e for j, c in enumerate(part) for e in (F.lit(c), F.col(f"d{j}"))])
+                     .alias("column_name", "_d"))
+        dist = d if dist is None else dist.unionByName(d)
+    # both sides have one row per column: a metadata-sized join
+    return (out.join(dist, "column_name", "left")
+            .select("column_name", "type_family", *[F.col("_d").alias(k) if k == "distinct_values" else F.col(k)
+                                                     for k in STAT_COLS]))
 
 
 def column_stats_compare(left: DataFrame, right: DataFrame, cols: Sequence[str] | None = None,
-                         distinct: str = "exact") -> DataFrame:
+                         distinct: str = "exact", distinct_group: int = 8) -> DataFrame:
     """Q3: stats of every common column on both sides, joined on the column (J4), with per-stat equality."""
     cols = list(cols or sorted(set(left.columns) & set(right.columns)))
     fam = {f.name: TY.spark_family(f.dataType) for f in left.schema.fields}
-    l = column_stats(left, cols, fam, distinct)
-    r = column_stats(right, cols, fam, distinct).drop("type_family")
+    l = column_stats(left, cols, fam, distinct, distinct_group)
+    r = column_stats(right, cols, fam, distinct, distinct_group).drop("type_family")
     l = l.select("column_name", "type_family", *[F.col(k).alias(f"left_{k}") for k in STAT_COLS])
     r = r.select("column_name", *[F.col(k).alias(f"right_{k}") for k in STAT_COLS])
     same = None

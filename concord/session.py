@@ -60,3 +60,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 128 * 1024 * 1024,
+               max_split_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings for a run over ``input_bytes`` of input (e.g. 100 TB on a large cluster).
+
+    The initial shuffle partition count is sized so each partition holds about
+    ``target_partition_bytes``; AQE then coalesces small partitions and splits
+    skewed ones at run time against the same advisory size.  Scan splits are
+    capped at ``max_split_bytes`` so a task's input fits executor memory.
+    """
+    parts = max(200, int(input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
+    }

@@ -107,3 +107,10 @@ def test_schema_diff_statuses(spark):
                               "column_name string, data_type string")
     st = {x.column_name: x.status for x in C.schema_diff(l, r, "_RIO$").collect()}
     assert st == {"A": "match", "B": "type_mismatch", "C": "left_only", "E": "right_only", "D": "type_mismatch"}
+
+
+def test_scale_conf():
+    from concord.session import scale_conf
+    c = scale_conf(100 * 1024 ** 4)
+    assert int(c["spark.sql.shuffle.partitions"]) == 819200
+    assert scale_conf(10)["spark.sql.shuffle.partitions"] == "200"

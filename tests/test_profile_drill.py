@@ -53,3 +53,12 @@ def test_column_stats_one_pass(spark):
     assert st["n"].nulls == 1 and st["n"].num_max == 1.0
     assert st["s"].len_min == 2 and st["s"].len_max == 4
     assert st["t"].date_min == "2024-01-01 00:00:00"
+
+
+def test_distinct_groups_agree(spark):
+    df = spark.createDataFrame([(i % 3, f"s{i % 5}", float(i % 7)) for i in range(50)], "a int, b string, c double")
+    one = {r.column_name: r.distinct_values for r in P.column_stats(df, distinct_group=1).collect()}
+    all_ = {r.column_name: r.distinct_values for r in P.column_stats(df, distinct_group=8).collect()}
+    assert one == all_ == {"a": 3, "b": 5, "c": 7}
+    approx = {r.column_name: r.distinct_values for r in P.column_stats(df, distinct="approx").collect()}
+    assert approx == {"a": 3, "b": 5, "c": 7}
