@@ -52,20 +52,21 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None, src:
     return labels.select("node", F.col("label").alias("component"))
 
 
-def shortest_path_lengths(edges: DataFrame, nodes: DataFrame | None = None, src: str = "src",
-                          dst: str = "dst", max_depth: int | None = None) -> DataFrame:
-    """V9: (source, target, distance) for every reachable pair of the undirected graph, source itself at 0.
-
-    Breadth-first from all sources at once: each round expands the frontier
-    by one edge, drops pairs already reached (anti join) and checkpoints.
-    The output has one row per reachable pair by definition; it is the
-    operator's result, not an intermediate.
+def shortest_path_lengths(edges: DataFrame, sources: DataFrame, src: str = "src", dst: str = "dst",
+                          max_depth: int | None = None) -> DataFrame:
+    """V9 (re-aimed): (source, target, distance) from each node of ``sources`` (column ``node``) to every
+    node it reaches in the undirected graph, the source itself at 0.
+
+    Breadth-first from all given sources at once: each round expands the
+    frontier by one edge, drops pairs already reached (anti join) and
+    checkpoints.  The work is |sources| x reachable nodes; an all-pairs
+    table (every node as a source) is deliberately not offered, it would
+    emit every pair of a component.
     """
     ensure_checkpoint_dir(edges.sparkSession)
     e = undirected(edges, src, dst).checkpoint()
-    n = nodes if nodes is not None else nodes_of(e)
-    visited = n.select(F.col("node").alias("source"), F.col("node").alias("target"),
-                       F.lit(0).alias("distance")).distinct().checkpoint()
+    visited = sources.select(F.col("node").alias("source"), F.col("node").alias("target"),
+                             F.lit(0).alias("distance")).distinct().checkpoint()
     frontier = visited
     depth = 0
     while max_depth is None or depth < max_depth:
@@ -81,13 +82,12 @@ def shortest_path_lengths(edges: DataFrame, nodes: DataFrame | None = None, src:
     return visited
 
 
-def closeness(distances: DataFrame, n_nodes: int | None = None) -> DataFrame:
-    """Wasserman-Faust closeness ((r-1)/(n-1)) * ((r-1)/sum d), r = nodes reachable incl. itself.
-
-    0 for an isolated node.  ``n_nodes`` defaults to the number of sources.
-    """
+def closeness(distances: DataFrame, n_nodes: "int | Column") -> DataFrame:
+    """Wasserman-Faust closeness ((r-1)/(n-1)) * ((r-1)/sum d) of every source in ``distances``
+    (output of :func:`shortest_path_lengths`); r = nodes reachable incl. itself, n = nodes of the graph
+    (an int or a scalar column).  0 for an isolated node."""
     per = distances.groupBy("source").agg(F.count(F.lit(1)).alias("r"), F.sum("distance").alias("total"))
-    n = F.lit(n_nodes) if n_nodes is not None else distances.select(F.count_distinct("source")).scalar()
+    n = F.lit(n_nodes) if isinstance(n_nodes, int) else n_nodes
     r1 = (F.col("r") - 1).cast("double")
     c = F.when((F.col("total") > 0) & (n > 1), (r1 / (n - 1)) * (r1 / F.col("total"))).otherwise(F.lit(0.0))
     return per.select(F.col("source").alias("node"), c.alias("closeness"))

@@ -50,28 +50,31 @@ def connected_components(spark, sf):
     return G.connected_components(e, nodes)
 
 
-# Brute-force oracle: paths are enumerated up to 8 steps (the derived graph's diameter is 4).
-_SP_SQL = f"""WITH RECURSIVE e AS (SELECT src, dst FROM ({_EDGES_SUPP}) UNION SELECT dst, src FROM ({_EDGES_SUPP})),
-                   n AS ({_nodes_sql(_EDGES_SUPP)}),
-                   p(source, target, distance) AS (SELECT node, node, 0 FROM n
+# Brute-force oracle: paths from the region nodes enumerated up to 8 steps (the derived graph's diameter is 4).
+_SP_SQL = f"""WITH RECURSIVE e AS (SELECT src, dst FROM ({_EDGES_CUST}) UNION SELECT dst, src FROM ({_EDGES_CUST})),
+                   p(source, target, distance) AS (SELECT 'r:' || CAST(r_regionkey AS VARCHAR), 'r:' || CAST(r_regionkey AS VARCHAR), 0 FROM region
                       UNION SELECT p.source, e.dst, p.distance + 1 FROM p JOIN e ON p.target = e.src WHERE p.distance < 8)
               SELECT source, target, CAST(min(distance) AS INTEGER) AS distance FROM p GROUP BY source, target"""
 
 
+def _sp(spark, sf):
+    e = _geo_edges(spark, sf, True, False)
+    return e, G.shortest_path_lengths(e, _region_nodes(spark, sf))
+
+
 @query("shortest_paths", ("V9",), sql=_SP_SQL)
 def shortest_paths(spark, sf):
-    e = _geo_edges(spark, sf, False, True)
-    nodes = G.nodes_of(G.undirected(e)).unionByName(_region_nodes(spark, sf)).distinct()
-    return G.shortest_path_lengths(e, nodes)
+    return _sp(spark, sf)[1]
 
 
 @query("closeness", ("V10",),
        sql=f"""WITH d AS ({_SP_SQL}), per AS (SELECT source, count(*) AS r, sum(distance) AS total FROM d GROUP BY source),
-                    nn AS (SELECT count(*) AS n FROM per)
+                    nn AS (SELECT count(*) AS n FROM ({_nodes_sql(_EDGES_CUST)}))
                SELECT source AS node, round(CASE WHEN total > 0 AND n > 1
                    THEN (CAST(r - 1 AS DOUBLE) / (n - 1)) * (CAST(r - 1 AS DOUBLE) / total) ELSE 0.0 END, 6) AS closeness
                FROM per, nn""")
 def closeness(spark, sf):
-    e = _geo_edges(spark, sf, False, True)
-    nodes = G.nodes_of(G.undirected(e)).unionByName(_region_nodes(spark, sf)).distinct()
-    return rounded(G.closeness(G.shortest_path_lengths(e, nodes)))
+    e, d = _sp(spark, sf)
+    n_nodes = G.nodes_of(G.undirected(e)).unionByName(_region_nodes(spark, sf)).distinct() \
+        .select(F.count(F.lit(1))).scalar()
+    return rounded(G.closeness(d, n_nodes))

@@ -157,6 +157,8 @@ def test_graph_components_and_closeness(spark):
     assert d.count() == 9 + 4 + 1
     c = dict(rows(G.closeness(d, 6), "node", "closeness"))
     assert abs(c["a"] - (2 / 5) * (2 / 2)) < 1e-12 and c["z"] == 0.0
+    one = G.shortest_path_lengths(e, spark.createDataFrame([("x",)], "node string"))
+    assert rows(one, "source", "target", "distance") == [("x", "x", 0), ("x", "y", 1)]
 
 
 def test_chain_graph_converges(spark):
