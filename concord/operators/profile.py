@@ -107,28 +107,52 @@ def column_stats_compare(left: DataFrame, right: DataFrame, cols: Sequence[str]
 
 # ------------------------------------------------------------------ exact ranks
 
-def _ranked_value_counts(vc: DataFrame, partitions: int | None = None) -> DataFrame:
-    """(v, c) distinct value counts -> (v, c, cum_before, cum) global running counts.
+def _ranked_value_counts(vc: DataFrame, partitions: int | None = None, group: Sequence[str] = ()) -> DataFrame:
+    """(group..., v, c) distinct value counts -> adds cum_before, cum (running counts within the group) and
+    n (the group's total).
 
-    Range partitioning keeps each partition a contiguous value range; the
+    Range partitioning on (group, v) keeps every partition a contiguous range,
+    so a group with a third of all values is spread over many partitions; the
     checkpoint (shared checkpoint folder, lineage cut) makes both uses of the
-    partition ids consistent; per-partition totals (one row per partition)
-    give the offsets.
+    partition ids consistent; per-(group, partition) totals give the offsets.
     """
     spark = vc.sparkSession
     ensure_checkpoint_dir(spark)
+    group = list(group)
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rp = (vc.repartitionByRange(p, "v").select("v", "c", F.spark_partition_id().alias("pid")).checkpoint())
-    part = rp.groupBy("pid").agg(F.sum("c").alias("pc"))
-    offs = part.select("pid", F.coalesce(F.sum("pc").over(
-        Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off"))
-    w = Window.partitionBy("pid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    # offs has one row per partition: its size is bounded by the partition count, not the data
-    return (rp.join(F.broadcast(offs), "pid")
-            .select("v", "c", (F.col("off") + F.sum("c").over(w)).alias("cum"))
+    rp = (vc.repartitionByRange(p, *group, "v").select(*group, "v", "c", F.spark_partition_id().alias("pid"))
+          .checkpoint())
+    part = rp.groupBy(*group, "pid").agg(F.sum("c").alias("pc"))
+    wo = Window.partitionBy(*group).orderBy("pid") if group else Window.orderBy("pid")
+    offs = part.select(*group, "pid",
+                       F.coalesce(F.sum("pc").over(wo.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off"),
+                       F.sum("pc").over(wo.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("n"))
+    # offs has one row per (group, partition it spans): with no group it is bounded by the partition count
+    offs = F.broadcast(offs) if not group else offs
+    w = Window.partitionBy(*group, "pid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    return (rp.join(offs, [*group, "pid"])
+            .select(*group, "v", "c", "n", (F.col("off") + F.sum("c").over(w)).alias("cum"))
             .withColumn("cum_before", F.col("cum") - F.col("c")))
 
 
+def grouped_median(df: DataFrame, group: Sequence[str], value_col: str) -> DataFrame:
+    """Exact (interpolated) median of ``value_col`` per group without collecting any group's values.
+
+    Values are counted per (group, value) (map-side combine), ranked with
+    :func:`_ranked_value_counts`, and the two middle ranks are picked by an
+    aggregate.  Groups whose values are all NULL do not appear.
+    """
+    vc = (df.select(*group, F.col(value_col).alias("v")).where(F.col("v").isNotNull())
+          .groupBy(*group, "v").agg(F.count(F.lit(1)).alias("c")))
+    r = _ranked_value_counts(vc, group=group)
+    nm1 = (F.col("n") - 1).cast("double")
+    lo, hi = F.floor(nm1 / 2).cast("bigint"), F.ceil(nm1 / 2).cast("bigint")
+
+    def at(k):
+        return F.max(F.when((F.col("cum_before") <= k) & (k < F.col("cum")), F.col("v")))
+    return r.groupBy(*group).agg(((at(lo).cast("double") + at(hi).cast("double")) / 2).alias("median"))
+
+
 def nearest_quantiles(values: DataFrame, qs: Sequence[float], col: str = "v",
                       with_median: bool = True) -> DataFrame:
     """Exact quantiles of a single column, "nearest" rule (N7) and interpolated median.

@@ -63,3 +63,13 @@ def sensor_incremental(spark, sf):
     prev = TS.sensor_long(D.sensor_stream(ev.where(~added)), GRAIN, STEP, CHUNK)
     out = TS.sensor_incremental(prev, D.sensor_stream(ev.where(added)), GRAIN, STEP, CHUNK)
     return rounded(out)
+
+
+MEDIANS_SQL = LONG_SQL.replace("last_value(values IGNORE NULLS) OVER w AS values",
+                               "CAST(last_value(len(values) IGNORE NULLS) OVER w AS BIGINT) AS n_values")
+
+
+@query("sensor_long_medians", ("V1", "V3", "A17", "W4"), sql=MEDIANS_SQL)
+def sensor_long_medians(spark, sf):
+    """The long output without value lists: exact medians from ranked value counts (no collected group)."""
+    return rounded(TS.sensor_long(D.sensor_stream(D.load(spark, sf, "events")), GRAIN, STEP, CHUNK, keep_values=False))

@@ -62,3 +62,13 @@ def test_distinct_groups_agree(spark):
     assert one == all_ == {"a": 3, "b": 5, "c": 7}
     approx = {r.column_name: r.distinct_values for r in P.column_stats(df, distinct="approx").collect()}
     assert approx == {"a": 3, "b": 5, "c": 7}
+
+
+def test_grouped_median_hot_group(spark):
+    rows = [("hot", float(i % 11)) for i in range(3000)] + [("odd", 1.0), ("odd", 5.0), ("odd", 3.0),
+                                                           ("even", 1.0), ("even", 4.0), ("nul", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    m = {r.g: r.median for r in P.grouped_median(df, ["g"], "v").collect()}
+    import statistics
+    assert m["hot"] == statistics.median([float(i % 11) for i in range(3000)])
+    assert m["odd"] == 3.0 and m["even"] == 2.5 and "nul" not in m
