@@ -64,17 +64,22 @@ def latest_change(feed: DataFrame, keys: Sequence[str], version_col: str = "_com
 
 
 def change_history(feed: DataFrame, keys: Sequence[str], version_col: str = "_commit_version",
-                   change_col: str = "_change_type", value_cols: Sequence[str] = ()) -> DataFrame:
-    """Per key, each change with the previous version and previous values (``lag`` over the key).
-
-    The window is partitioned by key; a change feed holds a handful of changes
-    per key, so the partitions stay small.
+                   change_col: str = "_change_type", value_cols: Sequence[str] = (),
+                   time_col: str = "_commit_timestamp", bucket: str = "day") -> DataFrame:
+    """Per key, each change with the previous version, change type and values, and its position.
+
+    Ordered by version (delete before insert at one version).  Computed with
+    windows per (key, commit day) plus a per-day summary (see
+    :func:`concord.operators.events.neighbours`), so a key with a very long
+    history is not handled by a single task.
     """
-    from pyspark.sql import Window
+    from .events import neighbours
 
     prio = F.when(F.col(change_col) == "delete", 0).otherwise(1)
-    w = Window.partitionBy(*keys).orderBy(F.col(version_col), prio)
-    return feed.select("*", F.lag(version_col).over(w).alias("prev_version"),
-                       F.lag(change_col).over(w).alias("prev_change_type"),
-                       *[F.lag(c).over(w).alias(f"prev_{c}") for c in value_cols],
-                       F.row_number().over(w).alias("change_seq"))
+    lagged = [version_col, change_col, *value_cols]
+    n = neighbours(feed.withColumn("_prio", prio), keys, F.date_trunc(bucket, F.col(time_col)),
+                   [F.col(version_col), F.col("_prio")], lag_cols=lagged)
+    return n.select(*feed.columns, F.col(f"lag1_{version_col}").alias("prev_version"),
+                    F.col(f"lag1_{change_col}").alias("prev_change_type"),
+                    *[F.col(f"lag1_{c}").alias(f"prev_{c}") for c in value_cols],
+                    F.col("seq").alias("change_seq"))

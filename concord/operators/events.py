@@ -17,36 +17,57 @@ from pyspark.sql import functions as F
 GROUP_GAP_MINUTES = 10
 
 
-def lead_lag(df: DataFrame, keys: Sequence[str], order_col: str, tie_break: Sequence[str],
-             lead_col: str, lag_col: str, bucket: str = "day") -> DataFrame:
-    """Adds ``lead1`` = lead(lead_col, 1), ``lag1``/``lag2`` = lag(lag_col, 1/2) per key ordered by
-    (order_col, *tie_break), exact across bucket edges."""
+def neighbours(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[Column],
+               lead_cols: Sequence[str] = (), lag_cols: Sequence[str] = ()) -> DataFrame:
+    """Per key, ordered by ``order`` within time buckets ``bucket`` (which must grow with ``order``):
+    ``lead1_<c>`` for ``lead_cols``, ``lag1_<c>``/``lag2_<c>`` for ``lag_cols`` and ``seq`` (1-based
+    position within the key), exact across bucket edges.
+
+    Windows are partitioned by (key, bucket); the edge values come from a
+    summary with one row per non-empty (key, bucket) (first row, last two
+    rows, row count), shifted and summed with a window over that summary.
+    """
     keys = list(keys)
-    b = df.select("*", F.date_trunc(bucket, F.col(order_col)).alias("_bkt"))
-    order = [F.col(order_col), *[F.col(c) for c in tie_break]]
+    b = df.select("*", bucket.alias("_bkt"))
     w = Window.partitionBy(*keys, "_bkt").orderBy(*order)
     wd = Window.partitionBy(*keys, "_bkt").orderBy(*[o.desc() for o in order])
+    lead_s = F.struct(*[F.col(c) for c in lead_cols]) if lead_cols else F.lit(None)
+    lag_s = F.struct(*[F.col(c) for c in lag_cols]) if lag_cols else F.lit(None)
     b = b.select("*", F.row_number().over(w).alias("_rn"), F.row_number().over(wd).alias("_rd"),
-                 F.lead(lead_col, 1).over(w).alias("_ld1"), F.lag(lag_col, 1).over(w).alias("_lg1"),
-                 F.lag(lag_col, 2).over(w).alias("_lg2"))
-    summ = b.groupBy(*keys, "_bkt").agg(F.max(F.when(F.col("_rn") == 1, F.col(lead_col))).alias("_first"),
-                                        F.max(F.when(F.col("_rd") == 1, F.col(lag_col))).alias("_l1"),
-                                        F.max(F.when(F.col("_rd") == 2, F.col(lag_col))).alias("_l2"),
+                 F.lead(lead_s, 1).over(w).alias("_ld1"), F.lag(lag_s, 1).over(w).alias("_lg1"),
+                 F.lag(lag_s, 2).over(w).alias("_lg2"), lead_s.alias("_lead_s"), lag_s.alias("_lag_s"))
+    summ = b.groupBy(*keys, "_bkt").agg(F.max_by("_lead_s", F.when(F.col("_rn") == 1, F.lit(1))).alias("_first"),
+                                        F.max_by("_lag_s", F.when(F.col("_rd") == 1, F.lit(1))).alias("_l1"),
+                                        F.max_by("_lag_s", F.when(F.col("_rd") == 2, F.lit(1))).alias("_l2"),
                                         F.count(F.lit(1)).alias("_n"))
     ws = Window.partitionBy(*keys).orderBy("_bkt")
     prev_n = F.lag("_n", 1).over(ws)
     shifted = summ.select(*keys, "_bkt", F.lead("_first", 1).over(ws).alias("_next_first"),
                           F.lag("_l1", 1).over(ws).alias("_prev_l1"),
                           F.when(prev_n >= 2, F.lag("_l2", 1).over(ws)).otherwise(F.lag("_l1", 2).over(ws))
-                          .alias("_prev_l2"), F.col("_n").alias("_bn"))
+                          .alias("_prev_l2"), F.col("_n").alias("_bn"),
+                          F.coalesce(F.sum("_n").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+                          .alias("_off"))
     j = b.join(shifted, [*keys, "_bkt"], "left")
     rn = F.col("_rn")
-    out = j.select(*df.columns,
-                   F.when(rn < F.col("_bn"), F.col("_ld1")).otherwise(F.col("_next_first")).alias("lead1"),
-                   F.when(rn >= 2, F.col("_lg1")).otherwise(F.col("_prev_l1")).alias("lag1"),
-                   F.when(rn >= 3, F.col("_lg2")).when(rn == 2, F.col("_prev_l1")).otherwise(F.col("_prev_l2"))
-                   .alias("lag2"))
-    return out
+    lead1 = F.when(rn < F.col("_bn"), F.col("_ld1")).otherwise(F.col("_next_first"))
+    lag1 = F.when(rn >= 2, F.col("_lg1")).otherwise(F.col("_prev_l1"))
+    lag2 = F.when(rn >= 3, F.col("_lg2")).when(rn == 2, F.col("_prev_l1")).otherwise(F.col("_prev_l2"))
+    return j.select(*df.columns,
+                    *[lead1[c].alias(f"lead1_{c}") for c in lead_cols],
+                    *[lag1[c].alias(f"lag1_{c}") for c in lag_cols],
+                    *[lag2[c].alias(f"lag2_{c}") for c in lag_cols],
+                    (F.col("_off") + rn).cast("bigint").alias("seq"))
+
+
+def lead_lag(df: DataFrame, keys: Sequence[str], order_col: str, tie_break: Sequence[str],
+             lead_col: str, lag_col: str, bucket: str = "day") -> DataFrame:
+    """Adds ``lead1`` = lead(lead_col, 1), ``lag1``/``lag2`` = lag(lag_col, 1/2) per key ordered by
+    (order_col, *tie_break), exact across bucket edges."""
+    n = neighbours(df, keys, F.date_trunc(bucket, F.col(order_col)),
+                   [F.col(order_col), *[F.col(c) for c in tie_break]], [lead_col], [lag_col])
+    return n.select(*df.columns, F.col(f"lead1_{lead_col}").alias("lead1"), F.col(f"lag1_{lag_col}").alias("lag1"),
+                    F.col(f"lag2_{lag_col}").alias("lag2"))
 
 
 def event_groups(df: DataFrame, asset: str, start: str, finish: str, tie_break: Sequence[str] = (),
