@@ -139,8 +139,10 @@ def row_match_scenarios(left: DataFrame, right: DataFrame, cols: Sequence[str] |
     for d in round_decimals:
         scen.append((f"round_float_{d}dp", variant(lambda c, d=d: F.round(col(c), d) if c in flts else col(c), cols)))
 
+    # scenario ids (tinyint) travel through the shuffle; names are attached after the aggregation
     def explode_side(df: DataFrame, is_left: bool) -> DataFrame:
-        arr = F.array(*[F.struct(F.lit(n).alias("scenario"), e.alias("fp")) for n, e in scen])
+        arr = F.array(*[F.struct(F.lit(i).cast("tinyint").alias("scenario"), e.alias("fp"))
+                        for i, (n, e) in enumerate(scen)])
         return (df.select(F.explode(arr).alias("s"))
                 .select(F.col("s.scenario").alias("scenario"), F.col("s.fp.h1").alias("h1"),
                         F.col("s.fp.h2").alias("h2"),
@@ -148,10 +150,14 @@ def row_match_scenarios(left: DataFrame, right: DataFrame, cols: Sequence[str] |
 
     counts = (explode_side(l, True).unionByName(explode_side(r, False))
               .groupBy("scenario", "h1", "h2").agg(F.sum("_l").alias("l_cnt"), F.sum("_r").alias("r_cnt")))
-    dedup = (counts.where(F.col("scenario") == "baseline")
-             .select(F.lit("right_deduped").alias("scenario"), "h1", "h2", "l_cnt",
+    dedup_id = len(scen)
+    dedup = (counts.where(F.col("scenario") == 0)
+             .select(F.lit(dedup_id).cast("tinyint").alias("scenario"), "h1", "h2", "l_cnt",
                      F.least(F.col("r_cnt"), F.lit(1)).alias("r_cnt")))
-    return _match_metrics(counts.unionByName(dedup), group=["scenario"])
+    names = F.create_map(*[x for i, (n, _) in enumerate(scen) for x in (F.lit(i).cast("tinyint"), F.lit(n))],
+                         F.lit(dedup_id).cast("tinyint"), F.lit("right_deduped"))
+    m = _match_metrics(counts.unionByName(dedup), group=["scenario"])
+    return m.withColumn("scenario", names[F.col("scenario")])
 
 
 # ------------------------------------------------------------ Q7/A7/A8 duplicates
@@ -220,7 +226,7 @@ def key_diagnostics(left: DataFrame, right: DataFrame, key_sets: Sequence[Sequen
         for ks in usable:
             cols = [F.col(f"`{c}`") for c in ks]
             mask = N.null_mask(ks)
-            arr.append(F.struct(F.lit(" + ".join(ks)).alias("key_name"),
+            arr.append(F.struct(F.lit(len(arr)).cast("tinyint").alias("key_id"),
                                 F.xxhash64(*cols, mask).alias("h1"),
                                 F.xxhash64(F.lit("concord-fp2"), *cols, mask).alias("h2"),
                                 _any_null(cols).alias("has_null")))
@@ -229,10 +235,11 @@ def key_diagnostics(left: DataFrame, right: DataFrame, key_sets: Sequence[Sequen
                 .select("k.*", F.lit(1 if is_left else 0).alias("_l"), F.lit(0 if is_left else 1).alias("_r")))
 
     g = (side(left, True).unionByName(side(right, False))
-         .groupBy("key_name", "h1", "h2", "has_null")
+         .groupBy("key_id", "h1", "h2", "has_null")
          .agg(F.sum("_l").alias("l_n"), F.sum("_r").alias("r_n")))
     both = (F.col("l_n") > 0) & (F.col("r_n") > 0) & ~F.col("has_null")
-    return g.groupBy("key_name").agg(
+    names = F.create_map(*[x for i, ks in enumerate(usable) for x in (F.lit(i).cast("tinyint"), F.lit(" + ".join(ks)))])
+    out = g.groupBy("key_id").agg(
         F.count_if(F.col("l_n") > 0).cast("bigint").alias("left_distinct_keys"),
         F.count_if(F.col("r_n") > 0).cast("bigint").alias("right_distinct_keys"),
         F.count_if((F.col("l_n") > 0) & ~both).cast("bigint").alias("keys_only_in_left"),
@@ -243,6 +250,7 @@ def key_diagnostics(left: DataFrame, right: DataFrame, key_sets: Sequence[Sequen
         F.coalesce(F.sum(F.when(both, F.greatest(F.col("r_n") - F.col("l_n"), F.lit(0)))), F.lit(0))
         .cast("bigint").alias("extra_right_rows_by_key_multiplicity"),
     )
+    return out.select(names[F.col("key_id")].alias("key_name"), *[c for c in out.columns if c != "key_id"])
 
 
 def _any_null(cols: Sequence[Column]) -> Column:
