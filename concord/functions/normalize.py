@@ -52,7 +52,7 @@ def normalise_types(df: DataFrame) -> DataFrame:
     """Cast to the comparison normal form.
 
     booleans and integers -> bigint; float/double -> double with -0.0 folded
-    to 0.0; timestamps -> timestamp_ntz (the zone label is dropped, the wall
+    to 0.0 and every NaN to one NaN; timestamps -> timestamp_ntz (the zone label is dropped, the wall
     clock is kept, nothing is converted).  Decimal, date, binary and strings
     are left as they are.
     """
@@ -64,7 +64,8 @@ def normalise_types(df: DataFrame) -> DataFrame:
             c = c.cast("bigint")
         elif isinstance(dt, (T.FloatType, T.DoubleType)):
             d = c.cast("double")
-            c = F.when(d == 0.0, F.lit(0.0)).otherwise(d)
+            # one bit pattern for zero and for NaN, so equal values hash equally
+            c = F.when(F.isnan(d), F.lit(float("nan"))).when(d == 0.0, F.lit(0.0)).otherwise(d)
         elif isinstance(dt, T.TimestampType):
             # wall clock in the session zone, label dropped
             c = F.to_timestamp_ntz(F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS"))

@@ -114,3 +114,19 @@ def test_scale_conf():
     c = scale_conf(100 * 1024 ** 4)
     assert int(c["spark.sql.shuffle.partitions"]) == 819200
     assert scale_conf(10)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_nan_and_non_finite(spark):
+    from concord.functions import normalize as N
+    l = spark.createDataFrame([(float("nan"),), (float("inf"),)], "x double")
+    r = spark.createDataFrame([(float("nan"),), (float("inf"),)], "x double")
+    assert one(C.row_match(l, r))["matched_rows"] == 2
+    cleaned = N.null_non_finite(l).collect()
+    assert all(row.x is None for row in cleaned)
+
+
+def test_scan_formats(spark):
+    from concord.sources import readers as RD
+    spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string").createOrReplaceTempView("scan_src")
+    df = RD.scan(spark, "scan_src", "table", ["k"], "k > 1")
+    assert [r.k for r in df.collect()] == [2]
