@@ -165,7 +165,7 @@ FROM o"""
 
 def _parity(spark, sf):
     li = D.load(spark, sf, "lineitem")
-    return QY.measure_parity(li, D.lineitem_right(li), F.date_trunc("month", F.col("l_shipdate")),
+    return QY.measure_parity(li, D.lineitem_right(li), F.date_trunc("month", F.col("l_shipdate")).cast("timestamp_ntz"),
                              {"quantity": F.sum("l_quantity"), "rows": F.count(F.lit(1)).cast("bigint")},
                              tolerance_pct=0.5)
 

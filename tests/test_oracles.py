@@ -16,6 +16,7 @@ def test_query_matches_oracle(spark, duck, name):
         assert res["rows"] >= 0
     else:
         assert res["ok"], res.get("why")
+        assert res.get("schema_ok", True), res.get("types")
 
 
 def test_entry_smoke(spark):
