@@ -11,7 +11,7 @@ from ..sources import sinks as SK
 from ..streaming import jobs as J
 from . import data as D
 from . import sqlparts as S
-from .registry import query, rounded
+from .registry import query
 
 RECORD = T.StructType([T.StructField("id", T.LongType()), T.StructField("type_id", T.StringType()),
                        T.StructField("date", T.StringType()), T.StructField("price", T.StringType())])

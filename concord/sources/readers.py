@@ -80,3 +80,32 @@ def html_links(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
     hrefs = F.regexp_extract_all(F.col(html_col), F.lit(r'<a\s+href="([^"]*)"'), 1)
     return pages.select(id_col, F.posexplode(hrefs).alias("position", "href")) \
         .select(id_col, F.col("position").cast("bigint").alias("position"), "href")
+
+
+def jdbc_table(spark: SparkSession, url: str, table: str, properties: dict, columns: Sequence[str] | None = None,
+               where: str | None = None, partition_column: str | None = None, lower: int | None = None,
+               upper: int | None = None, num_partitions: int | None = None) -> DataFrame:
+    """S1 against a remote database: the projection and the filter are sent inside the query (pushed down),
+    and a numeric ``partition_column`` with bounds splits the read into ``num_partitions`` parallel range
+    queries (one connection per task, never one client pulling the whole table)."""
+    cols = ", ".join(columns) if columns else "*"
+    query = f"(SELECT {cols} FROM {table}" + (f" WHERE {where}" if where else "") + ") AS q"
+    r = spark.read.format("jdbc").option("url", url).option("dbtable", query)
+    for k, v in properties.items():
+        r = r.option(k, v)
+    if partition_column is not None:
+        r = (r.option("partitionColumn", partition_column).option("lowerBound", lower)
+             .option("upperBound", upper).option("numPartitions", num_partitions))
+    return r.load()
+
+
+def jdbc_catalogue(spark: SparkSession, url: str, properties: dict, schema: str,
+                   tables: Sequence[str] | None = None) -> DataFrame:
+    """S2 against a remote database: one metadata query over ``information_schema.columns`` for all tables
+    (names upper-cased), in the column-catalogue shape used by :mod:`concord.sources.catalog`."""
+    where = f"table_schema = '{schema}'"
+    if tables:
+        where += " AND table_name IN (" + ", ".join(f"'{t}'" for t in tables) + ")"
+    cols = ["table_name", "upper(column_name) AS column_name", "data_type", "numeric_precision", "numeric_scale",
+            "ordinal_position"]
+    return jdbc_table(spark, url, "information_schema.columns", properties, cols, where)

@@ -37,3 +37,22 @@ def test_change_table_is_order_independent(spark):
     stream = spark.readStream.schema(fs).option("maxFilesPerTrigger", 1).parquet(land + "/*")
     J.run_to_completion(J.apply_change_feed(stream, ["k"], root, schema, buckets=4))
     assert sorted(tuple(r) for r in J.read_change_table(spark, root, ["k"], schema).collect()) == [(1, "a2")]
+
+
+def test_outputs_and_run_log(spark):
+    import datetime as dt
+
+    from concord.sources import sinks as SK
+    root = scratch_path(spark, "outs")
+    a = spark.createDataFrame([(1,)], "x int")
+    paths = SK.write_outputs({"long": a, "map": a}, root, mode="overwrite")
+    SK.write_outputs({"long": a}, root, mode="append")
+    assert spark.read.parquet(paths["long"]).count() == 2 and spark.read.parquet(paths["map"]).count() == 1
+    runs = spark.createDataFrame([(1, "r1", dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 1), "Succeeded", None, 5),
+                                  (1, "r2", dt.datetime(2024, 1, 2), None, "Started", None, None)],
+                                 "flow int, run_id string, started_at timestamp_ntz, finished_at timestamp_ntz, "
+                                 "status string, message string, row_count int")
+    log = SK.run_log_entries(runs)
+    assert log.count() == 3
+    cur = {r.run_id: r.status for r in SK.run_log_current(log).collect()}
+    assert cur == {"r1": "Succeeded", "r2": "Started"}
