@@ -56,3 +56,20 @@ def test_outputs_and_run_log(spark):
     assert log.count() == 3
     cur = {r.run_id: r.status for r in SK.run_log_current(log).collect()}
     assert cur == {"r1": "Succeeded", "r2": "Started"}
+
+
+def test_watermark_drops_late_rows(spark):
+    import datetime as dt
+
+    sch = T.StructType([T.StructField("ts", T.TimestampNTZType()), T.StructField("k", T.StringType())])
+    land = scratch_path(spark, "late-land")
+    # three files, one per micro-batch; the late-event watermark is the previous batch's watermark, so the
+    # 1 January row in the third batch is behind it (10 Jan - 1 day)
+    spark.createDataFrame([(dt.datetime(2024, 1, 10, 5), "a")], sch).coalesce(1).write.parquet(land)
+    spark.createDataFrame([(dt.datetime(2024, 1, 10, 6), "a")], sch).coalesce(1).write.mode("append").parquet(land)
+    spark.createDataFrame([(dt.datetime(2024, 1, 1, 5), "a")], sch).coalesce(1).write.mode("append").parquet(land)
+    agg = J.windowed_counts(J.file_stream(spark, land, sch, max_files_per_trigger=1), "ts", "1 day", "1 day", ["k"])
+    root = scratch_path(spark, "late-out")
+    J.run_to_completion(J.upsert_batches(agg, ["window_start", "k"], root, buckets=2))
+    got = {(r.window_start.day, r.events) for r in J.read_table(spark, root, ["window_start", "k"], agg.schema).collect()}
+    assert got == {(10, 2)}
