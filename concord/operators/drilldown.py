@@ -154,3 +154,19 @@ def window_sample(left: DataFrame, right: DataFrame, date_col: str, threshold: i
     else:
         lc, rc = l_cut, r_cut
     return (left.where(~big | (F.col(date_col) >= lc)), right.where(~big | (F.col(date_col) >= rc)))
+
+
+def year_scope_test(left: DataFrame, right: DataFrame, date_col: str) -> DataFrame:
+    """Q12 hypothesis step: would the right side match if it started at the left side's first year?
+
+    One row: first_left_year, left_rows, right_rows_from_year, matches, remaining_diff, remaining_pct.
+    Both counts come from one pass over the side-tagged union (the first year is a scalar subquery).
+    """
+    first = left.select(F.min(F.year(F.col(date_col)))).scalar()
+    t = _tagged(left, right, [F.year(F.col(date_col)).alias("y")])
+    c = t.agg(F.count_if(F.col("side") == "left").cast("bigint").alias("left_rows"),
+              F.count_if((F.col("side") == "right") & (F.col("y") >= first)).cast("bigint").alias("right_rows_from_year"))
+    d = F.col("right_rows_from_year") - F.col("left_rows")
+    return c.select(first.alias("first_left_year"), "left_rows", "right_rows_from_year",
+                    (d == 0).alias("matches"), d.alias("remaining_diff"),
+                    F.round(pct(d, F.col("left_rows"), 0.0), 2).alias("remaining_pct"))

@@ -103,3 +103,15 @@ def window_sample(spark, sf):
     return (l.agg(F.lit("left").alias("side"), F.count(F.lit(1)).cast("bigint").alias("rows"), F.min("d").alias("min_date"))
             .unionByName(r.agg(F.lit("right").alias("side"), F.count(F.lit(1)).cast("bigint").alias("rows"),
                                F.min("d").alias("min_date"))))
+
+
+@query("year_scope_test", ("Q12", "P7", "A10"),
+       sql=f"""WITH l AS ({S.ORDERS_LEGACY_CURRENT}), f AS (SELECT min(year(o_orderdate)) AS y FROM l),
+                    c AS (SELECT (SELECT count(*) FROM l) AS lr, (SELECT count(*) FROM orders, f WHERE year(o_orderdate) >= f.y) AS rr)
+               SELECT CAST((SELECT y FROM f) AS INTEGER) AS first_left_year, CAST(lr AS BIGINT) AS left_rows,
+                      CAST(rr AS BIGINT) AS right_rows_from_year, rr = lr AS matches, CAST(rr - lr AS BIGINT) AS remaining_diff,
+                      round(CASE WHEN lr = 0 THEN 0.0 ELSE CAST(rr - lr AS DOUBLE) * 100.0 / CAST(lr AS DOUBLE) END, 2) AS remaining_pct
+               FROM c""")
+def year_scope_test(spark, sf):
+    left, right = _sides(spark, sf)
+    return DD.year_scope_test(left, right, "o_orderdate")
