@@ -11,7 +11,7 @@ sums plus partition offsets.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -153,80 +153,93 @@ def grouped_median(df: DataFrame, group: Sequence[str], value_col: str) -> DataF
     return r.groupBy(*group).agg(((at(lo).cast("double") + at(hi).cast("double")) / 2).alias("median"))
 
 
-def nearest_quantiles(values: DataFrame, qs: Sequence[float], col: str = "v",
-                      with_median: bool = True) -> DataFrame:
-    """Exact quantiles of a single column, "nearest" rule (N7) and interpolated median.
+def grouped_quantiles(values: DataFrame, group: Sequence[str], qs: Sequence[float], col: str = "v") -> DataFrame:
+    """Exact quantiles per group, "nearest" rule (N7), plus the interpolated median.
 
-    Quantile q is the element at 0-based index round((n-1)*q) of the sorted
-    non-null values; the median averages the two middle elements when n is
-    even.  One row: q_<i> for each q, median, n.
+    Quantile q is the element at 0-based index round((n-1)*q) of the group's
+    sorted non-null values; the median averages the two middle elements when
+    n is even.  Output: group columns, q_<i> for each q, median.
     """
-    vc = (values.select(F.col(col).alias("v")).where(F.col("v").isNotNull())
-          .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
-    r = _ranked_value_counts(vc)
-    n = vc.select(F.sum("c")).scalar()
-    nm1 = (n - 1).cast("double")
+    group = list(group)
+    vc = (values.select(*group, F.col(col).alias("v")).where(F.col("v").isNotNull())
+          .groupBy(*group, "v").agg(F.count(F.lit(1)).alias("c")))
+    r = _ranked_value_counts(vc, group=group)
+    nm1 = (F.col("n") - 1).cast("double")
 
     def at(k: Column) -> Column:
         return F.max(F.when((F.col("cum_before") <= k) & (k < F.col("cum")), F.col("v")))
     aggs = [at(F.round(nm1 * F.lit(q)).cast("bigint")).alias(f"q_{i}") for i, q in enumerate(qs)]
-    if with_median:
-        lo, hi = at(F.floor(nm1 / 2).cast("bigint")), at(F.ceil(nm1 / 2).cast("bigint"))
-        aggs.append(((lo.cast("double") + hi.cast("double")) / 2).alias("median"))
-    return r.agg(*aggs)
+    lo, hi = at(F.floor(nm1 / 2).cast("bigint")), at(F.ceil(nm1 / 2).cast("bigint"))
+    aggs.append(((lo.cast("double") + hi.cast("double")) / 2).alias("median"))
+    return r.groupBy(*group).agg(*aggs) if group else r.agg(*aggs)
+
+
+def nearest_quantiles(values: DataFrame, qs: Sequence[float], col: str = "v") -> DataFrame:
+    """Exact quantiles of a single column (one row: q_<i>, median); see :func:`grouped_quantiles`."""
+    return grouped_quantiles(values, [], qs, col)
+
+
+def _long_values(df: DataFrame, cols: Sequence[str], value: Callable[[Column], Column]) -> DataFrame:
+    """(column_name, v) for every row and column: one scan feeds the per-column ranks of all columns."""
+    arr = F.array(*[F.struct(F.lit(c).alias("column_name"), value(_c(c)).alias("v")) for c in cols])
+    return df.select(F.explode(arr).alias("x")).select("x.column_name", "x.v")
+
+
+def _stacked(df: DataFrame, cols: Sequence[str], stats: dict) -> DataFrame:
+    """One aggregate over all columns, unfolded to one row per column."""
+    aggs = [fn(_c(c)).alias(f"s{i}__{k}") for i, c in enumerate(cols) for k, fn in stats.items()]
+    wide = df.agg(*aggs)
+    st = F.stack(F.lit(len(cols)), *[e for i, c in enumerate(cols)
+                                     for e in [F.lit(c)] + [F.col(f"s{i}__{k}") for k in stats]])
+    return wide.select(st.alias("column_name", *stats))
 
 
 def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None, side: str | None = None) -> DataFrame:
-    """A13 per numeric column: min, q1, median, q3, max, mean, std (sample), null_count."""
+    """A13 per numeric column: min, q1, median, q3, max, mean, std (sample), null_count.
+
+    Three jobs whatever the number of columns: one aggregate for the moments,
+    one ranked value-count pass (all columns at once, grouped by column) for
+    the quantiles, and their join on the column name.
+    """
     cols = list(cols or [f.name for f in df.schema.fields
                          if isinstance(f.dataType, T.NumericType) and not isinstance(f.dataType, T.BooleanType)])
-    out = None
-    for c in cols:
-        x = _c(c).cast("double")
-        base = df.agg(F.min(x).alias("min"), F.max(x).alias("max"), F.avg(x).alias("mean"),
-                      F.stddev_samp(x).alias("std"), F.count_if(x.isNull()).cast("bigint").alias("null_count"))
-        q = nearest_quantiles(df.select(x.alias("v")), (0.25, 0.75))
-        # both sides are single-row aggregates: a one-row union + max() replaces a join
-        row = (base.select(F.lit(c).alias("column_name"), "*", *[F.lit(None).cast("double").alias(k)
-                                                                 for k in ("q1", "median", "q3")])
-               .unionByName(q.select(F.lit(c).alias("column_name"), F.col("q_0").alias("q1"), "median",
-                                     F.col("q_1").alias("q3"), *[F.lit(None).cast(t).alias(k) for k, t in
-                                                                 (("min", "double"), ("max", "double"),
-                                                                  ("mean", "double"), ("std", "double"),
-                                                                  ("null_count", "bigint"))]))
-               .groupBy("column_name").agg(*[F.max(k).alias(k) for k in
-                                             ("min", "q1", "median", "q3", "max", "mean", "std", "null_count")]))
-        out = row if out is None else out.unionByName(row)
+    base = _stacked(df, cols, {
+        "min": lambda x: F.min(x.cast("double")), "max": lambda x: F.max(x.cast("double")),
+        "mean": lambda x: F.avg(x.cast("double")), "std": lambda x: F.stddev_samp(x.cast("double")),
+        "null_count": lambda x: F.count_if(x.isNull()).cast("bigint")})
+    q = grouped_quantiles(_long_values(df, cols, lambda x: x.cast("double")), ["column_name"], (0.25, 0.75))
+    out = base.join(q, "column_name", "left").select(
+        "column_name", "min", F.col("q_0").alias("q1"), "median", F.col("q_1").alias("q3"), "max", "mean", "std",
+        "null_count")
     return _side(out, side)
 
 
 def string_profile(df: DataFrame, cols: Sequence[str] | None = None, side: str | None = None) -> DataFrame:
     """A14 per string column: lex_min, lex_max, mode (smallest of ties), n_unique, null_count,
-    length min / q1 / median / q3 / max."""
+    length min / q1 / median / q3 / max.
+
+    Constant number of jobs in the number of columns: one aggregate (lexical
+    bounds, nulls, length bounds), one count per (column, value) giving both
+    n_unique and the mode, one ranked pass over (column, length).
+    """
     cols = list(cols or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)])
-    out = None
-    for c in cols:
-        x = _c(c).cast("string")
-        base = df.agg(F.min(x).alias("lex_min"), F.max(x).alias("lex_max"),
-                      F.count_distinct(x).cast("bigint").alias("n_unique"),
-                      F.count_if(x.isNull()).cast("bigint").alias("null_count"),
-                      F.min(F.char_length(x)).cast("bigint").alias("len_min"),
-                      F.max(F.char_length(x)).cast("bigint").alias("len_max"))
-        # mode: count per value (distributed), then the largest count, smallest value on ties
-        mode = (df.select(x.alias("v")).where(F.col("v").isNotNull()).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-                .agg(F.min_by("v", F.struct((-F.col("n")).alias("nn"), F.col("v").alias("vv"))).alias("mode")))
-        q = nearest_quantiles(df.select(F.char_length(x).alias("v")), (0.25, 0.75))
-        nulls = {"lex_min": "string", "lex_max": "string", "n_unique": "bigint", "null_count": "bigint",
-                 "len_min": "bigint", "len_max": "bigint", "mode": "string", "len_q1": "bigint",
-                 "len_median": "double", "len_q3": "bigint"}
-
-        def pad(frame, have):
-            return frame.select(F.lit(c).alias("column_name"), *[
-                (F.col(k) if k in have else F.lit(None).cast(t)).alias(k) for k, t in nulls.items()])
-        q = q.select(F.col("q_0").alias("len_q1"), F.col("median").alias("len_median"), F.col("q_1").alias("len_q3"))
-        row = (pad(base, set(base.columns)).unionByName(pad(mode, {"mode"})).unionByName(pad(q, set(q.columns)))
-               .groupBy("column_name").agg(*[F.max(k).alias(k) for k in nulls]))
-        out = row if out is None else out.unionByName(row)
+    base = _stacked(df, cols, {
+        "lex_min": lambda x: F.min(x.cast("string")), "lex_max": lambda x: F.max(x.cast("string")),
+        "null_count": lambda x: F.count_if(x.isNull()).cast("bigint"),
+        "len_min": lambda x: F.min(F.char_length(x.cast("string"))).cast("bigint"),
+        "len_max": lambda x: F.max(F.char_length(x.cast("string"))).cast("bigint")})
+    counts = (_long_values(df, cols, lambda x: x.cast("string")).where(F.col("v").isNotNull())
+              .groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n")))
+    # mode: largest count, smallest value on ties
+    modes = counts.groupBy("column_name").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_unique"),
+        F.min_by("v", F.struct((-F.col("n")).alias("nn"), F.col("v").alias("vv"))).alias("mode"))
+    q = grouped_quantiles(_long_values(df, cols, lambda x: F.char_length(x.cast("string"))), ["column_name"],
+                          (0.25, 0.75))
+    out = (base.join(modes, "column_name", "left").join(q, "column_name", "left")
+           .select("column_name", "lex_min", "lex_max", "mode", F.coalesce("n_unique", F.lit(0)).alias("n_unique"),
+                   "null_count", "len_min", F.col("q_0").cast("bigint").alias("len_q1"),
+                   F.col("median").alias("len_median"), F.col("q_1").cast("bigint").alias("len_q3"), "len_max"))
     return _side(out, side)
 
 

@@ -72,3 +72,11 @@ def test_grouped_median_hot_group(spark):
     import statistics
     assert m["hot"] == statistics.median([float(i % 11) for i in range(3000)])
     assert m["odd"] == 3.0 and m["even"] == 2.5 and "nul" not in m
+
+
+def test_profiles_all_null_and_many_columns(spark):
+    df = spark.createDataFrame([(None, 1.0, 10), (None, 3.0, 20), (None, None, 30)], "s string, a double, b int")
+    sp = {r.column_name: r for r in P.string_profile(df).collect()}
+    assert sp["s"].n_unique == 0 and sp["s"].mode is None and sp["s"].null_count == 3 and sp["s"].len_q1 is None
+    npf = {r.column_name: r for r in P.numeric_profile(df).collect()}
+    assert npf["a"].median == 2.0 and npf["a"].null_count == 1 and npf["b"].q1 == 10.0 and npf["b"].q3 == 30.0
