@@ -109,3 +109,17 @@ def jdbc_catalogue(spark: SparkSession, url: str, properties: dict, schema: str,
     cols = ["table_name", "upper(column_name) AS column_name", "data_type", "numeric_precision", "numeric_scale",
             "ordinal_position"]
     return jdbc_table(spark, url, "information_schema.columns", properties, cols, where)
+
+
+TR = r"<tr[^>]*>(.*?)</tr>"
+TD = r"<t[dh][^>]*>(.*?)</t[dh]>"
+
+
+def html_table_rows(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
+    """S20 (``tbody tr td``): one row per table row with its position and the stripped cell texts."""
+    rows = F.regexp_extract_all(F.regexp_replace(F.col(html_col), r"\s+", " "), F.lit(TR), 1)
+    cells = F.transform(F.regexp_extract_all(F.col("tr"), F.lit(TD), 1),
+                        lambda x: F.trim(F.regexp_replace(x, TAG, "")))
+    return (pages.select(id_col, F.posexplode(rows).alias("position", "tr"))
+            .select(id_col, F.col("position").cast("bigint").alias("position"), cells.alias("cells"))
+            .where(F.size("cells") > 0))

@@ -73,3 +73,12 @@ def test_watermark_drops_late_rows(spark):
     J.run_to_completion(J.upsert_batches(agg, ["window_start", "k"], root, buckets=2))
     got = {(r.window_start.day, r.events) for r in J.read_table(spark, root, ["window_start", "k"], agg.schema).collect()}
     assert got == {(10, 2)}
+
+
+def test_html_table_rows(spark):
+    from concord.sources import readers as RD
+    html = ("<table><thead><tr><th>Date</th><th>Close</th></tr></thead><tbody>"
+            "<tr><td> 2024-01-02 </td><td><b>10.5</b></td></tr>\n<tr><td>2024-01-03</td><td>11</td></tr></tbody></table>")
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    got = [(r.position, list(r.cells)) for r in RD.html_table_rows(pages, "page_id", "html").orderBy("position").collect()]
+    assert got == [(0, ["Date", "Close"]), (1, ["2024-01-02", "10.5"]), (2, ["2024-01-03", "11"])]
