@@ -63,11 +63,15 @@ def hash_merge(target: DataFrame, source: DataFrame, cols: Sequence[str] | None
     s = source.select(h1.alias("h1"), h2.alias("h2"), row.alias("row"), F.lit(0).alias("_t"), F.lit(1).alias("_s"))
     g = (t.unionByName(s).groupBy("h1", "h2")
          .agg(F.any_value("row").alias("row"), F.sum("_t").alias("t_n"), F.sum("_s").alias("s_n")))
-    keep = replicate(g.select("row", F.least("t_n", "s_n").alias("n")), "n").select("row.*")
-    dele = replicate(g.select("row", F.greatest(F.col("t_n") - F.col("s_n"), F.lit(0)).alias("n")), "n").select("row.*")
-    ins = replicate(g.select("row", F.greatest(F.col("s_n") - F.col("t_n"), F.lit(0)).alias("n")), "n").select("row.*")
-    changes = tag_changes(dele, "delete").unionByName(tag_changes(ins, "insert"))
-    return keep.unionByName(ins), changes
+    # one pass over the groups: (kind, copies) for kept, deleted and inserted copies, then one replication
+    kinds = F.array(F.struct(F.lit("keep").alias("kind"), F.least("t_n", "s_n").alias("n")),
+                    F.struct(F.lit("delete").alias("kind"), F.greatest(F.col("t_n") - F.col("s_n"), F.lit(0)).alias("n")),
+                    F.struct(F.lit("insert").alias("kind"), F.greatest(F.col("s_n") - F.col("t_n"), F.lit(0)).alias("n")))
+    parts = g.select("row", F.explode(kinds).alias("k")).select("row", "k.kind", "k.n")
+    rows = replicate(parts, "n").select("row.*", "kind")
+    new_target = rows.where(F.col("kind") != "delete").drop("kind")
+    changes = rows.where(F.col("kind") != "keep").withColumnRenamed("kind", "_change_type")
+    return new_target, changes
 
 
 # ------------------------------------------------------------------ J13 / M2 / M3
@@ -124,9 +128,16 @@ def full_merge(target: DataFrame, source: DataFrame, keys: Sequence[str], compar
     new_target = (sp.where(~do_delete)
                   .select(*[F.when(m.isin("not_matched", "matched_changed"), F.col(f"s.`{c}`"))
                             .otherwise(F.col(f"t.`{c}`")).alias(c) for c in cols]))
-    deletes = sp.where(do_delete | (m == "matched_changed")).select(*t_img)
-    inserts = sp.where(m.isin("not_matched", "matched_changed")).select(*s_img)
-    changes = tag_changes(deletes, "delete", version, commit_ts).unionByName(tag_changes(inserts, "insert", version, commit_ts))
+    # one pass over the join: every key emits its delete image and/or its insert image (an update emits both)
+    t_row = F.struct(*t_img, F.lit("delete").alias("_change_type"))
+    s_row = F.struct(*s_img, F.lit("insert").alias("_change_type"))
+    emitted = F.array(F.when(do_delete | (m == "matched_changed"), t_row),
+                      F.when(m.isin("not_matched", "matched_changed"), s_row))
+    changes = sp.select(F.explode(F.filter(emitted, lambda x: x.isNotNull())).alias("_c")).select("_c.*")
+    if version is not None:
+        changes = changes.withColumn("_commit_version", F.lit(version).cast("bigint"))
+    if commit_ts is not None:
+        changes = changes.withColumn("_commit_timestamp", commit_ts)
     return new_target, changes
 
 
@@ -226,41 +237,42 @@ def scd2(target: DataFrame, source: DataFrame, keys: Sequence[str], tracked: Seq
     ``target`` holds history rows (business columns + the four SCD columns);
     ``source`` is the current snapshot.  A returning key opens a new current
     row.  History rows (not current) pass through untouched; only the current
-    rows join the snapshot, so the join is keyed and one row per key.
+    rows join the snapshot (one full outer join on the key), and every key
+    emits its output rows (at most a closed and an opened one) in the same
+    pass over the join.
     """
     biz = [c for c in source.columns]
     hist = target.where(~F.col(current))
     cur = target.where(F.col(current))
     sp = merge_split(cur, source, keys, compare_cols=list(tracked))
     m = F.col("_merge")
-    t_deleted = F.col(f"t.`{deleted}`")
+    t_deleted = F.coalesce(F.col(f"t.`{deleted}`"), F.lit(False))
     t_from = F.col(f"t.`{valid_from}`")
+    null_ts = F.lit(None).cast("timestamp_ntz")
 
-    def row(img: str, vf: Column, vt: Column, is_cur: Column, is_del: Column, overlay1: bool = False):
+    def row(img: str, vf: Column, vt: Column, is_cur: Column, is_del: Column, overlay1: bool = False) -> Column:
         cols = []
         for c in biz:
             v = F.col(f"{img}.`{c}`")
             if overlay1 and c in scd1:
                 v = F.coalesce(F.col(f"s.`{c}`"), v)
             cols.append(v.alias(c))
-        return cols + [vf.alias(valid_from), vt.cast("timestamp_ntz").alias(valid_to), is_cur.alias(current),
-                       is_del.alias(deleted)]
-    null_ts = F.lit(None).cast("timestamp_ntz")
+        return F.struct(*cols, vf.cast("timestamp_ntz").alias(valid_from), vt.cast("timestamp_ntz").alias(valid_to),
+                        is_cur.alias(current), is_del.alias(deleted))
+
     returning = (m != "not_matched") & F.col("s").isNotNull() & t_deleted
-    # unchanged (possibly with SCD1 overwrite) current rows
-    keep = sp.where((m == "matched_unchanged") & ~t_deleted).select(
-        *row("t", t_from, null_ts, F.lit(True), F.lit(False), overlay1=True))
-    # changed or returning: close old, open new
-    closed = sp.where(((m == "matched_changed") & ~t_deleted) | returning).select(
-        *row("t", t_from, as_of, F.lit(False), t_deleted))
-    opened = sp.where((m == "matched_changed") | (m == "not_matched") | returning).select(
-        *row("s", as_of, null_ts, F.lit(True), F.lit(False)))
-    # vanished: close and mark deleted (once)
-    gone = sp.where((m == "not_matched_by_source") & ~t_deleted).select(
-        *row("t", t_from, as_of, F.lit(False), F.lit(True)))
-    still_gone = sp.where((m == "not_matched_by_source") & t_deleted).select(
-        *row("t", t_from, F.lit(None), F.lit(True), F.lit(True)))
-    out = keep.unionByName(closed).unionByName(opened).unionByName(gone).unionByName(still_gone)
+    emitted = F.array(
+        # unchanged current row (SCD1 columns overwritten in place)
+        F.when((m == "matched_unchanged") & ~t_deleted, row("t", t_from, null_ts, F.lit(True), F.lit(False), True)),
+        # changed or returning: close the old version ...
+        F.when(((m == "matched_changed") & ~t_deleted) | returning, row("t", t_from, as_of, F.lit(False), t_deleted)),
+        # ... and open the new one (also for new keys)
+        F.when((m == "matched_changed") | (m == "not_matched") | returning,
+               row("s", as_of, null_ts, F.lit(True), F.lit(False))),
+        # vanished: close and mark deleted once; an already deleted key stays as it is
+        F.when((m == "not_matched_by_source") & ~t_deleted, row("t", t_from, as_of, F.lit(False), F.lit(True))),
+        F.when((m == "not_matched_by_source") & t_deleted, row("t", t_from, null_ts, F.lit(True), F.lit(True))))
+    out = sp.select(F.explode(F.filter(emitted, lambda x: x.isNotNull())).alias("_r")).select("_r.*")
     return hist.select(*out.columns).unionByName(out)
 
 
