@@ -25,7 +25,7 @@ def drop_technical_columns(df: DataFrame, prefixes: Iterable[str] = (), suffixes
 
 
 def normalise_names(df: DataFrame, case: str = "upper", strip_suffix_regex: str | None = None) -> DataFrame:
-    """Upper/lower-case all names and strip an anchored suffix such as ``_RIO$``."""
+    """Upper/lower-case all names and strip an anchored suffix such as ``_OLD$``."""
     mapping = {}
     for c in df.columns:
         n = c.upper() if case == "upper" else c.lower() if case == "lower" else c

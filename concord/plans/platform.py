@@ -27,17 +27,17 @@ _ALLOWED = ("CASE {r} WHEN 'BIGINT' THEN ['BIGINT'] WHEN 'INT' THEN ['INT', 'SMA
 
 def _right_cat(spark, li):
     cat = CT.column_catalogue(spark, {"lineitem": li}, upper=True).select("column_name", "data_type")
-    extra = spark.createDataFrame([("RTLH_ROW_HASH", "BIGINT"), ("L_EXTRA", "STRING")], "column_name string, data_type string")
+    extra = spark.createDataFrame([("SYS_ROW_HASH", "BIGINT"), ("L_EXTRA", "STRING")], "column_name string, data_type string")
     return cat.unionByName(extra)
 
 
 def _left_cat(spark, li):
     base = CT.as_left_catalogue(CT.column_catalogue(spark, {"lineitem": li}, upper=True)).select("column_name", "data_type")
     base = (base.where(F.col("column_name") != "L_SHIPDATE")
-            .select(F.when(F.col("column_name") == "L_LINESTATUS", "L_LINESTATUS_RIO").otherwise(F.col("column_name"))
+            .select(F.when(F.col("column_name") == "L_LINESTATUS", "L_LINESTATUS_OLD").otherwise(F.col("column_name"))
                     .alias("column_name"),
                     F.when(F.col("column_name") == "L_TAX", "varchar").otherwise(F.col("data_type")).alias("data_type")))
-    extra = spark.createDataFrame([("OMD_CURRENT_RECORD_INDICATOR", "varchar"), ("L_COMMENT", "nvarchar"),
+    extra = spark.createDataFrame([("META_CURRENT_RECORD_INDICATOR", "varchar"), ("L_COMMENT", "nvarchar"),
                                    ("L_SUPPLIER_SK", "bigint")], "column_name string, data_type string")
     return base.unionByName(extra)
 
@@ -45,15 +45,15 @@ def _left_cat(spark, li):
 _SCHEMA_SQL = f"""
 WITH r0 AS (SELECT upper(column_name) AS column_name, {_DUCK_TO_RIGHT} AS data_type
             FROM information_schema.columns WHERE table_name = 'lineitem'),
-     r AS (SELECT * FROM (SELECT * FROM r0 UNION ALL SELECT 'RTLH_ROW_HASH', 'BIGINT' UNION ALL SELECT 'L_EXTRA', 'STRING')
-           WHERE NOT starts_with(column_name, 'RTLH')),
-     l0 AS (SELECT CASE column_name WHEN 'L_LINESTATUS' THEN 'L_LINESTATUS_RIO' ELSE column_name END AS column_name,
+     r AS (SELECT * FROM (SELECT * FROM r0 UNION ALL SELECT 'SYS_ROW_HASH', 'BIGINT' UNION ALL SELECT 'L_EXTRA', 'STRING')
+           WHERE NOT starts_with(column_name, 'SYS')),
+     l0 AS (SELECT CASE column_name WHEN 'L_LINESTATUS' THEN 'L_LINESTATUS_OLD' ELSE column_name END AS column_name,
                    CASE WHEN column_name = 'L_TAX' THEN 'varchar' ELSE {_FIRST_LEFT.format(x='data_type')} END AS data_type
             FROM r0 WHERE column_name <> 'L_SHIPDATE'
-            UNION ALL SELECT 'OMD_CURRENT_RECORD_INDICATOR', 'varchar' UNION ALL SELECT 'L_COMMENT', 'nvarchar'
+            UNION ALL SELECT 'META_CURRENT_RECORD_INDICATOR', 'varchar' UNION ALL SELECT 'L_COMMENT', 'nvarchar'
             UNION ALL SELECT 'L_SUPPLIER_SK', 'bigint'),
-     l AS (SELECT regexp_replace(column_name, '_RIO$', '') AS l_key, data_type AS left_type FROM l0
-           WHERE NOT starts_with(column_name, 'OMD') AND NOT ends_with(column_name, '_SK'))
+     l AS (SELECT regexp_replace(column_name, '_OLD$', '') AS l_key, data_type AS left_type FROM l0
+           WHERE NOT starts_with(column_name, 'META') AND NOT ends_with(column_name, '_SK'))
 SELECT coalesce(l.l_key, r.column_name) AS column_name, l.left_type, r.data_type AS right_type,
        ({_ALLOWED.format(r='r.data_type')})[1] AS expected_left_type,
        CASE WHEN r.data_type IS NULL THEN 'left_only' WHEN l.left_type IS NULL THEN 'right_only'
@@ -66,9 +66,9 @@ FROM l FULL JOIN r ON l.l_key = r.column_name
 @query("schema_diff", ("Q1", "S2", "P1", "P2", "P8", "U5", "F7", "J1", "J5", "X1", "X2", "N2"), sql=_SCHEMA_SQL)
 def schema_diff(spark, sf):
     li = D.load(spark, sf, "lineitem")
-    left = CT.filter_catalogue(_left_cat(spark, li), prefixes=["OMD"], suffixes=["_SK"])
-    right = CT.filter_catalogue(_right_cat(spark, li), prefixes=["RTLH"])
-    return C.schema_diff(left, right, strip_suffix_regex="_RIO$")
+    left = CT.filter_catalogue(_left_cat(spark, li), prefixes=["META"], suffixes=["_SK"])
+    right = CT.filter_catalogue(_right_cat(spark, li), prefixes=["SYS"])
+    return C.schema_diff(left, right, strip_suffix_regex="_OLD$")
 
 
 @query("schema_drift", ("Q19",),

@@ -101,11 +101,11 @@ def test_type_rules():
 
 
 def test_schema_diff_statuses(spark):
-    l = spark.createDataFrame([("A_RIO", "varchar"), ("B", "int"), ("C", "varchar"), ("D", "xml")],
+    l = spark.createDataFrame([("A_OLD", "varchar"), ("B", "int"), ("C", "varchar"), ("D", "xml")],
                               "column_name string, data_type string")
     r = spark.createDataFrame([("A", "STRING"), ("B", "BIGINT"), ("E", "DATE"), ("D", "GEOGRAPHY")],
                               "column_name string, data_type string")
-    st = {x.column_name: x.status for x in C.schema_diff(l, r, "_RIO$").collect()}
+    st = {x.column_name: x.status for x in C.schema_diff(l, r, "_OLD$").collect()}
     assert st == {"A": "match", "B": "type_mismatch", "C": "left_only", "E": "right_only", "D": "type_mismatch"}
 
 
