@@ -18,10 +18,12 @@ GROUP_GAP_MINUTES = 10
 
 
 def neighbours(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[Column],
-               lead_cols: Sequence[str] = (), lag_cols: Sequence[str] = ()) -> DataFrame:
+               lead_cols: Sequence[str] = (), lag_cols: Sequence[str] = (),
+               running_sums: Sequence[str] = ()) -> DataFrame:
     """Per key, ordered by ``order`` within time buckets ``bucket`` (which must grow with ``order``):
-    ``lead1_<c>`` for ``lead_cols``, ``lag1_<c>``/``lag2_<c>`` for ``lag_cols`` and ``seq`` (1-based
-    position within the key), exact across bucket edges.
+    ``lead1_<c>`` for ``lead_cols``, ``lag1_<c>``/``lag2_<c>`` for ``lag_cols``, ``cum_<c>`` (running
+    sum up to and including the row) for ``running_sums`` and ``seq`` (1-based position within the key),
+    exact across bucket edges.
 
     Windows are partitioned by (key, bucket); the edge values come from a
     summary with one row per non-empty (key, bucket) (first row, last two
@@ -35,11 +37,13 @@ def neighbours(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequen
     lag_s = F.struct(*[F.col(c) for c in lag_cols]) if lag_cols else F.lit(None)
     b = b.select("*", F.row_number().over(w).alias("_rn"), F.row_number().over(wd).alias("_rd"),
                  F.lead(lead_s, 1).over(w).alias("_ld1"), F.lag(lag_s, 1).over(w).alias("_lg1"),
-                 F.lag(lag_s, 2).over(w).alias("_lg2"), lead_s.alias("_lead_s"), lag_s.alias("_lag_s"))
+                 F.lag(lag_s, 2).over(w).alias("_lg2"), lead_s.alias("_lead_s"), lag_s.alias("_lag_s"),
+                 *[F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_rs_{c}") for c in running_sums])
     summ = b.groupBy(*keys, "_bkt").agg(F.max_by("_lead_s", F.when(F.col("_rn") == 1, F.lit(1))).alias("_first"),
                                         F.max_by("_lag_s", F.when(F.col("_rd") == 1, F.lit(1))).alias("_l1"),
                                         F.max_by("_lag_s", F.when(F.col("_rd") == 2, F.lit(1))).alias("_l2"),
-                                        F.count(F.lit(1)).alias("_n"))
+                                        F.count(F.lit(1)).alias("_n"),
+                                        *[F.sum(c).alias(f"_bs_{c}") for c in running_sums])
     ws = Window.partitionBy(*keys).orderBy("_bkt")
     prev_n = F.lag("_n", 1).over(ws)
     shifted = summ.select(*keys, "_bkt", F.lead("_first", 1).over(ws).alias("_next_first"),
@@ -47,7 +51,9 @@ def neighbours(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequen
                           F.when(prev_n >= 2, F.lag("_l2", 1).over(ws)).otherwise(F.lag("_l1", 2).over(ws))
                           .alias("_prev_l2"), F.col("_n").alias("_bn"),
                           F.coalesce(F.sum("_n").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-                          .alias("_off"))
+                          .alias("_off"),
+                          *[F.coalesce(F.sum(f"_bs_{c}").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+                            .alias(f"_bo_{c}") for c in running_sums])
     j = b.join(shifted, [*keys, "_bkt"], "left")
     rn = F.col("_rn")
     lead1 = F.when(rn < F.col("_bn"), F.col("_ld1")).otherwise(F.col("_next_first"))
@@ -57,6 +63,7 @@ def neighbours(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequen
                     *[lead1[c].alias(f"lead1_{c}") for c in lead_cols],
                     *[lag1[c].alias(f"lag1_{c}") for c in lag_cols],
                     *[lag2[c].alias(f"lag2_{c}") for c in lag_cols],
+                    *[(F.col(f"_bo_{c}") + F.col(f"_rs_{c}")).alias(f"cum_{c}") for c in running_sums],
                     (F.col("_off") + rn).cast("bigint").alias("seq"))
 
 
@@ -82,3 +89,17 @@ def event_groups(df: DataFrame, asset: str, start: str, finish: str, tie_break:
     flag = F.when(F.col("lead1").isNotNull() & (F.lit(GROUP_GAP_MINUTES) > gap_min), 0).otherwise(1)
     return ll.select(*df.columns, F.col("lead1").alias("next_start"), F.col("lag2").alias("lag2_finish"),
                      flag.cast("tinyint").alias("group_start"))
+
+
+def event_rollup(flagged: DataFrame, asset: str, start: str, finish: str, measures: Sequence[str],
+                 tie_break: Sequence[str] = (), bucket: str = "day") -> DataFrame:
+    """Events grouped into event groups (a new group at each ``group_start`` = 1, the running sum of the
+    flag is the group number) and the measures summed per group.  The running sum is bucketed like the
+    flags, and the final aggregate pre-aggregates map-side."""
+    n = neighbours(flagged.withColumn("_gs", F.col("group_start").cast("bigint")), [asset],
+                   F.date_trunc(bucket, F.col(start)), [F.col(start), *[F.col(c) for c in tie_break]],
+                   running_sums=["_gs"])
+    return (n.groupBy(asset, F.col("cum__gs").alias("event_group"))
+            .agg(F.min(start).alias("group_start_time"), F.max(finish).alias("group_finish_time"),
+                 F.count(F.lit(1)).cast("bigint").alias("events"),
+                 *[F.sum(m).alias(f"sum_{m}") for m in measures]))

@@ -156,3 +156,22 @@ def scalar_functions(spark, sf):
                     SC.int_to_date(ymd).alias("from_int"),
                     F.round(SC.safe_pct(F.col("o_orderkey"), F.col("o_custkey")), 3).alias("key_ratio_pct"),
                     F.least(F.col("o_totalprice"), F.lit(100000.0)).alias("capped_price"))
+
+
+@query("event_rollup", ("A20", "W6", "W5"),
+       sql="""WITH e AS (SELECT event_id, user_id, ts, value, ts + to_microseconds(CAST(round(value * 1000000) AS BIGINT)) AS finish FROM events),
+                   f AS (SELECT *, lead(ts) OVER w AS next_start, lag(finish, 2) OVER w AS lag2_finish FROM e
+                         WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+                   g AS (SELECT *, CASE WHEN next_start IS NOT NULL
+                               AND 10 > (CAST(floor(epoch(ts)) AS BIGINT) - CAST(floor(epoch(lag2_finish)) AS BIGINT)) / 60.0
+                          THEN 0 ELSE 1 END AS gs FROM f),
+                   h AS (SELECT *, sum(gs) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS event_group FROM g)
+              SELECT user_id, CAST(event_group AS BIGINT) AS event_group, min(ts) AS group_start_time, max(finish) AS group_finish_time,
+                     CAST(count(*) AS BIGINT) AS events, round(sum(value), 6) AS sum_value
+              FROM h GROUP BY user_id, event_group""")
+def event_rollup(spark, sf):
+    ev = D.load(spark, sf, "events")
+    ev = ev.select("event_id", "user_id", "ts", "value",
+                   (F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("value"))).alias("finish"))
+    flagged = EV.event_groups(ev, "user_id", "ts", "finish", tie_break=["event_id"])
+    return rounded(EV.event_rollup(flagged, "user_id", "ts", "finish", ["value"], tie_break=["event_id"]))
