@@ -114,3 +114,15 @@ def quarantine(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, Data
     base = [c for c in df.columns]
     return (e.where(F.col("_valid")).select(*base),
             e.where(~F.col("_valid")).select(*base, failed.alias("failed_rules")))
+
+
+def metric_layers(df: DataFrame, dims: Sequence[str], base: dict[str, Column],
+                  metrics: dict[str, tuple[str, str]]) -> DataFrame:
+    """Base measures aggregated per dimension set, then metrics composed from base measures as
+    ratios (``try_divide``: NULL on a zero denominator, no ANSI error).
+
+    ``base`` maps a name to an aggregate; ``metrics`` maps a name to (numerator, denominator) base names.
+    """
+    g = df.groupBy(*dims).agg(*[e.alias(n) for n, e in base.items()])
+    return g.select(*dims, *base, *[F.try_divide(F.col(a).cast("double"), F.col(b).cast("double")).alias(n)
+                                    for n, (a, b) in metrics.items()])

@@ -352,3 +352,21 @@ def entity_metadata(spark, sf):
     raw = spark.read.schema("LogicalName string, DisplayName struct<UserLocalizedLabel: struct<Label: string>>, "
                             "EntitySetName string, IsCustomEntity boolean").json(path)
     return CT.entity_metadata(raw)
+
+
+@query("metric_layers", ("A23", "A20", "F12"),
+       sql="""SELECT l_returnflag, l_linestatus, round(sum(l_quantity), 4) AS quantity, round(sum(l_extendedprice), 4) AS revenue,
+                     CAST(count(*) AS BIGINT) AS lines, CAST(count(DISTINCT l_orderkey) AS BIGINT) AS orders,
+                     round(sum(l_extendedprice) / sum(l_quantity), 6) AS price_per_unit,
+                     round(CAST(count(*) AS DOUBLE) / count(DISTINCT l_orderkey), 6) AS lines_per_order
+              FROM lineitem GROUP BY ALL""")
+def metric_layers(spark, sf):
+    li = D.load(spark, sf, "lineitem")
+    out = QY.metric_layers(li, ["l_returnflag", "l_linestatus"],
+                           {"quantity": F.sum("l_quantity"), "revenue": F.sum("l_extendedprice"),
+                            "lines": F.count(F.lit(1)).cast("bigint"), "orders": F.count_distinct("l_orderkey").cast("bigint")},
+                           {"price_per_unit": ("revenue", "quantity"), "lines_per_order": ("lines", "orders")})
+    return out.select("l_returnflag", "l_linestatus", F.round("quantity", 4).alias("quantity"),
+                      F.round("revenue", 4).alias("revenue"), "lines", "orders",
+                      F.round("price_per_unit", 6).alias("price_per_unit"),
+                      F.round("lines_per_order", 6).alias("lines_per_order"))
