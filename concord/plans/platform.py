@@ -101,17 +101,18 @@ _DDL = ("CASE lower(dt) WHEN 'bigint' THEN 'BIGINT' WHEN 'int' THEN 'INT' WHEN '
         "WHEN 'varchar' THEN 'STRING' WHEN 'datetime2' THEN 'TIMESTAMP' ELSE 'STRING' END")
 
 
+_SYNC_DDL = _DDL.replace("lower(dt)", _FIRST_LEFT.format(x=_DUCK_TO_RIGHT))
+_PK_PRIO = "CASE WHEN col = table_name || 'id' THEN '0' WHEN ends_with(col, 'id') THEN '1' ELSE '2' END"
+
+
 @query("sync_config", ("M17", "M18", "F26", "S9", "F5"),
-       sql=f"""WITH c AS (SELECT table_name, lower(column_name) AS col,
-                                 {_DDL.replace('lower(dt)', _FIRST_LEFT.format(x=_DUCK_TO_RIGHT))} AS ddl
+       sql=f"""WITH c AS (SELECT table_name, lower(column_name) AS col, {_SYNC_DDL} AS ddl
                           FROM information_schema.columns WHERE table_name IN ({", ".join(f"'{t}'" for t in _ALL)}))
                SELECT table_name || 's' AS sync_table_name, '' AS last_sync_timestamp, 'lake.raw.' || table_name AS target_table,
                       string_agg(col, ', ' ORDER BY col) AS column_list,
-                      arg_min(col, CASE WHEN col = table_name || 'id' THEN 0 WHEN ends_with(col, 'id') THEN 1 ELSE 2 END * 1000000 + 0) AS pk0,
+                      arg_min(col, {_PK_PRIO} || col) AS primary_key_column,
                       'SELECT ' || string_agg('CAST(NULL AS ' || ddl || ') AS ' || col, ', ' ORDER BY col) || ' WHERE 1=0' AS phantom_row_sql
-               FROM c GROUP BY table_name""".replace(
-           "arg_min(col, CASE WHEN col = table_name || 'id' THEN 0 WHEN ends_with(col, 'id') THEN 1 ELSE 2 END * 1000000 + 0) AS pk0",
-           "(list_sort(list([CASE WHEN col = table_name || 'id' THEN '0' WHEN ends_with(col, 'id') THEN '1' ELSE '2' END, col])))[1][2] AS primary_key_column"))
+               FROM c GROUP BY table_name""")
 def sync_config(spark, sf):
     cat = CT.as_left_catalogue(CT.column_catalogue(spark, {t: D.load(spark, sf, t) for t in _ALL}))
     return SY.sync_config(cat, "lake.raw").drop("column_mapping")
