@@ -22,6 +22,9 @@ class BucketedTable:
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], schema: T.StructType,
                  buckets: int = 64):
         self.spark, self.root, self.keys, self.schema, self.buckets = spark, root.rstrip("/"), list(keys), schema, buckets
+        # an empty epoch folder makes the manifest readable before the first batch ("ignore": never overwrites)
+        spark.createDataFrame([], "epoch long, bucket int, path string").write.mode("ignore") \
+            .json(f"{self.root}/_manifest/epoch=-1")
 
     def bucket(self) -> "F.Column":
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
