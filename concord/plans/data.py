@@ -63,7 +63,7 @@ FEED_BASE_TS = "2024-01-01 00:00:00"
 
 
 def orders_change_feed(o: DataFrame) -> DataFrame:
-    """Change feed of orders over three commit versions.
+    """Change feed of orders over three commit versions, derived in one scan (each order emits its changes).
 
     v1: every order inserted.  v2: keys % 3 = 1 updated (price + 1, status 'U')
     written as a delete of the old image and an insert of the new one.  v3:
@@ -71,35 +71,41 @@ def orders_change_feed(o: DataFrame) -> DataFrame:
     (price + 2).  _commit_timestamp = base + version days.
     """
     k = F.col("o_orderkey")
-    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
-    def tag(df, change, version):
-        return df.select(*cols, F.lit(change).alias("_change_type"), F.lit(version).cast("bigint").alias("_commit_version"),
-                         (F.to_timestamp_ntz(F.lit(FEED_BASE_TS)) + F.make_dt_interval(F.lit(version))).alias("_commit_timestamp"))
+    def img(status, price):
+        return [F.col("o_orderkey"), F.col("o_custkey"), status.alias("o_orderstatus"), price.alias("o_totalprice"),
+                F.col("o_orderdate"), F.col("o_orderpriority")]
 
-    upd1 = o.where(k % 3 == 1).withColumn("o_totalprice", F.col("o_totalprice") + 1).withColumn("o_orderstatus", F.lit("U"))
-    upd2 = o.where((k % 3 == 1) & (k % 7 == 0)).withColumn("o_totalprice", F.col("o_totalprice") + 2) \
-        .withColumn("o_orderstatus", F.lit("U"))
-    return (tag(o, "insert", 1)
-            .unionByName(tag(o.where(k % 3 == 1), "delete", 2))
-            .unionByName(tag(upd1, "insert", 2))
-            .unionByName(tag(o.where((k % 3 == 2) & (k % 5 == 0)), "delete", 3))
-            .unionByName(tag(upd1.where(k % 7 == 0), "delete", 3))
-            .unionByName(tag(upd2, "insert", 3)))
+    orig = img(F.col("o_orderstatus"), F.col("o_totalprice"))
+    upd1 = img(F.lit("U"), F.col("o_totalprice") + 1)
+    upd2 = img(F.lit("U"), F.col("o_totalprice") + 2)
+
+    def change(cond, image, kind, version):
+        return F.when(cond, F.struct(*image, F.lit(kind).alias("_change_type"),
+                                     F.lit(version).cast("bigint").alias("_commit_version")))
+    every = F.lit(True)
+    changes = F.array(change(every, orig, "insert", 1),
+                      change(k % 3 == 1, orig, "delete", 2), change(k % 3 == 1, upd1, "insert", 2),
+                      change((k % 3 == 2) & (k % 5 == 0), orig, "delete", 3),
+                      change((k % 3 == 1) & (k % 7 == 0), upd1, "delete", 3),
+                      change((k % 3 == 1) & (k % 7 == 0), upd2, "insert", 3))
+    return (o.select(F.explode(F.filter(changes, lambda x: x.isNotNull())).alias("c")).select("c.*")
+            .withColumn("_commit_timestamp", F.to_timestamp_ntz(F.lit(FEED_BASE_TS))
+                        + F.make_dt_interval(F.col("_commit_version"))))
 
 
 def orders_snapshot2(o: DataFrame) -> DataFrame:
-    """A second full snapshot of orders: % 3 = 2 and % 5 = 0 gone, % 3 = 1 repriced, new keys from % 41 = 0."""
+    """A second full snapshot of orders, in one scan: % 3 = 2 and % 5 = 0 gone, % 3 = 1 repriced, and a new
+    order (key + 1e9, status 'N') for every key % 41 = 0."""
     k = F.col("o_orderkey")
-    kept = o.where(~((k % 3 == 2) & (k % 5 == 0))).select(
-        "o_orderkey", "o_custkey",
-        F.when(k % 3 == 1, F.lit("U")).otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
-        F.when(k % 3 == 1, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).alias("o_totalprice"),
-        "o_orderdate", "o_orderpriority")
-    new = o.where(k % 41 == 0).select((k + 1_000_000_000).alias("o_orderkey"), "o_custkey",
-                                      F.lit("N").alias("o_orderstatus"), "o_totalprice", "o_orderdate",
-                                      "o_orderpriority")
-    return kept.unionByName(new)
+    kept = F.struct(k.alias("o_orderkey"), F.col("o_custkey"),
+                    F.when(k % 3 == 1, F.lit("U")).otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
+                    F.when(k % 3 == 1, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).alias("o_totalprice"),
+                    F.col("o_orderdate"), F.col("o_orderpriority"))
+    new = F.struct((k + 1_000_000_000).alias("o_orderkey"), F.col("o_custkey"), F.lit("N").alias("o_orderstatus"),
+                   F.col("o_totalprice"), F.col("o_orderdate"), F.col("o_orderpriority"))
+    rows = F.array(F.when(~((k % 3 == 2) & (k % 5 == 0)), kept), F.when(k % 41 == 0, new))
+    return o.select(F.explode(F.filter(rows, lambda x: x.isNotNull())).alias("r")).select("r.*")
 
 
 def sensor_stream(ev: DataFrame) -> DataFrame:
