@@ -68,3 +68,12 @@ def test_entity_metadata_flatten(spark):
                                 "EntitySetName string, IsCustomEntity boolean")
     got = [(r.logical_name, r.display_name) for r in CT.entity_metadata(raw).collect()]
     assert got == [("a", None), ("b", "B")]
+
+
+def test_cli_reconcile(spark):
+    from concord import cli
+    o = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    rep = cli.reconcile(spark, o, o.drop("o_orderpriority"), [["o_orderkey"]])
+    assert rep["left_only_columns"] == ["o_orderpriority"]
+    assert rep["row_match"].collect()[0].exact_match
+    assert {r.status for r in rep["schema"].collect()} == {"match", "left_only"}
