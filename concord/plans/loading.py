@@ -88,7 +88,10 @@ def latest_change(spark, sf):
                UNION ALL SELECT {_OC} FROM {_LATEST} WHERE _change_type <> 'delete'""")
 def delta_load(spark, sf):
     o = D.load(spark, sf, "orders")
-    return L.delta_load(o, D.orders_change_feed(o), ["o_orderkey"], watermark=1)
+    feed = D.orders_change_feed(o)
+    # M6: an empty target (first run) or a forced reload takes the whole feed (watermark 0)
+    watermark = 0 if L.load_mode(o) == "full" else 1
+    return L.delta_load(o, feed, ["o_orderkey"], watermark=watermark)
 
 
 @query("change_history", ("W7", "S14"),

@@ -179,3 +179,10 @@ def test_forward_fill_values_from_spans_empty_buckets(spark):
     assert rows(fast, "t", "v", "f") == rows(slow, "t", "v", "f") == [
         (T(2024, 1, 1, 12), None, 1), (T(2024, 1, 2, 12), 7.0, 0), (T(2024, 1, 3, 12), 7.0, 1),
         (T(2024, 1, 4, 12), 9.0, 0), (T(2024, 1, 5, 12), 9.0, 1)]
+
+
+def test_first_run_detection(spark):
+    empty = spark.createDataFrame([], "k int, v string")
+    assert L.load_mode(empty) == "full"
+    assert L.load_mode(spark.createDataFrame([(1, "a")], "k int, v string")) == "incremental"
+    assert L.load_mode(spark.createDataFrame([(1, "a")], "k int, v string"), forced_full=True) == "full"
