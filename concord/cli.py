@@ -24,8 +24,14 @@ def _rows(df):
     return [r.asDict(recursive=True) for r in df.collect()]
 
 
-def reconcile(spark, left, right, key_sets=()):
+def reconcile(spark, left, right, key_sets=(), case: str = "upper", strip_suffix_regex: str | None = None,
+              drop_prefixes=(), drop_suffixes=()):
+    """Technical columns dropped, names normalised (left suffix stripped), then compared."""
+    left = N.normalise_names(N.drop_technical_columns(left, drop_prefixes, drop_suffixes), case, strip_suffix_regex)
+    right = N.normalise_names(N.drop_technical_columns(right, drop_prefixes, drop_suffixes), case)
+    key_sets = [[k.upper() if case == "upper" else k.lower() if case == "lower" else k for k in ks] for ks in key_sets]
     common, l_only, r_only = N.column_sets(left.columns, right.columns)
+    left, right = N.align(left, common + l_only), N.align(right, common + r_only)
     schema = C.schema_diff(CT.as_left_catalogue(CT.column_catalogue(spark, {"t": left}, upper=True)),
                            CT.column_catalogue(spark, {"t": right}, upper=True))
     report = {
@@ -46,10 +52,13 @@ def main(argv=None) -> int:
     ap.add_argument("--keys", action="append", default=[], help="comma-separated candidate key (repeatable)")
     ap.add_argument("--out", default=None)
     ap.add_argument("--master", default=None)
+    ap.add_argument("--strip-suffix", default=None, help="anchored regex stripped from left column names")
+    ap.add_argument("--drop-prefix", action="append", default=[], help="technical column prefix (repeatable)")
     a = ap.parse_args(argv)
     spark = get_spark(a.master)
     left, right = RD.scan(spark, a.left, a.format), RD.scan(spark, a.right, a.format)
-    rep = reconcile(spark, left, right, [k.split(",") for k in a.keys])
+    rep = reconcile(spark, left, right, [k.split(",") for k in a.keys], strip_suffix_regex=a.strip_suffix,
+                    drop_prefixes=a.drop_prefix)
     out = {}
     for k, v in rep.items():
         if hasattr(v, "collect"):

@@ -73,7 +73,9 @@ def test_entity_metadata_flatten(spark):
 def test_cli_reconcile(spark):
     from concord import cli
     o = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
-    rep = cli.reconcile(spark, o, o.drop("o_orderpriority"), [["o_orderkey"]])
-    assert rep["left_only_columns"] == ["o_orderpriority"]
+    left = o.withColumnRenamed("o_custkey", "o_custkey_OLD").withColumn("META_LOAD", o.o_orderkey)
+    rep = cli.reconcile(spark, left, o.drop("o_orderpriority"), [["o_orderkey"]], strip_suffix_regex="_OLD$",
+                        drop_prefixes=["META"])
+    assert rep["left_only_columns"] == ["O_ORDERPRIORITY"]
     assert rep["row_match"].collect()[0].exact_match
     assert {r.status for r in rep["schema"].collect()} == {"match", "left_only"}
