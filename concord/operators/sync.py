@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import types as TY
+from ..functions.normalize import null_non_finite
 
 # Attribute types renamed "_<name>_value" on the source side.
 LOOKUP_TYPES = ("Lookup", "Customer", "Owner")
@@ -65,17 +66,12 @@ def empty_typed(spark: SparkSession, columns: Sequence[tuple[str, str]]) -> Data
     return spark.createDataFrame([], schema)
 
 
-def cast_to_mapped(df: DataFrame, left_cat: DataFrame | None = None, types: Mapping[str, str] | None = None) -> DataFrame:
+def cast_to_mapped(df: DataFrame, types: Mapping[str, str] | None = None) -> DataFrame:
     """Cast columns to their mapped DDL types (S8); ``types`` maps column -> DDL text."""
     t = dict(types or {})
     return df.select(*[F.col(f"`{c}`").cast(t[c]).alias(c) if c in t else F.col(f"`{c}`") for c in df.columns])
 
 
-def null_non_finite_all(df: DataFrame) -> DataFrame:
-    from ..functions.normalize import null_non_finite
-    return null_non_finite(df)
-
-
 def migrate_tables(spark: SparkSession, tables: Mapping[str, DataFrame], target_root: str,
                    environments: Sequence[str] = ("dev",), types: Mapping[str, Mapping[str, str]] | None = None,
                    mode: str = "overwrite") -> DataFrame:
@@ -93,7 +89,7 @@ def migrate_tables(spark: SparkSession, tables: Mapping[str, DataFrame], target_
                 report.append((env, name, "skipped", 0, None))
                 continue
             try:
-                out = null_non_finite_all(cast_to_mapped(df, types=(types or {}).get(name)))
+                out = null_non_finite(cast_to_mapped(df, (types or {}).get(name)))
                 obs = Observation(f"rows_{env}_{name}")
                 out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(
                     f"{target_root.rstrip('/')}/{env}/{name}")
