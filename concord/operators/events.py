@@ -78,17 +78,28 @@ def lead_lag(df: DataFrame, keys: Sequence[str], order_col: str, tie_break: Sequ
 
 
 def event_groups(df: DataFrame, asset: str, start: str, finish: str, tie_break: Sequence[str] = (),
-                 bucket: str = "day") -> DataFrame:
+                 bucket: str = "day", dedup_keys: Sequence[str] | None = None,
+                 dedup_order: Sequence[Column] = (), dedup_first: bool = True) -> DataFrame:
     """``group_start`` = 0 when a next event exists and (start - lag-2 finish) < 10 minutes, else 1.
 
+    With ``dedup_keys`` the latest version of each event (by ``dedup_order``) is kept first
+    (``dedup_first=True``) or after the windows, as the original did (``False``).
+
     Adds next_start (lead of start) and lag2_finish.  A NULL lag gives a NULL
     test and hence 1, as in the original rule.
     """
+    from .dedup import latest_per_key
+
+    if dedup_keys and dedup_first:
+        df = latest_per_key(df, dedup_keys, list(dedup_order))
     ll = lead_lag(df, [asset], start, tie_break, start, finish, bucket)
     gap_min = (F.unix_timestamp(F.col(start)) - F.unix_timestamp(F.col("lag2"))) / 60
     flag = F.when(F.col("lead1").isNotNull() & (F.lit(GROUP_GAP_MINUTES) > gap_min), 0).otherwise(1)
-    return ll.select(*df.columns, F.col("lead1").alias("next_start"), F.col("lag2").alias("lag2_finish"),
-                     flag.cast("tinyint").alias("group_start"))
+    out = ll.select(*df.columns, F.col("lead1").alias("next_start"), F.col("lag2").alias("lag2_finish"),
+                    flag.cast("tinyint").alias("group_start"))
+    if dedup_keys and not dedup_first:  # the original order: windows over all versions, then keep the latest
+        out = latest_per_key(out, dedup_keys, list(dedup_order))
+    return out
 
 
 def event_rollup(flagged: DataFrame, asset: str, start: str, finish: str, measures: Sequence[str],

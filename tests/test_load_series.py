@@ -186,3 +186,16 @@ def test_first_run_detection(spark):
     assert L.load_mode(empty) == "full"
     assert L.load_mode(spark.createDataFrame([(1, "a")], "k int, v string")) == "incremental"
     assert L.load_mode(spark.createDataFrame([(1, "a")], "k int, v string"), forced_full=True) == "full"
+
+
+def test_event_groups_dedup_order(spark):
+    t0 = T(2024, 1, 1, 10, 0)
+    rows = [(1, "e1", 1, t0, t0), (1, "e1", 2, T(2024, 1, 1, 10, 5), T(2024, 1, 1, 10, 6)),
+            (1, "e2", 1, T(2024, 1, 1, 10, 20), T(2024, 1, 1, 10, 21))]
+    df = spark.createDataFrame(rows, "a int, ev string, ver int, s timestamp_ntz, f timestamp_ntz")
+    first = EV.event_groups(df, "a", "s", "f", ["ev"], dedup_keys=["ev"], dedup_order=[F.col("ver")])
+    later = EV.event_groups(df, "a", "s", "f", ["ev"], dedup_keys=["ev"], dedup_order=[F.col("ver")],
+                            dedup_first=False)
+    assert first.count() == later.count() == 2
+    assert {r.ev: r.next_start for r in first.collect()}["e1"] == T(2024, 1, 1, 10, 20)
+    assert {r.ev: r.next_start for r in later.collect()}["e1"] == T(2024, 1, 1, 10, 20)
