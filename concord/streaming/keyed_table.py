@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,9 +31,12 @@ class BucketedTable:
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
 
     # -------------------------------------------------------------- manifest
-    def _manifest(self) -> dict[int, str]:
+    def _manifest(self, before: int | None = None) -> dict[int, str]:
+        """bucket -> current folder, as of the latest epoch (or the latest epoch before ``before``)."""
         try:
             m = self.spark.read.schema("epoch long, bucket int, path string").json(f"{self.root}/_manifest")
+            if before is not None:
+                m = m.where(F.col("epoch") < before)
             last = m.agg(F.max("epoch")).first()[0]
             if last is None:
                 return {}
@@ -40,8 +44,8 @@ class BucketedTable:
         except Exception:
             return {}
 
-    def read(self, only: Sequence[int] | None = None) -> DataFrame:
-        man = self._manifest()
+    def read(self, only: Sequence[int] | None = None, before: int | None = None) -> DataFrame:
+        man = self._manifest(before)
         paths = [p for b, p in man.items() if p and (only is None or b in only)]
         if not paths:
             return self.spark.createDataFrame([], self.schema)
@@ -49,19 +53,30 @@ class BucketedTable:
 
     # -------------------------------------------------------------- update
     def apply(self, batch: DataFrame, epoch: int, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
-        """``merge(old_rows_of_touched_buckets, batch)`` -> new rows of those buckets."""
-        b = batch.withColumn("_bucket", self.bucket())
+        """``merge(old_rows_of_touched_buckets, batch)`` -> new rows of those buckets.
+
+        The micro-batch is used by two actions (touched buckets, then the merge), so it is persisted for the
+        duration of the call (memory and disk; a micro-batch is bounded by the trigger's file limit).
+        """
+        b = batch.withColumn("_bucket", self.bucket()).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self._apply(b, epoch, merge)
+        finally:
+            b.unpersist()
+
+    def _apply(self, b: DataFrame, epoch: int, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
         touched = sorted(r[0] for r in b.select("_bucket").distinct().collect())  # at most `buckets` ints
         if not touched:
             return
-        old = self.read(touched)
+        # the state before this epoch: a replayed epoch never reads its own (possibly partial) output
+        old = self.read(touched, before=epoch)
         new = merge(old, b.drop("_bucket")).select(*self.schema.names).withColumn("_bucket", self.bucket())
         obs = Observation(f"buckets_{epoch}")
         out = f"{self.root}/data/v={epoch}"
         new.observe(obs, F.collect_set("_bucket").alias("written")).write.mode("overwrite") \
             .partitionBy("_bucket").parquet(out)
         written = set(obs.get["written"] or [])
-        man = self._manifest()
+        man = self._manifest(before=epoch)
         for t in touched:
             man[t] = f"{out}/_bucket={t}" if t in written else None
         rows = [(epoch, k, v) for k, v in sorted(man.items())]
