@@ -42,7 +42,10 @@ def sensor_long(spark, sf):
 @query("sensor_wide", ("V4", "A18", "N12"),
        sql=f"SELECT * FROM (PIVOT ({LONG_SQL}) ON name_cleaned USING max(median) GROUP BY timestamp)")
 def sensor_wide(spark, sf):
-    return rounded(TS.sensor_wide(_long(spark, sf)))
+    # the pivot's column list comes from the input's distinct cleaned names (a scan, not the whole pipeline)
+    st = D.sensor_stream(D.load(spark, sf, "events"))
+    names = [r[0] for r in st.select(TS.clean_name(F.col("name")).alias("n")).distinct().orderBy("n").collect()]
+    return rounded(TS.sensor_wide(_long(spark, sf), names))
 
 
 @query("sensor_name_map", ("V4", "U3"),
