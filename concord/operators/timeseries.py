@@ -124,9 +124,11 @@ def sensor_long(stream: DataFrame, grain: str = "second", step: str = "1 second"
     """
     lists = grain_lists(stream, grain) if keep_values else grain_medians(stream, grain)
     first = "values" if keep_values else "n_values"
-    names = lists.select("name").distinct()
-    start = lists.select(F.min("timestamp")).scalar()
-    end = lists.select(F.max("timestamp")).scalar()
+    # names and bounds straight from the input (truncation is monotone): no extra pass over the lists
+    names = stream.select("name").distinct()
+    ntz = _is_ntz(stream, "timestamp")
+    start = truncate(stream.select(F.min("timestamp")).scalar(), grain, ntz)
+    end = truncate(stream.select(F.max("timestamp")).scalar(), grain, ntz)
     out = fill_on_grid(lists, names, start, end, step, chunk, fill_bucket, cols=[first, "median"])
     return add_cleaned_name(out.select("name", "timestamp", "forward_filled", first, "median"), strip_edges)
 
@@ -154,6 +156,8 @@ def sensor_incremental(prev_long: DataFrame, added: DataFrame, grain: str = "sec
                        chunk: str = "1 hour", fill_bucket: str = "day", strip_edges: bool = False) -> DataFrame:
     """New long output equal to a full run over old + added input.
 
+    ``prev_long`` is the stored previous output (it is read several times).
+
     Rows before the region start are kept.  The region starts at
     min(first added time, previous end + step).  Inside it the raw lists
     (rows of the previous output that were not forward-filled) are

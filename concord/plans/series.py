@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import timeseries as TS
+from ..session import scratch_path
 from . import data as D
 from . import sqlparts as S
 from .registry import query, rounded
@@ -63,7 +64,10 @@ def sensor_incremental(spark, sf):
     """Previous output from the events outside ``_added()`` + the added events == full run over all events."""
     ev = D.load(spark, sf, "events")
     added = _added()
-    prev = TS.sensor_long(D.sensor_stream(ev.where(~added)), GRAIN, STEP, CHUNK)
+    # the previous output is a stored dataset, as in a real incremental run: written once, then read back
+    path = scratch_path(spark, "sensor-long-previous")
+    TS.sensor_long(D.sensor_stream(ev.where(~added)), GRAIN, STEP, CHUNK).write.parquet(path)
+    prev = spark.read.parquet(path)
     out = TS.sensor_incremental(prev, D.sensor_stream(ev.where(added)), GRAIN, STEP, CHUNK)
     return rounded(out)
 
