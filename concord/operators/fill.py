@@ -95,7 +95,10 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str
                      F.lit(0).alias("_side"), *[F.col(c).alias(f"_v_{c}") for c in value_cols],
                      F.col(right_on).alias("_v_t"))
     u = l.unionByName(r.select(*l.columns))
+    # the bucket summary comes from the right side alone (the only rows with values): the union is not
+    # read a second time
+    until = left.select(F.max(F.col(left_on))).scalar()
     filled = forward_fill(u, by, "_t", [*[f"_v_{c}" for c in value_cols], "_v_t"], flag_col=None,
-                          bucket=bucket, tie_break=[F.col("_side")])
+                          bucket=bucket, tie_break=[F.col("_side")], values_from=r, until=until)
     return filled.where(F.col("_side") == 1).select(
         *lcols, F.col("_v_t").alias(f"asof_{right_on}"), *[F.col(f"_v_{c}").alias(c) for c in value_cols])

@@ -199,3 +199,16 @@ def test_event_groups_dedup_order(spark):
     assert first.count() == later.count() == 2
     assert {r.ev: r.next_start for r in first.collect()}["e1"] == T(2024, 1, 1, 10, 20)
     assert {r.ev: r.next_start for r in later.collect()}["e1"] == T(2024, 1, 1, 10, 20)
+
+
+def test_asof_across_empty_buckets(spark):
+    prices = spark.createDataFrame([("s", T(2024, 1, 2), 10.0), ("s", T(2024, 1, 9), 20.0), ("u", T(2024, 1, 5), 7.0)],
+                                   "k string, d timestamp_ntz, price double")
+    targets = spark.createDataFrame([("s", T(2024, 1, 1)), ("s", T(2024, 1, 6)), ("s", T(2024, 1, 9)),
+                                     ("s", T(2024, 1, 20)), ("u", T(2024, 1, 4)), ("u", T(2024, 1, 30)),
+                                     ("v", T(2024, 1, 3))], "k string, t timestamp_ntz")
+    out = FL.asof_join(targets, prices, ["k"], "t", "d", ["price"], bucket="day")
+    assert rows(out, "k", "t", "price") == [("s", T(2024, 1, 1), None), ("s", T(2024, 1, 6), 10.0),
+                                            ("s", T(2024, 1, 9), 20.0), ("s", T(2024, 1, 20), 20.0),
+                                            ("u", T(2024, 1, 4), None), ("u", T(2024, 1, 30), 7.0),
+                                            ("v", T(2024, 1, 3), None)]
