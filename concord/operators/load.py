@@ -27,15 +27,24 @@ def _c(n: str) -> Column:
 def replicate(df: DataFrame, count_col: str, chunk: int = REPLICATE_CHUNK) -> DataFrame:
     """Emit each row ``count_col`` times without putting a hot row's copies in one task.
 
-    First one row per chunk of ``chunk`` copies is generated and spread
-    round-robin, then every chunk row is exploded.
+    Each row is first cut into units of at most ``chunk`` x ``chunk`` copies
+    (one unit for all but huge counts), the units are spread round-robin, and
+    each unit is expanded where it lands (``chunk`` rows of at most ``chunk``
+    copies).  A row holding a third of all copies thus becomes many units on
+    many tasks; no task expands more than ``chunk`` x ``chunk`` copies.
     """
     n = F.col(count_col)
-    chunks = (df.where(n > 0)
-              .select("*", F.explode(F.sequence(F.lit(0), F.ceil(n / chunk).cast("int") - 1)).alias("_chunk"))
-              .repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    k = F.least(F.lit(chunk), n - F.col("_chunk") * chunk).cast("int")
-    return chunks.select("*", F.explode(F.array_repeat(F.lit(1), k)).alias("_x")).drop("_chunk", "_x", count_col)
+    unit = chunk * chunk
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    units = (df.where(n > 0)
+             .select("*", F.explode(F.sequence(F.lit(0), F.ceil(n / unit).cast("int") - 1)).alias("_u"))
+             .repartition(parts))
+    in_unit = F.least(F.lit(unit), n - F.col("_u") * unit)
+    chunks = (units.select("*", in_unit.alias("_nu"))
+              .select("*", F.explode(F.sequence(F.lit(0), F.ceil(F.col("_nu") / chunk).cast("int") - 1)).alias("_c")))
+    k = F.least(F.lit(chunk), F.col("_nu") - F.col("_c") * chunk).cast("int")
+    return (chunks.select("*", F.explode(F.array_repeat(F.lit(1), k)).alias("_x"))
+            .drop("_u", "_nu", "_c", "_x", count_col))
 
 
 def tag_changes(df: DataFrame, change: str, version: int | None = None, ts: Column | None = None) -> DataFrame:

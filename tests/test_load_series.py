@@ -42,6 +42,8 @@ def test_replicate_hot_row(spark):
     df = spark.createDataFrame([("hot", 10000), ("cold", 1)], "v string, n int")
     out = L.replicate(df, "n", chunk=1000)
     assert out.count() == 10001
+    many_units = L.replicate(df, "n", chunk=7)  # units of 49 copies: the hot row spans 205 units
+    assert many_units.count() == 10001 and many_units.where("v = 'hot'").count() == 10000
 
 
 def test_full_merge_scoped_delete(spark):
