@@ -82,3 +82,18 @@ def test_html_table_rows(spark):
     pages = spark.createDataFrame([(1, html)], "page_id long, html string")
     got = [(r.position, list(r.cells)) for r in RD.html_table_rows(pages, "page_id", "html").orderBy("position").collect()]
     assert got == [(0, ["Date", "Close"]), (1, ["2024-01-02", "10.5"]), (2, ["2024-01-03", "11"])]
+
+
+def test_complete_mode_equals_batch(spark):
+    src = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    land = scratch_path(spark, "complete-land")
+    src.repartition(4).write.parquet(land)
+    s = J.file_stream(spark, land, src.schema, max_files_per_trigger=2)
+    agg = s.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
+    seen = {}
+
+    def keep(df, epoch):
+        seen["last"] = sorted((r.event_type, r.events) for r in df.collect())  # complete mode: a few rows
+    J.run_to_completion(J.foreach_batch(agg, keep, output_mode="complete"))
+    expect = sorted((r.event_type, r["count"]) for r in src.groupBy("event_type").count().collect())
+    assert seen["last"] == expect
