@@ -79,3 +79,12 @@ def test_cli_reconcile(spark):
     assert rep["left_only_columns"] == ["O_ORDERPRIORITY"]
     assert rep["row_match"].collect()[0].exact_match
     assert {r.status for r in rep["schema"].collect()} == {"match", "left_only"}
+
+
+def test_migration_of_empty_table_keeps_schema(spark):
+    empty = spark.createDataFrame([], "a bigint, b string")
+    root = scratch_path(spark, "mig-empty")
+    rep = SY.migrate_tables(spark, {"e": empty}, root, types={"e": {"a": "int"}}).collect()[0]
+    assert (rep.status, rep.rows) == ("ok", 0)
+    back = spark.read.parquet(f"{root}/dev/e")
+    assert back.count() == 0 and back.schema.simpleString() == "struct<a:int,b:string>"
