@@ -18,10 +18,11 @@ def plan_text(df) -> str:
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
-def test_no_cartesian_products(spark, name):
+def test_no_cartesian_products_or_python(spark, name):
     text = plan_text(E.queries()[name](spark, SMALL))
     assert "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text
+    assert "EvalPython" not in text and "FlatMapGroupsInPandas" not in text  # no Python in the hot path
 
 
 def test_row_match_single_shuffle(spark):
