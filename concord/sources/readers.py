@@ -49,9 +49,14 @@ def json_envelope(spark: SparkSession, path: str, record_schema: T.StructType, f
     return df.select(F.explode(F.col(field)).alias("r")).select("r.*")
 
 
+ISO_UTC = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?Z?$"
+
+
 def parse_iso_utc(c: Column) -> Column:
-    """ISO-8601 UTC text (``2024-01-02T03:04:05Z`` or with fraction) -> timestamp_ntz (UTC wall clock)."""
-    return F.to_timestamp_ntz(F.regexp_replace(c, r"Z$", ""), F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"))
+    """ISO-8601 UTC text (``2024-01-02T03:04:05Z``, optionally with 1-6 fraction digits) ->
+    timestamp_ntz (UTC wall clock); text of another shape gives NULL instead of an ANSI error."""
+    parsed = F.to_timestamp_ntz(F.regexp_replace(c, r"Z$", ""), F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"))
+    return F.when(c.rlike(ISO_UTC), parsed)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True) -> DataFrame:

@@ -97,3 +97,14 @@ def test_complete_mode_equals_batch(spark):
     J.run_to_completion(J.foreach_batch(agg, keep, output_mode="complete"))
     expect = sorted((r.event_type, r["count"]) for r in src.groupBy("event_type").count().collect())
     assert seen["last"] == expect
+
+
+def test_parse_iso_utc(spark):
+    import datetime as dt
+
+    from concord.sources import readers as RD
+    df = spark.createDataFrame([("2024-01-02T03:04:05Z",), ("2024-01-02T03:04:05.123Z",), ("2024-01-02T03:04:05",),
+                                ("not a date",), (None,)], "s string")
+    got = [r.t for r in df.select(RD.parse_iso_utc(F.col("s")).alias("t")).collect()]
+    assert got == [dt.datetime(2024, 1, 2, 3, 4, 5), dt.datetime(2024, 1, 2, 3, 4, 5, 123000),
+                   dt.datetime(2024, 1, 2, 3, 4, 5), None, None]
