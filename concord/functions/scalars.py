@@ -50,5 +50,5 @@ def time_key(ts: Column) -> Column:
 
 
 def int_to_date(c: Column) -> Column:
-    """yyyyMMdd integer -> date."""
-    return F.to_date(c.cast("string"), "yyyyMMdd")
+    """yyyyMMdd integer -> date (NULL for a value that is not a valid date, no ANSI error)."""
+    return F.try_to_date(c.cast("string"), "yyyyMMdd")

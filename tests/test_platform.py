@@ -88,3 +88,16 @@ def test_migration_of_empty_table_keeps_schema(spark):
     assert (rep.status, rep.rows) == ("ok", 0)
     back = spark.read.parquet(f"{root}/dev/e")
     assert back.count() == 0 and back.schema.simpleString() == "struct<a:int,b:string>"
+
+
+def test_scalar_helpers(spark):
+    import datetime as dt
+
+    from concord.functions import scalars as SC
+    df = spark.createDataFrame([("5-LOW", 20240131), ("no digits", 20241340), (None, None)], "p string, d int")
+    got = [(r.k, r.dt) for r in df.select(SC.first_number(F.col("p")).alias("k"),
+                                         SC.int_to_date(F.col("d")).alias("dt")).collect()]
+    assert got == [(5, dt.date(2024, 1, 31)), (None, None), (None, None)]
+    z = spark.createDataFrame([(dt.datetime(2024, 1, 1, 8, 0), "0")], "t timestamp_ntz, z string")
+    utc = z.select(SC.local_to_utc(F.col("t"), F.col("z"), {"0": "Australia/Perth"}).alias("u")).collect()[0].u
+    assert utc == dt.datetime(2024, 1, 1, 0, 0)
