@@ -89,5 +89,6 @@ def closeness(distances: DataFrame, n_nodes: "int | Column") -> DataFrame:
     per = distances.groupBy("source").agg(F.count(F.lit(1)).alias("r"), F.sum("distance").alias("total"))
     n = F.lit(n_nodes) if isinstance(n_nodes, int) else n_nodes
     r1 = (F.col("r") - 1).cast("double")
-    c = F.when((F.col("total") > 0) & (n > 1), (r1 / (n - 1)) * (r1 / F.col("total"))).otherwise(F.lit(0.0))
+    c = F.coalesce(F.try_divide(r1, (n - 1).cast("double")) * F.try_divide(r1, F.col("total").cast("double")),
+                   F.lit(0.0))
     return per.select(F.col("source").alias("node"), c.alias("closeness"))

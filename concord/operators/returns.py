@@ -23,7 +23,7 @@ def series_cagr(prices: DataFrame, by: Sequence[str], date_col: str = "date", pr
     years = F.datediff(F.col("last_date"), F.col("first_date")) / F.lit(DAYS_PER_YEAR)
     ratio = F.try_divide(F.col("last_price"), F.col("first_price"))
     return g.select("*", years.alias("years"),
-                    F.when(years > 0, F.pow(ratio, 1 / years) - 1).alias("cagr"),
+                    F.when(years > 0, F.pow(ratio, F.try_divide(F.lit(1.0), years)) - 1).alias("cagr"),
                     (ratio - 1).alias("total_return"))
 
 
@@ -46,4 +46,4 @@ def lookback_returns(prices: DataFrame, by: Sequence[str], date_col: str = "date
     ratio = F.try_divide(F.col("end_price"), F.col("start_price"))
     return j.select(*by, "period_years", "target_date", "start_date", "start_price", "end_date", "end_price",
                     (ratio - 1).alias("total_return"),
-                    F.when(act > 0, F.pow(ratio, 1 / act) - 1).alias("annualized_return"))
+                    F.when(act > 0, F.pow(ratio, F.try_divide(F.lit(1.0), act)) - 1).alias("annualized_return"))
