@@ -75,3 +75,99 @@ def op9_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     rule = rules_column(learn_rules(labelled))
     return stats.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                         (~F.col("base_failed") & (rule == 0)).alias("kept"), rule.cast("int").alias("rule"))
+
+
+@query
+def op2_license_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import known_licenses, license_scan
+
+    scan = license_scan(table(spark, sf_dir, "documents"), known_licenses(spark))
+    return scan.withColumn("line_licenses", F.array_join("line_licenses", ","))
+
+
+def _op2_sql() -> str:
+    from .licenses import canonical_sql
+    from .license_texts import LICENSE_TEXTS
+
+    known = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in r)) for r in LICENSE_TEXTS)
+    return f"""
+WITH k AS (
+  SELECT sha256(form) AS digest, min(license_id) AS license_id
+  FROM (SELECT license_id, {canonical_sql('t')} AS form FROM (VALUES {known}) v(license_id, t))
+  WHERE form <> '' GROUP BY 1),
+d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, r, sha256({canonical_sql('t')}) AS text_digest FROM d),
+l AS (
+  SELECT r, count(*) AS n, array_to_string(list_sort(list(DISTINCT k.license_id)), ',') AS ids
+  FROM (SELECT r, sha256({canonical_sql('u')}) AS digest FROM (SELECT r, unnest(string_split(t, chr(10))) AS u FROM d)) x
+  JOIN k USING (digest) GROUP BY r)
+SELECT w.doc_id, w.text_digest, k.license_id, CAST(coalesce(l.n, 0) AS BIGINT) AS n_license_lines,
+       coalesce(l.ids, '') AS line_licenses
+FROM w LEFT JOIN k ON k.digest = w.text_digest LEFT JOIN l USING (r)
+"""
+
+
+ORACLES["op2_license_digest"] = _op2_sql()
+
+#: The crawl and derivation times that the registered query writes into its records.
+CRAWLED, DERIVED = "2024-01-01T00:00:00Z", "2024-02-01T00:00:00Z"
+
+
+@query
+def op3_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import derive_records, response_records
+
+    return derive_records(response_records(table(spark, sf_dir, "pages"), CRAWLED), DERIVED)
+
+
+def _op3_sql() -> str:
+    from .warc import BLOCK
+
+    def uuid(x: str) -> str:
+        h = f"md5({x})"
+        return (f"('urn:uuid:' || substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-' || substr({h}, 13, 4) || '-' || "
+                f"substr({h}, 17, 4) || '-' || substr({h}, 21, 12))")
+
+    hidden = [r"(?s)<!--.*?(?:-->|\z)"] + [rf"(?is)<{x}(?:[\s/][^>]*)?>.*?(?:</{x}\s*>|\z)" for x in
+                                           ("script", "style", "noscript", "template")]
+    bare = "h"
+    for x in hidden:
+        bare = f"regexp_replace({bare}, '{x}', '', 'g')"
+    # the entities that the test pages hold; the operator decodes all of them
+    plain = lambda x: ("replace(replace(replace(replace({}, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), "
+                       "'&amp;', '&')").format(x)
+    tagless = rf"regexp_replace({{}}, '<[/!?A-Za-z][^>]*>', '', 'g')"
+    text = tagless.format(f"regexp_replace(bare, '{BLOCK.pattern}', chr(10), 'g')")
+    lines = (rf"list_transform(string_split({plain(text)}, chr(10)), "
+             r"lambda x: trim(regexp_replace(x, '[ \t\r\f\v\x{A0}]+', ' ', 'g')))")
+    blank = r"trim(regexp_replace({}, '\s+', ' ', 'g'))"
+    title = blank.format(plain(tagless.format(r"regexp_extract(h, '(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>', 1)")))
+    links = (r"list_transform(regexp_extract_all(bare, '(?is)<a\s(?:[^>]*?\s)?href\s*=\s*"
+             rf"""("[^"]*")', 1), lambda x: 'outlink: ' || trim({plain("substr(x, 2, length(x) - 2)")}) || chr(13) || chr(10))""")
+    return rf"""
+WITH p AS (SELECT page_id, url AS target_uri, coalesce(html, '') AS h FROM pages),
+r AS (SELECT *, 'sha256:' || sha256(h) AS pd, {bare} AS bare FROM p),
+s AS (
+  SELECT *, {uuid("concat_ws('|', 'response', coalesce(CAST(page_id AS VARCHAR), ''), coalesce(target_uri, ''), pd)")}
+      AS rid,
+    array_to_string(list_filter({lines}, lambda x: x <> ''), chr(10)) AS txt,
+    'source-date: {CRAWLED}' || chr(13) || chr(10) || 'source-payload-digest: ' || pd || chr(13) || chr(10)
+      || 'source-length: ' || strlen(h) || chr(13) || chr(10)
+      || CASE WHEN regexp_matches(h, '(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>')
+              THEN 'title: ' || {title} || chr(13) || chr(10) ELSE '' END
+      || array_to_string({links}, '') AS meta
+  FROM r),
+m AS (
+  SELECT *, 'metadata' AS record_type, 'application/warc-fields' AS content_type, meta AS block FROM s
+  UNION ALL
+  SELECT *, 'conversion', 'text/plain; charset=utf-8', txt FROM s)
+SELECT page_id, record_type, {uuid("record_type || '|' || rid")} AS record_id, rid AS refers_to, target_uri,
+       '{DERIVED}' AS warc_date, content_type, CAST(strlen(block) AS BIGINT) AS content_length,
+       'sha256:' || sha256(block) AS block_digest, pd AS source_payload_digest,
+       'HTTP/1.1 200 OK' || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10)
+         || 'Content-Length: ' || strlen(h) || chr(13) || chr(10) AS source_headers, block
+FROM m
+"""
+
+
+ORACLES["op3_warc_derivatives"] = _op3_sql()
