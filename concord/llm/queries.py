@@ -171,3 +171,29 @@ FROM m
 
 
 ORACLES["op3_warc_derivatives"] = _op3_sql()
+
+
+@query
+def op8_zstd_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .common import remainder
+    from .langid import fit, predict
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 3) == 1
+    model = fit(docs.filter(~held_out))
+    p = docs.select("doc_id", held_out.alias("held_out"), predict(model, F.col("text")).alias("p"))
+    return p.select("doc_id", "held_out", F.col("p.best").alias("lang_pred"), "p.score", "p.margin", "p.rejected")
+
+
+@query
+def op1_toxicity_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .common import remainder
+    from .toxicity import fit, score
+
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels")
+    model = fit(docs, labels.filter(remainder(F.col("doc_id"), 5) != 0))
+    s = docs.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"),
+                    score(model, F.col("text")).alias("s"))
+    return s.select("doc_id", "held_out", "s.score", (F.col("s.score") >= 0.5).cast("int").alias("predicted"),
+                    F.slice("s.neighbours", 1, 3).alias("neighbours"), F.slice("s.cosines", 1, 3).alias("cosines"))
