@@ -197,3 +197,12 @@ def op1_toxicity_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
                     score(model, F.col("text")).alias("s"))
     return s.select("doc_id", "held_out", "s.score", (F.col("s.score") >= 0.5).cast("int").alias("predicted"),
                     F.slice("s.neighbours", 1, 3).alias("neighbours"), F.slice("s.cosines", 1, 3).alias("cosines"))
+
+
+@query
+def op4_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .weak import fit, measured, score
+
+    rows = measured(table(spark, sf_dir, "documents"))
+    s = rows.select("doc_id", score(fit(rows), F.col("m")).alias("s"))
+    return s.select("doc_id", "s.score", "s.kept", F.col("s.label").alias("weak_label"))
