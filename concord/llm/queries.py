@@ -206,3 +206,10 @@ def op4_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = measured(table(spark, sf_dir, "documents"))
     s = rows.select("doc_id", score(fit(rows), F.col("m")).alias("s"))
     return s.select("doc_id", "s.score", "s.kept", F.col("s.label").alias("weak_label"))
+
+
+@query
+def op10_pigeonhole_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
