@@ -8,13 +8,11 @@ not grow and a lost executor recomputes one round, not the whole history.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-MAX_ROUNDS = 10_000
-
 
 def undirected(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Both directions of every edge, without self loops duplicates."""
@@ -26,34 +24,47 @@ def nodes_of(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("src").alias("node")).unionByName(edges.select(F.col("dst").alias("node"))).distinct()
 
 
+def _toward_minimum(pairs: DataFrame, keep: Column) -> DataFrame:
+    """Per src the least of itself and its dst; every dst that ``keep`` selects is linked to that minimum."""
+    least = (pairs.groupBy("src").agg(F.min("dst").alias("m"))
+             .select(F.col("src").alias("center"), F.least("src", "m").alias("m")))
+    return (pairs.filter(keep).join(least, F.col("src") == F.col("center"))
+            .select(F.col("dst").alias("src"), F.col("m").alias("dst")))
+
+
 def connected_components(edges: DataFrame, nodes: DataFrame | None = None, src: str = "src",
                          dst: str = "dst") -> DataFrame:
     """V8: (node, component) where component is the smallest node id of the component.
 
-    Min-label propagation plus pointer jumping (label <- label of label), so
-    the number of rounds grows with log(diameter) rather than the diameter.
+    Alternating star contractions, until nothing changes.  A large star links every larger neighbour of a node to the
+    least node around it, a small star does so with the smaller neighbours and the node itself; both keep the
+    components, and together they turn each into one star around its least node in a number of rounds that grows with
+    the logarithm of its size, whatever the order of the ids.  Each step is a minimum per node (partial aggregation)
+    and a join that adaptive execution splits at hubs.
     """
     ensure_checkpoint_dir(edges.sparkSession)
-    e = undirected(edges, src, dst).checkpoint()
-    n = nodes if nodes is not None else nodes_of(e)
-    labels = n.select("node", F.col("node").alias("label")).distinct().checkpoint()
-    for _ in range(MAX_ROUNDS):
-        via = (e.join(labels, e.src == labels.node).select(F.col("dst").alias("node"), "label"))
-        prop = labels.unionByName(via).groupBy("node").agg(F.min("label").alias("label"))
-        jump = (prop.alias("a").join(prop.alias("b"), F.col("a.label") == F.col("b.node"), "left")
-                .select(F.col("a.node").alias("node"),
-                        F.least(F.col("a.label"), F.coalesce(F.col("b.label"), F.col("a.label"))).alias("label")))
-        new = jump.checkpoint()
-        changed = (new.alias("n").join(labels.alias("o"), "node")
-                   .where(F.col("n.label") != F.col("o.label")).limit(1).count())
-        labels = new
-        if changed == 0:
-            break
-    return labels.select("node", F.col("label").alias("component"))
-
-
-def shortest_path_lengths(edges: DataFrame, sources: DataFrame, src: str = "src", dst: str = "dst",
-                          max_depth: int | None = None) -> DataFrame:
+    given = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).filter("src is not null and dst is not null")
+    e = (given.filter("src != dst").select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
+         .distinct().checkpoint())
+
+    def state(x: DataFrame) -> tuple:
+        return tuple(x.agg(F.count(F.lit(1)), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first())
+
+    before, now = None, state(e)
+    while before != now:
+        both = e.unionAll(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+        large = (_toward_minimum(both, F.col("dst") > F.col("src")).filter("src != dst").distinct()).checkpoint()
+        centers = large.groupBy("src").agg(F.min("dst").alias("dst"))
+        small = _toward_minimum(large, F.lit(True)).filter("src != dst")
+        e = small.unionAll(centers).distinct().checkpoint()
+        before, now = now, state(e)
+    n = nodes.select("node").distinct() if nodes is not None else nodes_of(given)
+    return (n.join(e, n["node"] == e["src"], "left")
+            .select("node", F.coalesce("dst", "node").alias("component")))
+
+
+def shortest_path_lengths(edges: DataFrame, sources: DataFrame, src: str = "src",
+                          dst: str = "dst") -> DataFrame:
     """V9 (re-aimed): (source, target, distance) from each node of ``sources`` (column ``node``) to every
     node it reaches in the undirected graph, the source itself at 0.
 
@@ -69,7 +80,7 @@ def shortest_path_lengths(edges: DataFrame, sources: DataFrame, src: str = "src"
                              F.lit(0).alias("distance")).distinct().checkpoint()
     frontier = visited
     depth = 0
-    while max_depth is None or depth < max_depth:
+    while True:
         depth += 1
         nxt = (frontier.join(e, frontier.target == e.src)
                .select("source", F.col("dst").alias("target")).distinct()
@@ -82,7 +93,7 @@ def shortest_path_lengths(edges: DataFrame, sources: DataFrame, src: str = "src"
     return visited
 
 
-def closeness(distances: DataFrame, n_nodes: "int | Column") -> DataFrame:
+def closeness(distances: DataFrame, n_nodes: int | Column) -> DataFrame:
     """Wasserman-Faust closeness ((r-1)/(n-1)) * ((r-1)/sum d) of every source in ``distances``
     (output of :func:`shortest_path_lengths`); r = nodes reachable incl. itself, n = nodes of the graph
     (an int or a scalar column).  0 for an isolated node."""

@@ -170,6 +170,17 @@ def test_chain_graph_converges(spark):
     assert cc.select("component").distinct().collect()[0][0] == "n000"
 
 
+def test_long_path_with_shuffled_ids_is_one_component(spark):
+    import random
+    n = 2000
+    ids = list(range(n))
+    random.Random(3).shuffle(ids)
+    e = spark.createDataFrame([(ids[i], ids[i + 1]) for i in range(n - 1)] + [(5000, 5001), (5001, 5001), (7000, 7000)],
+                              "src long, dst long")
+    got = {r.node: r.component for r in G.connected_components(e).collect()}
+    assert got == {**dict.fromkeys(range(n), 0), 5000: 5000, 5001: 5000, 7000: 7000}
+
+
 def test_forward_fill_values_from_spans_empty_buckets(spark):
     grid = spark.createDataFrame([("a", T(2024, 1, d, 12)) for d in range(1, 6)], "k string, t timestamp_ntz")
     data = spark.createDataFrame([("a", T(2024, 1, 2, 12), 7.0), ("a", T(2024, 1, 4, 12), 9.0)],
