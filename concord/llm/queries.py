@@ -192,9 +192,8 @@ def op1_toxicity_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels")
-    model = fit(docs, labels.filter(remainder(F.col("doc_id"), 5) != 0))
-    s = docs.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"),
-                    score(model, F.col("text")).alias("s"))
+    model, rows = fit(docs, labels.filter(remainder(F.col("doc_id"), 5) != 0))
+    s = rows.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), score(model, F.col("v")).alias("s"))
     return s.select("doc_id", "held_out", "s.score", (F.col("s.score") >= 0.5).cast("int").alias("predicted"),
                     F.slice("s.neighbours", 1, 3).alias("neighbours"), F.slice("s.cosines", 1, 3).alias("cosines"))
 
@@ -213,3 +212,10 @@ def op10_pigeonhole_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import find_leaks
 
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"))
