@@ -219,3 +219,10 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard import jaccard_components
 
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"))
