@@ -31,7 +31,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from concord.operators.graph import connected_components
@@ -335,3 +335,23 @@ def node_column(text: Column, size: int = 5) -> Column:
                              for t in batch], dtype="Int64")
 
     return F.pandas_udf(run, "long")(text)
+
+
+def one_of_each_class(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = 5,
+                      **options) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each class one row stays, of its least id (NULL last); rows
+    without shingles all stay.  Equal rows of that id are told apart by a hash of all columns."""
+    members, nodes = similarity_classes(docs, text, doc_id, size=size, **options)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")
+    stays = (members.join(nodes, "node").groupBy("component").agg(F.min(place).alias("x"))
+             .select(F.col("x.node").alias("_node"), F.col("x.doc_id").alias("_doc_id")))
+    stays = materialize(stays, "jaccard-stays")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       node_column(F.col(text).cast("string"), size).alias("node"))
+    bare = rows.filter("node is null").select("row.*")
+    of_id = F.col(f"row.{doc_id}").cast("long")
+    first = Window.partitionBy("node").orderBy("order")
+    kept = (rows.join(stays, (F.col("node") == F.col("_node")) & of_id.eqNullSafe(F.col("_doc_id")))
+            .withColumn("order", F.xxhash64("row")).withColumn("number", F.row_number().over(first))
+            .filter("number = 1").select("row.*"))
+    return kept.unionAll(bare)

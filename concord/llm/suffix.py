@@ -343,20 +343,22 @@ def single_windows(contexts: DataFrame, length: int) -> DataFrame:
 
 
 def keyed(docs: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, DataFrame]:
-    """(key, doc_id, text) per row, and the same once per key: keys are ids where these are all there and all different,
-    or else numbers in the order of (doc_id, hash of the text), equal rows alike."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"))
+    """(key, doc_id, text, rest) per row, and (key, text) once per key: keys are ids where these are all there and all
+    different, or else numbers in the order of (doc_id, hash of the text), equal rows alike.  ``rest`` is a struct of
+    the other columns."""
+    rest = F.struct(F.lit(0).alias(text), *[F.col(f"`{c}`") for c in docs.columns if c != text])
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"), rest.alias("rest"))
     unclear = rows.groupBy("doc_id").count().filter("doc_id is null or count > 1")
     if unclear.isEmpty():
-        rows = rows.select(F.col("doc_id").alias("key"), "doc_id", "text")
-        return rows, rows
+        rows = rows.withColumn("key", F.col("doc_id"))
+        return rows, rows.select("key", "text")
     hashed = rows.withColumn("th", F.xxhash64("text"))
     names = (hashed.select("doc_id", "th").distinct().orderBy(F.col("doc_id").asc_nulls_last(), "th")
              .withColumn("key", F.monotonically_increasing_id()))
     names = materialize(names, "repeats-keys").withColumnsRenamed({"doc_id": "i", "th": "j"})
     rows = (hashed.join(names, hashed["doc_id"].eqNullSafe(names["i"]) & (hashed["th"] == names["j"]))
-            .select("key", "doc_id", "text"))
-    return rows, rows.dropDuplicates(["key"])
+            .select("key", "doc_id", "text", "rest"))
+    return rows, rows.select("key", "text").dropDuplicates(["key"])
 
 
 def repeated_spans(docs: DataFrame, length: int = 100, block_bytes: int = BLOCK_BYTES, group: int = GROUP) -> DataFrame:
@@ -417,13 +419,24 @@ def without_spans(with_spans: DataFrame, length: int, keep_text: bool) -> DataFr
     return with_spans.withColumn("r", F.pandas_udf(run, RESULT)("text", "places"))
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = 100,
-                   keep_text: bool = False, block_bytes: int = BLOCK_BYTES, group: int = GROUP) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept) per row of ``docs``."""
+def spanned(docs: DataFrame, text: str, doc_id: str, length: int, keep_text: bool, block_bytes: int,
+            group: int) -> DataFrame:
     rows, once = keyed(docs, text, doc_id)
     spans = repeated_spans(once, length, block_bytes, group)
     places = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "windows")).alias("places"))
-    out = without_spans(rows.join(places, rows["key"] == places["doc"], "left"), length, keep_text)
+    return without_spans(rows.join(places, rows["key"] == places["doc"], "left"), length, keep_text)
+
+
+def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = 100,
+                   keep_text: bool = False, block_bytes: int = BLOCK_BYTES, group: int = GROUP) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept) per row of ``docs``."""
+    out = spanned(docs, text, doc_id, length, keep_text, block_bytes, group)
     names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * keep_text]
     return out.select("doc_id", *[f"r.{x}" for x in names])
 
+
+def strip_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = 100,
+                  block_bytes: int = BLOCK_BYTES, group: int = GROUP) -> DataFrame:
+    """``docs`` with the repeats taken out of the text (whole characters only), all other columns as they are."""
+    out = spanned(docs, text, doc_id, length, True, block_bytes, group)
+    return out.select(*[F.col("r.kept").alias(text) if c == text else F.col(f"rest.`{c}`") for c in docs.columns])

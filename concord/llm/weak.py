@@ -262,3 +262,9 @@ def score(model: Model, m: Column) -> Column:
                                 "label": np.where(p >= 0, posterior(model.labels, np.maximum(p, 0)), 0.0)})
 
     return F.pandas_udf(run, "score double, kept boolean, label double")(m)
+
+
+def accepted(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs`` that the scorer, fitted on all of them, keeps."""
+    model = fit(measured(docs, text, doc_id), **options)
+    return docs.filter(score(model, measure(F.col(text)))["kept"])
