@@ -54,14 +54,17 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str
     rows = labelled.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}"))
     u = unit_hash(seed, F.col("doc_id"))
-    # pick ids first, so that the ranking carries no text; a rank of at most 1000 is cut off before the shuffle as well
-    best = Window.partitionBy("lang").orderBy("u", "doc_id")
-    picked = (rows.select("doc_id", "lang", u.alias("u")).withColumn("rank", F.row_number().over(best))
-              .filter(F.col("rank") <= pieces).select("doc_id", "lang", "u").distinct())
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
               .limit(max_languages + 1).collect()}
     if len(counts) > max_languages:
         raise ValueError(f"more than {max_languages} languages; raise max_languages if that is meant")
+    # ids first, so that the ranking carries no text; of a language's many rows only those whose number is small enough
+    # to be among the first are ranked (four times as many as are needed, on average)
+    few = rows.sparkSession.createDataFrame([(x, 4.0 * pieces / n) for x, n in counts.items()], "lang string, most double")
+    best = Window.partitionBy("lang").orderBy("u", "doc_id")
+    picked = (rows.select("doc_id", "lang", u.alias("u")).join(F.broadcast(few), "lang").filter("u <= most")
+              .withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= pieces)
+              .select("doc_id", "lang", "u").distinct())
     # one piece of each picked text, from a place that its hash chooses
     start = F.floor(F.col("u") * F.greatest(F.char_length("text") - piece_chars, F.lit(1))) + 1
     got = (rows.join(F.broadcast(picked), ["doc_id", "lang"])
