@@ -62,15 +62,49 @@ def csv_roundtrip(spark, sf):
                    schema=back.schema, header=True)
 
 
-@query("partitioned_fact", ("S16", "S11"),
+@query("partitioned_fact", ("S16",),
        sql="""SELECT strftime(l_shipdate, '%Y-%m') AS event_month, CAST(count(*) AS BIGINT) AS lines, round(sum(l_extendedprice), 2) AS revenue
-              FROM lineitem WHERE l_shipdate >= TIMESTAMP '1997-01-01' AND l_shipdate < TIMESTAMP '1997-04-01' GROUP BY 1""")
+              FROM lineitem GROUP BY 1""")
 def partitioned_fact(spark, sf):
+    """The fact written by month and read back, all months."""
     path = scratch_path(spark, "fact")
     SK.write_partitioned_fact(D.load(spark, sf, "lineitem"), path, "l_shipdate")
-    f = spark.read.parquet(path).where(F.col("event_month").isin("1997-01", "1997-02", "1997-03"))  # partition pruning
-    return f.groupBy("event_month").agg(F.count(F.lit(1)).cast("bigint").alias("lines"),
-                                        F.round(F.sum("l_extendedprice"), 2).alias("revenue"))
+    f = spark.read.parquet(path)
+    return f.groupBy(F.col("event_month").cast("string").alias("event_month")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("lines"), F.round(F.sum("l_extendedprice"), 2).alias("revenue"))
+
+
+@query("written_outputs", ("S11",),
+       sql="""WITH long AS (SELECT c_custkey AS id, c_mktsegment AS name, c_acctbal AS value FROM customer),
+                   late AS (SELECT s_suppkey AS id, 'SUPPLIER' AS name, s_acctbal AS value FROM supplier)
+              SELECT output, CAST(count(*) AS BIGINT) AS rows, round(sum(value), 2) AS value_sum FROM (
+                SELECT 'long' AS output, value FROM (SELECT * FROM long UNION ALL SELECT * FROM late)
+                UNION ALL SELECT 'totals', sum(value) FROM late GROUP BY name
+                UNION ALL SELECT 'names', CAST(count(*) AS DOUBLE) FROM long GROUP BY name
+                UNION ALL SELECT 'names', CAST(count(*) AS DOUBLE) FROM late GROUP BY name) GROUP BY output""")
+def written_outputs(spark, sf):
+    """Three outputs of one run (rows, totals, names), first replaced, then extended (rows, names) or replaced (totals),
+    and read back."""
+    root = scratch_path(spark, "outputs")
+
+    def outputs(rows):
+        per = rows.groupBy("name")
+        return {"long": rows, "totals": per.agg(F.sum("value").alias("value")),
+                "names": per.agg(F.count(F.lit(1)).cast("double").alias("value"))}
+
+    c = D.load(spark, sf, "customer").selectExpr("c_custkey AS id", "c_mktsegment AS name", "c_acctbal AS value")
+    late = D.load(spark, sf, "supplier").selectExpr("s_suppkey AS id", "'SUPPLIER' AS name", "s_acctbal AS value")
+    SK.write_outputs(outputs(c), root, mode="overwrite")
+    more = outputs(late)
+    SK.write_outputs({"totals": more.pop("totals")}, root, mode="overwrite")
+    paths = SK.write_outputs(more, root, mode="append")
+    paths["totals"] = f"{root}/totals"
+    out = None
+    for name, path in paths.items():
+        one = spark.read.parquet(path).select(F.lit(name).alias("output"), "value")
+        out = one if out is None else out.unionByName(one)
+    return out.groupBy("output").agg(F.count(F.lit(1)).cast("bigint").alias("rows"),
+                                     F.round(F.sum("value"), 2).alias("value_sum"))
 
 
 _RUNS_SQL = """SELECT user_id AS flow, CAST(CAST(ts AS DATE) AS VARCHAR) AS run_id, min(ts) AS started_at, max(ts) AS finished_at,
@@ -103,10 +137,12 @@ def capped_scan(spark, sf):
     return RD.capped(df.select("o_orderkey", "o_totalprice"), 1000, ["o_orderkey"])
 
 
-@query("random_sample", ("S4",))
+@query("random_sample", ("S4",),
+       sql="""SELECT o_orderkey, o_totalprice FROM orders
+              ORDER BY md5('7|' || CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 500""")
 def random_sample(spark, sf):
-    """Sampling is the feature: 500 seeded-random lineitem rows (rows-only check)."""
-    return RD.random_sample(D.load(spark, sf, "lineitem"), n=500, seed=7)
+    """Sampling is the feature: 500 orders in the order of a seeded hash of their key."""
+    return RD.random_sample(D.load(spark, sf, "orders").select("o_orderkey", "o_totalprice"), ["o_orderkey"], n=500, seed=7)
 
 
 # ------------------------------------------------------------------ streaming
@@ -116,10 +152,12 @@ EVENTS_SCHEMA = T.StructType([T.StructField("event_id", T.LongType()), T.StructF
                               T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
 
 
-def _land_events(spark, sf, files: int = 8):
-    """The events table landed as several files in a landing folder (the stream's source)."""
+def _land_events(spark, sf):
+    """The events table landed by two loads in a landing folder (the stream's source files follow the input's)."""
     path = scratch_path(spark, "landing-events")
-    D.load(spark, sf, "events").repartition(files).write.parquet(path)
+    ev = D.load(spark, sf, "events")
+    for part in (0, 1):  # two loads, so that there is more than one file whatever the input's own files
+        ev.where(F.pmod("event_id", F.lit(2)) == part).write.mode("append").parquet(path)
     return path
 
 
@@ -128,7 +166,7 @@ def _land_events(spark, sf, files: int = 8):
 def stream_ingest(spark, sf):
     src = _land_events(spark, sf)
     target = scratch_path(spark, "bronze-events")
-    q = J.append_to_table(J.file_stream(spark, src, EVENTS_SCHEMA, max_files_per_trigger=3), target)
+    q = J.append_to_table(J.file_stream(spark, src, EVENTS_SCHEMA, max_files_per_trigger=1), target)
     J.run_to_completion(q)
     t = spark.read.parquet(target)
     return t.groupBy("event_type").agg(F.count(F.lit(1)).cast("bigint").alias("events"),
@@ -141,9 +179,9 @@ def stream_ingest(spark, sf):
 def stream_window_counts(spark, sf):
     src = _land_events(spark, sf)
     root = scratch_path(spark, "gold-window-counts")
-    agg = J.windowed_counts(J.file_stream(spark, src, EVENTS_SCHEMA, max_files_per_trigger=4), "ts", "1 day",
+    agg = J.windowed_counts(J.file_stream(spark, src, EVENTS_SCHEMA, max_files_per_trigger=1), "ts", "1 day",
                             "31 days", ["event_type"])
-    J.run_to_completion(J.upsert_batches(agg, ["window_start", "event_type"], root, buckets=8))
+    J.run_to_completion(J.upsert_batches(agg, root))
     return J.read_table(spark, root, ["window_start", "event_type"], agg.schema)
 
 
@@ -163,7 +201,7 @@ FEED_SCHEMA = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructF
                SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM l WHERE _change_type <> 'delete'""")
 def stream_cdc_merge(spark, sf):
     """The change feed is landed one folder per commit version and streamed a few files per trigger, in
-    whatever order the files are listed; the keyed table applies newest-version-wins per key, so the result
+    whatever order the files are listed; readers take the newest version per key, so the result
     equals the feed's final state."""
     o = D.load(spark, sf, "orders")
     feed = D.orders_change_feed(o)
@@ -171,11 +209,22 @@ def stream_cdc_merge(spark, sf):
     feed.write.partitionBy("_commit_version").parquet(land)  # a version = a folder of files
     stream = spark.readStream.schema(FEED_SCHEMA).option("maxFilesPerTrigger", 4).parquet(land)
     root = scratch_path(spark, "silver-orders")
-    J.run_to_completion(J.apply_change_feed(stream, ["o_orderkey"], root, o.schema, buckets=16))
+    J.run_to_completion(J.apply_change_feed(stream, root, o.schema))
     return J.read_change_table(spark, root, ["o_orderkey"], o.schema)
 
 
-@query("stream_bookmark", ("R7",),
-       sql=f"SELECT 'orders_feed' AS source, 'silver.orders' AS target, max(_commit_version) AS last_version FROM ({S.ORDERS_FEED})")
+@query("stream_bookmark", ("R7", "S15"),
+       sql=f"""SELECT 'orders_feed' AS source, 'orders_history' AS target, max(_commit_version) AS last_version,
+                      CAST(count(*) AS BIGINT) AS changes, CAST(count(DISTINCT o_orderkey) AS BIGINT) AS keys
+               FROM ({S.ORDERS_FEED}) WHERE _change_type IN ('insert', 'update_postimage', 'delete')""")
 def stream_bookmark(spark, sf):
-    return J.bookmarks(D.orders_change_feed(D.load(spark, sf, "orders")), "orders_feed", "silver.orders")
+    """The change feed copied into a history table by a stream; the bookmark is what has arrived there."""
+    o = D.load(spark, sf, "orders")
+    land, root = scratch_path(spark, "landing-history"), scratch_path(spark, "orders-history")
+    D.orders_change_feed(o).write.parquet(land)
+    J.run_to_completion(J.apply_change_feed(J.file_stream(spark, land, FEED_SCHEMA, max_files_per_trigger=2), root, o.schema))
+    history = spark.read.parquet(root)
+    counts = history.agg(F.count(F.lit(1)).alias("changes"), F.count_distinct("o_orderkey").alias("keys"),
+                         F.max("_commit_version").alias("last_version"))
+    mark = J.applied_bookmark(spark, root, o.schema, "orders_feed", "orders_history")
+    return mark.join(counts, "last_version").select("source", "target", "last_version", "changes", "keys")

@@ -33,12 +33,14 @@ def capped(df: DataFrame, n: int, order: Sequence[Column | str] | None = None) -
     return (df.orderBy(*order) if order else df).limit(n)
 
 
-def random_sample(df: DataFrame, n: int | None = None, fraction: float | None = None, seed: int = 42) -> DataFrame:
-    """``n`` rows uniformly at random (distributed top-k on a seeded random key) or a Bernoulli
-    ``fraction`` for large samples."""
+def random_sample(df: DataFrame, keys: Sequence[str] = (), n: int | None = None, fraction: float | None = None,
+                  seed: int = 42) -> DataFrame:
+    """The ``n`` rows that come first by the MD5 of seed and ``keys`` (distributed top-k; any engine can repeat
+    it), or a Bernoulli ``fraction`` for large samples."""
     if fraction is not None:
         return df.sample(fraction=fraction, seed=seed)
-    return df.orderBy(F.rand(seed)).limit(int(n))
+    named = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys or df.columns]
+    return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), *named).cast("binary")), *keys).limit(int(n))
 
 
 def json_envelope(spark: SparkSession, path: str, record_schema: T.StructType, field: str = "data",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.dedup import latest_per_key
@@ -18,15 +18,15 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def write_partitioned_fact(df: DataFrame, path: str, date_col: str, extra_keys: Sequence[str] = (),
                            mode: str = "overwrite") -> None:
     """Fact written partitioned by event month (and optionally a source key); dynamic partition
-    overwrite replaces only the months present in ``df``.  Rows are clustered by the partition columns
-    first so each task writes few files."""
+    overwrite replaces only the months present in ``df``.  Rows are rebalanced by the partition columns
+    first, so each task writes few files and adaptive execution splits a month that holds much of the fact."""
     out = df.withColumn("event_month", F.date_format(F.col(date_col), "yyyy-MM"))
     keys = [*extra_keys, "event_month"]
     spark = df.sparkSession
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        out.repartition(*keys).write.mode(mode).partitionBy(*keys).parquet(path)
+        out.hint("rebalance", *keys).write.mode(mode).partitionBy(*keys).parquet(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
@@ -42,11 +42,6 @@ def write_outputs(outputs: Mapping[str, DataFrame], root: str, mode: str = "appe
     return paths
 
 
-# Append-only run log; the current state of a run is its latest entry.
-RUN_LOG_COLUMNS = ("flow", "run_id", "status", "started_at", "finished_at", "message", "row_count", "logged_at")
-STATUS_RANK = {"Started": 0, "Succeeded": 1, "Failed": 1}
-
-
 def run_log_entries(runs: DataFrame, started: str = "started_at", finished: str = "finished_at") -> DataFrame:
     """S22 writer side: a 'Started' entry and a finish entry per run (append-only, no updates)."""
     start = runs.select("flow", "run_id", F.lit("Started").alias("status"), F.col(started).alias("started_at"),
@@ -62,7 +57,3 @@ def run_log_current(log: DataFrame) -> DataFrame:
     """S22 reader side: latest entry per (flow, run_id) = the 'update' of the original design."""
     rank = F.when(F.col("status") == "Started", 0).otherwise(1)
     return latest_per_key(log, ["flow", "run_id"], [F.col("logged_at"), rank])
-
-
-def as_of_column(ts: str) -> Column:
-    return F.to_timestamp_ntz(F.lit(ts))

@@ -15,10 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import load as L  # noqa: F401
 from ..operators.dedup import latest_per_key
 from ..session import scratch_path
-from .keyed_table import BucketedTable
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -64,68 +62,73 @@ def windowed_counts(stream: DataFrame, time_col: str, window: str, watermark: st
                     *[a for a in ("events", "value_sum") if a == "events" or value_col]))
 
 
-def upsert_batches(stream: DataFrame, keys: Sequence[str], table_root: str, checkpoint: str | None = None,
-                   trigger: str = "availableNow", output_mode: str = "update", buckets: int = 64) -> StreamingQuery:
-    """R3 (update) + R5: each micro-batch of updated rows replaces the rows of its keys in a bucketed keyed
-    table (see :class:`BucketedTable`); only the buckets a batch touches are rewritten."""
+def _write_epochs(stream: DataFrame, root: str, schema: T.StructType, shape: Callable[[DataFrame], DataFrame],
+                  checkpoint: str | None, trigger: str, output_mode: str) -> StreamingQuery:
+    """Every micro-batch overwrites its own folder ``epoch=<id>`` of a Parquet table, so a replayed batch is written
+    once.  Readers keep the newest row of a key; rewriting the folder compacted is an ordinary batch job."""
     spark = stream.sparkSession
-    cp = checkpoint or scratch_path(spark, "ckpt-upsert")
-    table = BucketedTable(spark, table_root, keys, stream.schema, buckets)
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{root}/epoch=-1")  # readable before any batch
+    cp = checkpoint or scratch_path(spark, "ckpt-epochs")
 
-    def merge(batch: DataFrame, epoch: int) -> None:
-        table.apply(batch, epoch, lambda old, b: old.join(b.select(*keys), list(keys), "left_anti").unionByName(b))
+    def write(batch: DataFrame, epoch: int) -> None:
+        shape(batch).select(*schema.names).write.mode("overwrite").parquet(f"{root}/epoch={epoch}")
 
-    w = stream.writeStream.outputMode(output_mode).option("checkpointLocation", cp).foreachBatch(merge)
+    w = stream.writeStream.outputMode(output_mode).option("checkpointLocation", cp).foreachBatch(write)
     return _trigger(w, trigger).start()
 
 
+def _read_epochs(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("epoch", T.LongType())])).parquet(root)
+
+
+def upsert_batches(stream: DataFrame, table_root: str, checkpoint: str | None = None, trigger: str = "availableNow",
+                   output_mode: str = "update") -> StreamingQuery:
+    """R3 (update) + R5: each micro-batch adds the new state of its keys (read with :func:`read_table`)."""
+    return _write_epochs(stream, table_root, stream.schema, lambda b: b, checkpoint, trigger, output_mode)
+
+
 def read_table(spark: SparkSession, table_root: str, keys: Sequence[str], schema: T.StructType) -> DataFrame:
-    """Current content of a table written by :func:`upsert_batches`."""
-    return BucketedTable(spark, table_root, keys, schema).read()
+    """Current content of a table written by :func:`upsert_batches`: the latest batch wins per key."""
+    t = _read_epochs(spark, table_root, schema)
+    return latest_per_key(t, keys, [F.col("epoch")]).drop("epoch")
 
 
 def _change_schema(schema: T.StructType, version_col: str) -> T.StructType:
-    return T.StructType(list(schema.fields) + [T.StructField(version_col, T.LongType()),
-                                               T.StructField("_deleted", T.BooleanType())])
+    return T.StructType([*schema.fields, T.StructField(version_col, T.LongType()),
+                         T.StructField("_deleted", T.BooleanType())])
 
 
-def apply_change_feed(feed_stream: DataFrame, keys: Sequence[str], table_root: str, schema: T.StructType,
-                      checkpoint: str | None = None, trigger: str = "availableNow",
-                      version_col: str = "_commit_version", change_col: str = "_change_type",
-                      buckets: int = 64) -> StreamingQuery:
-    """Stream a change feed into a keyed table, touching only the buckets of each micro-batch.
+def apply_change_feed(feed_stream: DataFrame, table_root: str, schema: T.StructType, checkpoint: str | None = None,
+                      trigger: str = "availableNow", version_col: str = "_commit_version",
+                      change_col: str = "_change_type") -> StreamingQuery:
+    """Stream a change feed into a keyed table, read with :func:`read_change_table`.
 
-    The table keeps each key's commit version and a tombstone for deletes, and
-    a batch wins per key only with a newer version (insert before delete at
-    one version, N13).  Applying batches is therefore order-independent and
-    idempotent: late or replayed files cannot roll a key back.  The checkpoint
-    holds the source offsets (the bookmark of what was applied).
+    The table keeps each change's commit version and a tombstone for deletes; a
+    key's newest version wins on reading (insert before delete at one version,
+    N13), so late, repeated or reordered files cannot roll a key back.
     """
-    spark = feed_stream.sparkSession
-    cp = checkpoint or scratch_path(spark, "ckpt-cdc")
-    full = _change_schema(schema, version_col)
-    table = BucketedTable(spark, table_root, keys, full, buckets)
-    cols = schema.names
-
-    def merge_rows(old: DataFrame, b: DataFrame) -> DataFrame:
-        ch = (b.where(F.col(change_col).isin("insert", "update_postimage", "delete"))
-              .select(*cols, F.col(version_col).cast("bigint").alias(version_col),
-                      (F.col(change_col) == "delete").alias("_deleted")))
-        prio = F.when(F.col("_deleted"), 0).otherwise(1)
-        return latest_per_key(old.unionByName(ch), keys, [F.col(version_col), prio])
-
-    def merge(batch: DataFrame, epoch: int) -> None:
-        table.apply(batch, epoch, merge_rows)
-
-    w = feed_stream.writeStream.option("checkpointLocation", cp).foreachBatch(merge)
-    return _trigger(w, trigger).start()
+    def changes(b: DataFrame) -> DataFrame:
+        return (b.where(F.col(change_col).isin("insert", "update_postimage", "delete"))
+                .select(*schema.names, F.col(version_col).cast("bigint").alias(version_col),
+                        (F.col(change_col) == "delete").alias("_deleted")))
+
+    return _write_epochs(feed_stream, table_root, _change_schema(schema, version_col), changes, checkpoint, trigger,
+                         "append")
 
 
 def read_change_table(spark: SparkSession, table_root: str, keys: Sequence[str], schema: T.StructType,
                       version_col: str = "_commit_version") -> DataFrame:
     """Live rows of a table written by :func:`apply_change_feed` (tombstones removed)."""
-    t = BucketedTable(spark, table_root, keys, _change_schema(schema, version_col)).read()
-    return t.where(~F.col("_deleted")).select(*schema.names)
+    t = _read_epochs(spark, table_root, _change_schema(schema, version_col))
+    prio = F.when(F.col("_deleted"), 0).otherwise(1)
+    last = latest_per_key(t, keys, [F.col(version_col), prio, F.col("epoch")])
+    return last.where(~F.col("_deleted")).select(*schema.names)
+
+
+def applied_bookmark(spark: SparkSession, table_root: str, schema: T.StructType, source: str, target: str,
+                     version_col: str = "_commit_version") -> DataFrame:
+    """The last commit version that has reached a table written by :func:`apply_change_feed`."""
+    return bookmarks(_read_epochs(spark, table_root, _change_schema(schema, version_col)), source, target, version_col)
 
 
 def bookmarks(feed: DataFrame, source: str, target: str, version_col: str = "_commit_version") -> DataFrame:

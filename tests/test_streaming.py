@@ -1,32 +1,60 @@
-"""Streaming tables: bucketed keyed table and out-of-order change application."""
+"""Streaming tables: upserts, replays and out-of-order change application."""
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from concord.session import scratch_path
 from concord.streaming import jobs as J
-from concord.streaming.keyed_table import BucketedTable
-
-
-def test_bucketed_table_touches_only_its_buckets(spark):
-    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
-    root = scratch_path(spark, "bt")
-    t = BucketedTable(spark, root, ["k"], schema, buckets=4)
-    upsert = lambda old, b: old.join(b.select("k"), "k", "left_anti").unionByName(b)
-    t.apply(spark.createDataFrame([(i, "a") for i in range(20)], schema), 0, upsert)
-    before = t._manifest()
-    t.apply(spark.createDataFrame([(0, "b")], schema), 1, upsert)
-    after = t._manifest()
-    changed = [b for b in after if after[b] != before.get(b)]
-    assert len(changed) == 1
-    got = {r.k: r.v for r in t.read().collect()}
-    assert len(got) == 20 and got[0] == "b" and got[1] == "a"
-    t.apply(spark.createDataFrame([(0, "c")], schema), 1, upsert)  # a replayed epoch is idempotent
-    assert t.read().count() == 20
+
+
+SCHEMA = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
+
+
+def _upserts(spark, root, checkpoint, land):
+    s = J.file_stream(spark, land, SCHEMA, max_files_per_trigger=1)
+    J.run_to_completion(J.upsert_batches(s, root, checkpoint=checkpoint, output_mode="append"))
+
+
+def test_upserted_table_keeps_the_newest_and_survives_a_replayed_epoch(spark):
+    import os
+
+    root, land, cp = (scratch_path(spark, x) for x in ("up", "up-land", "up-cp"))
+    spark.createDataFrame([(i, "a") for i in range(20)], SCHEMA).coalesce(1).write.parquet(land)
+    _upserts(spark, root, cp, land)
+    spark.createDataFrame([(0, "b")], SCHEMA).coalesce(1).write.mode("append").parquet(land)
+    _upserts(spark, root, cp, land)
+    rows = lambda: {r.k: r.v for r in J.read_table(spark, root, ["k"], SCHEMA).collect()}
+    assert len(rows()) == 20 and rows()[0] == "b" and rows()[1] == "a"
+    # the commit of the last batch is lost, so the engine runs it again
+    commits = cp.removeprefix("file:") + "/commits"
+    last = max((f for f in os.listdir(commits) if f.isdigit()), key=int)
+    for f in (last, f".{last}.crc"):
+        if os.path.exists(f"{commits}/{f}"):
+            os.remove(f"{commits}/{f}")
+    _upserts(spark, root, cp, land)
+    assert len(rows()) == 20 and rows()[0] == "b"
+    assert spark.read.parquet(root).count() == 21
+
+
+def test_a_failing_read_raises(spark):
+    import pytest
+
+    root = scratch_path(spark, "broken")
+    spark.createDataFrame([(1, "a")], SCHEMA).write.parquet(f"{root}/epoch=0")
+    path = root.removeprefix("file:")
+    import glob
+    for f in glob.glob(f"{path}/epoch=0/*.parquet"):
+        with open(f, "wb") as out:
+            out.write(b"no parquet")
+    for f in glob.glob(f"{path}/epoch=0/.*.crc"):
+        import os
+        os.remove(f)
+    with pytest.raises(Exception):
+        J.read_table(spark, root, ["k"], SCHEMA).collect()
 
 
 def test_change_table_is_order_independent(spark):
-    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
+    schema = SCHEMA
     fs = "k long, v string, _change_type string, _commit_version long"
     v1 = spark.createDataFrame([(1, "a", "insert", 1), (2, "b", "insert", 1)], fs)
     v2 = spark.createDataFrame([(1, "a", "delete", 2), (1, "a2", "insert", 2), (2, "b", "delete", 2)], fs)
@@ -35,7 +63,7 @@ def test_change_table_is_order_independent(spark):
     v2.write.parquet(land + "/v2")  # newer version lands first
     v1.write.parquet(land + "/v1")
     stream = spark.readStream.schema(fs).option("maxFilesPerTrigger", 1).parquet(land + "/*")
-    J.run_to_completion(J.apply_change_feed(stream, ["k"], root, schema, buckets=4))
+    J.run_to_completion(J.apply_change_feed(stream, root, schema))
     assert sorted(tuple(r) for r in J.read_change_table(spark, root, ["k"], schema).collect()) == [(1, "a2")]
 
 
@@ -70,7 +98,7 @@ def test_watermark_drops_late_rows(spark):
     spark.createDataFrame([(dt.datetime(2024, 1, 1, 5), "a")], sch).coalesce(1).write.mode("append").parquet(land)
     agg = J.windowed_counts(J.file_stream(spark, land, sch, max_files_per_trigger=1), "ts", "1 day", "1 day", ["k"])
     root = scratch_path(spark, "late-out")
-    J.run_to_completion(J.upsert_batches(agg, ["window_start", "k"], root, buckets=2))
+    J.run_to_completion(J.upsert_batches(agg, root))
     got = {(r.window_start.day, r.events) for r in J.read_table(spark, root, ["window_start", "k"], agg.schema).collect()}
     assert got == {(10, 2)}
 
