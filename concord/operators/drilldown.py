@@ -17,7 +17,6 @@ from .compare import pct
 # Verdict thresholds on the share of left keys missing on the right.
 CRITICAL_SHARE = 0.95
 SIGNIFICANT_SHARE = 0.05
-SAMPLING_THRESHOLD_ROWS = 100_000
 
 
 def current_records(df: DataFrame, current_col: str, deleted_col: str,
@@ -134,26 +133,19 @@ def date_window(df: DataFrame, date_col: str, cutoff: Column) -> DataFrame:
     return df.where(F.col(date_col) >= cutoff)
 
 
-def window_sample(left: DataFrame, right: DataFrame, date_col: str, threshold: int = SAMPLING_THRESHOLD_ROWS,
-                  mode: str = "shared") -> tuple[DataFrame, DataFrame]:
-    """Q10: when either side has more than ``threshold`` rows keep only the last month.
+def window_sample(left: DataFrame, right: DataFrame, date_col: str, mode: str = "shared") -> tuple[DataFrame, DataFrame]:
+    """Q10: both sides cut to their last month, at every size.
 
     ``mode="shared"`` (default, N4) cuts both sides at one date: the earlier of
     left max - 1 month and right max - 30 days.  ``mode="independent"`` keeps
-    the two cut-offs of the original (each side from its own max).  The
-    counts and maxima are scalar subqueries; no row data is collected.
+    the two cut-offs of the original (each side from its own max).  The maxima
+    are scalar subqueries; no row data is collected.
     """
-    n_l = left.select(F.count(F.lit(1))).scalar()
-    n_r = right.select(F.count(F.lit(1))).scalar()
-    big = (n_l > threshold) | (n_r > threshold)
     l_cut = F.add_months(left.select(F.max(F.col(date_col))).scalar(), -1)
     r_cut = F.date_sub(right.select(F.max(F.col(date_col))).scalar(), 30)
     if mode == "shared":
-        cut = F.least(l_cut, r_cut)
-        lc, rc = cut, cut
-    else:
-        lc, rc = l_cut, r_cut
-    return (left.where(~big | (F.col(date_col) >= lc)), right.where(~big | (F.col(date_col) >= rc)))
+        l_cut = r_cut = F.least(l_cut, r_cut)
+    return date_window(left, date_col, l_cut), date_window(right, date_col, r_cut)
 
 
 def year_scope_test(left: DataFrame, right: DataFrame, date_col: str) -> DataFrame:

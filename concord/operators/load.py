@@ -318,24 +318,21 @@ def hot_slice(df: DataFrame, date_col: str, as_of: Column, months: int = 6) -> D
 
 
 def guarded_dim_join(fact: DataFrame, dim: DataFrame, fact_sk: str, dim_sk: str,
-                     attrs: Sequence[str], default: object = "Unknown", broadcast_dim: bool | str = "auto",
-                     max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                     attrs: Sequence[str], default: object = "Unknown") -> DataFrame:
     """``LEFT JOIN dim ON sk = sk AND (sk > 0 OR sk IS NULL)`` with defaults on a miss (F8).
 
     The guard is applied to the dimension before the join (pushed into its
-    scan).  ``broadcast_dim="auto"`` broadcasts the dimension only when its
-    row count is proven below ``max_broadcast_rows``; ``True``/``False`` force it.
+    scan).  The join strategy is left to adaptive execution.  Fact rows whose
+    key cannot match (NULL, zero or negative: often the unknown member of much
+    of the fact) get a negative key from a hash of the row, which spreads them.
     """
-    from .sizing import broadcast_if_small
-
-    d = dim.where((F.col(dim_sk) > 0) | F.col(dim_sk).isNull()).select(F.col(dim_sk).alias("_dsk"), *attrs)
-    if broadcast_dim == "auto":
-        d = broadcast_if_small(d, max_broadcast_rows)
-    elif broadcast_dim:
-        d = F.broadcast(d)
-    j = fact.join(d, fact[fact_sk] == d["_dsk"], "left")
-    return j.select(*[fact[c] for c in fact.columns],
-                    *[F.coalesce(F.col(a), F.lit(default)).alias(a) for a in attrs])
+    d = dim.where(F.col(dim_sk) > 0).select(F.col(dim_sk).alias("_dsk"), *attrs)
+    spread = -1 - F.abs(F.hash(*fact.columns).cast("long"))
+    key = F.when(F.col(fact_sk) > 0, F.col(fact_sk).cast("long")).otherwise(spread)
+    f = fact.select("*", key.alias("_fsk"))
+    j = f.join(d, f["_fsk"] == d["_dsk"], "left")
+    return j.select(*[f[c] for c in fact.columns],
+                    *[F.coalesce(d[a], F.lit(default)).alias(a) for a in attrs])
 
 
 def surrogate_key(instance: Column | str | None, business_keys: Sequence[str], null_token: str = "-1",

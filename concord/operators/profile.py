@@ -25,7 +25,7 @@ STAT_SCHEMA = ("column_name string, type_family string, nulls bigint, distinct_v
                "len_min bigint, len_max bigint")
 STAT_COLS = ["nulls", "distinct_values", "num_min", "num_max", "num_avg", "date_min", "date_max",
              "len_min", "len_max"]
-TS_FMT = "yyyy-MM-dd HH:mm:ss"
+TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def _c(name: str) -> Column:
@@ -91,7 +91,10 @@ def column_stats(df: DataFrame, cols: Sequence[str] | None = None, families: dic
 
 def column_stats_compare(left: DataFrame, right: DataFrame, cols: Sequence[str] | None = None,
                          distinct: str = "exact", distinct_group: int = 8) -> DataFrame:
-    """Q3: stats of every common column on both sides, joined on the column (J4), with per-stat equality."""
+    """Q3: stats of every common column on both sides, joined on the column (J4), with per-stat equality.
+
+    Averages count as equal within a relative 1e-9: the order of a distributed sum of doubles is not fixed.
+    """
     cols = list(cols or sorted(set(left.columns) & set(right.columns)))
     fam = {f.name: TY.spark_family(f.dataType) for f in left.schema.fields}
     l = column_stats(left, cols, fam, distinct, distinct_group)
@@ -100,7 +103,10 @@ def column_stats_compare(left: DataFrame, right: DataFrame, cols: Sequence[str]
     r = r.select("column_name", *[F.col(k).alias(f"right_{k}") for k in STAT_COLS])
     same = None
     for k in STAT_COLS:
-        e = F.col(f"left_{k}").eqNullSafe(F.col(f"right_{k}"))
+        a, b = F.col(f"left_{k}"), F.col(f"right_{k}")
+        e = a.eqNullSafe(b)
+        if k == "num_avg":
+            e = e | F.coalesce(F.abs(a - b) <= 1e-9 * F.greatest(F.abs(a), F.abs(b)), F.lit(False))
         same = e if same is None else same & e
     return l.join(r, "column_name", "inner").withColumn("stats_match", same)
 

@@ -8,12 +8,16 @@ driver only loops over table names and collects one metrics row per table.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import types as TY
 from ..functions.normalize import null_non_finite
+from ..sources.catalog import as_left_catalogue, column_catalogue
 
 # Attribute types renamed "_<name>_value" on the source side.
 LOOKUP_TYPES = ("Lookup", "Customer", "Owner")
@@ -72,29 +76,59 @@ def cast_to_mapped(df: DataFrame, types: Mapping[str, str] | None = None) -> Dat
     return df.select(*[F.col(f"`{c}`").cast(t[c]).alias(c) if c in t else F.col(f"`{c}`") for c in df.columns])
 
 
+def mapped_types(spark: SparkSession, tables: Mapping[str, DataFrame]) -> dict[str, dict[str, str]]:
+    """Per table the DDL type of each column, from the tables' catalogue in the left system's types (metadata only).
+    A type the left system does not have keeps its own."""
+    cat = column_catalogue(spark, {n: d for n, d in tables.items() if d.columns})
+    left = as_left_catalogue(cat)
+    out: dict[str, dict[str, str]] = {}
+    for r in left.select("table_name", "column_name", mapped_type(left).alias("ddl")).collect():
+        out.setdefault(r["table_name"], {})[r["column_name"]] = r["ddl"]
+    return out
+
+
+def _verified(spark: SparkSession, path: str) -> tuple[int, int, float | None]:
+    """Rows, NULLs in numeric columns and the sum of all numeric values of a written table."""
+    back = spark.read.parquet(path)
+    numbers = [F.col(f"`{f.name}`") for f in back.schema.fields if isinstance(f.dataType, T.NumericType)]
+    zero = F.lit(0)
+    total = F.round(F.sum(sum((F.coalesce(c.cast("double"), F.lit(0.0)) for c in numbers), zero)), 2)
+    r = back.agg(F.count(F.lit(1)), F.sum(sum((c.isNull().cast("long") for c in numbers), zero)), total).first()
+    return r[0], r[1] or 0, r[2]
+
+
+REPORT = ("environment string, table_name string, status string, rows bigint, rows_read_back bigint, null_values bigint, "
+          "checksum double, types string, error string")
+
+
 def migrate_tables(spark: SparkSession, tables: Mapping[str, DataFrame], target_root: str,
                    environments: Sequence[str] = ("dev",), types: Mapping[str, Mapping[str, str]] | None = None,
-                   mode: str = "overwrite") -> DataFrame:
-    """M16 + S7 + S8: per environment and table create-or-replace from the mapped schema and copy.
+                   mode: str = "overwrite", at_once: int = 4) -> DataFrame:
+    """M16 + S7 + S8: per environment and table create-or-replace from the mapped schema, copy, and read back.
 
-    Returns one row per (environment, table): status ok / skipped (no
-    columns) / error, rows written (counted by an ``Observation`` during the
-    write, no second pass) and the error text.  Non-finite floats become NULL
-    on the way (F25).
+    Column types come from the left catalogue (``types`` overrides single columns); non-finite floats become NULL on the
+    way (F25).  One row per (environment, table): status ok / skipped (no columns) / error, rows written (counted during
+    the write), rows, numeric NULLs and the sum of all numbers as read back, and the whole error text.  The copies are
+    independent Spark jobs, ``at_once`` of them at a time.
     """
-    report = []
-    for env in environments:
-        for name, df in tables.items():
-            if not df.columns:
-                report.append((env, name, "skipped", 0, None))
-                continue
-            try:
-                out = null_non_finite(cast_to_mapped(df, (types or {}).get(name)))
-                obs = Observation(f"rows_{env}_{name}")
-                out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(
-                    f"{target_root.rstrip('/')}/{env}/{name}")
-                report.append((env, name, "ok", int(obs.get["rows"]), None))
-            except Exception as e:  # one failing table does not stop the batch
-                report.append((env, name, "error", 0, str(e)[:500]))
-    return spark.createDataFrame(report, "environment string, table_name string, status string, rows bigint, "
-                                         "error string")
+    ddl = mapped_types(spark, tables)
+
+    def copy(job: tuple[str, str]) -> tuple:
+        env, name = job
+        df = tables[name]
+        if not df.columns:
+            return (env, name, "skipped", 0, 0, None, None, None, None)
+        t = {**ddl.get(name, {}), **(types or {}).get(name, {})}
+        shown = ", ".join(f"{c} {t[c]}" for c in df.columns if c in t)
+        path = f"{target_root.rstrip('/')}/{env}/{name}"
+        try:
+            obs = Observation(f"rows_{env}_{name}")
+            out = null_non_finite(cast_to_mapped(df, t))
+            out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
+            return (env, name, "ok", int(obs.get["rows"]), *_verified(spark, path), shown, None)
+        except PySparkException as e:  # one failing table does not stop the batch
+            return (env, name, "error", 0, 0, None, None, shown, str(e))
+
+    with ThreadPoolExecutor(at_once) as pool:
+        report = list(pool.map(copy, [(env, name) for env in environments for name in tables]))
+    return spark.createDataFrame(report, REPORT)

@@ -99,7 +99,7 @@ def key_gap_verdict(spark, sf):
 def window_sample(spark, sf):
     o = D.load(spark, sf, "orders").select(F.col("o_orderdate").alias("d"))
     li = D.load(spark, sf, "lineitem").select(F.col("l_shipdate").alias("d"))
-    l, r = DD.window_sample(o, li, "d", threshold=0)
+    l, r = DD.window_sample(o, li, "d")
     return (l.agg(F.lit("left").alias("side"), F.count(F.lit(1)).cast("bigint").alias("rows"), F.min("d").alias("min_date"))
             .unionByName(r.agg(F.lit("right").alias("side"), F.count(F.lit(1)).cast("bigint").alias("rows"),
                                F.min("d").alias("min_date"))))

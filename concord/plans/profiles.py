@@ -9,39 +9,44 @@ from .registry import query, rounded
 
 _FAM = {"c_custkey": "numeric", "c_name": "string", "c_nationkey": "numeric", "c_acctbal": "numeric",
         "c_mktsegment": "string"}
+_ORDER_FAM = {"o_orderkey": "numeric", "o_custkey": "numeric", "o_orderstatus": "string", "o_totalprice": "numeric",
+              "o_orderdate": "date", "o_orderpriority": "string"}
+_STATS = ["nulls", "distinct_values", "num_min", "num_max", "num_avg", "date_min", "date_max", "len_min", "len_max"]
 
 
-def _stats_sql(src: str, prefix: str) -> str:
+def _stats_sql(src: str, prefix: str, fam: dict[str, str]) -> str:
     parts = []
-    for c, f in _FAM.items():
+    for c, f in fam.items():
         num = (f"min(CAST({c} AS DOUBLE)), max(CAST({c} AS DOUBLE)), avg(CAST({c} AS DOUBLE))" if f == "numeric"
                else "CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)")
+        day = (f"strftime(min({c}), '%Y-%m-%d %H:%M:%S.%f'), strftime(max({c}), '%Y-%m-%d %H:%M:%S.%f')" if f == "date"
+               else "CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR)")
         ln = (f"CAST(min(length({c})) AS BIGINT), CAST(max(length({c})) AS BIGINT)" if f == "string"
               else "CAST(NULL AS BIGINT), CAST(NULL AS BIGINT)")
         parts.append(f"SELECT '{c}' AS column_name, '{f}' AS type_family, CAST(count_if({c} IS NULL) AS BIGINT),"
-                     f" CAST(count(DISTINCT {c}) AS BIGINT), {num}, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), {ln}"
-                     f" FROM ({src})")
-    cols = ", ".join(f"{k} AS {prefix}{k}" for k in ["nulls", "distinct_values", "num_min", "num_max", "num_avg",
-                                                       "date_min", "date_max", "len_min", "len_max"])
-    names = "column_name, type_family, nulls, distinct_values, num_min, num_max, num_avg, date_min, date_max, len_min, len_max"
+                     f" CAST(count(DISTINCT {c}) AS BIGINT), {num}, {day}, {ln} FROM ({src})")
+    cols = ", ".join(f"{k} AS {prefix}{k}" for k in _STATS)
+    names = ", ".join(["column_name", "type_family", *_STATS])
     return f"SELECT column_name, type_family, {cols} FROM (SELECT * FROM (" + " UNION ALL ".join(parts) + f")) t({names})"
 
 
-def _stats_compare_sql() -> str:
-    l = _stats_sql("SELECT * FROM customer", "left_")
-    r = _stats_sql(S.CUSTOMER_RIGHT, "right_")
-    keys = ["nulls", "distinct_values", "num_min", "num_max", "num_avg", "date_min", "date_max", "len_min", "len_max"]
-    cols = ", ".join([f"round(l.left_{k}, 6) AS left_{k}" if k.startswith("num") else f"l.left_{k}" for k in keys]
-                     + [f"round(r.right_{k}, 6) AS right_{k}" if k.startswith("num") else f"r.right_{k}" for k in keys])
-    same = " AND ".join(f"l.left_{k} IS NOT DISTINCT FROM r.right_{k}" for k in keys)
-    return (f"SELECT l.column_name, l.type_family, {cols}, ({same}) AS stats_match "
+def stats_compare_sql(left: str, right: str, fam: dict[str, str]) -> str:
+    l, r = _stats_sql(left, "left_", fam), _stats_sql(right, "right_", fam)
+    cols = ", ".join([f"round(l.left_{k}, 6) AS left_{k}" if k.startswith("num") else f"l.left_{k}" for k in _STATS]
+                     + [f"round(r.right_{k}, 6) AS right_{k}" if k.startswith("num") else f"r.right_{k}" for k in _STATS])
+    same = " AND ".join(f"l.left_{k} IS NOT DISTINCT FROM r.right_{k}" for k in _STATS if k != "num_avg")
+    avg = ("(l.left_num_avg IS NOT DISTINCT FROM r.right_num_avg OR coalesce(abs(l.left_num_avg - r.right_num_avg) <= "
+           "1e-9 * greatest(abs(l.left_num_avg), abs(r.right_num_avg)), FALSE))")
+    return (f"SELECT l.column_name, l.type_family, {cols}, ({same} AND {avg}) AS stats_match "
             f"FROM ({l}) l JOIN ({r}) r ON l.column_name = r.column_name")
 
 
-@query("column_stats", ("Q3", "A2", "A3", "A4", "J4", "F6"), sql=_stats_compare_sql())
+@query("column_stats", ("Q3", "A2", "A3", "A4", "J4", "F6"), sql=f"""{stats_compare_sql("SELECT * FROM customer", S.CUSTOMER_RIGHT, _FAM)}
+               UNION ALL {stats_compare_sql("SELECT * FROM orders", S.ORDERS_RIGHT, _ORDER_FAM)}""")
 def column_stats(spark, sf):
-    c = D.load(spark, sf, "customer")
-    return rounded(P.column_stats_compare(c, D.customer_right(c)))
+    c, o = D.load(spark, sf, "customer"), D.load(spark, sf, "orders")
+    both = P.column_stats_compare(c, D.customer_right(c)).unionByName(P.column_stats_compare(o, D.orders_right(o)))
+    return rounded(both)
 
 
 def _numeric_sql(src: str, side: str, cols) -> str:

@@ -30,13 +30,11 @@ def test_mode_smallest_on_ties(spark):
 def test_month_end_window(spark):
     d = spark.createDataFrame([(dt.datetime(2024, 3, 31),), (dt.datetime(2024, 2, 29),), (dt.datetime(2024, 2, 28),)],
                               "d timestamp_ntz")
-    l, r = DD.window_sample(d, d, "d", threshold=0, mode="independent")
+    l, r = DD.window_sample(d, d, "d", mode="independent")
     assert l.count() == 2  # one month back from 03-31 is 02-29
     assert r.count() == 1  # 30 days back is 03-01
-    ls, rs = DD.window_sample(d, d, "d", threshold=0, mode="shared")
+    ls, rs = DD.window_sample(d, d, "d", mode="shared")
     assert ls.count() == rs.count() == 2
-    big_l, _ = DD.window_sample(d, d, "d", threshold=10)
-    assert big_l.count() == 3  # below the threshold nothing is sampled
 
 
 def test_yearly_counts_null_pct(spark):
@@ -46,13 +44,29 @@ def test_yearly_counts_null_pct(spark):
     assert y[2019].pct_diff is None and y[2019].left_rows == 0 and y[2020].diff == 0
 
 
+def test_stats_of_dates_that_differ_below_a_second_do_not_match(spark):
+    one = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 0, 0, 10_000),)], "t timestamp_ntz")
+    two = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 0, 0, 999_999),)], "t timestamp_ntz")
+    assert not P.column_stats_compare(one, two).collect()[0].stats_match
+    assert P.column_stats_compare(one, one).collect()[0].stats_match
+
+
+def test_guarded_join_of_unknown_members(spark):
+    from concord.operators import load as L
+
+    fact = spark.createDataFrame([(1, 5), (2, 6), (None, 7), (0, 8), (-1, 9), (99, 1)], "sk int, v int")
+    dim = spark.createDataFrame([(1, "a"), (2, None), (0, "zero"), (-1, "neg"), (None, "none")], "sk int, name string")
+    got = sorted((r.v, r.name) for r in L.guarded_dim_join(fact, dim, "sk", "sk", ["name"]).collect())
+    assert got == [(1, "Unknown"), (5, "a"), (6, "Unknown"), (7, "Unknown"), (8, "Unknown"), (9, "Unknown")]
+
+
 def test_column_stats_one_pass(spark):
     df = spark.createDataFrame([(1, "ab", None), (None, "abcd", dt.datetime(2024, 1, 1))],
                                "n int, s string, t timestamp_ntz")
     st = {r.column_name: r for r in P.column_stats(df).collect()}
     assert st["n"].nulls == 1 and st["n"].num_max == 1.0
     assert st["s"].len_min == 2 and st["s"].len_max == 4
-    assert st["t"].date_min == "2024-01-01 00:00:00"
+    assert st["t"].date_min == "2024-01-01 00:00:00.000000"
 
 
 def test_distinct_groups_agree(spark):
