@@ -18,11 +18,6 @@ def display_name(code: Column, name: Column, sep: str = " - ") -> Column:
     return F.concat_ws(sep, F.upper(F.trim(code)), F.trim(name))
 
 
-def strip_display_prefix(text: Column, sep: str = " - ") -> Column:
-    """F5 inverse: text after the first separator (whole text when there is none)."""
-    return F.when(F.instr(text, sep) > 0, F.substring_index(text, sep, -1)).otherwise(text)
-
-
 def safe_pct(num: Column, den: Column, default: float | None = None) -> Column:
     """100*num/den, ``default`` when den is 0 or NULL (ANSI-safe)."""
     v = F.try_divide(num.cast("double") * 100.0, den.cast("double"))

@@ -107,14 +107,14 @@ DEFAULT_ROUNDINGS = (6, 3)
 
 def row_match_scenarios(left: DataFrame, right: DataFrame, cols: Sequence[str] | None = None,
                         round_decimals: Sequence[int] = DEFAULT_ROUNDINGS) -> DataFrame:
-    """Row match under several normalisations in ONE scan and ONE shuffle (Q6).
+    """Row match under several normalisations: each side scanned once, one shuffle of fingerprints (Q6).
 
     Scenarios: baseline, trim_strings, trim_upper_strings,
     baseline_excluding_datetime_float, right_deduped (exact duplicates on the
     right removed), round_float_<d>dp.  Every row emits one fingerprint per
     scenario (explode), the union of both sides is grouped by
-    (scenario, fingerprint) and the de-duplicated scenario is read off the
-    baseline groups with the right count clipped at 1.
+    (scenario, fingerprint) and each baseline group is also counted for the
+    de-duplicated scenario, with the right count clipped at 1.
     """
     cols = list(cols if cols is not None else sorted(set(left.columns) & set(right.columns)))
     l = N.normalise_types(left.select(*[F.col(f"`{c}`") for c in cols]))
@@ -152,12 +152,16 @@ def row_match_scenarios(left: DataFrame, right: DataFrame, cols: Sequence[str] |
     counts = (explode_side(l, True).unionByName(explode_side(r, False))
               .groupBy("scenario", "h1", "h2").agg(F.sum("_l").alias("l_cnt"), F.sum("_r").alias("r_cnt")))
     dedup_id = len(scen)
-    dedup = (counts.where(F.col("scenario") == 0)
-             .select(F.lit(dedup_id).cast("tinyint").alias("scenario"), "h1", "h2", "l_cnt",
-                     F.least(F.col("r_cnt"), F.lit(1)).alias("r_cnt")))
+
+    def as_scenario(number: Column, right: Column) -> Column:
+        return F.struct(number.cast("tinyint").alias("scenario"), F.col("l_cnt"), right.alias("r_cnt"))
+
+    own = as_scenario(F.col("scenario"), F.col("r_cnt"))
+    both = F.array(own, as_scenario(F.lit(dedup_id), F.least(F.col("r_cnt"), F.lit(1))))
+    groups = counts.select(F.explode(F.when(F.col("scenario") == 0, both).otherwise(F.array(own))).alias("g")).select("g.*")
     names = F.create_map(*[x for i, (n, _) in enumerate(scen) for x in (F.lit(i).cast("tinyint"), F.lit(n))],
                          F.lit(dedup_id).cast("tinyint"), F.lit("right_deduped"))
-    m = _match_metrics(counts.unionByName(dedup), group=["scenario"])
+    m = _match_metrics(groups, group=["scenario"])
     return m.withColumn("scenario", names[F.col("scenario")])
 
 

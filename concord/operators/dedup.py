@@ -35,18 +35,21 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
 
 
 def drop_exact_duplicates(df: DataFrame, cols: Sequence[str] | None = None, newest: Column | None = None,
-                          tie_break: Sequence[Column] = ()) -> DataFrame:
-    """One row per row-hash of ``cols`` (NULL-masked), newest ``newest`` first.
+                          tie_break: Sequence[Column] = (), keep: Sequence[str] | None = None) -> DataFrame:
+    """One row per row-hash of ``cols`` (NULL-masked), newest ``newest`` first; the columns ``keep`` (default all).
 
-    Without ``newest`` this is ``dropDuplicates(cols)``.
+    Without ``newest`` this is ``dropDuplicates(cols)``.  Only fingerprints and kept columns are shuffled, so
+    long compared columns that are not kept never leave their scan.
     """
-    cols = list(cols or df.columns)
+    cols, keep = list(cols or df.columns), list(keep or df.columns)
     if newest is None:
-        return df.dropDuplicates(cols)
+        return df.dropDuplicates(cols).select(*[F.col(f"`{c}`") for c in keep])
     h1, h2 = N.row_fingerprint(cols)
-    withh = df.select("*", h1.alias("_h1"), h2.alias("_h2"))
-    out = latest_per_key(withh, ["_h1", "_h2"], [newest, *tie_break])
-    return out.drop("_h1", "_h2")
+    order = [newest, *tie_break]
+    withh = df.select(*[F.col(f"`{c}`") for c in keep], h1.alias("_h1"), h2.alias("_h2"),
+                      *[o.alias(f"_by{i}") for i, o in enumerate(order)])
+    by = [F.col(f"_by{i}") for i in range(len(order))]
+    return latest_per_key(withh, ["_h1", "_h2"], by).select(*[F.col(f"`{c}`") for c in keep])
 
 
 def latest_change(feed: DataFrame, keys: Sequence[str], version_col: str = "_commit_version",

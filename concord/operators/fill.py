@@ -40,13 +40,12 @@ def forward_fill(df: DataFrame, keys: Sequence[str], order_col: str, cols: Seque
     the carry for every later bucket up to the next bucket that has data.
     """
     keys = list(keys)
-    b = df.select("*", _bucket(order_col, bucket).alias("_bkt"))
-    if flag_col:
-        b = b.withColumn(flag_col, F.when(F.col(cols[0]).isNull(), 1).otherwise(0))
     order = [F.col(order_col), *tie_break]
-    w_local = Window.partitionBy(*keys, "_bkt").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = b.select(*[c for c in b.columns if c not in cols],
-                     *[F.last(F.col(c), ignorenulls=True).over(w_local).alias(c) for c in cols])
+    so_far = (Window.partitionBy(*keys, "_bkt").orderBy(*order)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    flag = {flag_col: F.col(cols[0]).isNull().cast("int")} if flag_col else {}
+    local = df.withColumns({"_bkt": _bucket(order_col, bucket), **flag}).withColumns(
+        {c: F.last_value(c, F.lit(True)).over(so_far) for c in cols})
     if values_from is not None:
         if until is None:
             raise ValueError("until is required with values_from")

@@ -163,22 +163,26 @@ def split_counts(split: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ M4 delta load
 
-def delta_load(target: DataFrame, feed: DataFrame, keys: Sequence[str], watermark: int,
+def delta_load(target: DataFrame, feed: DataFrame, keys: Sequence[str], start_version: int,
                version_col: str = "_commit_version", change_col: str = "_change_type",
                event_filter: Column | None = None) -> DataFrame:
-    """M4: feed rows after ``watermark`` -> latest change per key (W3) -> IsDelete -> apply.
+    """M4: feed rows from ``start_version`` on, that version included (S13) -> latest change per key (W3) ->
+    IsDelete -> apply.
 
-    Target keys touched by the feed are replaced by their latest image
-    (or removed when the latest change is a delete); other rows stay.
+    One full join of the target and the latest changes: a key with a change
+    becomes its latest image, or goes when that is a delete; others stay.
     """
-    f = feed.where(F.col(version_col) > watermark)
+    f = feed.where(F.col(version_col) >= start_version)
     if event_filter is not None:
         f = f.where(event_filter)
     latest = latest_change(f, keys, version_col, change_col=change_col)
-    latest = latest.withColumn("is_delete", F.col(change_col) == "delete")
-    untouched = target.join(latest.select(*keys), list(keys), "left_anti")
-    upserts = latest.where(~F.col("is_delete")).select(*target.columns)
-    return untouched.unionByName(upserts)
+    image = F.struct(*[F.col(f"`{c}`") for c in target.columns])
+    change = latest.select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)], image.alias("_new"),
+                           (F.col(change_col) == "delete").alias("is_delete"))
+    j = target.join(change, [F.col(f"`{k}`") == F.col(f"_k{i}") for i, k in enumerate(keys)], "full")
+    return (j.where(~F.coalesce("is_delete", F.lit(False)))
+            .select(*[F.when(F.col("_new").isNotNull(), F.col(f"_new.`{c}`")).otherwise(F.col(f"`{c}`")).alias(c)
+                      for c in target.columns]))
 
 
 def is_empty(df: DataFrame) -> bool:
@@ -217,12 +221,18 @@ def conditional_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]
 def watermark_load(target: DataFrame, source: DataFrame, keys: Sequence[str], modified_col: str,
                    last_watermark: Column, delete_missing: bool = False) -> DataFrame:
     """M7: upsert source rows with ``modified > last``; never delete.
-    M8 (``delete_missing=True``): also drop target keys absent from the full source key list."""
-    changed = source.where(F.col(modified_col) > last_watermark)
-    new_target, _ = full_merge(target, changed, keys, delete=False)
-    if delete_missing:
-        new_target = new_target.join(source.select(*keys), list(keys), "left_semi")
-    return new_target
+    M8 (``delete_missing=True``): also drop target keys absent from the full source key list; the list and the
+    changed rows come from one pass over the source, joined once."""
+    newer = F.col(modified_col) > last_watermark
+    if not delete_missing:
+        return full_merge(target, source.where(newer), keys, delete=False)[0]
+    image = F.when(newer, F.struct(*[F.col(f"`{c}`") for c in target.columns]))
+    listed = source.select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)], image.alias("_new"))
+    same = [F.col(f"`{k}`") == F.col(f"_k{i}") for i, k in enumerate(keys)]
+    held = target.select("*", F.lit(True).alias("_held"))
+    j = listed.join(held, same, "left").where(F.col("_new").isNotNull() | F.col("_held"))
+    return j.select(*[F.when(F.col("_new").isNotNull(), F.col(f"_new.`{c}`")).otherwise(F.col(f"`{c}`")).alias(c)
+                      for c in target.columns])
 
 
 def forward_append(target: DataFrame, source: DataFrame, wm_col: str, last_watermark: Column) -> DataFrame:
@@ -347,12 +357,6 @@ def surrogate_key(instance: Column | str | None, business_keys: Sequence[str], n
     return F.md5(text) if algorithm == "md5" else F.xxhash64(text)
 
 
-def add_system_columns(df: DataFrame, source_name: str, as_of: Column) -> DataFrame:
-    """sys_data_quality NULL, sys_is_active 1, created/updated time, data source."""
-    return df.withColumns({
-        "sys_data_quality": F.lit(None).cast("string"),
-        "sys_is_active": F.lit(1).cast("tinyint"),
-        "sys_created_datetime": as_of,
-        "sys_updated_datetime": as_of,
-        "sys_data_source": F.lit(source_name),
-    })
+def add_system_columns(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Technical columns (source, load time, validity, quality mark), under the caller's names."""
+    return df.withColumns(dict(columns))

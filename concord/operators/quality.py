@@ -19,11 +19,6 @@ def load_smoke_check(df: DataFrame, keys: Sequence[str], value_col: str) -> Data
                   F.min(value_col).alias("min_value"), F.max(value_col).alias("max_value"))
 
 
-def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Q15: keys occurring more than once, with their count (``groupBy.count > 1``)."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).cast("bigint").alias("n")).where(F.col("n") > 1)
-
-
 def measure_parity(left: DataFrame, right: DataFrame, period: Column | str, measures: dict[str, Column],
                    tolerance_pct: float = 0.0) -> DataFrame:
     """Q14: base measures per period on both sides, diff %, within tolerance, and 'two clean cycles in a row'.

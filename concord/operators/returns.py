@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .fill import asof_join
-
 # Look-back periods in years and the day count of a year.
 LOOKBACK_YEARS = (1, 2, 3, 4, 5)
 DAYS_PER_YEAR = 365.25
@@ -31,17 +29,23 @@ def lookback_returns(prices: DataFrame, by: Sequence[str], date_col: str = "date
                      years: Sequence[int] = LOOKBACK_YEARS) -> DataFrame:
     """V7: for each series and look-back y, target = latest date - int(365.25*y) days (N21); start = the
     latest price at or before the target (as-of, J12); total and annualised return.  Look-backs with no
-    earlier price are omitted."""
-    p = prices.where(F.col(price_col).isNotNull())
-    latest = p.groupBy(*by).agg(F.max(date_col).alias("end_date"), F.max_by(price_col, date_col).alias("end_price"))
-    periods = F.array(*[F.struct(F.lit(y).alias("period_years"), F.lit(int(y * DAYS_PER_YEAR)).alias("days"))
-                        for y in years])
-    targets = (latest.select(*by, "end_date", "end_price", F.explode(periods).alias("p"))
-               .select(*by, "end_date", "end_price", F.col("p.period_years").alias("period_years"),
-                       F.date_sub(F.col("end_date"), F.col("p.days")).cast("timestamp_ntz").alias("target_date")))
-    right = p.select(*by, F.col(date_col).cast("timestamp_ntz").alias("_d"), F.col(price_col).alias("start_price"))
-    j = asof_join(targets, right, by, "target_date", "_d", ["start_price"])
-    j = j.where(F.col("asof__d").isNotNull()).withColumnRenamed("asof__d", "start_date")
+    earlier price are omitted.
+
+    The latest row of each series is joined to its prices, and all look-backs are picked in one aggregate
+    (``max_by`` over the prices not after the target), which combines partially: a long series is never
+    one task's window.
+    """
+    p = prices.where(F.col(price_col).isNotNull()).select(*by, F.col(date_col).alias("_d"), F.col(price_col).alias("_p"))
+    latest = p.groupBy(*by).agg(F.max("_d").alias("end_date"), F.max_by("_p", "_d").alias("end_price"))
+    target = {y: F.date_sub(F.col("end_date"), int(y * DAYS_PER_YEAR)).cast("timestamp_ntz") for y in years}
+    picked = (p.join(latest, list(by)).groupBy(*by, "end_date", "end_price")
+              .agg(*[F.max_by(F.struct("_d", "_p"), F.when(F.col("_d") <= target[y], F.col("_d"))).alias(f"_s{y}")
+                     for y in years]))
+    starts = F.explode(F.array(*[F.struct(F.lit(y).alias("period_years"), target[y].alias("target_date"),
+                                          F.col(f"_s{y}").alias("start")) for y in years]))
+    j = (picked.select(*by, "end_date", "end_price", starts.alias("x")).where(F.col("x.start").isNotNull())
+         .select(*by, "end_date", "end_price", "x.period_years", "x.target_date",
+                 F.col("x.start._d").cast("timestamp_ntz").alias("start_date"), F.col("x.start._p").alias("start_price")))
     act = F.datediff(F.col("end_date"), F.col("start_date")) / F.lit(DAYS_PER_YEAR)
     ratio = F.try_divide(F.col("end_price"), F.col("start_price"))
     return j.select(*by, "period_years", "target_date", "start_date", "start_price", "end_date", "end_price",

@@ -14,18 +14,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .fill import forward_fill
 
 
 # ------------------------------------------------------------------ F2 names
 
+#: What a cleaned name may hold, and the mark that stands for anything else.
+NAME_CHARS, NAME_MARK = "a-zA-Z0-9_", "_"
+
+
 def clean_name(c: Column, strip_edges: bool = False) -> Column:
-    """Non [a-zA-Z0-9_] -> '_', runs of '_' collapsed, then trimmed (N12: edge underscores kept unless asked)."""
-    x = F.regexp_replace(F.regexp_replace(c, r"[^a-zA-Z0-9_]", "_"), r"_+", "_")
-    x = F.trim(x)
-    if strip_edges:
-        x = F.regexp_replace(x, r"^_+|_+$", "")
-    return x
+    """Each run of other characters and marks becomes one mark (N12: edge marks stay unless asked)."""
+    one = F.regexp_replace(c, f"([^{NAME_CHARS}]|{NAME_MARK})+", NAME_MARK)
+    return F.trim(F.lit(NAME_MARK), one) if strip_edges else one
 
 
 def add_cleaned_name(df: DataFrame, strip_edges: bool = False) -> DataFrame:
@@ -46,12 +48,10 @@ def _is_ntz(df: DataFrame, col: str) -> bool:
 
 
 def median_of_sorted(values: Column) -> Column:
-    """Median of a sorted array; NULL for an empty array (N9: ``get`` never raises)."""
-    n = F.array_size(values)
-    mid = F.floor(n / 2).cast("int")
-    odd = F.get(values, mid)
-    even = (F.get(values, mid - 1) + F.get(values, mid)) / 2.0
-    return F.when(n == 0, F.lit(None).cast("double")).when(n % 2 == 1, odd).otherwise(even)
+    """Median of a sorted array: the mean of the values at both middle ranks; NULL for an empty array."""
+    low, high = F.floor((F.array_size(values) - 1) / 2).cast("int"), F.floor(F.array_size(values) / 2).cast("int")
+    a, b = F.get(values, low), F.get(values, high)
+    return F.when(low == high, a).otherwise((a + b) / 2.0).cast("double")
 
 
 def grain_lists(stream: DataFrame, grain: str = "second") -> DataFrame:
@@ -86,17 +86,16 @@ def with_median(df: DataFrame, col: str = "values") -> DataFrame:
 
 # ------------------------------------------------------------------ V2 grid
 
-def dense_grid(names: DataFrame, start: Column, end: Column, step: str = "1 hour",
-               chunk: str = "1 day") -> DataFrame:
-    """Every name x every step in [start, end], built as half-open chunks.
+def dense_grid(names: DataFrame, end: Column, step: str = "1 hour", chunk: str = "1 day") -> DataFrame:
+    """Every name x every step from the name's own ``start`` to ``end``, in half-open chunks.
 
-    ``names`` has one row per name; ``start``/``end`` are scalar columns.
+    ``names`` has one row (name, start) per name; ``end`` is a scalar column.
     One row per (name, chunk) is produced first and spread over the cluster,
     then each chunk row is exploded into its steps.
     """
     st = F.expr(f"INTERVAL {step}")
     ck = F.expr(f"INTERVAL {chunk}")
-    chunks = names.select("name", F.explode(F.sequence(start, end, ck)).alias("_cs"))
+    chunks = names.where(F.col("start") <= end).select("name", F.explode(F.sequence(F.col("start"), end, ck)).alias("_cs"))
     n_parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = chunks.repartition(n_parts, "name", "_cs")
     last = F.least(F.col("_cs") + ck - st, end)
@@ -105,10 +104,10 @@ def dense_grid(names: DataFrame, start: Column, end: Column, step: str = "1 hour
 
 # ------------------------------------------------------------------ V3 / V5 full run
 
-def fill_on_grid(lists: DataFrame, names: DataFrame, start: Column, end: Column, step: str,
-                 chunk: str = "1 day", fill_bucket: str = "day", cols: Sequence[str] = ("values", "median")) -> DataFrame:
+def fill_on_grid(lists: DataFrame, names: DataFrame, end: Column, step: str, chunk: str = "1 day",
+                 fill_bucket: str = "day", cols: Sequence[str] = ("values", "median")) -> DataFrame:
     """J9 + W4: left join the grid to the lists and forward fill ``cols`` per name (the first one flags)."""
-    grid = dense_grid(names, start, end, step, chunk)
+    grid = dense_grid(names, end, step, chunk)
     j = grid.join(lists, ["name", "timestamp"], "left")
     return forward_fill(j, ["name"], "timestamp", list(cols), "forward_filled", bucket=fill_bucket,
                         values_from=lists, until=end)
@@ -118,6 +117,8 @@ def sensor_long(stream: DataFrame, grain: str = "second", step: str = "1 second"
                 fill_bucket: str = "day", strip_edges: bool = False, keep_values: bool = True) -> DataFrame:
     """V5 full run -> (name, timestamp, forward_filled, values, median, name_cleaned).
 
+    A name's rows run from its own first reading to the last reading of all.
+
     ``keep_values=False`` replaces the per-grain value list by its size
     ``n_values`` and computes the median without collecting any group (for
     tags whose rate makes a single list too large for one task).
@@ -125,29 +126,30 @@ def sensor_long(stream: DataFrame, grain: str = "second", step: str = "1 second"
     lists = grain_lists(stream, grain) if keep_values else grain_medians(stream, grain)
     first = "values" if keep_values else "n_values"
     # names and bounds straight from the input (truncation is monotone): no extra pass over the lists
-    names = stream.select("name").distinct()
     ntz = _is_ntz(stream, "timestamp")
-    start = truncate(stream.select(F.min("timestamp")).scalar(), grain, ntz)
+    names = stream.groupBy("name").agg(truncate(F.min("timestamp"), grain, ntz).alias("start"))
     end = truncate(stream.select(F.max("timestamp")).scalar(), grain, ntz)
-    out = fill_on_grid(lists, names, start, end, step, chunk, fill_bucket, cols=[first, "median"])
+    out = fill_on_grid(lists, names, end, step, chunk, fill_bucket, cols=[first, "median"])
     return add_cleaned_name(out.select("name", "timestamp", "forward_filled", first, "median"), strip_edges)
 
 
 # ------------------------------------------------------------------ V4 wide + map
 
-def sensor_wide(long: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+def sensor_wide(long: DataFrame, names: Sequence[str]) -> DataFrame:
     """One row per timestamp, one column per cleaned name (max on collisions, N12).
 
-    Pass ``names`` (the expected columns) to skip the distinct-values job.
+    ``names`` are the expected columns (a fixed, bounded set: for unbounded tags keep the long form).  A name
+    outside them raises when the query runs; it does not vanish.
     """
-    if names is None:
-        names = [r[0] for r in long.select("name_cleaned").distinct().orderBy("name_cleaned").collect()]
-    return long.groupBy("timestamp").pivot("name_cleaned", list(names)).agg(F.max("median"))
+    unknown = F.raise_error(F.concat(F.lit("unexpected sensor name: "), F.coalesce("name_cleaned", F.lit("NULL"))))
+    known = F.when(F.col("name_cleaned").isin(*names), F.col("name_cleaned")).otherwise(unknown.cast("string"))
+    return (long.select("timestamp", known.alias("name_cleaned"), "median")
+            .groupBy("timestamp").pivot("name_cleaned", list(names)).agg(F.max("median")))
 
 
-def name_map(long: DataFrame) -> DataFrame:
-    """V4: distinct (name, name_cleaned)."""
-    return long.select("name", "name_cleaned").distinct()
+def name_map(names: DataFrame, strip_edges: bool = False) -> DataFrame:
+    """V4: distinct (name, name_cleaned) of a stream or an output (a scan, no grid)."""
+    return add_cleaned_name(names.select("name").distinct(), strip_edges)
 
 
 # ------------------------------------------------------------------ M15 incremental
@@ -156,49 +158,53 @@ def sensor_incremental(prev_long: DataFrame, added: DataFrame, grain: str = "sec
                        chunk: str = "1 hour", fill_bucket: str = "day", strip_edges: bool = False) -> DataFrame:
     """New long output equal to a full run over old + added input.
 
-    ``prev_long`` is the stored previous output (it is read several times).
+    ``prev_long`` is the stored previous output; the added values are aggregated once and stored in the shared
+    folder, as both are read several times.
 
-    Rows before the region start are kept.  The region starts at
-    min(first added time, previous end + step).  Inside it the raw lists
-    (rows of the previous output that were not forward-filled) are
-    concatenated with the added values per (name, time) (J7), re-sorted and
-    re-medianed, laid on the grid and filled, seeded with each name's last
-    previous row before the region.  Names seen for the first time get the
-    whole grid from the global start.
+    Each name is recomputed from its own region start: its first added time
+    or, without added values, the step after the previous end.  Rows before
+    it are kept.  Inside the region the raw lists (rows of the previous
+    output that were not forward-filled) are concatenated with the added
+    values per (name, time) (J7), re-sorted and re-medianed, laid on the grid
+    and filled, seeded with the name's last previous row before the region.
     """
+    spark = prev_long.sparkSession
     st = F.expr(f"INTERVAL {step}")
-    new_lists = grain_lists(added, grain).select("name", "timestamp", F.col("values").alias("added_values"))
-    threshold = new_lists.select(F.min("timestamp")).scalar()
+    path = scratch_path(spark, "sensor-added")
+    grain_lists(added, grain).select("name", "timestamp", F.col("values").alias("added_values")).write.parquet(path)
+    new_lists = spark.read.parquet(path)
     prev_end = prev_long.select(F.max("timestamp")).scalar()
-    prev_start = prev_long.select(F.min("timestamp")).scalar()
-    region_start = F.least(threshold, prev_end + st)
-    g_start = F.least(prev_start, threshold)
     g_end = F.greatest(prev_end, new_lists.select(F.max("timestamp")).scalar())
 
-    raw_prev = (prev_long.where((F.col("forward_filled") == 0) & (F.col("timestamp") >= region_start))
+    # per name: first row and region start (a name's rows start at its first reading, old or added)
+    firsts = (prev_long.select("name", F.col("timestamp").alias("_p"), F.lit(None).cast(new_lists.schema["timestamp"].dataType).alias("_a"))
+              .unionByName(new_lists.select("name", F.lit(None).cast(prev_long.schema["timestamp"].dataType).alias("_p"),
+                                            F.col("timestamp").alias("_a")))
+              .groupBy("name").agg(F.min("_p").alias("_p"), F.min("_a").alias("_a")))
+    region_start = F.least(F.col("_a"), prev_end + st)
+    path = scratch_path(spark, "sensor-regions")
+    firsts.select("name", region_start.alias("region"),
+                  F.greatest(region_start, F.least("_p", "_a")).alias("start")).write.parquet(path)
+    regions = spark.read.parquet(path)
+
+    prev = prev_long.join(regions.select("name", "region"), "name")
+    raw_prev = (prev.where((F.col("forward_filled") == 0) & (F.col("timestamp") >= F.col("region")))
                 .select("name", "timestamp", "values"))
+    empty = F.array().cast("array<double>")
     combined = (raw_prev.join(new_lists, ["name", "timestamp"], "full")
-                .select("name", "timestamp",
-                        F.concat(F.coalesce("values", F.array().cast("array<double>")),
-                                 F.coalesce("added_values", F.array().cast("array<double>"))).alias("values")))
+                .select("name", "timestamp", F.concat(F.coalesce("values", empty),
+                                                      F.coalesce("added_values", empty)).alias("values")))
     lists = with_median(combined)
-
-    old_names = prev_long.select("name").distinct()
-    all_names = old_names.unionByName(new_lists.select("name")).distinct()
-    new_names = all_names.join(old_names, "name", "left_anti")
-    grid_old = dense_grid(old_names, region_start, g_end, step, chunk)
-    grid_new = dense_grid(new_names, g_start, g_end, step, chunk)
-    region = grid_old.unionByName(grid_new).join(lists, ["name", "timestamp"], "left")
+    region = dense_grid(regions.select("name", "start"), g_end, step, chunk).join(lists, ["name", "timestamp"], "left")
     region = region.select("*", F.when(F.col("values").isNull(), 1).otherwise(0).alias("forward_filled"),
                            F.lit(1).alias("_keep"))
-    # seed: each old name's last row before the region (already filled) carries the fill in
-    seed = (prev_long.where(F.col("timestamp") < region_start)
-            .groupBy("name").agg(F.max_by(F.struct("values", "median", "timestamp"), "timestamp").alias("s"))
+    # seed: each name's last row before its region (already filled) carries the fill in
+    before = prev.where(F.col("timestamp") < F.col("region"))
+    seed = (before.groupBy("name").agg(F.max_by(F.struct("values", "median", "timestamp"), "timestamp").alias("s"))
             .select("name", F.col("s.timestamp").alias("timestamp"), F.col("s.values").alias("values"),
                     F.col("s.median").alias("median"), F.lit(0).alias("forward_filled"), F.lit(0).alias("_keep")))
     filled = forward_fill(region.unionByName(seed), ["name"], "timestamp", ["values", "median"], None,
                           bucket=fill_bucket)
     new_part = filled.where(F.col("_keep") == 1).select("name", "timestamp", "forward_filled", "values", "median")
-    kept = prev_long.where(F.col("timestamp") < region_start).select("name", "timestamp", "forward_filled",
-                                                                     "values", "median")
+    kept = before.select("name", "timestamp", "forward_filled", "values", "median")
     return add_cleaned_name(kept.unionByName(new_part), strip_edges)

@@ -35,9 +35,15 @@ def json_price_records(spark, sf):
                     F.col("price").cast("double").alias("price"))
 
 
-_LI_SQL = """SELECT page_id, CAST(generate_subscripts(items, 1) - 1 AS BIGINT) AS position,
-                    trim(regexp_replace(unnest(items), '<[^>]+>', '', 'g')) AS text
-             FROM (SELECT page_id, regexp_extract_all(html, '<li[^>]*>(.*?)</li>', 1) AS items FROM pages)"""
+# the items by cutting the page at its tags, not by the operator's own pattern
+_LI_SQL = """WITH c AS (SELECT page_id, unnest(string_split(html, '<li')[2:]) AS piece,
+                           generate_subscripts(string_split(html, '<li')[2:], 1) AS n FROM pages),
+                  i AS (SELECT page_id, n, split_part(substr(piece, instr(piece, '>') + 1), '</li>', 1) AS item
+                        FROM c WHERE (piece[1] = '>' OR piece[1] = ' ') AND instr(piece, '</li>') > 0),
+                  t AS (SELECT page_id, n, regexp_replace(item, '<[^>]+>', '', 'g') AS t FROM i)
+             SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY n) - 1 AS position,
+                    trim(regexp_replace(replace(replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
+                         '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\\s+', ' ', 'g')) AS text FROM t"""
 
 
 @query("html_list_items", ("S20",), sql=_LI_SQL)
@@ -52,6 +58,22 @@ def html_links(spark, sf):
     return RD.html_links(D.load(spark, sf, "pages"), "page_id", "html")
 
 
+@query("html_table_rows", ("S20",),
+       sql="""SELECT o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS position,
+                     CAST(o_orderkey AS VARCHAR) AS c1, o_orderpriority || ' & <' || o_orderstatus || '>' AS c2 FROM orders""")
+def html_table_rows(spark, sf):
+    """Each customer's orders as an HTML table (head, body, character references, cells over several lines), read back."""
+    o = D.load(spark, sf, "orders")
+    row = F.concat(F.lit("<tr class='o'>\n<td> "), F.col("o_orderkey").cast("string"), F.lit("</td><td><b>"),
+                   F.col("o_orderpriority"), F.lit("</b>\n &amp; &lt;"), F.col("o_orderstatus"), F.lit("&gt;</td></tr>"))
+    rows = F.array_sort(F.collect_list(F.struct("o_orderkey", row.alias("tr"))))
+    page = F.concat(F.lit("<table><thead><tr><th>Key</th><td>not a row</td></tr></thead><tbody>"),
+                    F.array_join(F.transform(rows, lambda x: x["tr"]), "\n"), F.lit("</tbody></table>"))
+    pages = o.groupBy("o_custkey").agg(page.alias("html"))
+    r = RD.html_table_rows(pages, "o_custkey", "html")
+    return r.select("o_custkey", "position", F.get("cells", 0).alias("c1"), F.get("cells", 1).alias("c2"))
+
+
 @query("csv_roundtrip", ("S6", "S21", "S1"),
        sql="SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer WHERE c_acctbal > 0")
 def csv_roundtrip(spark, sf):

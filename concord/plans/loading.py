@@ -89,9 +89,9 @@ def latest_change(spark, sf):
 def delta_load(spark, sf):
     o = D.load(spark, sf, "orders")
     feed = D.orders_change_feed(o)
-    # M6: an empty target (first run) or a forced reload takes the whole feed (watermark 0)
-    watermark = 0 if L.load_mode(o) == "full" else 1
-    return L.delta_load(o, feed, ["o_orderkey"], watermark=watermark)
+    # M6: an empty target (first run) or a forced reload takes the whole feed; version 1 is the last one applied
+    start = 0 if L.load_mode(o) == "full" else 2
+    return L.delta_load(o, feed, ["o_orderkey"], start_version=start)
 
 
 @query("change_history", ("W7", "S14"),
@@ -121,7 +121,7 @@ def change_counts(spark, sf):
                 SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id DESC) AS rn FROM documents) WHERE rn = 1""")
 def dedup_documents(spark, sf):
     d = D.load(spark, sf, "documents")
-    return DU.drop_exact_duplicates(d, ["text"], newest=F.col("doc_id")).select("doc_id", "lang", "source", "n_chars")
+    return DU.drop_exact_duplicates(d, ["text"], newest=F.col("doc_id"), keep=["doc_id", "lang", "source", "n_chars"])
 
 
 _WM = "(SELECT max(o_orderdate) FROM orders)"
@@ -237,8 +237,8 @@ def guarded_dim_join(spark, sf):
 
 @query("conformed_dimension", ("U2", "F23", "P11", "Q15", "N23"),
        sql="""SELECT md5(src || '|' || coalesce(CAST(c_custkey AS VARCHAR), '-1')) AS hk, CAST(c_custkey AS VARCHAR) AS bk, c_name,
-                     CAST(NULL AS VARCHAR) AS sys_data_quality, CAST(1 AS TINYINT) AS sys_is_active,
-                     TIMESTAMP '2024-01-01 00:00:00' AS sys_updated_datetime, src AS sys_data_source
+                     src AS loaded_from, TIMESTAMP '2024-01-01 00:00:00' AS loaded_at, TRUE AS in_use,
+                     CAST(NULL AS VARCHAR) AS remarks
               FROM (SELECT *, CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN 'SRC_A' ELSE 'SRC_B' END AS src FROM customer)""")
 def conformed_dimension(spark, sf):
     c = D.load(spark, sf, "customer")
@@ -249,7 +249,8 @@ def conformed_dimension(spark, sf):
             F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), F.lit(False))
         sl = c.where(seg).select(L.surrogate_key(name, ["c_custkey"], algorithm="md5").alias("hk"),
                                  F.col("c_custkey").cast("string").alias("bk"), "c_name")
-        slices.append(L.add_system_columns(sl, name, as_of).drop("sys_created_datetime"))
+        slices.append(L.add_system_columns(sl, {"loaded_from": F.lit(name), "loaded_at": as_of, "in_use": F.lit(True),
+                                                "remarks": F.lit(None).cast("string")}))
     return slices[0].unionByName(slices[1])
 
 

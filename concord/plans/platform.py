@@ -214,11 +214,14 @@ def measure_parity(spark, sf):
 
 @query("parity_verdict", ("Q16",),
        sql=f"""SELECT bool_and(within_tolerance) AS all_passed, CAST(count(*) AS BIGINT) AS checks,
-                      CAST(count_if(NOT within_tolerance) AS BIGINT) AS failed FROM ({_PARITY_SQL})""")
+                      CAST(count_if(NOT within_tolerance) AS BIGINT) AS failed,
+                      '{{"tolerance_pct":0.5,"checks":[' || string_agg('{{"check":"' || strftime(period, '%Y-%m') || '","passed":'
+                        || CASE WHEN within_tolerance THEN 'true' ELSE 'false' END || '}}', ',' ORDER BY period) || ']}}' AS details
+               FROM ({_PARITY_SQL})""")
 def parity_verdict(spark, sf):
     p = _parity(spark, sf).select(F.date_format("period", "yyyy-MM").alias("check"),
                                   F.col("within_tolerance").alias("passed"))
-    return QY.verdict(p, tolerance_pct=0.5).select("all_passed", "checks", "failed")
+    return QY.verdict(p, tolerance_pct=0.5)
 
 
 _RULES_SQL = [("positive_price", "o_totalprice > 0"), ("known_status", "o_orderstatus IN ('F', 'O', 'P')"),

@@ -20,8 +20,8 @@ m AS (SELECT name, timestamp, values,
              CASE WHEN len(values) = 0 THEN NULL
                   WHEN len(values) % 2 = 1 THEN values[len(values) // 2 + 1]
                   ELSE (values[len(values) // 2] + values[len(values) // 2 + 1]) / 2.0 END AS median FROM s),
-g AS (SELECT name, unnest(generate_series((SELECT min(timestamp) FROM s), (SELECT max(timestamp) FROM s), INTERVAL 1 HOUR)) AS timestamp
-      FROM (SELECT DISTINCT name FROM s)),
+g AS (SELECT name, unnest(generate_series(start, (SELECT max(timestamp) FROM s), INTERVAL 1 HOUR)) AS timestamp
+      FROM (SELECT name, min(timestamp) AS start FROM s GROUP BY name)),
 j AS (SELECT g.name, g.timestamp, m.values, m.median FROM g LEFT JOIN m ON g.name = m.name AND g.timestamp = m.timestamp)
 SELECT name, timestamp, CASE WHEN values IS NULL THEN 1 ELSE 0 END AS forward_filled,
        last_value(values IGNORE NULLS) OVER w AS values, round(last_value(median IGNORE NULLS) OVER w, 6) AS median,
@@ -40,19 +40,23 @@ def sensor_long(spark, sf):
     return rounded(_long(spark, sf))
 
 
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+BY_TYPE_SQL = LONG_SQL.replace(f"({S.SENSOR})", "(SELECT event_type AS name, ts AS timestamp, value FROM events)")
+
+
 @query("sensor_wide", ("V4", "A18", "N12"),
-       sql=f"SELECT * FROM (PIVOT ({LONG_SQL}) ON name_cleaned USING max(median) GROUP BY timestamp)")
+       sql="SELECT timestamp, " + ", ".join(f"max(CASE WHEN name_cleaned = '{t}' THEN median END) AS {t}" for t in EVENT_TYPES)
+           + f" FROM ({BY_TYPE_SQL}) GROUP BY timestamp")
 def sensor_wide(spark, sf):
-    # the pivot's column list comes from the input's distinct cleaned names (a scan, not the whole pipeline)
-    st = D.sensor_stream(D.load(spark, sf, "events"))
-    names = [r[0] for r in st.select(TS.clean_name(F.col("name")).alias("n")).distinct().orderBy("n").collect()]
-    return rounded(TS.sensor_wide(_long(spark, sf), names))
+    """The events' types as tags: a bounded set of names, each a column."""
+    st = D.load(spark, sf, "events").select(F.col("event_type").alias("name"), F.col("ts").alias("timestamp"), "value")
+    return rounded(TS.sensor_wide(TS.sensor_long(st, GRAIN, STEP, CHUNK), EVENT_TYPES))
 
 
 @query("sensor_name_map", ("V4", "U3"),
        sql=f"SELECT DISTINCT name, name_cleaned FROM ({LONG_SQL})")
 def sensor_name_map(spark, sf):
-    return TS.name_map(_long(spark, sf))
+    return TS.name_map(D.sensor_stream(D.load(spark, sf, "events")))
 
 
 def _added():

@@ -66,20 +66,30 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, header:
     return spark.read.schema(schema).option("header", header).csv(path)
 
 
-LI_ITEM = r"<li[^>]*>(.*?)</li>"
+LI_ITEM = r"(?s)<li(?:\s[^>]*)?>(.*?)</li\s*>"
 TAG = r"<[^>]+>"
+#: Character references; the ampersand comes last, so that nothing is decoded twice.
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&copy;", "©"),
+            ("&reg;", "®"), ("&middot;", "·"), ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"), ("&amp;", "&"))
+
+
+def html_cell(raw: Column) -> Column:
+    """Text of a piece of HTML: tags dropped, character references decoded, white space collapsed."""
+    text = F.regexp_replace(raw, TAG, "")
+    for name, char in ENTITIES:
+        text = F.replace(text, F.lit(name), F.lit(char))
+    return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
 def html_rows(pages: DataFrame, id_col: str, html_col: str, item_regex: str = LI_ITEM) -> DataFrame:
-    """Text of each item matched by ``item_regex`` (tags stripped, trimmed) with its position.
+    """Text of each item matched by ``item_regex`` with its position.
 
     A per-row regex over the whole page text, then ``posexplode``; stays
     JVM-side, no parser library.
     """
     items = F.regexp_extract_all(F.col(html_col), F.lit(item_regex), 1)
     return (pages.select(id_col, F.posexplode(items).alias("position", "raw"))
-            .select(id_col, F.col("position").cast("bigint").alias("position"),
-                    F.trim(F.regexp_replace("raw", TAG, "")).alias("text")))
+            .select(id_col, F.col("position").cast("bigint").alias("position"), html_cell(F.col("raw")).alias("text")))
 
 
 def html_links(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
@@ -118,15 +128,16 @@ def jdbc_catalogue(spark: SparkSession, url: str, properties: dict, schema: str,
     return jdbc_table(spark, url, "information_schema.columns", properties, cols, where)
 
 
-TR = r"<tr[^>]*>(.*?)</tr>"
-TD = r"<t[dh][^>]*>(.*?)</t[dh]>"
+TBODY = r"(?s)<tbody(?:\s[^>]*)?>(.*?)</tbody\s*>"
+TR = r"(?s)<tr(?:\s[^>]*)?>(.*?)</tr\s*>"
+TD = r"(?s)<td(?:\s[^>]*)?>(.*?)</td\s*>"
 
 
 def html_table_rows(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
-    """S20 (``tbody tr td``): one row per table row with its position and the stripped cell texts."""
-    rows = F.regexp_extract_all(F.regexp_replace(F.col(html_col), r"\s+", " "), F.lit(TR), 1)
-    cells = F.transform(F.regexp_extract_all(F.col("tr"), F.lit(TD), 1),
-                        lambda x: F.trim(F.regexp_replace(x, TAG, "")))
+    """S20 (``tbody tr td``): one row per table row that has cells, with its position and the cell texts."""
+    bodies = F.array_join(F.regexp_extract_all(F.col(html_col), F.lit(TBODY), 1), "")
+    rows = F.regexp_extract_all(bodies, F.lit(TR), 1)
+    cells = F.transform(F.regexp_extract_all(F.col("tr"), F.lit(TD), 1), html_cell)
     return (pages.select(id_col, F.posexplode(rows).alias("position", "tr"))
             .select(id_col, F.col("position").cast("bigint").alias("position"), cells.alias("cells"))
             .where(F.size("cells") > 0))

@@ -89,15 +89,19 @@ def test_duplicates_and_histogram(spark):
     assert h == {3: 1, 1: 1}
 
 
-def test_type_rules():
-    assert TY.type_matches("NVARCHAR(100)", "STRING")
-    assert TY.type_matches("smallint", "INT")
-    assert not TY.type_matches("INT", "BIGINT")
-    assert not TY.type_matches("VARCHAR", "GEOGRAPHY")  # unknown types are reported (N2)
-    assert TY.type_matches("DECIMAL", "DECIMAL(18,2)")
-    assert TY.left_to_right_ddl("money") == "DECIMAL(19,4)"
-    assert TY.left_to_right_ddl("numeric", 10, None) == "DECIMAL(10,0)"
-    assert TY.left_to_right_ddl("hierarchyid") == "STRING"
+def test_type_maps(spark):
+    from pyspark.sql import functions as F
+
+    pairs = spark.createDataFrame(
+        [("NVARCHAR(100)", "STRING", True), ("smallint", "INT", True), ("INT", "BIGINT", False),
+         ("VARCHAR", "GEOGRAPHY", None), ("DECIMAL", "DECIMAL(18,2)", True)], "l string, r string, ok boolean")
+    allowed = TY.type_map_column()[TY.base_type_col(F.col("r"))]  # unknown types have no entry: reported (N2)
+    got = pairs.select(F.array_contains(allowed, TY.base_type_col(F.col("l"))).alias("m"), "ok").collect()
+    assert all(r.m == r.ok for r in got)
+    types = spark.createDataFrame([("money", None, None), ("numeric", 10, None), ("hierarchyid", None, None)],
+                                  "t string, p int, s int")
+    ddl = [r.d for r in types.select(TY.left_to_right_ddl_col(F.col("t"), F.col("p"), F.col("s")).alias("d")).collect()]
+    assert ddl == ["DECIMAL(19,4)", "DECIMAL(10,0)", "STRING"]
 
 
 def test_schema_diff_statuses(spark):

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from concord.operators import dedup as DU
@@ -26,7 +27,7 @@ def test_commit_ties_insert_wins(spark):
     latest = DU.latest_change(feed, ["k"])
     assert rows(latest, "k", "v", "_change_type") == [(1, "new", "insert"), (2, "x", "delete"), (3, "b", "insert")]
     target = spark.createDataFrame([(1, "old"), (2, "x"), (4, "keep")], "k int, v string")
-    out = L.delta_load(target, feed, ["k"], watermark=0)
+    out = L.delta_load(target, feed, ["k"], start_version=0)
     assert rows(out, "k", "v") == [(1, "new"), (3, "b"), (4, "keep")]
 
 
@@ -78,12 +79,11 @@ def test_median_cases(spark):
 
 
 def test_grid_half_open_chunks(spark):
-    names = spark.createDataFrame([("a",)], "name string")
-    g = TS.dense_grid(names, F.lit(T(2024, 1, 1, 0, 0, 0)).cast("timestamp_ntz"),
-                      F.lit(T(2024, 1, 1, 2, 0, 0)).cast("timestamp_ntz"), "1 second", "1 hour")
-    assert g.count() == 7201 and g.distinct().count() == 7201  # N10: no duplicated chunk edges
-    one = TS.dense_grid(names, F.lit(T(2024, 1, 1)).cast("timestamp_ntz"), F.lit(T(2024, 1, 1)).cast("timestamp_ntz"),
-                        "1 second", "1 hour")
+    names = spark.createDataFrame([("a", T(2024, 1, 1)), ("b", T(2024, 1, 1, 1, 30)), ("c", T(2024, 1, 1, 3))],
+                                  "name string, start timestamp_ntz")
+    g = TS.dense_grid(names, F.lit(T(2024, 1, 1, 2, 0, 0)).cast("timestamp_ntz"), "1 second", "1 hour")
+    assert g.count() == g.distinct().count() == 7201 + 1801  # N10: no duplicated chunk edges; own starts; c is later
+    one = TS.dense_grid(names.limit(1), F.lit(T(2024, 1, 1)).cast("timestamp_ntz"), "1 second", "1 hour")
     assert one.count() == 1
 
 
@@ -91,8 +91,10 @@ def test_name_cleaning_collision(spark):
     df = spark.createDataFrame([("a b", T(2024, 1, 1), 1.0), ("a-b", T(2024, 1, 1), 5.0)],
                                "name string, timestamp timestamp_ntz, value double")
     long = TS.sensor_long(df, "second", "1 second", "1 hour")
-    wide = TS.sensor_wide(long).collect()
+    wide = TS.sensor_wide(long, ["a_b"]).collect()
     assert wide[0]["a_b"] == 5.0  # two names cleaning to one column: max (N12)
+    with pytest.raises(Exception, match="unexpected sensor name"):
+        TS.sensor_wide(long, ["other"]).collect()
 
 
 def test_incremental_equals_full(spark):

@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as E
 from check_oracles import compare
+from concord.plans import QUERIES
 from tests.conftest import SMALL
 
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -30,5 +31,5 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_survey_ids():
     from concord.plans import SURVEY_IDS
-    assert set(SURVEY_IDS) == set(E.queries())
+    assert set(SURVEY_IDS) == set(QUERIES) <= set(E.queries())
     assert all(SURVEY_IDS[n] for n in SURVEY_IDS)

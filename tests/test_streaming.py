@@ -109,7 +109,10 @@ def test_html_table_rows(spark):
             "<tr><td> 2024-01-02 </td><td><b>10.5</b></td></tr>\n<tr><td>2024-01-03</td><td>11</td></tr></tbody></table>")
     pages = spark.createDataFrame([(1, html)], "page_id long, html string")
     got = [(r.position, list(r.cells)) for r in RD.html_table_rows(pages, "page_id", "html").orderBy("position").collect()]
-    assert got == [(0, ["Date", "Close"]), (1, ["2024-01-02", "10.5"]), (2, ["2024-01-03", "11"])]
+    assert got == [(0, ["2024-01-02", "10.5"]), (1, ["2024-01-03", "11"])]
+    items = spark.createDataFrame([(1, "<link href='x'><ul><li>a &amp;\n <b>b</b></li><li class=z>&amp;lt;</li></ul>")],
+                                  "page_id long, html string")
+    assert [r.text for r in RD.html_rows(items, "page_id", "html").orderBy("position").collect()] == ["a & b", "&lt;"]
 
 
 def test_complete_mode_equals_batch(spark):
