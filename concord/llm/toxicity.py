@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import unit_hash
+from .common import materialize, unit_hash
 
 TOKEN = re.compile(r"[^\W_]+")
 BLOCK = 64
@@ -172,8 +172,12 @@ def labelled_examples(labels: DataFrame, doc_id: str, label: str, per_label: int
     return spark.createDataFrame(local, "doc_id long, label int"), counts
 
 
-def choose_terms(texts: DataFrame, max_terms: int, min_z: float, min_docs: int) -> list[str]:
-    """The terms of (label, text) rows whose document shares differ most between the labels, in standard errors."""
+def choose_terms(texts: DataFrame, max_terms: int, min_z: float, min_ratio: float, min_docs: int) -> list[str]:
+    """The terms of (label, text) rows whose share of documents is larger at label 1 than at label 0, by ``min_z``
+    standard errors and ``min_ratio`` times at least (a slight difference is no evidence, however many rows prove it);
+    the clearest first.  Copies count once.  Lack of such terms is what speaks for label 0."""
+    texts = texts.select("label", "text").distinct()
+
     @F.pandas_udf("array<string>")
     def split(batch: pd.Series) -> pd.Series:
         return batch.map(lambda t: list(terms_of(t)))
@@ -185,9 +189,11 @@ def choose_terms(texts: DataFrame, max_terms: int, min_z: float, min_docs: int)
                .agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
                .filter(F.col("a") + F.col("b") >= min_docs))
     pa, pb = F.col("a") / totals[1], F.col("b") / totals[0]
-    z = F.abs(pa - pb) / F.sqrt((pa * (1 - pa) + 0.5 / totals[1]) / totals[1]
-                                + (pb * (1 - pb) + 0.5 / totals[0]) / totals[0])
-    best = by_term.select("term", z.alias("z")).filter(F.col("z") >= min_z).orderBy(F.desc("z"), "term").limit(max_terms)
+    z = (pa - pb) / F.sqrt((pa * (1 - pa) + 0.5 / totals[1]) / totals[1]
+                           + (pb * (1 - pb) + 0.5 / totals[0]) / totals[0])
+    qa, qb = (F.col("a") + 0.5) / totals[1], (F.col("b") + 0.5) / totals[0]
+    best = by_term.select("term", z.alias("z"), (qa / qb).alias("ratio"))
+    best = best.filter((F.col("z") >= min_z) & (F.col("ratio") >= min_ratio)).orderBy(F.desc("z"), "term").limit(max_terms)
     return [r["term"] for r in best.collect()]
 
 
@@ -222,22 +228,22 @@ def vector_column(vocabulary: dict[str, int], text: Column) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic",
-        per_label: int = 4000, max_terms: int = 1024, min_z: float = 5.0, min_docs: int = 5, k: int = 15,
-        softening: float = 0.05, seed: str = "toxic-1") -> Model:
-    """``labels`` are the rows to learn from; ``docs`` all documents, for their texts and document frequencies."""
+        per_label: int = 4000, max_terms: int = 1024, min_z: float = 5.0, min_ratio: float = 3.0, min_docs: int = 5,
+        k: int = 15, softening: float = 0.05, seed: str = "toxic-1") -> tuple[Model, DataFrame]:
+    """``labels`` are the rows to learn from; ``docs`` all documents, for their texts and document frequencies.
+
+    Returns the model, and (doc_id, v) with every document's terms: each text is read once."""
     examples, counts = labelled_examples(labels, doc_id, label, per_label, seed)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     labelled = rows.join(F.broadcast(examples), "doc_id")
-    vocabulary = {t: i for i, t in enumerate(choose_terms(labelled, max_terms, min_z, min_docs))}
+    vocabulary = {t: i for i, t in enumerate(choose_terms(labelled, max_terms, min_z, min_ratio, min_docs))}
+    vectors = materialize(rows.select("doc_id", vector_column(vocabulary, F.col("text")).alias("v")), "toxicity-vectors")
     frequency = np.zeros(len(vocabulary))
-    n_docs = rows.count()
-    if vocabulary:
-        vectors = rows.select(vector_column(vocabulary, F.col("text")).alias("v"))
-        for r in vectors.select(F.explode("v.terms").alias("t")).groupBy("t").count().collect():
-            frequency[r["t"]] = r["count"]
+    n_docs = vectors.count()
+    for r in vectors.select(F.explode("v.terms").alias("t")).groupBy("t").count().collect():
+        frequency[r["t"]] = r["count"]
     idf = np.log((n_docs + 1.0) / (frequency + 1.0)) + 1.0
-    got = (labelled.select("doc_id", "label", vector_column(vocabulary, F.col("text")).alias("v"))
-           .select("doc_id", "label", "v.terms", "v.counts").collect())
+    got = vectors.join(F.broadcast(examples), "doc_id").select("doc_id", "label", "v.terms", "v.counts").collect()
     got = sorted({(r["doc_id"], r["label"], tuple(r["terms"]), tuple(r["counts"])) for r in got})
     ids, y = np.array([g[0] for g in got], dtype=np.int64), np.array([g[1] for g in got], dtype=np.int64)
     x = matrix([(g[2], g[3]) for g in got], idf)
@@ -259,11 +265,11 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     if known.any():
         model = Model(vocabulary, idf, index, weight, k, softening, no_term,
                       isotonic(raw[known], y[some][known].astype(float), w[some][known]))
-    return model
+    return model, vectors
 
 
-def score(model: Model, text: Column) -> Column:
-    """struct(score, n_terms, neighbours, cosines, neighbour_labels): the calibrated score and its evidence."""
+def score(model: Model, v: Column) -> Column:
+    """From :func:`vector_column` of the model's vocabulary: struct(score, n_terms, neighbours, cosines, neighbour_labels): the calibrated score and its evidence."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for v in batches:
             rows = list(zip(v["terms"], v["counts"]))
@@ -284,4 +290,4 @@ def score(model: Model, text: Column) -> Column:
                                 "neighbour_labels": [list(e[2]) for e in evidence]})
 
     result = "score double, n_terms int, neighbours array<long>, cosines array<double>, neighbour_labels array<int>"
-    return F.pandas_udf(run, result)(vector_column(model.vocabulary, text))
+    return F.pandas_udf(run, result)(v)

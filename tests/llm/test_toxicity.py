@@ -2,7 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from concord.llm.queries import QUERIES
-from concord.llm.toxicity import build_index, fit, isotonic, matrix, nearest, score
+from concord.llm.toxicity import build_index, fit, isotonic, matrix, nearest, score, vector_column
 
 SF = "/root/testdata/sf0.01"
 
@@ -52,13 +52,15 @@ def test_edge_cases(spark, docs_table):
     docs = docs_table(rows)
     labels = spark.createDataFrame([(i, int(i % 4 == 0), 7) for i in range(400)] + [(0, 0, 7), (None, 1, 7), (3, None, 7)],
                                    "doc_id long, toxic int, score int")
-    model = fit(docs, labels)
+    model, rows = fit(docs, labels)
     got = {}
-    for r in docs.select("doc_id", score(model, F.col("text")).alias("s")).collect():
+    for r in rows.select("doc_id", score(model, F.col("v")).alias("s")).collect():
         got.setdefault(r.doc_id, []).append(r.s.score)
     assert all(v >= 0.9 for v in got[903] + got[904] + got[None]) and len(got[904]) == 2
     assert got[905][0] <= 0.1 and got[900] == got[901] == got[902] == [model.no_term]
-    empty = fit(docs, labels.limit(0))
-    assert {r.s.score for r in docs.select(score(empty, F.col("text")).alias("s")).collect()} == {0.0}
-    nothing = fit(docs.limit(0), labels)
-    assert docs.limit(0).select(score(nothing, F.col("text"))).count() == 0
+    new = docs.select(score(model, vector_column(model.vocabulary, F.lit("some rogue"))).alias("s")).first().s
+    assert new.score >= 0.9 and len(new.neighbours) == 15 and set(new.neighbour_labels) == {1}
+    empty, rows = fit(docs, labels.limit(0))
+    assert {r.s.score for r in rows.select(score(empty, F.col("v")).alias("s")).collect()} == {0.0}
+    nothing, rows = fit(docs.limit(0), labels)
+    assert rows.select(score(nothing, F.col("v"))).count() == 0
