@@ -23,14 +23,31 @@ COPYRIGHT_LINE = r"^[^a-z0-9]*(copyright[ \t]*(\([ \t]*c[ \t]*\)|©|[0-9]{4}|by[
 #: ASCII controls, spaces and punctuation, and the typographic marks; runs become one space.
 PUNCTUATION = r"[\x00-\x2F\x3A-\x60\x7B-\x7F‘’“”–—…•\x{A0}]+"
 
+#: The shortest beginning that holds four words.
+FOUR_WORDS = "^" + PUNCTUATION[:-1] + "*(?:[^" + PUNCTUATION[1:-2] + "]+" + PUNCTUATION + "){0,3}[^" + PUNCTUATION[1:-2] + "]*"
 
-def canonical(text: Column) -> Column:
-    lines = F.split(F.translate(text, UPPER, LOWER), "\n")
-    kept = F.array_join(F.filter(lines, lambda x: ~x.rlike(COPYRIGHT_LINE)), "\n")
-    words = F.regexp_replace(F.replace(kept, F.lit("&"), F.lit(" and ")), PUNCTUATION, " ")
+
+def bare(text: Column) -> Column:
+    """Lower case, without punctuation; words one space apart."""
+    return F.trim(F.regexp_replace(F.replace(F.translate(text, UPPER, LOWER), F.lit("&"), F.lit(" and ")), PUNCTUATION,
+                                   " "))
+
+
+def equivalent(words: Column) -> Column:
     for old, new in EQUIVALENT_SPELLINGS:
         words = F.replace(words, F.lit(old), F.lit(new))
-    return F.trim(words)
+    return words
+
+
+def canonical(text: Column) -> Column:
+    lines = F.split(F.translate(text, UPPER, LOWER), "\n")
+    return equivalent(bare(F.array_join(F.filter(lines, lambda x: ~x.rlike(COPYRIGHT_LINE)), "\n")))
+
+
+def opening(text: Column) -> Column:
+    """The first two words of the canonical form of a lower-case line, from its first four words: no equivalent
+    spelling is longer than two words."""
+    return F.substring_index(equivalent(F.substring_index(bare(F.regexp_extract(text, FOUR_WORDS, 0)), " ", 4)), " ", 2)
 
 
 def digest(text: Column) -> Column:
@@ -42,23 +59,32 @@ def known_licenses(spark: SparkSession, texts: tuple[tuple[str, str], ...] = LIC
 
 
 def license_digests(known: DataFrame) -> DataFrame:
-    """(digest, license_id), one row per digest."""
+    """(digest, license_id, opening), one row per digest."""
     k = known.select("license_id", canonical(text_of("text")).alias("form")).filter("form != ''")
     return (k.groupBy(F.sha2(F.col("form").cast("binary"), 256).alias("digest"))
-            .agg(F.min("license_id").alias("license_id")))
+            .agg(F.min("license_id").alias("license_id"), F.min(F.substring_index("form", " ", 2)).alias("opening")))
+
+
+#: Known texts up to this number are broadcast; more are joined by a shuffle.
+MOST_BROADCAST = 100_000
 
 
 def license_scan(docs: DataFrame, known: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, text_digest, license_id (of the whole text, or NULL), n_license_lines, line_licenses (sorted, distinct)
     per row of ``docs``."""
     digests = license_digests(known)
+    if known.count() <= MOST_BROADCAST:
+        digests = F.broadcast(digests)
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
     key = F.xxhash64("text").alias("text_key")
     whole = rows.select("doc_id", key, digest(F.col("text")).alias("text_digest"))
-    whole = whole.join(digests.withColumnRenamed("digest", "text_digest"), "text_digest", "left")
-    lines = (rows.select("doc_id", key, F.posexplode(F.split("text", "\n")).alias("line", "line_text"))
-             .select("doc_id", "text_key", "line", digest(F.col("line_text")).alias("digest"))
-             .join(digests.withColumnRenamed("license_id", "line_license"), "digest")
+    whole = whole.join(digests.select(F.col("digest").alias("text_digest"), "license_id"), "text_digest", "left")
+    # a line is put into canonical form only if it opens like a known text
+    line = F.col("line_text")
+    lines = (rows.select("doc_id", key, F.posexplode(F.split(F.translate("text", UPPER, LOWER), "\n")).alias("line", "line_text"))
+             .withColumn("opening", opening(line))
+             .join(digests.select("opening", "digest", F.col("license_id").alias("line_license")), "opening")
+             .filter(digest(line) == F.col("digest"))
              .groupBy(F.col("doc_id").alias("line_doc"), F.col("text_key").alias("line_key"))
              .agg(F.count_distinct("line").alias("n_license_lines"),
                   F.array_sort(F.collect_set("line_license")).alias("line_licenses")))

@@ -9,14 +9,15 @@ def test_variants_of_a_licence_share_its_digest(spark, docs_table):
     rows = [(1, mit), (2, "Copyright (c) 2020 Some One\n\n" + mit.upper()), (3, "  © The authors\n" + mit.replace(" ", "\n  ")),
             (4, mit.replace("sublicense", "sub-licence").replace('"', "”")), (5, mit + " And more."), (6, mit[:-40]),
             (7, None), (8, ""), (9, "..."), (10, "words\nReleased under the MIT license\nand\nLICENSED UNDER CC BY-NC 4.0!"),
-            (11, "Copyright notice of a text"), (1, mit), (None, mit), (12, "word " * 40_000)]
+            (11, "Copyright notice of a text"), (13, "x\n  --RELEASED Under: tHe MIT licence!"), (14, "x\nReleased under the MIT"), (1, mit), (None, mit), (12, "word " * 40_000)]
     got = license_scan(docs_table(rows), known_licenses(spark)).collect()
     assert len(got) == len(rows)
     assert Counter(r.doc_id for r in got if r.license_id == "MIT") == Counter([1, 1, 2, 3, 4, None])
     assert len({r.text_digest for r in got if r.license_id}) == 1
     ten = next(r for r in got if r.doc_id == 10)
     assert (ten.license_id, ten.n_license_lines, ten.line_licenses) == (None, 2, ["CC-BY-NC-4.0", "MIT"])
-    assert all(r.n_license_lines == 0 and r.line_licenses == [] for r in got if r.doc_id in (7, 8, 9, 11, 12))
+    assert next(r.line_licenses for r in got if r.doc_id == 13) == ["MIT"]
+    assert all(r.n_license_lines == 0 and r.line_licenses == [] for r in got if r.doc_id in (7, 8, 9, 11, 12, 14))
 
 
 def test_shared_digest_and_empty_tables(spark, docs_table):
