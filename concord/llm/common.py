@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,13 +18,37 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 
+def ship(spark: SparkSession | None = None) -> None:
+    """Make this package importable in the session's Python workers, wherever they run: once per Spark context its
+    sources go out as a zip file with the jobs."""
+    spark = spark or SparkSession.active()
+    sc = spark.sparkContext
+    if getattr(sc, "_concord_sources", None):
+        return
+    root = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="concord-src-")) / "concord.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(archive))  # served by the driver; no shared folder is involved
+    sc._concord_sources = str(archive)
+
+
+def vector_udf(fn: Callable, result: str) -> Callable[..., Column]:
+    """A pandas UDF whose function may use this package."""
+    ship()
+    return F.pandas_udf(fn, result)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder named by spark.checkpoint.dir and read it back (cuts the lineage)."""
     spark = df.sparkSession
+    ship(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

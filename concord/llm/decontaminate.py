@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import text_of, vector_udf
 
 OTHER = re.compile(r"[\W_]+")
 MATCH = "item_id long, distance int, budget int, first int, last int"
@@ -161,7 +161,7 @@ def match_column(block: Items, text: Column) -> Column:
         for batch in batches:
             yield pd.Series([[dict(zip(names, m)) for m in matcher.matches(plain(t or ""))] for t in batch])
 
-    return F.pandas_udf(run, f"array<struct<{MATCH.replace(' ', ':').replace(',:', ',')}>>")(text)
+    return vector_udf(run, f"array<struct<{MATCH.replace(' ', ':').replace(',:', ',')}>>")(text)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id",

@@ -5,7 +5,7 @@ under any common order (the prefix principle); the order takes common shingles l
 rarely leads anywhere.  Nodes that share a leading shingle and lie in the same or neighbouring band of set sizes form a
 tile.  Within tiles
 
-1. every node is paired with its tile's first node only; hashed bitmaps bound the overlap from above, exact intersection
+1. every node is paired with its tile's most central node only; hashed bitmaps bound the overlap from above, exact intersection
    of the sorted arrays decides, and the links form classes;
 2. nodes of a tile that are still in different classes are compared with each other in blocks by their bitmaps (a large
    tile is spread over pairs of blocks), and what the bound lets through is again decided exactly.
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from concord.operators.graph import connected_components
 
-from .common import materialize
+from .common import materialize, ship, vector_udf
 from .textarrays import shingle_set, texts
 
 #: Least occurrences of a shingle within a task, and over all tasks, for it to be ordered last.  Any order is correct.
@@ -180,7 +180,7 @@ def alike(pairs: DataFrame, described: DataFrame, docs: DataFrame, percent: int,
             out.append((n + m - apart) // 2 >= need(n, m, percent))
         return pd.Series(out, dtype=bool)
 
-    keep = F.pandas_udf(possible, "boolean")("n_a", "n_b", "bits_a", "bits_b")
+    keep = vector_udf(possible, "boolean")("n_a", "n_b", "bits_a", "bits_b")
     near = materialize(near.filter(keep).select("a", "b"), "jaccard-near")
 
     # arrays from the texts of one document per node that is in a pair
@@ -224,9 +224,18 @@ def tiles(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def first_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Every node of a tile with the least of the tile's own nodes: as many pairs as rows at most."""
+    """Every node of a tile with the tile's most central own node: as many pairs as rows at most.
+
+    The most central node is the one whose tiles have most members in all.  A text that others were made from by
+    small changes shares more with each of them than they do with each other, so it is the centre of their tiles."""
     t = tiles(rows, percent)
-    first = (t.filter("own").groupBy("shingle", "band").agg(F.min(F.struct("node", "n")).alias("first"))
+    members = t.groupBy("shingle", "band").agg(F.count(F.lit(1)).alias("members"), F.count_if("own").alias("owned"))
+    members = members.filter("members > 1 and owned > 0")
+    t = materialize(t.join(members, ["shingle", "band"]).select("shingle", "band", "own", "node", "n", "members"),
+                    "jaccard-tiles")
+    weight = t.filter("own").groupBy("node").agg(F.sum("members").alias("weight"))
+    own = t.filter("own").join(weight, "node")
+    first = (own.groupBy("shingle", "band").agg(F.max(F.struct("weight", "node", "n")).alias("first"))
              .select("shingle", "band", F.col("first.node").alias("b"), F.col("first.n").alias("m")))
     fits = (100 * F.least("n", "m") >= percent * F.greatest("n", "m")) & (F.col("node") != F.col("b"))
     return t.join(first, ["shingle", "band"]).filter(fits).select(F.col("node").alias("a"), "b").distinct()
@@ -301,6 +310,7 @@ def similarity_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
                        block_nodes: int = BLOCK_NODES, max_common: int = MAX_COMMON) -> tuple[DataFrame, DataFrame]:
     """(doc_id, node, n_shingles) per document, and (node, component, component_id) per node, where a component is the
     class of nodes reachable by links and component_id its least document id."""
+    ship(docs.sparkSession)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     described = materialize(describe(docs, size), "jaccard-described")
     common = common_shingles(described, max_common)
@@ -334,7 +344,7 @@ def node_column(text: Column, size: int = 5) -> Column:
             yield pd.Series([node_of(shingle_set(np.frombuffer((t or "").encode(), dtype=np.uint8), size))
                              for t in batch], dtype="Int64")
 
-    return F.pandas_udf(run, "long")(text)
+    return vector_udf(run, "long")(text)
 
 
 def one_of_each_class(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = 5,

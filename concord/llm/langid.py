@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import unit_hash
+from .common import unit_hash, vector_udf
 
 UNDETERMINED = "und"
 RESULT = "lang string, best string, score double, margin double, rejected boolean, sizes array<long>"
@@ -114,4 +114,4 @@ def predict(model: Model, text: Column) -> Column:
                 [decide(model, sizes(coders, t, model.block_bytes)) if coders and has_letter(t) else nothing
                  for t in batch], columns=["lang", "best", "score", "margin", "rejected", "sizes"])
 
-    return F.pandas_udf(run, RESULT)(text)
+    return vector_udf(run, RESULT)(text)

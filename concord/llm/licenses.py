@@ -27,10 +27,14 @@ PUNCTUATION = r"[\x00-\x2F\x3A-\x60\x7B-\x7F‘’“”–—…•\x{A0}]+"
 FOUR_WORDS = "^" + PUNCTUATION[:-1] + "*(?:[^" + PUNCTUATION[1:-2] + "]+" + PUNCTUATION + "){0,3}[^" + PUNCTUATION[1:-2] + "]*"
 
 
-def bare(text: Column) -> Column:
-    """Lower case, without punctuation; words one space apart."""
-    return F.trim(F.regexp_replace(F.replace(F.translate(text, UPPER, LOWER), F.lit("&"), F.lit(" and ")), PUNCTUATION,
-                                   " "))
+def ascii_lower(text: Column) -> Column:
+    """A-Z as a-z; where all is ASCII that is the much cheaper lower()."""
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+
+
+def bare(lowered: Column) -> Column:
+    """Lower-case text without punctuation; words one space apart."""
+    return F.trim(F.regexp_replace(F.replace(lowered, F.lit("&"), F.lit(" and ")), PUNCTUATION, " "))
 
 
 def equivalent(words: Column) -> Column:
@@ -39,9 +43,13 @@ def equivalent(words: Column) -> Column:
     return words
 
 
+def canonical_of(lowered: Column) -> Column:
+    kept = F.filter(F.split(lowered, "\n"), lambda x: ~x.rlike(COPYRIGHT_LINE))
+    return equivalent(bare(F.array_join(kept, "\n")))
+
+
 def canonical(text: Column) -> Column:
-    lines = F.split(F.translate(text, UPPER, LOWER), "\n")
-    return equivalent(bare(F.array_join(F.filter(lines, lambda x: ~x.rlike(COPYRIGHT_LINE)), "\n")))
+    return canonical_of(ascii_lower(text))
 
 
 def opening(text: Column) -> Column:
@@ -50,8 +58,8 @@ def opening(text: Column) -> Column:
     return F.substring_index(equivalent(F.substring_index(bare(F.regexp_extract(text, FOUR_WORDS, 0)), " ", 4)), " ", 2)
 
 
-def digest(text: Column) -> Column:
-    return F.sha2(canonical(text).cast("binary"), 256)
+def digest_of(lowered: Column) -> Column:
+    return F.sha2(canonical_of(lowered).cast("binary"), 256)
 
 
 def known_licenses(spark: SparkSession, texts: tuple[tuple[str, str], ...] = LICENSE_TEXTS) -> DataFrame:
@@ -75,16 +83,16 @@ def license_scan(docs: DataFrame, known: DataFrame, text: str = "text", doc_id:
     digests = license_digests(known)
     if known.count() <= MOST_BROADCAST:
         digests = F.broadcast(digests)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
-    key = F.xxhash64("text").alias("text_key")
-    whole = rows.select("doc_id", key, digest(F.col("text")).alias("text_digest"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text_of(text)).alias("text_key"),
+                       ascii_lower(text_of(text)).alias("text"))
+    whole = rows.select("doc_id", "text_key", digest_of(F.col("text")).alias("text_digest"))
     whole = whole.join(digests.select(F.col("digest").alias("text_digest"), "license_id"), "text_digest", "left")
     # a line is put into canonical form only if it opens like a known text
     line = F.col("line_text")
-    lines = (rows.select("doc_id", key, F.posexplode(F.split(F.translate("text", UPPER, LOWER), "\n")).alias("line", "line_text"))
+    lines = (rows.select("doc_id", "text_key", F.posexplode(F.split("text", "\n")).alias("line", "line_text"))
              .withColumn("opening", opening(line))
              .join(digests.select("opening", "digest", F.col("license_id").alias("line_license")), "opening")
-             .filter(digest(line) == F.col("digest"))
+             .filter(digest_of(line) == F.col("digest"))
              .groupBy(F.col("doc_id").alias("line_doc"), F.col("text_key").alias("line_key"))
              .agg(F.count_distinct("line").alias("n_license_lines"),
                   F.array_sort(F.collect_set("line_license")).alias("line_licenses")))

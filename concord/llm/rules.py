@@ -28,14 +28,18 @@ FEATURES = ("n_words", "word_length", "symbol_ratio", "dup_line_ratio", "repeat_
             "digit_ratio", "distinct_ratio")
 
 
-def repeated_window_words(words: Column, n: int = 3) -> tuple[Column, Column]:
-    """(array of (hash, position) of the n-word windows in hash order, and from it the number of words that lie in
-    windows found twice or more).  The second takes the column that holds the first, so that it is made once."""
-    windows = F.when(F.size(words) >= n, F.array_sort(F.transform(
+def window_hashes(words: Column, n: int = 3) -> Column:
+    """Hashes of the n-word windows, in text order."""
+    return F.when(F.size(words) >= n, F.transform(
         F.sequence(F.lit(0), F.size(words) - n),
-        lambda i: F.struct(F.xxhash64(*[F.get(words, i + k) for k in range(n)]).alias("h"), i.alias("i"))))
-    ).otherwise(F.array().cast("array<struct<h:bigint,i:int>>"))
-    return windows, F.col("_windows")
+        lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(n)]))).otherwise(F.array().cast("array<bigint>"))
+
+
+def sorted_windows(hashes: Column) -> Column:
+    """(hash, position) of the windows in hash order; empty where no window is found twice, so nothing is sorted."""
+    placed = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), placed).otherwise(
+        F.array().cast("array<struct<h:bigint,i:int>>"))
 
 
 def text_statistics(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -51,12 +55,13 @@ def text_statistics(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
         F.regexp_count(t, F.lit(r"\p{Lu}")).alias("_upper"),
         (F.char_length(t) - F.char_length(F.translate(t, "!?.,;:", ""))).alias("_marks"),
         (F.char_length(t) - F.char_length(F.translate(t, "0123456789", ""))).alias("_digits"))
-    windows, held = repeated_window_words(F.col("_words"))
     rows = rows.select(
         "doc_id", F.size("_words").cast("long").alias("n_words"), "word_chars", "n_symbols",
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.size("_lines").alias("_n_lines"), F.size(F.array_distinct("_words")).alias("_distinct"),
-        "_upper", "_marks", "_digits", windows.alias("_windows"))
+        "_upper", "_marks", "_digits", window_hashes(F.col("_words")).alias("_hashes"))
+    held = F.col("_windows")
+    rows = rows.withColumn("_windows", sorted_windows(F.col("_hashes"))).drop("_hashes")
     # neighbours in hash order that are equal mark both positions
     same = F.zip_with(held, F.slice(held, 2, F.greatest(F.size(held), F.lit(1))),
                       lambda a, b: F.coalesce(a["h"] == b["h"], F.lit(False)))

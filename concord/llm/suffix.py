@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_of
+from .common import materialize, ship, text_of, vector_udf
 from .textarrays import TABLES, mix, power_tables, running, texts
 
 ANCHOR = 32
@@ -346,6 +346,7 @@ def keyed(docs: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, DataFrame
     """(key, doc_id, text, rest) per row, and (key, text) once per key: keys are ids where these are all there and all
     different, or else numbers in the order of (doc_id, hash of the text), equal rows alike.  ``rest`` is a struct of
     the other columns."""
+    ship(docs.sparkSession)
     rest = F.struct(F.lit(0).alias(text), *[F.col(f"`{c}`") for c in docs.columns if c != text])
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(text).alias("text"), rest.alias("rest"))
     unclear = rows.groupBy("doc_id").count().filter("doc_id is null or count > 1")
@@ -416,7 +417,7 @@ def without_spans(with_spans: DataFrame, length: int, keep_text: bool) -> DataFr
                 rows.append((len(data), sum(b - a for a, b in runs), len(runs), digest, kept))
             yield pd.DataFrame(rows, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    return with_spans.withColumn("r", F.pandas_udf(run, RESULT)("text", "places"))
+    return with_spans.withColumn("r", vector_udf(run, RESULT)("text", "places"))
 
 
 def spanned(docs: DataFrame, text: str, doc_id: str, length: int, keep_text: bool, block_bytes: int,

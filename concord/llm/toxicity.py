@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, unit_hash
+from .common import materialize, unit_hash, vector_udf
 
 TOKEN = re.compile(r"[^\W_]+")
 BLOCK = 64
@@ -178,10 +178,11 @@ def choose_terms(texts: DataFrame, max_terms: int, min_z: float, min_ratio: floa
     the clearest first.  Copies count once.  Lack of such terms is what speaks for label 0."""
     texts = texts.select("label", "text").distinct()
 
-    @F.pandas_udf("array<string>")
-    def split(batch: pd.Series) -> pd.Series:
+    def terms(batch: pd.Series) -> pd.Series:
         return batch.map(lambda t: list(terms_of(t)))
 
+    split = vector_udf(terms, "array<string>")
+
     totals = {r["label"]: r["n"] for r in texts.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(totals) < 2:
         return []
@@ -224,7 +225,7 @@ def vector_column(vocabulary: dict[str, int], text: Column) -> Column:
         for batch in batches:
             yield pd.DataFrame([vector(t) for t in batch], columns=["terms", "counts"])
 
-    return F.pandas_udf(run, "terms array<int>, counts array<int>")(text)
+    return vector_udf(run, "terms array<int>, counts array<int>")(text)
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic",
@@ -290,4 +291,4 @@ def score(model: Model, v: Column) -> Column:
                                 "neighbour_labels": [list(e[2]) for e in evidence]})
 
     result = "score double, n_terms int, neighbours array<long>, cosines array<double>, neighbour_labels array<int>"
-    return F.pandas_udf(run, result)(v)
+    return vector_udf(run, result)(v)

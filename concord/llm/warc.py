@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import vector_udf
+
 HIDDEN = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<script(?:[\s/][^>]*)?>.*?(?:</script\s*>|\Z)|<style(?:[\s/][^>]*)?>.*?(?:</style\s*>|\Z)"
                     r"|<noscript(?:[\s/][^>]*)?>.*?(?:</noscript\s*>|\Z)|<template(?:[\s/][^>]*)?>.*?(?:</template\s*>|\Z)")
 #: Elements that begin a new line of text.
@@ -84,7 +86,7 @@ def derive_records(responses: DataFrame, date: str) -> DataFrame:
     page_id, record_type, record_id, refers_to, target_uri, warc_date, content_type, content_length (bytes),
     block_digest, source_payload_digest, source_headers, block.
     """
-    r = responses.withColumn("x", F.pandas_udf(extract, EXTRACT)(F.col("payload")))
+    r = responses.withColumn("x", vector_udf(extract, EXTRACT)(F.col("payload")))
     field = lambda name, value: F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit("\r\n"))
     metadata = F.concat_ws(
         "", field("source-date", F.col("warc_date")), field("source-payload-digest", F.col("payload_digest")),

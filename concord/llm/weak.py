@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, unit_hash
+from .common import materialize, unit_hash, vector_udf
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SHAPES = str.maketrans({c: "x" for c in "abcdefghijklmnopqrstuvwxyz"} | {c: "X" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
@@ -227,7 +227,7 @@ def measure(text: Column) -> Column:
                     out.append((-1, [], []))
             yield pd.DataFrame(out, columns=["pattern", "at", "value"])
 
-    return F.pandas_udf(run, MEASURED)(text)
+    return vector_udf(run, MEASURED)(text)
 
 
 def measured(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -261,7 +261,7 @@ def score(model: Model, m: Column) -> Column:
             yield pd.DataFrame({"score": value, "kept": (p >= 0) & (value >= model.threshold),
                                 "label": np.where(p >= 0, posterior(model.labels, np.maximum(p, 0)), 0.0)})
 
-    return F.pandas_udf(run, "score double, kept boolean, label double")(m)
+    return vector_udf(run, "score double, kept boolean, label double")(m)
 
 
 def accepted(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
