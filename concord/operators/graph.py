@@ -1,7 +1,7 @@
 """Graph analyses on an edge DataFrame (V8-V10): components, shortest path lengths, closeness.
 
 Iterative jobs: each round is a join + aggregate; the loop runs on the driver
-but only a single count per round reaches it.  Every round's state is
+but only one row per round reaches it.  Every round's state is
 checkpointed (reliable checkpoint in ``spark.checkpoint.dir``) so lineage does
 not grow and a lost executor recomputes one round, not the whole history.
 """
@@ -15,7 +15,7 @@ from ..session import ensure_checkpoint_dir
 
 
 def undirected(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    """Both directions of every edge, without self loops duplicates."""
+    """Both directions of every edge, each once."""
     e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
     return e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
 
@@ -70,7 +70,7 @@ def shortest_path_lengths(edges: DataFrame, sources: DataFrame, src: str = "src"
 
     Breadth-first from all given sources at once: each round expands the
     frontier by one edge, drops pairs already reached (anti join) and
-    checkpoints.  The work is |sources| x reachable nodes; an all-pairs
+    checkpoints the new ones.  The work is |sources| x reachable nodes; an all-pairs
     table (every node as a source) is deliberately not offered, it would
     emit every pair of a component.
     """
@@ -88,7 +88,9 @@ def shortest_path_lengths(edges: DataFrame, sources: DataFrame, src: str = "src"
                .select("source", "target", F.lit(depth).alias("distance"))).checkpoint()
         if nxt.limit(1).count() == 0:
             break
-        visited = visited.unionByName(nxt).checkpoint()
+        visited = visited.unionByName(nxt)  # each round's pairs are stored once
+        if depth % 20 == 0:
+            visited = visited.checkpoint()
         frontier = nxt
     return visited
 

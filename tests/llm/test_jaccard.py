@@ -4,7 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 
-from concord.llm.jaccard import bitmap, compare_blocks, jaccard_components, need, unpack
+from concord.llm.jaccard import bitmap, differing_bits, jaccard_components, need, unit_pairs, unpack
 from concord.llm.queries import QUERIES
 from concord.llm.textarrays import shingle_set
 
@@ -113,4 +113,21 @@ def test_shingle_set_has_one_hash_a_shingle():
     long = "z" * 700_000 + " " + " ".join(words(rng, 200_000))
     got = shingle_set(np.frombuffer(long.encode(), dtype=np.uint8))
     assert len(got) == len(shingles(long))
-    assert compare_blocks is not None
+
+
+def test_pairs_within_units():
+    rng = np.random.default_rng(5)
+    unit = np.sort(rng.integers(0, 30, 200))
+    got = {(int(i), int(j)) for a, b in unit_pairs(unit) for i, j in zip(a, b)}
+    assert got == {(i, j) for i in range(200) for j in range(i + 1, 200) if unit[i] == unit[j]}
+
+
+def test_differing_bits_fold_the_longer_bitmap():
+    rng = np.random.default_rng(6)
+    maps = [bitmap(rng.integers(0, 1 << 63, int(k), dtype=np.uint64)) for k in rng.integers(1, 900, 40)]
+    length = np.array([len(m) // 8 for m in maps])
+    left, right = np.divmod(np.arange(1600), 40)
+    got = differing_bits(np.frombuffer(b"".join(maps), dtype=np.uint64), np.cumsum(length) - length, length, left, right)
+    for i, j, k in zip(left, right, got):
+        bits = 8 * min(len(maps[i]), len(maps[j]))
+        assert k == np.bitwise_count(unpack([maps[i]], bits) ^ unpack([maps[j]], bits)).sum()
