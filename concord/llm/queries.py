@@ -233,3 +233,42 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
 
     return run(spark, sf_dir)
+
+
+ORACLES["op5_suffix_dedup"] = """
+WITH d AS (
+  SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS r, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT r, s, md5(substr(h, 2 * s + 1, 200)) AS g
+      FROM (SELECT r, h, unnest(range(0, len(h) // 2 - 99)) AS s FROM d WHERE len(h) >= 200)),
+again AS (SELECT r, s FROM (SELECT r, s, row_number() OVER (PARTITION BY g ORDER BY r, s) AS k FROM w) WHERE k > 1),
+begun AS (SELECT r, s, CASE WHEN s <= lag(s) OVER (PARTITION BY r ORDER BY s) + 100 THEN 0 ELSE 1 END AS n FROM again),
+numbered AS (SELECT r, s, sum(n) OVER (PARTITION BY r ORDER BY s ROWS UNBOUNDED PRECEDING) AS k FROM begun),
+runs AS (SELECT r, min(s) AS a, max(s) + 100 AS b FROM numbered GROUP BY r, k),
+pieces AS (
+  SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS f, a AS t FROM runs
+  UNION ALL SELECT r, max(b), 1000000000 FROM runs GROUP BY r),
+kept AS (SELECT r, string_agg(substr(h, 2 * f + 1, 2 * (t - f)), '' ORDER BY f) AS hx FROM pieces JOIN d USING (r) GROUP BY r),
+sums AS (SELECT r, sum(b - a) AS removed, count(*) AS spans FROM runs GROUP BY r)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(hx, h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (r) LEFT JOIN sums USING (r)
+"""
+
+ORACLES["op6_ngram_jaccard"] = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS ws FROM documents),
+sets AS (
+  SELECT doc_id, r, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS s
+  FROM t),
+x AS (SELECT r, len(s) AS n, unnest(s) AS g FROM sets),
+pairs AS (SELECT a.r AS ra, b.r AS rb, a.n AS na, b.n AS nb, count(*) AS c
+          FROM x a JOIN x b ON a.g = b.g AND a.r < b.r GROUP BY ALL),
+links AS (SELECT ra, rb FROM pairs WHERE 100 * c >= 80 * (na + nb - c)),
+e AS (SELECT ra AS s, rb AS t FROM links UNION ALL SELECT rb, ra FROM links),
+reach(r, o) AS (SELECT r, r FROM sets UNION SELECT reach.r, e.t FROM reach JOIN e ON e.s = reach.o)
+SELECT a.doc_id, CAST(len(a.s) AS BIGINT) AS n_shingles, min(b.doc_id) AS component_id
+FROM sets a JOIN reach USING (r) JOIN sets b ON b.r = reach.o GROUP BY a.r, a.doc_id, len(a.s)
+"""
