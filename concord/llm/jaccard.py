@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from concord.operators.graph import connected_components
 
 from .common import materialize, ship, vector_udf
-from .textarrays import shingle_set, texts
+from .textarrays import parts, shingle_set, texts
 
 #: Least occurrences of a shingle within a task, and over all tasks, for it to be ordered last.  Any order is correct.
 COMMON_IN_TASK, COMMON = 4, 32
@@ -102,12 +102,12 @@ def describe(docs: DataFrame, size: int) -> DataFrame:
     """A row per document, and (common) a row per shingle that a task has seen often."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, int] = {}
-        for batch in batches:
+        for batch in parts(batches, 1):
             sets = [shingle_set(t, size) for t in texts(batch, 1)]
             found, times = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_counts=True)
             for s, t in zip(found[times > 1].tolist(), times[times > 1].tolist()):
                 seen[s] = seen.get(s, 0) + t
-            if len(seen) > 1 << 20:  # any list of common shingles will do, so rare ones may be forgotten
+            if len(seen) > 1 << 18:  # any list of common shingles will do, so rare ones may be forgotten
                 seen = {s: t for s, t in seen.items() if t >= COMMON_IN_TASK}
             k = len(sets)
             yield pa.RecordBatch.from_arrays(
@@ -136,7 +136,7 @@ def common_shingles(described: DataFrame, limit: int) -> np.ndarray:
 def leading_rows(docs: DataFrame, common: np.ndarray, percent: int, size: int) -> DataFrame:
     """(shingle, node, n) per document and leading shingle; equal sets of a task's batch once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, 1):
             names, keys, nodes, sizes = set(), [], [], []
             for t in texts(batch, 1):
                 s = shingle_set(t, size)
@@ -188,7 +188,7 @@ def alike(pairs: DataFrame, described: DataFrame, docs: DataFrame, percent: int,
     ids = wanted.join(sketch.select("node", "doc_id"), "node")
 
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, 1):
             rows = [(i, long_of(s)) for i, t in zip(batch.column(0).to_pylist(), texts(batch, 1))
                     if (s := shingle_set(t, size)) is not None and node_of(s) == i]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()),
@@ -241,27 +241,69 @@ def first_pairs(rows: DataFrame, percent: int) -> DataFrame:
     return t.join(first, ["shingle", "band"]).filter(fits).select(F.col("node").alias("a"), "b").distinct()
 
 
-def compare_blocks(unit: pd.DataFrame, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a unit in different classes that sizes and bitmaps allow: nodes of block i with nodes of block j > i, or
-    with the later nodes of the same block; one of the two at least is the tile's own."""
-    n, cls = unit["n"].to_numpy(), unit["cls"].to_numpy()
-    bits = 8 * min(map(len, unit["bitmap"]))
-    words = unpack(list(unit["bitmap"]), bits)
-    own, block, node = unit["own"].to_numpy(), unit["block"].to_numpy(), unit["node"].to_numpy()
-    single = block.min() == block.max()
-    left = np.arange(len(unit)) if single else np.flatnonzero(block == block.min())
-    right = left if single else np.flatnonzero(block == block.max())
+#: Pairs, and words of bitmaps, that are looked at together.
+PAIRS_AT_ONCE, WORDS_AT_ONCE = 1 << 19, 1 << 20
+
+
+def unit_pairs(unit: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers (earlier, later) of all pairs within equal values of the sorted ``unit``, in parts."""
+    ends = np.append(np.flatnonzero(unit[1:] != unit[:-1]) + 1, len(unit))
+    end = np.repeat(ends, np.diff(ends, prepend=0))
+    later = end - np.arange(len(unit)) - 1
+    total = np.cumsum(later)
+    at = 0
+    while at < len(unit):
+        upto = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS_AT_ONCE, side="right")))
+        count = later[at:upto]
+        left = np.repeat(np.arange(at, upto), count)
+        yield left, left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(count) - count, count)
+        at = upto
+
+
+def differing_bits(words: np.ndarray, start: np.ndarray, length: np.ndarray, left: np.ndarray,
+                   right: np.ndarray) -> np.ndarray:
+    """Bits in which the bitmaps of each pair of rows differ, the longer one folded onto the shorter one.  ``words``
+    holds all bitmaps one after the other, ``start`` and ``length`` where each lies."""
+    out = np.zeros(len(left), dtype=np.int64)
+    shape = length[left] * (MOST_BITS + 1) + length[right]
+    for s in np.unique(shape):
+        pairs = np.flatnonzero(shape == s)
+        long, short = sorted((int(length[left[pairs[0]]]), int(length[right[pairs[0]]])), reverse=True)
+        step = max(1, WORDS_AT_ONCE // long)
+        for i in range(0, len(pairs), step):
+            part = pairs[i:i + step]
+            sides = []
+            for rows in (left[part], right[part]):
+                w = int(length[rows[0]])
+                bits = words[start[rows][:, None] + np.arange(w)]
+                sides.append(np.bitwise_xor.reduce(bits.reshape(len(rows), w // short, short), axis=1))
+            out[part] = np.bitwise_count(sides[0] ^ sides[1]).sum(axis=1, dtype=np.int64)
+    return out
+
+
+def compare_units(rows: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of the pairs within units that are in different classes and that sizes and bitmaps allow: of two blocks
+    each with the other, of one block each with the later ones; one of the two at least is the tile's own."""
+    rows = rows.combine_chunks()
+    unit, node, n, cls, own, block = (rows.column(i).to_numpy() for i in range(6))
+    maps = rows.column(6).combine_chunks() if rows.num_rows else rows.column(6)
+    maps = maps.chunk(0) if isinstance(maps, pa.ChunkedArray) else maps
+    offsets = np.frombuffer(maps.buffers()[1], dtype=np.int32)[maps.offset:maps.offset + len(maps) + 1].astype(np.int64)
+    words = np.frombuffer(maps.buffers()[2], dtype=np.uint8)[offsets[0]:offsets[-1]].view(np.uint64)
+    start, length = (offsets[:-1] - offsets[0]) // 8, np.diff(offsets) // 8
+    first = np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1]]))
+    single = np.repeat(np.minimum.reduceat(block, first) == np.maximum.reduceat(block, first),
+                       np.diff(np.append(first, len(unit))))
     one, two = [], []
-    for k, i in enumerate(left):
-        other = right[k + 1:] if single else right
-        other = other[(cls[other] != cls[i]) & (own[other] | own[i]) & (node[other] != node[i])]
-        other = other[100 * np.minimum(n[other], n[i]) >= percent * np.maximum(n[other], n[i])]
-        if len(other):
-            apart = np.bitwise_count(words[other] ^ words[i]).sum(axis=1, dtype=np.int64)
-            other = other[(n[other] + n[i] - apart) // 2 >= need(n[other], n[i], percent)]
-            one += [node[i]] * len(other)
-            two += node[other].tolist()
-    return np.array(one, dtype=np.int64), np.array(two, dtype=np.int64)
+    for left, right in unit_pairs(unit):
+        keep = ((cls[left] != cls[right]) & (own[left] | own[right]) & (single[left] | (block[left] != block[right]))
+                & (100 * np.minimum(n[left], n[right]) >= percent * np.maximum(n[left], n[right])))
+        left, right = left[keep], right[keep]
+        apart = differing_bits(words, start, length, left, right)
+        keep = (n[left] + n[right] - apart) // 2 >= need(n[left], n[right], percent)
+        one.append(node[left[keep]])
+        two.append(node[right[keep]])
+    return np.concatenate(one), np.concatenate(two)
 
 
 def remaining_pairs(rows: DataFrame, classes: DataFrame, described: DataFrame, percent: int,
@@ -282,25 +324,24 @@ def remaining_pairs(rows: DataFrame, classes: DataFrame, described: DataFrame, p
     t = t.repartition("unit").sortWithinPartitions("unit")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pd.DataFrame] = []
+        held: list[pa.RecordBatch] = []
 
-        def pairs(frame: pd.DataFrame) -> Iterator[pa.RecordBatch]:
-            found = [compare_blocks(u, percent) for _, u in frame.groupby("unit", sort=False) if len(u) > 1]
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[0] for f in found]), pa.int64()),
-                                                  pa.array(np.concatenate([f[1] for f in found]), pa.int64())],
-                                                 names=["a", "b"])
+        def pairs(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            a, b = compare_units(pa.Table.from_batches(parts), percent)
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for batch in batches:
-            frame = batch.to_pandas()
-            held.append(frame)
-            if len(frame) and held[0]["unit"].iloc[0] != frame["unit"].iloc[-1]:
-                whole = pd.concat(held)
-                last = whole["unit"] == whole["unit"].iloc[-1]
-                yield from pairs(whole[~last])
-                held = [whole[last]]
+            if not batch.num_rows:
+                continue
+            unit = batch.column(0).to_numpy()
+            last = int(np.searchsorted(unit, unit[-1]))  # where the unit that may go on in the next batch begins
+            if last or (held and held[0].column(0)[0].as_py() != unit[0]):
+                whole = [*held, batch.slice(0, last)] if last else held
+                yield pairs(whole)
+                held = []
+            held.append(batch.slice(last))
         if held:
-            yield from pairs(pd.concat(held))
+            yield pairs(held)
 
     out = t.select("unit", "node", "n", "cls", "own", "block", "bitmap").mapInArrow(run, "a long, b long")
     return out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

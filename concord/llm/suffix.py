@@ -35,14 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, ship, text_of, vector_udf
-from .textarrays import TABLES, mix, power_tables, running, texts
+from .textarrays import TABLES, mix, parts, power_tables, running, texts
 
 ANCHOR = 32
 #: Windows handled at a time; a longer text is taken in parts.
 PART = 1 << 18
 PLACE = np.uint64((1 << 20) - 1)
 #: Bytes of contexts that are sorted together.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 #: Most different contexts of an anchor that are compared in one block.
 GROUP = 20_000
 
@@ -92,7 +92,7 @@ def collapsed(h: np.ndarray, c: np.ndarray, doc: np.ndarray, start: np.ndarray,
 def context_rows(docs: DataFrame, length: int) -> DataFrame:
     """ROW per context of (key, text) documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, 1):
             found: list[tuple] = []
             for key, data in zip(batch.column(0).to_pylist(), texts(batch, 1)):
                 for h, c, first, windows in contexts_of(data, length):
@@ -170,14 +170,14 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
     for i in range(k):
         rank <<= bits
         rank[:max(n - i, 0)] |= text[i:]
-    order = np.argsort(rank, kind="stable")
+    order = np.argsort(rank)
     step = np.concatenate([[0], np.cumsum(rank[order][1:] != rank[order][:-1])])
     rank[order] = step
     while step[-1] < n - 1:
         after = np.full(n, -1, dtype=np.int64)
         after[:max(n - k, 0)] = rank[k:]
         key = rank * (n + 1) + after + 1
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ranked = key[order]
         step = np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])])
         rank[order] = step
@@ -203,7 +203,8 @@ def equal_prefix_classes(pieces: list[np.ndarray], length: int) -> tuple[np.ndar
     before = text[order - 1]  # the Burrows-Wheeler transform; the suffix at 0 is preceded by the last separator
     # where the suffix that starts one byte earlier stands: stable by that byte
     back = np.empty(n, dtype=np.int64)
-    back[np.argsort(before, kind="stable")] = np.arange(n)
+    narrow = before.astype(np.uint16) if k + 256 < 1 << 16 else before  # sorted by radix
+    back[np.argsort(narrow, kind="stable")] = np.arange(n)
     ended = np.zeros(n + 1, dtype=bool)  # ended[r]: suffixes r - 1 and r are known to part within `length` bytes
     ended[[0, n]] = True
     counts = np.bincount(text, minlength=1)
@@ -306,7 +307,7 @@ def cut_contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     places = wanted.groupBy("doc").agg(F.collect_list(F.struct("h", "start", "windows")).alias("places"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, 1):
             h, doc, start, cut = [], [], [], []
             for key, data, places in zip(batch.column(0).to_pylist(), texts(batch, 1), batch.column(2)):
                 v = places.values

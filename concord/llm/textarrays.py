@@ -109,3 +109,18 @@ def texts(batch: pa.RecordBatch, column: int) -> Iterator[np.ndarray]:
     data, offsets = bytes_of(batch.column(column))
     for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
         yield data[a:b]
+
+
+#: Bytes of text that a task turns into arrays at a time.
+PART_BYTES = 8 << 20
+
+
+def parts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most PART_BYTES of text, or of one row."""
+    for batch in batches:
+        _, offsets = bytes_of(batch.column(column))
+        at = 0
+        while at < batch.num_rows:
+            upto = max(at + 1, int(np.searchsorted(offsets, offsets[at] + PART_BYTES, side="right")) - 1)
+            yield batch.slice(at, upto - at)
+            at = upto

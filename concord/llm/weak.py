@@ -91,19 +91,19 @@ def votes(stats: dict[str, float]) -> int:
     return out
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=50_000)
 def shape(word: str) -> str:
     """Letters as X and x, digits as 9, runs shortened to one; at most twelve characters."""
     kinds = "".join("x" if c.islower() else "X" if c.isupper() else c for c in word.translate(SHAPES))
     return RUNS.sub(r"\1", kinds)[:12]
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=50_000)
 def bucket(key: str) -> int:
     return zlib.crc32(key.encode()) % DIM
 
 
-def features(words: list[str], stats: dict[str, float]) -> tuple[list[int], list[float]]:
+def features(words: list[str], stats: dict[str, float]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed shares: word shapes, pairs of shapes, last characters, and each statistic's range."""
     n = len(words)
     shapes = list(map(shape, words))
@@ -121,7 +121,7 @@ def features(words: list[str], stats: dict[str, float]) -> tuple[list[int], list
     for name, v in stats.items():
         add(f"v {name}", min(v, 3.0))
         add(f"r {name} {np.searchsorted((0.01, 0.03, 0.1, 0.2, 0.3, 0.5, 0.8, 1.5, 3, 8, 20, 50, 150), v)}", 1.0)
-    return list(out), list(out.values())
+    return np.array(list(out), dtype=np.int32), np.array(list(out.values()), dtype=np.float32)
 
 
 @dataclass(frozen=True)
