@@ -16,13 +16,17 @@ from concord.session import scratch_path
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship(spark: SparkSession | None = None) -> None:
     """Make this package importable in the session's Python workers, wherever they run: once per Spark context its
-    sources go out as a zip file with the jobs."""
+    sources go out as a zip file with the jobs.  Unless the session has chosen a size for Arrow batches, they are made
+    smaller, for rows here are whole texts."""
     spark = spark or SparkSession.active()
     sc = spark.sparkContext
+    if spark.conf.get(ARROW_ROWS) == "10000":  # Spark's default
+        spark.conf.set(ARROW_ROWS, "2000")
     if getattr(sc, "_concord_sources", None):
         return
     root = Path(__file__).resolve().parent.parent
