@@ -1,19 +1,22 @@
 """Toxicity by nearest labelled examples under TF-IDF cosine.
 
-Terms are lower-cased words and beginnings of words, with terms for beginnings that recur.  :func:`fit` chooses the terms that tell the two
-labels apart, counts their document frequencies over the whole corpus and builds an inverted index of the labelled
-examples whose documents lie in blocks, each with the largest weight of every term (block maxima).  A query's dot
-product with a block's maxima bounds its cosine with any example in it; blocks are visited by falling bound until none
-can reach the k-th best cosine, so the neighbours are exact.  Their labels vote with weight 1 / (distance + softening);
-an isotonic fit on the examples' own leave-one-out votes turns votes into calibrated scores.
+Terms are lower-cased words and beginnings of words, with terms for beginnings that recur.  :func:`fit` takes all terms
+of the labelled examples, counts their document frequencies over the whole corpus and builds an inverted index of all
+examples: posting lists for the terms of few examples, and for the common terms rows in blocks, each block with the
+largest weight of every common term (block maxima).  The rare terms' share of a cosine is summed from the postings; with
+a block's maxima it bounds the cosine of any example in it, and a block is looked at unless its bound lies below the
+k-th best sum, so the neighbours are exact.  Terms that clearly mark toxic examples weigh ``boost`` times their TF-IDF;
+all other terms weigh as they are, so an exact copy of an example has cosine 1.  The neighbours' labels vote with
+weight 1 / (distance + softening); an isotonic fit on the examples' own leave-one-out votes turns votes into calibrated
+scores.
 
 The examples are a bounded sample of the labelled rows: at most ``per_label`` of each label, chosen by the MD5 of the id;
-with ``max_terms`` that bounds the index, which is broadcast.  Document frequencies cover all documents.
+the index of all their terms is broadcast.  Document frequencies cover all documents.
 
-Edge cases: a NULL or empty text, and one with none of the chosen terms, gets the share of toxic rows among labelled
-texts like it; equal cosines go to the example with the smaller id; a document labelled twice counts as toxic if one
-label says so; NULL labels and NULL ids are not learned from; with no labelled rows every score is 0; repeated rows are
-scored one by one; other columns are ignored.
+Edge cases: a NULL or empty text, and one with no term of any example, gets the share of toxic rows among labelled
+texts without a term; equal cosines go to the example with the smaller id; a document labelled twice counts as toxic if
+one label says so; NULL labels and NULL ids are not learned from; with no labelled rows every score is 0; repeated rows
+are scored one by one; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,17 +24,23 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, unit_hash, vector_udf
+from .common import materialize, ship, unit_hash, vector_udf
 
 TOKEN = re.compile(r"[^\W_]+")
 BLOCK = 64
+#: Terms of at least this share of the examples are common, but no more terms than MOST_COMMON.
+COMMON_SHARE, MOST_COMMON = 0.02, 512
+#: Queries that are looked at together.
+QUERIES_AT_ONCE = 32
 #: Letters of the beginnings of words that are terms besides the words themselves.
 STARTS = (4, 5, 6)
 
@@ -56,71 +65,126 @@ def terms_of(text: str | None) -> dict[str, int]:
     return out
 
 
+@dataclass(frozen=True)
+class Rows:
+    """Sparse rows: row i has the terms term[start[i]:start[i + 1]] with their weights."""
+
+    start: np.ndarray
+    term: np.ndarray
+    weight: np.ndarray
+    width: int
+
+    def __len__(self) -> int:
+        return len(self.start) - 1
+
+    def take(self, rows: np.ndarray) -> Rows:
+        at, lengths = spread(self.start, rows)
+        return Rows(np.append(0, np.cumsum(lengths)), self.term[at], self.weight[at], self.width)
+
+
+def spread(start: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all entries of ``rows``, one row after the other, and the rows' lengths."""
+    lengths = start[rows + 1] - start[rows]
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(start[rows] - before, lengths) + np.arange(int(lengths.sum())), lengths
+
+
+def sparse(vectors: np.ndarray | Rows) -> Rows:
+    if isinstance(vectors, Rows):
+        return vectors
+    row, term = np.nonzero(vectors)
+    return Rows(np.searchsorted(row, np.arange(len(vectors) + 1)), term.astype(np.int32), vectors[row, term],
+                vectors.shape[1])
+
+
 @dataclass(frozen=True)
 class Index:
-    """Examples in blocks of BLOCK: per block the terms it holds, their weights (terms x examples) and block maxima."""
+    """All examples: posting lists of the rare terms, and blocks of BLOCK examples for the common ones."""
 
     ids: np.ndarray
     labels: np.ndarray
-    terms: list[np.ndarray]
-    weights: list[np.ndarray]
-    maxima: np.ndarray  # blocks x terms
-
-
-def build_index(ids: np.ndarray, labels: np.ndarray, vectors: np.ndarray) -> Index:
-    # examples with the same strongest terms lie together, which keeps the maxima of a block tight
-    strong = np.argsort(-vectors, axis=1, kind="stable")[:, :3]
-    order = np.lexsort((ids, strong[:, 2], strong[:, 1], strong[:, 0])) if len(ids) else np.zeros(0, int)
-    ids, labels, vectors = ids[order], labels[order], vectors[order]
-    terms, weights, maxima = [], [], []
-    for i in range(0, len(ids), BLOCK):
-        block = vectors[i:i + BLOCK]
-        held = np.flatnonzero(block.any(axis=0))
-        terms.append(held)
-        weights.append(np.ascontiguousarray(block[:, held].T))
-        maxima.append(block.max(axis=0))
-    return Index(ids, labels, terms, weights, np.array(maxima).reshape(len(maxima), vectors.shape[1]))
-
-
-def nearest(index: Index, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    start: np.ndarray  # per term its first posting; common terms have none
+    at: np.ndarray  # postings: example numbers and weights
+    weight: np.ndarray
+    column: np.ndarray  # per term its column among the common ones, or -1
+    common: np.ndarray  # examples x common terms
+    maxima: np.ndarray  # blocks x common terms
+
+
+def build_index(ids: np.ndarray, labels: np.ndarray, vectors: np.ndarray | Rows) -> Index:
+    rows = sparse(vectors)
+    n = len(rows)
+    held = np.bincount(rows.term, minlength=rows.width)
+    often = np.argsort(-held, kind="stable")[:MOST_COMMON]
+    often = np.sort(often[held[often] >= max(1, COMMON_SHARE * n)])
+    column = np.full(rows.width, -1, dtype=np.int32)
+    column[often] = np.arange(len(often))
+    common = np.zeros((n, len(often)))
+    of = np.repeat(np.arange(n), np.diff(rows.start))
+    is_common = column[rows.term] >= 0
+    common[of[is_common], column[rows.term[is_common]]] = rows.weight[is_common]
+    # examples with the same strongest common terms lie together, which keeps the maxima of a block tight
+    strong = np.argsort(-common, axis=1, kind="stable")[:, :3]
+    order = np.lexsort((ids, *strong.T[::-1])) if n else np.zeros(0, int)
+    place = np.empty(n, dtype=np.int32)
+    place[order] = np.arange(n)
+    term, at, weight = rows.term[~is_common], place[of[~is_common]], rows.weight[~is_common]
+    by_term = np.lexsort((at, term))
+    common = common[order]
+    maxima = [common[i:i + BLOCK].max(axis=0) for i in range(0, n, BLOCK)]
+    return Index(ids[order], labels[order], np.searchsorted(term[by_term], np.arange(rows.width + 1)), at[by_term],
+                 weight[by_term], column, common, np.array(maxima).reshape(len(maxima), len(often)))
+
+
+def nearest(index: Index, queries: np.ndarray | Rows, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(cosines, example numbers) of the k nearest examples per query, best first; -1 where there are fewer."""
-    n, blocks = len(queries), len(index.terms)
+    rows = sparse(queries)
+    top = np.full((len(rows), k), -1.0)
+    who = np.full((len(rows), k), -1, dtype=np.int64)
+    if len(index.ids):
+        for i in range(0, len(rows), QUERIES_AT_ONCE):
+            some = np.arange(i, min(i + QUERIES_AT_ONCE, len(rows)))
+            top[some], who[some] = nearest_of(index, rows.take(some), k)
+    return top, who
+
+
+def nearest_of(index: Index, rows: Rows, k: int) -> tuple[np.ndarray, np.ndarray]:
+    n, m = len(rows), len(index.ids)
+    slack = 1e-9  # rounding of the bound
+    of = np.repeat(np.arange(n), np.diff(rows.start))
+    at, lengths = spread(index.start, rows.term)
+    cosine = np.bincount(np.repeat(of * m, lengths) + index.at[at], index.weight[at] * np.repeat(rows.weight, lengths),
+                         n * m).astype(float, copy=False).reshape(n, m)
+    column = index.column[rows.term]
+    often = np.zeros((n, index.common.shape[1]))
+    often[of[column >= 0], column[column >= 0]] = rows.weight[column >= 0]
+    k_th = max(0, m - k)
+    least = np.partition(cosine, k_th, axis=1)[:, k_th] if m > k else np.zeros(n)
+    bound = often @ index.maxima.T + np.maximum.reduceat(cosine, np.arange(0, m, BLOCK), axis=1) + slack
+    for b in range(bound.shape[1]):
+        if len(look := np.flatnonzero(bound[:, b] >= least)):
+            part = slice(b * BLOCK, (b + 1) * BLOCK)
+            cosine[look, part] += often[look] @ index.common[part].T
     top = np.full((n, k), -1.0)
     who = np.full((n, k), -1, dtype=np.int64)
-    if not blocks or not n:
-        return top, who
-    slack = 1e-9  # rounding of the bound
-    bound = queries @ index.maxima.T + slack
-    order = np.argsort(-bound, axis=1, kind="stable")
-    alive = np.arange(n)
-    for step in range(blocks):
-        b = order[alive, step]
-        keep = bound[alive, b] >= np.maximum(top[alive, -1], 2 * slack)
-        alive, b = alive[keep], b[keep]
-        if not len(alive):
-            break
-        for block in np.unique(b):
-            rows = alive[b == block]
-            cosine = queries[np.ix_(rows, index.terms[block])] @ index.weights[block]
-            numbers = block * BLOCK + np.arange(cosine.shape[1])
-            both = np.concatenate([top[rows], np.where(cosine > slack, np.round(cosine, 12), -1.0)], axis=1)
-            names = np.concatenate([who[rows], np.broadcast_to(numbers, cosine.shape)], axis=1)
-            by_id = np.where(names >= 0, index.ids[names], np.iinfo(np.int64).max)
-            best = np.lexsort((by_id, -both), axis=1)[:, :k]
-            top[rows] = np.take_along_axis(both, best, axis=1)
-            who[rows] = np.where(top[rows] < 0, -1, np.take_along_axis(names, best, axis=1))
+    least = np.partition(cosine, k_th, axis=1)[:, k_th] if m > k else np.zeros(n)
+    for i in range(n):
+        found = np.flatnonzero(cosine[i] >= max(least[i] - slack, slack))
+        c = np.round(cosine[i, found], 12)
+        best = np.lexsort((index.ids[found], -c))[:k]
+        top[i, :len(best)], who[i, :len(best)] = c[best], found[best]
     return top, who
 
 
 @dataclass(frozen=True)
 class Model:
     vocabulary: dict[str, int]
-    idf: np.ndarray
+    idf: np.ndarray  # times the boost of the terms that mark toxic examples
     index: Index
     label_weight: tuple[float, float]  # labelled rows per example, of label 0 and 1
     k: int
     softening: float
-    no_term: float  # score of a text without any chosen term
+    no_term: float  # score of a text without any term of an example
     curve: tuple[np.ndarray, np.ndarray]  # votes and calibrated scores
 
 
@@ -135,6 +199,18 @@ def matrix(vectors: list[tuple[list[int], list[int]]], idf: np.ndarray) -> np.nd
     return out
 
 
+def unit_rows(terms: list[np.ndarray], counts: list[np.ndarray], idf: np.ndarray) -> Rows:
+    """The same as sparse rows."""
+    lengths = np.array([len(t) for t in terms], dtype=np.int64)
+    start = np.append(0, np.cumsum(lengths))
+    if not start[-1]:
+        return Rows(start, np.zeros(0, np.int32), np.zeros(0), len(idf))
+    term = np.concatenate(terms).astype(np.int32)
+    w = (1.0 + np.log(np.concatenate(counts).astype(float))) * idf[term]
+    of = np.repeat(np.arange(len(lengths)), lengths)
+    return Rows(start, term, w / np.sqrt(np.bincount(of, w * w, len(lengths)))[of], len(idf))
+
+
 def votes(model: Model, top: np.ndarray, who: np.ndarray) -> np.ndarray:
     w = np.where(who >= 0, 1.0 / (1.0 - np.minimum(top, 1.0) + model.softening), 0.0)
     labels = model.index.labels[np.maximum(who, 0)] if len(model.index.labels) else np.zeros_like(who)
@@ -172,105 +248,171 @@ def labelled_examples(labels: DataFrame, doc_id: str, label: str, per_label: int
     return spark.createDataFrame(local, "doc_id long, label int"), counts
 
 
-def choose_terms(texts: DataFrame, max_terms: int, min_z: float, min_ratio: float, min_docs: int) -> list[str]:
-    """The terms of (label, text) rows whose share of documents is larger at label 1 than at label 0, by ``min_z``
-    standard errors and ``min_ratio`` times at least (a slight difference is no evidence, however many rows prove it);
-    the clearest first.  Copies count once.  Lack of such terms is what speaks for label 0."""
+def term_counts(texts: DataFrame) -> tuple[pa.Table, dict[int, int]]:
+    """(term, documents a of label 1, b of label 0) of all terms of (label, text) rows, by term, and the number of
+    documents by label.  Copies count once; each task counts for itself before the counts are added up."""
     texts = texts.select("label", "text").distinct()
 
-    def terms(batch: pd.Series) -> pd.Series:
-        return batch.map(lambda t: list(terms_of(t)))
-
-    split = vector_udf(terms, "array<string>")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
+        for batch in batches:
+            for label, text in zip(batch["label"], batch["text"]):
+                seen[label].update(terms_of(text).keys())
+        names = list(seen[0] | seen[1])
+        yield pd.DataFrame({"term": names, "a": [seen[1][t] for t in names], "b": [seen[0][t] for t in names]})
 
+    ship(texts.sparkSession)
     totals = {r["label"]: r["n"] for r in texts.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    by_term = (texts.mapInPandas(run, "term string, a long, b long").groupBy("term")
+               .agg(F.sum("a").alias("a"), F.sum("b").alias("b")))
+    return by_term.toArrow().sort_by("term"), totals  # the terms of at most 2 * per_label texts
+
+
+def marking(counts: pa.Table, totals: dict[int, int], max_terms: int, min_z: float, min_ratio: float,
+            min_docs: int) -> np.ndarray:
+    """Numbers of the terms whose share of documents is larger at label 1 than at label 0, by ``min_z`` standard errors
+    and ``min_ratio`` times at least (a slight difference is no evidence, however many rows prove it); the clearest
+    first.  They get more weight than others."""
     if len(totals) < 2:
-        return []
-    by_term = (texts.select("label", F.explode(split("text")).alias("term")).groupBy("term")
-               .agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
-               .filter(F.col("a") + F.col("b") >= min_docs))
-    pa, pb = F.col("a") / totals[1], F.col("b") / totals[0]
-    z = (pa - pb) / F.sqrt((pa * (1 - pa) + 0.5 / totals[1]) / totals[1]
-                           + (pb * (1 - pb) + 0.5 / totals[0]) / totals[0])
-    qa, qb = (F.col("a") + 0.5) / totals[1], (F.col("b") + 0.5) / totals[0]
-    best = by_term.select("term", z.alias("z"), (qa / qb).alias("ratio"))
-    best = best.filter((F.col("z") >= min_z) & (F.col("ratio") >= min_ratio)).orderBy(F.desc("z"), "term").limit(max_terms)
-    return [r["term"] for r in best.collect()]
+        return np.zeros(0, dtype=np.int64)
+    a, b = counts["a"].to_numpy().astype(float), counts["b"].to_numpy().astype(float)
+    pa_, pb = a / totals[1], b / totals[0]
+    z = (pa_ - pb) / np.sqrt((pa_ * (1 - pa_) + 0.5 / totals[1]) / totals[1]
+                             + (pb * (1 - pb) + 0.5 / totals[0]) / totals[0])
+    ratio = ((a + 0.5) / totals[1]) / ((b + 0.5) / totals[0])
+    found = np.flatnonzero((a + b >= min_docs) & (z >= min_z) & (ratio >= min_ratio))
+    return found[np.argsort(-z[found], kind="stable")][:max_terms]
+
+
+class Places(dict):
+    """word -> numbers of the word and of its beginnings in the vocabulary, or -1; bounded."""
+
+    def __init__(self, vocabulary: dict[str, int]):
+        self.vocabulary = vocabulary
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        get = self.vocabulary.get
+        out = (get(word, -1), *(get(word[:k] + "*", -1) if len(word) > k else -1 for k in STARTS))
+        if len(self) >= 200_000:
+            self.clear()
+        self[word] = out
+        return out
 
 
 def vector_column(vocabulary: dict[str, int], text: Column) -> Column:
-    """struct(terms array<int>, counts array<int>) of the chosen terms a text has."""
-    # the words and beginnings that matter at all: most words of a text are dropped at the first look
-    wanted = {t.rstrip("23%") if "*" in t else t for t in vocabulary}
-
-    def vector(text: str | None) -> tuple[list[int], list[int]]:
-        words = TOKEN.findall((text or "").lower())
-        seen: Counter[str] = Counter()
-        for word, n in Counter(words).items():
-            if word in wanted:
-                seen[word] = n
-            for k in STARTS:
-                if len(word) > k and (start := word[:k] + "*") in wanted:
-                    seen[start] += n
-        got: dict[int, int] = {}
-        for term, n in seen.items():
-            names = [term]
-            if term[-1] == "*":
-                names += [f"{term}{level}" for level in (2, 3) if n >= level]
-                names += [term + "%"] if n >= 2 and 100 * n >= len(words) else []
-            got |= {vocabulary[x]: n for x in names if x in vocabulary}
-        return sorted(got), [got[x] for x in sorted(got)]
+    """struct(terms array<int>, counts array<int>) of the terms of the vocabulary that a text has, as :func:`terms_of`."""
+    width = max(1, len(vocabulary))
+
+    def vectors(texts: list[str | None], places: Places, levels: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        at: list[tuple[int, ...]] = []
+        times: list[int] = []
+        words, distinct = [], []
+        for t in texts:
+            found = TOKEN.findall((t or "").lower())
+            seen = Counter(found)
+            at += map(places.__getitem__, seen)
+            times += seen.values()
+            words.append(len(found))
+            distinct.append(len(seen))
+        term = np.array(at, dtype=np.int64).reshape(-1, 1 + len(STARTS))
+        keys = np.repeat(np.arange(len(texts)) * width, distinct)[:, None] + term
+        n = np.broadcast_to(np.array(times, dtype=np.int64).reshape(-1, 1), term.shape)
+        key, which = np.unique(keys[term >= 0], return_inverse=True)
+        n = np.bincount(which, n[term >= 0], len(key)).astype(np.int32)
+        doc, term = np.divmod(key, width)
+        level = levels[term]
+        told = (level >= 0) & np.stack([n >= 2, n >= 3, (n >= 2) & (100 * n.astype(np.int64) >= np.array(words)[doc])], 1)
+        key = np.concatenate([key, ((doc * width)[:, None] + level)[told]])
+        n = np.concatenate([n, np.broadcast_to(n[:, None], told.shape)[told]])
+        order = np.argsort(key, kind="stable")
+        doc, term = np.divmod(key[order], width)
+        cuts = np.searchsorted(doc, np.arange(1, len(texts)))
+        return list(zip(np.split(term.astype(np.int32), cuts), np.split(n[order], cuts)))
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        places = Places(vocabulary)
+        levels = np.full((width, 3), -1, dtype=np.int64)
+        for name, i in vocabulary.items():
+            if "*" in name[:-1]:
+                levels[vocabulary[name[:-1]], "23%".index(name[-1])] = i
         for batch in batches:
-            yield pd.DataFrame([vector(t) for t in batch], columns=["terms", "counts"])
+            out = []
+            for i in range(0, len(batch), 256):
+                out += vectors(batch.iloc[i:i + 256].tolist(), places, levels)
+            yield pd.DataFrame(out, columns=["terms", "counts"])
 
     return vector_udf(run, "terms array<int>, counts array<int>")(text)
 
 
+def frequencies(vectors: DataFrame, width: int) -> tuple[np.ndarray, int]:
+    """Per term the number of (doc_id, v) rows that have it, and the number of rows; each task counts for itself."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, rows = np.zeros(width, dtype=np.int64), 0
+        for batch in batches:
+            seen += np.bincount(batch.column(0).flatten().to_numpy(zero_copy_only=False), minlength=width)
+            rows += batch.num_rows
+        held = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(held, -1)), pa.array(np.append(seen[held], rows))],
+                                         names=["t", "n"])
+
+    got = (vectors.select("v.terms").mapInArrow(run, "t long, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow())
+    out = np.zeros(width + 1)
+    out[got["t"].to_numpy()] = got["n"].to_numpy()  # -1 is the last
+    return out[:-1], int(out[-1])
+
+
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic",
         per_label: int = 4000, max_terms: int = 1024, min_z: float = 5.0, min_ratio: float = 3.0, min_docs: int = 5,
-        k: int = 15, softening: float = 0.05, seed: str = "toxic-1") -> tuple[Model, DataFrame]:
+        k: int = 15, softening: float = 0.05, seed: str = "toxic-1", boost: float = 10.0) -> tuple[Model, DataFrame]:
     """``labels`` are the rows to learn from; ``docs`` all documents, for their texts and document frequencies.
 
-    Returns the model, and (doc_id, v) with every document's terms: each text is read once."""
+    Returns the model, and (doc_id, v) with every document's terms, which reads the texts when it is evaluated: the
+    terms of all texts take more room than the texts."""
     examples, counts = labelled_examples(labels, doc_id, label, per_label, seed)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    labelled = rows.join(F.broadcast(examples), "doc_id")
-    vocabulary = {t: i for i, t in enumerate(choose_terms(labelled, max_terms, min_z, min_ratio, min_docs))}
-    vectors = materialize(rows.select("doc_id", vector_column(vocabulary, F.col("text")).alias("v")), "toxicity-vectors")
-    frequency = np.zeros(len(vocabulary))
-    n_docs = vectors.count()
-    for r in vectors.select(F.explode("v.terms").alias("t")).groupBy("t").count().collect():
-        frequency[r["t"]] = r["count"]
+    labelled = materialize(rows.join(F.broadcast(examples), "doc_id").distinct(), "toxicity-examples")
+    known, totals = term_counts(labelled)
+    vocabulary = {t: i for i, t in enumerate(known["term"].to_pylist())}
+    vectors = rows.select("doc_id", vector_column(vocabulary, F.col("text")).alias("v"))
+    frequency, n_docs = frequencies(vectors, len(vocabulary))
     idf = np.log((n_docs + 1.0) / (frequency + 1.0)) + 1.0
-    got = vectors.join(F.broadcast(examples), "doc_id").select("doc_id", "label", "v.terms", "v.counts").collect()
-    got = sorted({(r["doc_id"], r["label"], tuple(r["terms"]), tuple(r["counts"])) for r in got})
-    ids, y = np.array([g[0] for g in got], dtype=np.int64), np.array([g[1] for g in got], dtype=np.int64)
-    x = matrix([(g[2], g[3]) for g in got], idf)
-    some = x.any(axis=1) if len(got) else np.zeros(0, bool)
+    idf[marking(known, totals, max_terms, min_z, min_ratio, min_docs)] *= boost
+    got = (labelled.select("doc_id", "label", vector_column(vocabulary, F.col("text")).alias("v"))
+           .select("doc_id", "label", "v.terms", "v.counts").toArrow().sort_by("doc_id"))
+    t = c = None
+    held, of = {}, [got[c].to_pylist() for c in ("doc_id", "label")]
+    for i, t, c in zip(range(len(got)), got["terms"], got["counts"]):  # texts with the same terms once
+        t, c = (x.values.to_numpy(zero_copy_only=False) for x in (t, c))
+        held.setdefault((of[0][i], of[1][i], blake2b(t.tobytes() + c.tobytes()).digest()), (t, c))
+    ids, y = np.array([g[0] for g in held], dtype=np.int64), np.array([g[1] for g in held], dtype=np.int64)
+    x = unit_rows([v[0] for v in held.values()], [v[1] for v in held.values()], idf)
+    del got, held, known, t, c  # as large as the index
+    some = np.flatnonzero(np.diff(x.start) > 0)
     weight = tuple(counts.get(s, 0) / max(1, int((y == s).sum())) for s in (0, 1))
     w = np.where(y == 1, weight[1], weight[0])
-    none = ~some
+    none = np.diff(x.start) == 0
     no_term = float((w * y)[none].sum() / w[none].sum()) if none.any() and w[none].sum() > 0 else 0.0
-    index = build_index(ids[some], y[some], x[some])
+    own, known_x = ids[some], x if len(some) == len(x) else x.take(some)
+    del x
+    index = build_index(own, y[some], known_x)
     model = Model(vocabulary, idf, index, weight, k, softening, no_term, (np.zeros(0), np.zeros(0)))
     # leave one out: an example's nearest neighbours without itself
-    held, own = x[some], ids[some]
-    raw = np.full(len(held), np.nan)
-    for i in range(0, len(held), 512):
-        top, who = nearest(index, held[i:i + 512], k + 1)
-        self_ = (who >= 0) & (index.ids[np.maximum(who, 0)] == own[i:i + 512, None])
-        raw[i:i + 512] = votes(model, np.where(self_, -1.0, top), np.where(self_, -1, who))
-    known = ~np.isnan(raw)
-    if known.any():
-        model = Model(vocabulary, idf, index, weight, k, softening, no_term,
-                      isotonic(raw[known], y[some][known].astype(float), w[some][known]))
+    raw = np.full(len(own), np.nan)
+    for i in range(0, len(own), 512):
+        part = np.arange(i, min(i + 512, len(own)))
+        top, who = nearest(index, known_x.take(part), k + 1)
+        self_ = (who >= 0) & (index.ids[np.maximum(who, 0)] == own[part, None])
+        raw[part] = votes(model, np.where(self_, -1.0, top), np.where(self_, -1, who))
+    told = ~np.isnan(raw)
+    if told.any():
+        model = replace(model, curve=isotonic(raw[told], y[some][told].astype(float), w[some][told]))
     return model, vectors
 
 
 def score(model: Model, v: Column) -> Column:
     """From :func:`vector_column` of the model's vocabulary: struct(score, n_terms, neighbours, cosines, neighbour_labels): the calibrated score and its evidence."""
+    model = replace(model, vocabulary={})  # the terms come as numbers
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for v in batches:
             rows = list(zip(v["terms"], v["counts"]))
@@ -279,7 +421,8 @@ def score(model: Model, v: Column) -> Column:
             some = [i for i, (t, _) in enumerate(rows) if len(t)]
             for j in range(0, len(some), 1024):
                 part = some[j:j + 1024]
-                top, who = nearest(model.index, matrix([rows[i] for i in part], model.idf), model.k)
+                top, who = nearest(model.index, unit_rows([rows[i][0] for i in part], [rows[i][1] for i in part], model.idf),
+                                   model.k)
                 raw = votes(model, top, who)
                 if len(model.curve[0]):
                     value[part] = np.where(np.isnan(raw), model.no_term, np.interp(raw, *model.curve))

@@ -2,7 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from concord.llm.queries import QUERIES
-from concord.llm.toxicity import build_index, fit, isotonic, matrix, nearest, score, vector_column
+from concord.llm.toxicity import build_index, fit, isotonic, matrix, nearest, score, terms_of, vector_column
 
 SF = "/root/testdata/sf0.01"
 
@@ -64,3 +64,24 @@ def test_edge_cases(spark, docs_table):
     assert {r.s.score for r in rows.select(score(empty, F.col("v")).alias("s")).collect()} == {0.0}
     nothing, rows = fit(docs.limit(0), labels)
     assert rows.select(score(nothing, F.col("v"))).count() == 0
+
+
+def test_every_example_and_every_term_counts(spark, docs_table):
+    rng = np.random.default_rng(3)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 5))
+    rows = [(i, " ".join(word() for _ in range(12))) for i in range(120)]  # no term tells the labels apart
+    docs = docs_table(rows + [(1000 + i, t) for i, t in rows])  # exact copies, not labelled
+    labels = spark.createDataFrame([(i, int(i % 6 == 0)) for i in range(120)], "doc_id long, toxic int")
+    model, vectors = fit(docs, labels)
+    assert set(model.index.ids) == set(range(120))
+    for r in vectors.select("doc_id", score(model, F.col("v")).alias("s")).collect():
+        assert r.s.neighbours[0] == r.doc_id % 1000 and np.isclose(r.s.cosines[0], 1.0) and r.s.n_terms >= 12
+
+
+def test_vectors_hold_the_terms_of_the_text(spark):
+    texts = ["Rotten rotten rottenness of a rotter, rotten!", "word " * 300 + "words wordy", None, "", "words"]
+    vocabulary = {t: i for i, t in enumerate(sorted(set().union(*map(terms_of, texts))))}
+    table = spark.createDataFrame(list(enumerate(texts)), "i int, text string").coalesce(1)
+    names = list(vocabulary)
+    for r in table.select("text", vector_column(vocabulary, F.col("text")).alias("v")).collect():
+        assert {names[t]: n for t, n in zip(r.v.terms, r.v.counts)} == terms_of(r.text)
