@@ -8,9 +8,12 @@ place to look at.  Each place is verified with Myers' bit-parallel edit distance
 The automaton is broadcast, so the items are taken in blocks of at most ``block_chars`` characters; each block is one
 pass over the documents (a set of queries against all rows, in blocks).
 
-Edge cases: NULL and empty texts and items match nothing, nor do items shorter than ``min_chars`` in plain form; equal
-items with different ids are all reported; repeated documents are reported as often as they appear, NULL ids with a NULL
-id; empty tables give no match; other columns are ignored.
+Items shorter than ``min_chars`` in plain form are compared as whole words: with a blank at either end, in a text with
+a blank at either end, so that a letter that goes on before or after them is an edit too.  With rate 0.08 they have a
+budget of 0 below 13 characters, and of 1 to 3 above.
+
+Edge cases: NULL and empty texts and items match nothing; equal items with different ids are all reported; repeated documents are reported as often as they
+appear, NULL ids with a NULL id; empty tables give no match; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -78,7 +81,7 @@ def letters(item: str) -> dict[str, int]:
 class Items:
     """A block of distinct plain items with all ids that have them."""
 
-    items: tuple[tuple[str, int, tuple[int, ...]], ...]  # plain text, budget, ids
+    items: tuple[tuple[str, int, tuple[int | None, ...]], ...]  # form to search, budget, ids
 
 
 class Matcher:
@@ -97,13 +100,15 @@ class Matcher:
         self.automaton.make_automaton()
 
     def windows(self, text: str) -> dict[int, list[list[int]]]:
-        """Per item number the merged stretches of ``text`` in which it may lie."""
+        """Per item number the merged stretches of ``text`` (with a blank at either end) in which it may lie; only
+        items that begin with a blank may take up those at the ends."""
         spans: dict[int, list[list[int]]] = {}
         for end, (length, where) in self.automaton.iter(text):
             for n, offset in where:
                 item, k, _ = self.items[n]
                 start = end + 1 - length - offset
-                a, b = max(0, start - k), min(len(text), start + len(item) + k)
+                edge = item[0] != " "
+                a, b = max(edge, start - k), min(len(text) - edge, start + len(item) + k)
                 if b - a < len(item) - k:
                     continue
                 spans.setdefault(n, []).append([a, b])
@@ -118,10 +123,11 @@ class Matcher:
             spans[n] = merged
         return spans
 
-    def matches(self, text: str) -> list[tuple[int, int, int, int, int]]:
+    def matches(self, text: str) -> list[tuple[int | None, int, int, int, int]]:
         """(item id, least distance, budget, first, last) of the items in a plain text, by id; the match lies within
         characters first to last (last excluded)."""
         out = []
+        size, text = len(text), f" {text} "
         for n, spans in self.windows(text).items():
             item, k, ids = self.items[n]
             masks = self.masks[n]
@@ -133,22 +139,24 @@ class Matcher:
                 if distance < best[0]:
                     best = (distance, max(a, a + end - len(item) - distance), a + end)
             if best[0] <= k:
-                out += [(i, best[0], k, best[1], best[2]) for i in ids]
-        return sorted(out)
+                word = item[0] == " "
+                first, last = max(0, best[1] - 1 + word), min(size, best[2] - 1 - word)
+                out += [(i, best[0], k, first, last) for i in ids]
+        return sorted(out, key=lambda m: (m[0] is None, m))
 
 
 def item_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", rate: float = 0.08,
                 min_chars: int = 40, block_chars: int = 4_000_000) -> Iterator[Items]:
     """The items in blocks of about ``block_chars`` characters; the driver holds one block at a time."""
-    rows = (benchmark.select(F.col(item_id).cast("long").alias("item_id"), text_of(text).alias("text"))
-            .filter("item_id is not null"))
+    rows = benchmark.select(F.col(item_id).cast("long").alias("item_id"), text_of(text).alias("text")).filter("item_id is not null")
     size = rows.agg(F.sum(F.char_length("text"))).first()[0] or 0
     blocks = size // block_chars + 1
     for b in range(blocks):
-        ids: dict[str, set[int]] = {}
+        ids: dict[str, set[int | None]] = {}
         for r in rows.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b).collect():
             ids.setdefault(plain(r["text"]), set()).add(r["item_id"])
-        kept = sorted((t, int(rate * len(t)), tuple(sorted(i))) for t, i in ids.items() if len(t) >= min_chars)
+        kept = sorted((t if len(t) >= min_chars else f" {t} ", int(rate * len(t)),
+                       tuple(sorted(i, key=lambda x: (x is None, x)))) for t, i in ids.items() if t)
         if kept:
             yield Items(tuple(kept))
 

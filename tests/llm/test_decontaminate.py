@@ -80,3 +80,16 @@ def test_empty(spark, docs_table):
     docs = docs_table([(1, "a b c d e f g " * 20)])
     assert find_leaks(docs, none).count() == 0 and without_leaks(docs, none).count() == 1
     assert find_leaks(docs.limit(0), one).count() == 0 and find_leaks(docs, one).count() == 1
+
+
+def test_short_items_are_found_as_whole_words(spark, docs_table):
+    items = [(1, "art"), (2, "Who wrote Hamlet?"), (3, "???"), (4, "x" * 39), (5, "")]
+    docs = docs_table([(1, "Modern art, since 1900"), (2, "to start the party"), (3, "Q: who wrote hamlet"), (4, "art"),
+                       (5, "Quiz. Who wrota Hamlet? Nobody"), (6, "a clean text on who wrote what"), (7, "x" * 36 + " y"),
+                       (8, "x" * 45), (9, None), (10, "who wrote hamlets")])
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.distance, r.budget) for r in find_leaks(docs, benchmark).collect())
+    assert got == [(1, 1, 0, 0), (3, 2, 0, 1), (4, 1, 0, 0), (5, 2, 1, 1), (7, 4, 3, 3), (8, 4, 1, 3), (10, 2, 1, 1)]
+    places = {(r.doc_id, r.item_id): (r.first, r.last) for r in find_leaks(docs, benchmark).collect()}
+    assert (places[1, 1], places[4, 1], places[3, 2]) == ((7, 10), (0, 3), (2, 18))
+    assert sorted(r.doc_id for r in without_leaks(docs, benchmark).collect()) == [2, 6, 9]
