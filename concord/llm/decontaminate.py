@@ -12,7 +12,8 @@ Items shorter than ``min_chars`` in plain form are compared as whole words: with
 a blank at either end, so that a letter that goes on before or after them is an edit too.  With rate 0.08 they have a
 budget of 0 below 13 characters, and of 1 to 3 above.
 
-Edge cases: NULL and empty texts and items match nothing; equal items with different ids are all reported; repeated documents are reported as often as they
+Edge cases: NULL and empty texts and items match nothing; equal items with different ids are all reported; an item with
+a NULL id is searched like any other and reported with a NULL id; repeated documents are reported as often as they
 appear, NULL ids with a NULL id; empty tables give no match; other columns are ignored.
 """
 
@@ -148,7 +149,7 @@ class Matcher:
 def item_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", rate: float = 0.08,
                 min_chars: int = 40, block_chars: int = 4_000_000) -> Iterator[Items]:
     """The items in blocks of about ``block_chars`` characters; the driver holds one block at a time."""
-    rows = benchmark.select(F.col(item_id).cast("long").alias("item_id"), text_of(text).alias("text")).filter("item_id is not null")
+    rows = benchmark.select(F.col(item_id).cast("long").alias("item_id"), text_of(text).alias("text"))
     size = rows.agg(F.sum(F.char_length("text"))).first()[0] or 0
     blocks = size // block_chars + 1
     for b in range(blocks):

@@ -93,3 +93,13 @@ def test_short_items_are_found_as_whole_words(spark, docs_table):
     places = {(r.doc_id, r.item_id): (r.first, r.last) for r in find_leaks(docs, benchmark).collect()}
     assert (places[1, 1], places[4, 1], places[3, 2]) == ((7, 10), (0, 3), (2, 18))
     assert sorted(r.doc_id for r in without_leaks(docs, benchmark).collect()) == [2, 6, 9]
+
+
+def test_items_with_null_ids_are_searched(spark, docs_table):
+    item = "some words of a benchmark question that is long enough to count"
+    docs = docs_table([(1, "Before: " + item + "."), (2, "nothing of the kind")])
+    benchmark = spark.createDataFrame([(None, item), (7, item), (None, item)], "item_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in find_leaks(docs, benchmark).collect()] == [(1, 7), (1, None)]
+    only = benchmark.filter("item_id is null")
+    assert [(r.doc_id, r.item_id) for r in find_leaks(docs, only).collect()] == [(1, None)]
+    assert [r.doc_id for r in without_leaks(docs, only).collect()] == [2]
