@@ -16,12 +16,14 @@ the plain vote of the labellers' prior (everything with a word is kept); other c
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import pairwise
+from math import isnan, nan
 from operator import eq
 
 import numpy as np
@@ -35,6 +37,14 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SHAPES = str.maketrans({c: "x" for c in "abcdefghijklmnopqrstuvwxyz"} | {c: "X" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
                        | {c: "9" for c in "0123456789"})
 RUNS = re.compile(r"(.)\1+", re.S)
+#: Marks that end sentences, of all scripts; the wide ones need no space after them.
+WIDE_STOPS = "\u3002\uff01\uff1f\uff0e\uff61"
+STOPS = frozenset(".!?\u037e\u0589\u061d\u061e\u061f\u06d4\u0700\u0701\u0702\u07f9\u0964\u0965\u0df4\u0f0d\u0f0e"
+                  "\u104a\u104b\u1362\u1367\u1368\u166e\u17d4\u17d5\u1803\u1809\u1944\u1945\u1b5a\u1b5b\u1c3b\u1c3c"
+                  "\u1c7e\u1c7f\u203c\u203d\u2047\u2048\u2049\ua4ff\ua60e\ua60f\ua8ce\ua8cf\ua92f\ua9c8\ua9c9"
+                  "\uaa5d\uaa5e\uaa5f\uabeb" + WIDE_STOPS)
+#: Thai and Lao letters: these scripts have no mark that ends a sentence.
+STOPLESS = re.compile("[\u0e00-\u0eff]")
 DIM = 4096
 GOOD, NONE, BAD = 0, 1, 2
 
@@ -54,6 +64,7 @@ LABELLERS: tuple[tuple[str, float, float | None, bool], ...] = (
 
 
 def statistics(words: list[str], text: str) -> dict[str, float]:
+    """NaN where a statistic does not apply to the text's script: such a labeller does not vote."""
     n = len(words)
     count = Counter(words).items()
     windows = list(zip(words, words[1:], words[2:]))
@@ -64,7 +75,17 @@ def statistics(words: list[str], text: str) -> dict[str, float]:
             if found[w] > 1:
                 held += i + 3 - max(i, upto)
                 upto = i + 3
-    stops = sum(c for w, c in count if w[-1] in ".!?")
+    stops = sum(c for w, c in count if w[-1] in STOPS)
+    if any(map(text.count, WIDE_STOPS)):
+        stops += sum(c for w, c in count if w[-1] not in STOPS and any(x in w for x in WIDE_STOPS))
+    uncased = stopless = 0
+    if not text.isascii():
+        uncased = sum(c for w, c in count if w[0].isalpha() and w[0].lower() == w[0].upper())
+        stopless = sum(c for w, c in count if STOPLESS.match(w))
+    # words without case are no evidence of either case; nor are the other words where they have fewer letters' words
+    judged = n - uncased
+    cased = sum(c for w, c in count if w[0].isalpha()) - uncased if uncased else judged
+    lower = sum(c for w, c in count if w[0].islower()) / judged if judged >= 10 else 0.5
     return {
         "symbol_ratio": sum(map(text.count, "#*$%&|<>")) / n,
         "upper_ratio": sum(c for w, c in count if w.isupper()) / n,
@@ -73,8 +94,8 @@ def statistics(words: list[str], text: str) -> dict[str, float]:
         "adjacent_ratio": sum(map(eq, words, words[1:])) / n,
         "top_word_ratio": max(c for _, c in count) / n if n >= 20 else 0.0,
         "pipe_ratio": text.count("|") / n,
-        "words_per_stop": n / stops if stops else 2.0 * n,
-        "lower_start_ratio": sum(c for w, c in count if w[0].islower()) / n if n >= 10 else 0.5,
+        "words_per_stop": nan if 2 * stopless > n else n / stops if stops else 2.0 * n,
+        "lower_start_ratio": nan if uncased > max(cased, n / 3) else lower,
         "word_length": sum(map(len, words)) / n,
     }
 
@@ -91,10 +112,18 @@ def votes(stats: dict[str, float]) -> int:
     return out
 
 
+@lru_cache(maxsize=50_000)
+def kind(c: str) -> str:
+    if c.isascii() or c.islower() or c.isupper():
+        return "x" if c.islower() else "X" if c.isupper() else c
+    return "." if c in STOPS else "9" if c.isdecimal() else "x" if unicodedata.category(c)[0] in "LM" else c
+
+
 @lru_cache(maxsize=50_000)
 def shape(word: str) -> str:
-    """Letters as X and x, digits as 9, runs shortened to one; at most twelve characters."""
-    kinds = "".join("x" if c.islower() else "X" if c.isupper() else c for c in word.translate(SHAPES))
+    """Letters as X and x, digits as 9, runs shortened to one; at most twelve characters.  Letters without case, and
+    the marks on them, count as x, and their scripts' sentence ends as a full stop."""
+    kinds = "".join(map(kind, word.translate(SHAPES)))
     return RUNS.sub(r"\1", kinds)[:12]
 
 
@@ -119,6 +148,8 @@ def features(words: list[str], stats: dict[str, float]) -> tuple[np.ndarray, np.
     for (a, b), c in Counter(pairwise(shapes)).items():
         add(f"p {a} {b}", c / n)
     for name, v in stats.items():
+        if isnan(v):
+            continue
         add(f"v {name}", min(v, 3.0))
         add(f"r {name} {np.searchsorted((0.01, 0.03, 0.1, 0.2, 0.3, 0.5, 0.8, 1.5, 3, 8, 20, 50, 150), v)}", 1.0)
     return np.array(list(out), dtype=np.int32), np.array(list(out.values()), dtype=np.float32)
@@ -154,7 +185,8 @@ def em(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, tolerance: f
     """Starts from "one bad vote makes it bad"; every table is smoothed by half a vote.
 
     Bad documents are of several kinds, each seen by few labellers; a labeller is taken to vote bad on at most
-    ``max_false`` of the good ones, so that a kind which only one labeller sees does not pass for good."""
+    ``max_false`` of the good ones, so that a kind which only one labeller sees does not pass for good.  A labeller that
+    does not vote gives no evidence of a bad document."""
     d = digits(patterns)
     good = np.where((d == BAD).any(axis=1), 0.1, 0.95)
     total = counts.sum()
@@ -166,8 +198,16 @@ def em(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, tolerance: f
             for j in range(len(LABELLERS)):
                 table[j, side] = np.bincount(d[:, j], counts * p, 3) + 0.5
         table /= table.sum(axis=2, keepdims=True)
+        # not to vote is never evidence of a bad document: where it would be, it is as likely on either side
+        share = (counts * good).sum() / total
+        none = table[:, :, NONE] @ [1 - share, share]
+        level = table[:, 1, NONE] < table[:, 0, NONE]
+        table[level] *= ((1 - none)[:, None] / (1 - table[:, :, NONE]))[level][:, :, None]
+        table[level, :, NONE] = none[level, None]
         false = np.minimum(table[:, 1, BAD], max_false)
-        table[:, 1, :BAD] *= ((1 - false) / table[:, 1, :BAD].sum(axis=1))[:, None]
+        freed = table[:, 1, BAD] - false  # goes to the good votes where not to vote is fixed, else to both
+        both = table[:, 1, :BAD] * ((1 - false) / table[:, 1, :BAD].sum(axis=1))[:, None]
+        table[:, 1, :BAD] = np.where(level[:, None], table[:, 1, :BAD] + freed[:, None] * [1, 0], both)
         table[:, 1, BAD] = false
         model = LabelModel(float(np.clip((counts * good).sum() / total, 1e-3, 1 - 1e-3)), table)
         good = posterior(model, patterns)

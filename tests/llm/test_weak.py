@@ -50,3 +50,25 @@ def test_edge_cases(spark, docs_table):
     none = fit(m.limit(0))
     assert docs.filter("doc_id = 7").select(score(none, measure(F.col("text"))).alias("s")).collect()[0].s.kept
     assert measured(docs.limit(0)).count() == 0
+
+
+def test_clean_texts_of_any_script_and_sentence_length(spark, docs_table):
+    rng = random.Random(6)
+
+    def clean(alphabet, stop, sentences, words=9):
+        word = lambda: "".join(rng.choice(alphabet) for _ in range(rng.randrange(2, 8)))
+        return " ".join(" ".join(word() for _ in range(words)).capitalize() + stop for _ in range(sentences))
+
+    latin = "abcdefghijklm"
+    scripts = [("ابتثجحخدذ", "."), ("אבגדהוזחט", "."), ("कखगघचछजिी", "।"), ("가나다라마바", "."), ("กขคงจฉช", ""),
+               ("あいうえ日本語", "。"), ("ሀለሐመሠረሰ", "።"), ("абвгдежз", ".")]
+    rows = [(i, clean(latin, ".", rng.randrange(2, 30))) for i in range(400)]
+    rows += [(500 + i, clean(latin, ".", 20).upper().replace(" ", "!! ")) for i in range(40)]
+    rows += [(600 + i, clean(latin, "", 20)) for i in range(40)]
+    rows += [(700 + i, clean(*scripts[i % 8], n)) for i, n in enumerate([2] * 8 + [12] * 8 + [60] * 8)]
+    rows += [(800, clean(latin, ".", 5, 60)), (801, clean(latin, ".", 3, 90)), (802, "1234 5678 " * 20 + "日本")]
+    docs = docs_table(rows)
+    m = measured(docs)
+    got = {r.doc_id: r.s for r in m.select("doc_id", score(fit(m), F.col("m")).alias("s")).collect()}
+    assert all(got[i].kept and got[i].label > 0.5 for i in [*range(400), *range(700, 724), 800, 801])
+    assert not any(got[i].kept for i in [*range(500, 540), *range(600, 640), 802])
