@@ -1,8 +1,11 @@
-"""Texts of short licences and notices, as published, and equivalent spellings.
+"""Texts of short licences and notices, as published, and equivalent spellings; the entire texts of longer
+licences are in license_bodies.py.
 
 The operator takes any table of (license_id, text); these are the ones the registered query looks for.
 """
 
+from .license_bodies import LICENSE_BODIES
+
 _MIT_GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
 associated documentation files (the "Software"), to deal in the Software without restriction, including without
 limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software,
@@ -54,6 +57,14 @@ required.
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
 3. This notice may not be removed or altered from any source distribution."""
 
+_END = "END OF TERMS AND CONDITIONS"
+
+
+def _without_appendix(text: str) -> str:
+    """Up to the end of the terms: what follows tells how to apply the licence, and is often left out."""
+    return text[:text.index(_END) + len(_END)]
+
+
 #: (licence id, text).  A licence may have several texts: with and without its title, and its usual notices.
 LICENSE_TEXTS: tuple[tuple[str, str], ...] = (
     ("MIT", _MIT_GRANT),
@@ -80,6 +91,8 @@ LICENSE_TEXTS: tuple[tuple[str, str], ...] = (
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC0-1.0", "Released under CC0 1.0."),
+    *LICENSE_BODIES,
+    *((i, _without_appendix(t)) for i, t in LICENSE_BODIES if _END in t),
 )
 
 #: Words and phrases that count as the same (left becomes right), after case and punctuation are gone.

@@ -27,3 +27,16 @@ def test_shared_digest_and_empty_tables(spark, docs_table):
     assert {(r.doc_id, r.license_id) for r in got} == {(1, "a"), (2, None), (3, None)}
     assert license_scan(docs_table([], "e"), known).count() == 0
     assert license_scan(docs_table([(1, "x")], "f"), known.limit(0)).collect()[0].license_id is None
+
+
+def test_entire_long_licences_are_known(spark, docs_table):
+    ids = ["Apache-2.0", "Artistic-1.0-Perl", "CC0-1.0", "GFDL-1.3", "GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1",
+           "LGPL-3.0", "MPL-1.1", "MPL-2.0", "Unlicense"]
+    texts = [max((t for i, t in LICENSE_TEXTS if i == x), key=len) for x in ids]
+    assert min(map(len, texts)) > 1000
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, "Copyright 2021 Me\n" + t.upper()) for i, t in enumerate(texts)]
+    rows += [(200 + i, t[:-200]) for i, t in enumerate(texts)]
+    end = "END OF TERMS AND CONDITIONS"
+    rows += [(300 + i, t[:t.index(end)] + end) for i, t in enumerate(texts) if end in t]
+    got = {r.doc_id: r.license_id for r in license_scan(docs_table(rows), known_licenses(spark)).collect()}
+    assert all(got[d] == (None if 200 <= d < 300 else ids[d % 100]) for d in got) and len(got) > 3 * len(ids)
