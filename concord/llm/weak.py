@@ -222,20 +222,22 @@ def em(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, tolerance: f
 
 
 def train(rows: list[tuple[list[int], list[float]]], target: np.ndarray, rounds: int = 300, rate: float = 0.5,
-          decay: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels by full-batch gradient steps with per-weight scaling."""
+          decay: float = 1e-4, times: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """Logistic regression on soft labels by full-batch gradient steps with per-weight scaling; ``times`` are the rows'
+    weights."""
     w, b = np.zeros(DIM), 0.0
     if not rows:
         return w, 1.0
     at = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
     idx = np.concatenate([np.asarray(r[0], dtype=np.int64) for r in rows])
     val = np.concatenate([np.asarray(r[1]) for r in rows])
+    share = np.full(len(rows), 1 / len(rows)) if times is None else times / times.sum()
     seen, b_seen = np.full(DIM, 1e-8), 1e-8
     for _ in range(rounds):
         z = np.bincount(at, val * w[idx], len(rows)) + b
-        err = 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500))) - target
-        g = np.bincount(idx, val * err[at], DIM) / len(rows) + decay * w
-        gb = float(err.mean())
+        err = share * (1.0 / (1.0 + np.exp(-np.clip(z, -500, 500))) - target)
+        g = np.bincount(idx, val * err[at], DIM) + decay * w
+        gb = float(err.sum())
         seen += g * g
         b_seen += gb * gb
         w -= rate * g / np.sqrt(seen)
@@ -283,10 +285,14 @@ def fit(rows: DataFrame, sample: int = 20_000, threshold: float = 0.5, seed: str
         return Model(LabelModel(0.5, np.full((len(LABELLERS), 2, 3), 1 / 3)), np.zeros(DIM), 1.0, threshold)
     model = em(np.array([c[0] for c in counts]), np.array([c[1] for c in counts], dtype=float))
     # a bounded sample of ids, then their features
-    picked = (rows.select("doc_id").filter("doc_id is not null")
-              .orderBy(unit_hash(seed, F.col("doc_id")), "doc_id").limit(sample).distinct())
-    got = rows.join(F.broadcast(picked), "doc_id").toPandas().sort_values(["doc_id", "pattern"], kind="stable")
-    weights, bias = train(list(zip(got["at"], got["value"])), posterior(model, got["pattern"].to_numpy()))
+    picked = (rows.select("doc_id").filter("doc_id is not null").distinct()
+              .orderBy(unit_hash(seed, F.col("doc_id")), "doc_id").limit(sample))
+    # equal rows of an id come as one with their number
+    got = (rows.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "pattern", "at", "value")
+           .agg(F.count(F.lit(1)).alias("times")).toPandas())
+    got = got.assign(n=got["at"].map(len)).sort_values(["doc_id", "pattern", "n", "times"], kind="stable")
+    weights, bias = train(list(zip(got["at"], got["value"])), posterior(model, got["pattern"].to_numpy()),
+                          times=got["times"].to_numpy(dtype=float))
     return Model(model, weights, bias, threshold)
 
 

@@ -72,3 +72,13 @@ def test_clean_texts_of_any_script_and_sentence_length(spark, docs_table):
     got = {r.doc_id: r.s for r in m.select("doc_id", score(fit(m), F.col("m")).alias("s")).collect()}
     assert all(got[i].kept and got[i].label > 0.5 for i in [*range(400), *range(700, 724), 800, 801])
     assert not any(got[i].kept for i in [*range(500, 540), *range(600, 640), 802])
+
+
+def test_sample_is_of_distinct_ids(spark, docs_table, monkeypatch):
+    from concord.llm import weak
+
+    docs = docs_table([(7, "The same text again. It is short.")] * 300 + [(i, f"Text number {i} is here. Fine.") for i in range(20, 60)])
+    seen, was = [], weak.train
+    monkeypatch.setattr(weak, "train", lambda rows, *a, **o: (seen.append((len(rows), o["times"].sum())), was(rows, *a, **o))[1])
+    weak.fit(measured(docs), sample=41)
+    assert seen == [(41, 340.0)]
