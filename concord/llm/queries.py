@@ -272,3 +272,53 @@ reach(r, o) AS (SELECT r, r FROM sets UNION SELECT reach.r, e.t FROM reach JOIN
 SELECT a.doc_id, CAST(len(a.s) AS BIGINT) AS n_shingles, min(b.doc_id) AS component_id
 FROM sets a JOIN reach USING (r) JOIN sets b ON b.r = reach.o GROUP BY a.r, a.doc_id, len(a.s)
 """
+
+
+@query
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .trie import numbered, rebuilt, trie, turn_hashes
+
+    return trie(*rebuilt(numbered(turn_hashes(table(spark, sf_dir, "conversations")))))
+
+
+def crc32_sql(bytes_: str) -> str:
+    """The CRC-32 of a DuckDB list of byte values."""
+    bit = ("list_reduce(list_prepend(xor(acc, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda c, z: "
+           "CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)")
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bytes_}), lambda acc, b: {bit}), 4294967295::BIGINT)"
+
+
+ORACLES["op13_conversation_trie"] = f"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn ASC NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+s AS (
+  SELECT c, c - c % 100 AS b, {crc32_sql("list_transform(range(1, strlen(c::VARCHAR) + 1), lambda i: CAST(ord(substr(c::VARCHAR, i, 1)) AS BIGINT))")} % 6 AS h
+  FROM (SELECT DISTINCT c FROM t)),
+nb AS (SELECT s.c, count(t.i) AS n FROM s LEFT JOIN t ON t.c = s.b AND t.i <= s.h GROUP BY s.c),
+u AS (
+  SELECT s.c, t.i AS d, t.r, t.x FROM s JOIN t ON t.c = s.b AND t.i <= s.h
+  UNION ALL
+  SELECT s.c, nb.n + t.i - s.h, t.r, t.x FROM s JOIN nb ON nb.c = s.c JOIN t ON t.c = s.c AND t.i > s.h),
+seq AS (
+  SELECT c, d, x, list(md5(concat(strlen(r), ':', r, ':', x))) OVER (PARTITION BY c ORDER BY d) AS path FROM u),
+m AS (
+  SELECT c, d, length(x) AS len, md5(array_to_string(path, ',')) AS k,
+         CASE WHEN d = 1 THEN '' ELSE md5(array_to_string(path[1:d - 1], ',')) END AS p FROM seq
+  UNION ALL SELECT c, 0, 0, '', NULL FROM s),
+ends AS (SELECT c, max(d) AS d FROM m GROUP BY c),
+n AS (
+  SELECT m.d, m.k, m.p, min(m.c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(m.len) AS own,
+         coalesce(string_agg(m.c::VARCHAR, ',' ORDER BY m.c) FILTER (e.d = m.d), '') AS e
+  FROM m JOIN ends e ON e.c = m.c GROUP BY m.d, m.k, m.p),
+kids AS (SELECT p, count(*) AS n FROM n WHERE p IS NOT NULL GROUP BY p),
+below AS (
+  SELECT m.d, m.k, sum(n.own) AS saved, count(*) FILTER (kids.n IS NULL) AS leaves
+  FROM n LEFT JOIN kids ON kids.p = n.k JOIN m ON m.c = n.conv_id AND m.d <= n.d GROUP BY m.d, m.k)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, q.conv_id AS parent_conv_id, n.n_convs,
+       coalesce(kids.n, 0) AS n_children, below.leaves AS n_leaves, CAST(below.saved AS BIGINT) AS saved_tokens,
+       sha256(n.e) AS ends_sha256
+FROM n JOIN below ON below.d = n.d AND below.k = n.k LEFT JOIN kids ON kids.p = n.k
+LEFT JOIN n q ON q.k = n.p AND q.d = n.d - 1
+"""
