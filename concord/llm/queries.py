@@ -322,3 +322,27 @@ SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, q.conv_id AS parent_conv_id, n.n
 FROM n JOIN below ON below.d = n.d AND below.k = n.k LEFT JOIN kids ON kids.p = n.k
 LEFT JOIN n q ON q.k = n.p AND q.d = n.d - 1
 """
+
+
+@query
+def op12_rlz_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .rlz import remove_passages
+
+    return remove_passages(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_rlz_passages"] = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+x AS (SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM d),
+g AS (SELECT r, i, md5(string_agg(w, ' ') OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)) AS k,
+             count(*) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING) AS n FROM x),
+again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY k) AS c FROM g WHERE n = 35) WHERE c > 1),
+m AS (
+  SELECT x.r, x.i, x.w, max(again.i) OVER (PARTITION BY x.r ORDER BY x.i ROWS UNBOUNDED PRECEDING) AS s
+  FROM x LEFT JOIN again ON again.r = x.r AND again.i = x.i),
+k AS (SELECT r, count(*) AS kept, string_agg(w, ' ' ORDER BY i) AS t FROM m WHERE s IS NULL OR s + 34 < i GROUP BY r)
+SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, CAST(len(d.ws) - coalesce(k.kept, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.t, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""

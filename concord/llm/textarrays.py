@@ -68,8 +68,8 @@ def bytes_of(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, dtype=np.uint8) if data else np.zeros(0, np.uint8)), offsets
 
 
-def word_hashes(data: np.ndarray) -> np.ndarray:
-    """Hashes of the words of one text, A-Z taken as a-z."""
+def word_hashes(data: np.ndarray, table: np.ndarray = LOWERED) -> np.ndarray:
+    """Hashes of the words of one text, A-Z taken as a-z unless another table of bytes is given."""
     parts, at = [], 0
     while at < len(data):
         end = min(len(data), at + CHUNK)
@@ -81,7 +81,7 @@ def word_hashes(data: np.ndarray) -> np.ndarray:
         inside[1:-1] = ~SPACE[part]
         edge = np.flatnonzero(inside[1:] != inside[:-1])
         start, stop = edge[::2], edge[1::2]
-        sums = running(part, LOWERED)
+        sums = running(part, table)
         parts.append(mix((sums[stop] - sums[start]) * power_tables(len(part))[1][start]))
         at = end
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
