@@ -346,3 +346,40 @@ SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, CAST(len(d.ws) - coalesce
        sha256(coalesce(k.t, '')) AS kept_sha256
 FROM d LEFT JOIN k USING (r)
 """
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .spelling import counted, spelling_variants
+
+    return spelling_variants(counted(table(spark, sf_dir, "documents")).filter("n >= 3"))
+
+
+ORACLES["op11_spelling_variants"] = rf"""
+WITH RECURSIVE r AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{C0}}-\x{{FF}}]+')),
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+c AS (SELECT doc_id, w, count(*) AS n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || w)) AS x
+      FROM r WHERE length(w) >= 5 GROUP BY doc_id, w),
+h AS (SELECT w, n, {crc32_sql("list_transform(range(1, len(x) // 2 + 1), lambda i: CAST('0x' || substr(x, 2 * i - 1, 2) AS BIGINT))")} AS h FROM c),
+v AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, CAST(h % length(w) AS INT)) || substr(w, CAST(h % length(w) AS INT) + 2)
+                    ELSE w END AS word, n FROM h)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+p AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v),
+q AS (SELECT word, n, i, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS hole,
+             substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM p),
+e AS (
+  SELECT DISTINCT a.word, b.word AS near, b.n FROM q a JOIN q b ON a.hole = b.hole AND a.word <> b.word
+  UNION SELECT q.word, v.word, v.n FROM q JOIN v ON v.word = q.less
+  UNION SELECT v.word, q.word, q.n FROM q JOIN v ON v.word = q.less),
+b AS (SELECT word, count(*) AS n_near, arg_min(near, (-n, near)) AS form, max(n) AS form_n FROM e GROUP BY word),
+f AS (
+  SELECT v.word, v.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.form_n >= 2 * v.n THEN b.form END AS form,
+         CASE WHEN b.form_n >= 2 * v.n THEN b.form_n END AS form_n FROM v LEFT JOIN b USING (word)),
+w AS (
+  SELECT word, word AS at, form AS next FROM f
+  UNION ALL SELECT w.word, f.word, f.form FROM w JOIN f ON f.word = w.next)
+SELECT f.word, f.form, w.at AS root, f.n, f.n_near, f.form_n FROM f JOIN w ON w.word = f.word AND w.next IS NULL
+"""
