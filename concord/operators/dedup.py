@@ -67,22 +67,17 @@ def latest_change(feed: DataFrame, keys: Sequence[str], version_col: str = "_com
 
 
 def change_history(feed: DataFrame, keys: Sequence[str], version_col: str = "_commit_version",
-                   change_col: str = "_change_type", value_cols: Sequence[str] = (),
-                   time_col: str = "_commit_timestamp", bucket: str = "day") -> DataFrame:
+                   change_col: str = "_change_type", value_cols: Sequence[str] = ()) -> DataFrame:
     """Per key, each change with the previous version, change type and values, and its position.
 
-    Ordered by version (delete before insert at one version).  Computed with
-    windows per (key, commit day) plus a per-day summary (see
-    :func:`concord.operators.events.neighbours`), so a key with a very long
-    history is not handled by a single task.
+    Ordered by version (delete before insert at one version); an ordered scan
+    (:mod:`concord.operators.ordered`), so a key with a very long history is
+    not handled by a single task, and rows without a key have one history.
     """
-    from .events import neighbours
+    from . import ordered as O
 
     prio = F.when(F.col(change_col) == "delete", 0).otherwise(1)
-    lagged = [version_col, change_col, *value_cols]
-    n = neighbours(feed.withColumn("_prio", prio), keys, F.date_trunc(bucket, F.col(time_col)),
-                   [F.col(version_col), F.col("_prio")], lag_cols=lagged)
-    return n.select(*feed.columns, F.col(f"lag1_{version_col}").alias("prev_version"),
-                    F.col(f"lag1_{change_col}").alias("prev_change_type"),
-                    *[F.col(f"lag1_{c}").alias(f"prev_{c}") for c in value_cols],
-                    F.col("seq").alias("change_seq"))
+    rows = O.in_order(feed.withColumn("_prio", prio), keys, [version_col, "_prio"], "change-history")
+    previous = {"prev_version": version_col, "prev_change_type": change_col, **{f"prev_{c}": c for c in value_cols}}
+    n = O.scan(rows, keys, **{k: O.lag(F.col(c)) for k, c in previous.items()}, change_seq=O.position())
+    return n.select(*feed.columns, *previous, "change_seq")

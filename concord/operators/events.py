@@ -1,84 +1,43 @@
-"""Event sequences per asset: lead / lag and the event-group start flag.
+"""Event sequences per asset: lead / lag and the event-group start flag.
 
-``lead(1)``/``lag(1)``/``lag(2)`` over a key are computed on windows
-partitioned by (key, time bucket); the values that cross a bucket edge come
-from a per-bucket summary (first value, last two values) shifted with a window
-over the summary, which has one row per non-empty (key, bucket).
+All of them are ordered scans (:mod:`concord.operators.ordered`): a NULL asset is an asset like any other, and an asset with
+a third of all events is spread over many tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import ordered as O
+
 # Fixed value: gap in minutes below which an event continues the group.
 GROUP_GAP_MINUTES = 10
 
 
-def neighbours(df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[Column],
-               lead_cols: Sequence[str] = (), lag_cols: Sequence[str] = (),
-               running_sums: Sequence[str] = ()) -> DataFrame:
-    """Per key, ordered by ``order`` within time buckets ``bucket`` (which must grow with ``order``):
-    ``lead1_<c>`` for ``lead_cols``, ``lag1_<c>``/``lag2_<c>`` for ``lag_cols``, ``cum_<c>`` (running
-    sum up to and including the row) for ``running_sums`` and ``seq`` (1-based position within the key),
-    exact across bucket edges.
+def neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], lead_cols: Sequence[str] = (),
+               lag_cols: Sequence[str] = (), running_sums: Sequence[str] = ()) -> DataFrame:
+    """Per key, ordered by ``order``: ``lead1_<c>`` for ``lead_cols``, ``lag1_<c>``/``lag2_<c>`` for ``lag_cols``,
+    ``cum_<c>`` (running sum up to and including the row) for ``running_sums`` and ``seq`` (place in the key, from 1)."""
+    rows = O.in_order(df, keys, order, "neighbours")
+    made = {f"lead1_{c}": O.lead(F.col(c)) for c in lead_cols}
+    made |= {f"lag{k}_{c}": O.lag(F.col(c), k) for c in lag_cols for k in (1, 2)}
+    made |= {f"cum_{c}": O.running_sum(F.col(c)) for c in running_sums}
+    return O.scan(rows, keys, **made, seq=O.position())
 
-    Windows are partitioned by (key, bucket); the edge values come from a
-    summary with one row per non-empty (key, bucket) (first row, last two
-    rows, row count), shifted and summed with a window over that summary.
-    """
-    keys = list(keys)
-    b = df.select("*", bucket.alias("_bkt"))
-    w = Window.partitionBy(*keys, "_bkt").orderBy(*order)
-    wd = Window.partitionBy(*keys, "_bkt").orderBy(*[o.desc() for o in order])
-    lead_s = F.struct(*[F.col(c) for c in lead_cols]) if lead_cols else F.lit(None)
-    lag_s = F.struct(*[F.col(c) for c in lag_cols]) if lag_cols else F.lit(None)
-    b = b.select("*", F.row_number().over(w).alias("_rn"), F.row_number().over(wd).alias("_rd"),
-                 F.lead(lead_s, 1).over(w).alias("_ld1"), F.lag(lag_s, 1).over(w).alias("_lg1"),
-                 F.lag(lag_s, 2).over(w).alias("_lg2"), lead_s.alias("_lead_s"), lag_s.alias("_lag_s"),
-                 *[F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_rs_{c}") for c in running_sums])
-    summ = b.groupBy(*keys, "_bkt").agg(F.max_by("_lead_s", F.when(F.col("_rn") == 1, F.lit(1))).alias("_first"),
-                                        F.max_by("_lag_s", F.when(F.col("_rd") == 1, F.lit(1))).alias("_l1"),
-                                        F.max_by("_lag_s", F.when(F.col("_rd") == 2, F.lit(1))).alias("_l2"),
-                                        F.count(F.lit(1)).alias("_n"),
-                                        *[F.sum(c).alias(f"_bs_{c}") for c in running_sums])
-    ws = Window.partitionBy(*keys).orderBy("_bkt")
-    prev_n = F.lag("_n", 1).over(ws)
-    shifted = summ.select(*keys, "_bkt", F.lead("_first", 1).over(ws).alias("_next_first"),
-                          F.lag("_l1", 1).over(ws).alias("_prev_l1"),
-                          F.when(prev_n >= 2, F.lag("_l2", 1).over(ws)).otherwise(F.lag("_l1", 2).over(ws))
-                          .alias("_prev_l2"), F.col("_n").alias("_bn"),
-                          F.coalesce(F.sum("_n").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-                          .alias("_off"),
-                          *[F.coalesce(F.sum(f"_bs_{c}").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-                            .alias(f"_bo_{c}") for c in running_sums])
-    j = b.join(shifted, [*keys, "_bkt"], "left")
-    rn = F.col("_rn")
-    lead1 = F.when(rn < F.col("_bn"), F.col("_ld1")).otherwise(F.col("_next_first"))
-    lag1 = F.when(rn >= 2, F.col("_lg1")).otherwise(F.col("_prev_l1"))
-    lag2 = F.when(rn >= 3, F.col("_lg2")).when(rn == 2, F.col("_prev_l1")).otherwise(F.col("_prev_l2"))
-    return j.select(*df.columns,
-                    *[lead1[c].alias(f"lead1_{c}") for c in lead_cols],
-                    *[lag1[c].alias(f"lag1_{c}") for c in lag_cols],
-                    *[lag2[c].alias(f"lag2_{c}") for c in lag_cols],
-                    *[(F.col(f"_bo_{c}") + F.col(f"_rs_{c}")).alias(f"cum_{c}") for c in running_sums],
-                    (F.col("_off") + rn).cast("bigint").alias("seq"))
-
-
-def lead_lag(df: DataFrame, keys: Sequence[str], order_col: str, tie_break: Sequence[str],
-             lead_col: str, lag_col: str, bucket: str = "day") -> DataFrame:
+
+def lead_lag(df: DataFrame, keys: Sequence[str], order_col: str, tie_break: Sequence[str], lead_col: str,
+             lag_col: str) -> DataFrame:
     """Adds ``lead1`` = lead(lead_col, 1), ``lag1``/``lag2`` = lag(lag_col, 1/2) per key ordered by
-    (order_col, *tie_break), exact across bucket edges."""
-    n = neighbours(df, keys, F.date_trunc(bucket, F.col(order_col)),
-                   [F.col(order_col), *[F.col(c) for c in tie_break]], [lead_col], [lag_col])
-    return n.select(*df.columns, F.col(f"lead1_{lead_col}").alias("lead1"), F.col(f"lag1_{lag_col}").alias("lag1"),
-                    F.col(f"lag2_{lag_col}").alias("lag2"))
+    (order_col, *tie_break)."""
+    rows = O.in_order(df, keys, [order_col, *tie_break], "lead-lag")
+    return O.scan(rows, keys, lead1=O.lead(F.col(lead_col)), lag1=O.lag(F.col(lag_col)), lag2=O.lag(F.col(lag_col), 2))
 
 
 def event_groups(df: DataFrame, asset: str, start: str, finish: str, tie_break: Sequence[str] = (),
-                 bucket: str = "day", dedup_keys: Sequence[str] | None = None,
+                 dedup_keys: Sequence[str] | None = None,
                  dedup_order: Sequence[Column] = (), dedup_first: bool = True) -> DataFrame:
     """``group_start`` = 0 when a next event exists and (start - lag-2 finish) < 10 minutes, else 1.
 
@@ -92,7 +51,7 @@ def event_groups(df: DataFrame, asset: str, start: str, finish: str, tie_break:
 
     if dedup_keys and dedup_first:
         df = latest_per_key(df, dedup_keys, list(dedup_order))
-    ll = lead_lag(df, [asset], start, tie_break, start, finish, bucket)
+    ll = lead_lag(df, [asset], start, tie_break, start, finish)
     gap_min = (F.unix_timestamp(F.col(start)) - F.unix_timestamp(F.col("lag2"))) / 60
     flag = F.when(F.col("lead1").isNotNull() & (F.lit(GROUP_GAP_MINUTES) > gap_min), 0).otherwise(1)
     out = ll.select(*df.columns, F.col("lead1").alias("next_start"), F.col("lag2").alias("lag2_finish"),
@@ -103,14 +62,12 @@ def event_groups(df: DataFrame, asset: str, start: str, finish: str, tie_break:
 
 
 def event_rollup(flagged: DataFrame, asset: str, start: str, finish: str, measures: Sequence[str],
-                 tie_break: Sequence[str] = (), bucket: str = "day") -> DataFrame:
+                 tie_break: Sequence[str] = ()) -> DataFrame:
     """Events grouped into event groups (a new group at each ``group_start`` = 1, the running sum of the
-    flag is the group number) and the measures summed per group.  The running sum is bucketed like the
-    flags, and the final aggregate pre-aggregates map-side."""
-    n = neighbours(flagged.withColumn("_gs", F.col("group_start").cast("bigint")), [asset],
-                   F.date_trunc(bucket, F.col(start)), [F.col(start), *[F.col(c) for c in tie_break]],
-                   running_sums=["_gs"])
-    return (n.groupBy(asset, F.col("cum__gs").alias("event_group"))
+    flag is the group number) and the measures summed per group.  The final aggregate pre-aggregates map-side."""
+    rows = O.in_order(flagged, [asset], [start, *tie_break], "event-rollup")
+    n = O.scan(rows, [asset], event_group=O.running_sum(F.col("group_start").cast("bigint")))
+    return (n.groupBy(asset, "event_group")
             .agg(F.min(start).alias("group_start_time"), F.max(finish).alias("group_finish_time"),
                  F.count(F.lit(1)).cast("bigint").alias("events"),
                  *[F.sum(m).alias(f"sum_{m}") for m in measures]))

@@ -1,103 +1,52 @@
-"""Forward fill and as-of lookup that stay balanced when one key holds most rows.
+"""Forward fill and as-of lookup (W4, J12), both ordered scans (:mod:`concord.operators.ordered`).
 
-A plain ``last(x, ignorenulls) OVER (PARTITION BY key ORDER BY t)`` sends a
-whole key to one task.  Here the window is partitioned by (key, time bucket);
-each bucket's last non-null value is summarised (one row per key and bucket),
-the carry-in from earlier buckets is a window over that small summary, and it
-is joined back on (key, bucket).
+A plain ``last(x, ignorenulls) OVER (PARTITION BY key ORDER BY t)`` sends a whole key to one task; here a key's rows lie in
+many range partitions and the last value before each comes from a table with one row per partition.  NULL keys are a key
+like any other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-DEFAULT_BUCKET = "day"
-
-
-def _bucket(order_col: str, bucket: str) -> Column:
-    return F.date_trunc(bucket, F.col(order_col))
+from . import ordered as O
 
 
 def forward_fill(df: DataFrame, keys: Sequence[str], order_col: str, cols: Sequence[str],
-                 flag_col: str | None = "forward_filled", bucket: str = DEFAULT_BUCKET,
-                 tie_break: Sequence[Column] = (), values_from: DataFrame | None = None,
-                 until: Column | None = None) -> DataFrame:
+                 flag_col: str | None = "forward_filled", tie_break: Sequence[Column | str] = ()) -> DataFrame:
     """Fill NULLs in ``cols`` with the last non-null value of earlier rows of the same key.
 
     ``flag_col`` (if given) is 1 where ``cols[0]`` was NULL before filling.
-    ``order_col`` must be a timestamp (buckets are ``date_trunc(bucket)``);
-    rows are ordered by (order_col, *tie_break).
-
-    ``values_from`` may name a (usually much smaller) DataFrame that holds all
-    the non-null values of ``cols`` (e.g. the measurements before they were laid
-    on a dense grid); the per-bucket summary is then computed from it instead
-    of from ``df``, so the expensive input is not evaluated twice.  ``until``
-    (required with it) is the last time of ``df``: each summary bucket supplies
-    the carry for every later bucket up to the next bucket that has data.
+    Rows are ordered by (order_col, *tie_break).
     """
-    keys = list(keys)
-    order = [F.col(order_col), *tie_break]
-    so_far = (Window.partitionBy(*keys, "_bkt").orderBy(*order)
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    flag = {flag_col: F.col(cols[0]).isNull().cast("int")} if flag_col else {}
-    local = df.withColumns({"_bkt": _bucket(order_col, bucket), **flag}).withColumns(
-        {c: F.last_value(c, F.lit(True)).over(so_far) for c in cols})
-    if values_from is not None:
-        if until is None:
-            raise ValueError("until is required with values_from")
-        step = F.expr(f"INTERVAL 1 {bucket.upper()}")
-        src = values_from.select(*keys, F.col(order_col), *[F.col(c) for c in cols],
-                                 _bucket(order_col, bucket).alias("_bkt"))
-        summ = src.groupBy(*keys, "_bkt").agg(*[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order_col)))
-                                                .alias(f"_l_{c}") for c in cols])
-        w_cum = Window.partitionBy(*keys).orderBy("_bkt")
-        cum = summ.select(*keys, "_bkt", F.lead("_bkt").over(w_cum).alias("_next"),
-                          *[F.last(F.col(f"_l_{c}"), ignorenulls=True).over(
-                              w_cum.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_c_{c}") for c in cols])
-        lo = F.col("_bkt") + step
-        hi = F.coalesce(F.col("_next"), F.date_trunc(bucket, until))
-        empty = F.array().cast(T.ArrayType(cum.schema["_bkt"].dataType))
-        carry = cum.select(*keys, F.explode(F.when(lo <= hi, F.sequence(lo, hi, step)).otherwise(empty)).alias("_bkt"),
-                           *[f"_c_{c}" for c in cols])
-    else:
-        # last non-null value per (key, bucket) = the locally filled value of the bucket's last row
-        okey = F.struct(*order) if tie_break else F.col(order_col)
-        summ = local.groupBy(*keys, "_bkt").agg(*[F.max_by(F.col(c), okey).alias(f"_l_{c}") for c in cols])
-        w_carry = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-        carry = summ.select(*keys, "_bkt", *[F.last(F.col(f"_l_{c}"), ignorenulls=True).over(w_carry)
-                                             .alias(f"_c_{c}") for c in cols])
-    j = local.join(carry, [*keys, "_bkt"], "left")
-    return j.select(*[F.coalesce(F.col(c), F.col(f"_c_{c}")).alias(c) if c in cols else F.col(c)
-                      for c in local.columns if c != "_bkt"])
+    flagged = df.withColumn(flag_col, F.col(cols[0]).isNull().cast("int")) if flag_col else df
+    rows = O.in_order(flagged, keys, [order_col, *tie_break], "forward-fill")
+    filled = O.scan(rows, keys, **{f"_f_{c}": O.carried(F.col(c)) for c in cols})
+    return filled.select(*[F.col(f"_f_{c}").alias(c) if c in cols else F.col(c) for c in flagged.columns])
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str, right_on: str,
-              value_cols: Sequence[str], bucket: str = "year") -> DataFrame:
+              value_cols: Sequence[str]) -> DataFrame:
     """Backward as-of join (J12): for each left row the latest right row with right_on <= left_on.
 
-    Implemented as a tagged union of both sides ordered by time (right rows
-    first on equal times) and a balanced forward fill of the right values; no
-    range join, no candidate pairs.  Adds ``<right_on>`` of the matched row
-    as ``asof_<right_on>`` and the value columns.
+    Both sides are put in one order by (by, time), right rows first on equal times, and the last right row is carried
+    along: no range join, no candidate pairs.  A NULL in ``by`` matches a NULL; left rows without a time and right rows
+    without one match nothing; of right rows with the same key and time the one with the greatest values counts.  Adds
+    the time of the matched row as ``asof_<right_on>`` and the value columns.
     """
     by = list(by)
-    lcols = left.columns
-    l = left.select(*[F.col(c) for c in lcols], F.col(left_on).alias("_t"), F.lit(1).alias("_side"),
-                    *[F.lit(None).cast(right.schema[c].dataType).alias(f"_v_{c}") for c in value_cols],
-                    F.lit(None).cast(right.schema[right_on].dataType).alias("_v_t"))
-    r_extra = [F.lit(None).cast(left.schema[c].dataType).alias(c) for c in lcols if c not in by]
-    r = right.select(*[F.col(c) for c in by], *r_extra, F.col(right_on).cast(left.schema[left_on].dataType).alias("_t"),
-                     F.lit(0).alias("_side"), *[F.col(c).alias(f"_v_{c}") for c in value_cols],
-                     F.col(right_on).alias("_v_t"))
-    u = l.unionByName(r.select(*l.columns))
-    # the bucket summary comes from the right side alone (the only rows with values): the union is not
-    # read a second time
-    until = left.select(F.max(F.col(left_on))).scalar()
-    filled = forward_fill(u, by, "_t", [*[f"_v_{c}" for c in value_cols], "_v_t"], flag_col=None,
-                          bucket=bucket, tie_break=[F.col("_side")], values_from=r, until=until)
-    return filled.where(F.col("_side") == 1).select(
-        *lcols, F.col("_v_t").alias(f"asof_{right_on}"), *[F.col(f"_v_{c}").alias(c) for c in value_cols])
+    found = F.struct(F.col(right_on).alias("_t"), *[F.col(c) for c in value_cols])
+    none = F.lit(None).cast(right.select(found.alias("f")).schema["f"].dataType)
+    kind = left.schema[left_on].dataType
+    row = F.struct(*[F.col(c) for c in left.columns])
+    l = left.select(*by, F.col(left_on).alias("_at_time"), F.lit(1).alias("_side"), row.alias("_row"), none.alias("_found"))
+    r = right.filter(F.col(right_on).isNotNull()).select(
+        *by, F.col(right_on).cast(kind).alias("_at_time"), F.lit(0).alias("_side"),
+        F.lit(None).cast(l.schema["_row"].dataType).alias("_row"), found.alias("_found"))
+    rows = O.in_order(l.unionByName(r), by, [F.col("_at_time").asc_nulls_first(), "_side", "_found"], "asof")
+    s = O.scan(rows, by, _last=O.carried(F.col("_found"))).filter("_side = 1")
+    return s.select(*[F.col(f"_row.`{c}`").alias(c) for c in left.columns], F.col("_last._t").alias(f"asof_{right_on}"),
+                    *[F.col(f"_last.`{c}`").alias(c) for c in value_cols])

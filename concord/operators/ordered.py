@@ -7,8 +7,8 @@ the other, and NULL keys are a key like any other.
 ``scan`` then needs no window over a whole key: windows run over (partition, key), and what crosses a partition edge comes
 from the *edge table*, one row per partition: the state that the first key of the partition brings along from the
 partitions before it, and the first rows of its last key in the partitions after it.  The edge table is built from the
-keys that touch an edge (at most two a partition), so its size is bounded by the number of partitions, whatever the data,
-and it is broadcast for that reason.
+keys that touch an edge (at most two a partition), so its size is bounded by the number of partitions, whatever the data.
+For that reason it is made in one task and broadcast.
 
 Rows that are equal in (keys, order) come in any order; give ``order`` a tie-break where that matters.  An empty input
 gives an empty result.
@@ -33,9 +33,9 @@ def in_order(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
     ``_part`` and ``_at`` (from 0).  Spark samples the input once for the bounds of the partitions."""
     by = [F.col(k).asc_nulls_first() for k in keys] + list(order)
     row = F.monotonically_increasing_id()
-    rows = (df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_row", row)
-            .withColumns({PART: F.shiftright("_row", _ROW_BITS).cast("int"),
-                          AT: F.col("_row").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))}).drop("_row"))
+    rows = (df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_row_id", row)
+            .withColumns({PART: F.shiftright("_row_id", _ROW_BITS).cast("int"),
+                          AT: F.col("_row_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))}).drop("_row_id"))
     path = scratch_path(df.sparkSession, name)
     rows.write.parquet(path)
     return df.sparkSession.read.schema(rows.schema).parquet(path)
@@ -126,17 +126,17 @@ def _edges(rows: DataFrame, keys: list[str], running: dict[str, Running], shifte
            ahead: int) -> DataFrame:
     """One row per partition: _rows, _first_n (rows of its first key), _last_at (where its last key starts), _b_<name>
     and _before (what comes to the first key from earlier partitions), _after (what follows the last key)."""
-    sizes = rows.groupBy(PART).agg((F.max(AT) + 1).alias("_rows"))
+    sizes = rows.groupBy(PART).agg((F.max(AT) + 1).alias("_rows")).coalesce(1)
     # the keys at the edges: at most two rows a partition
     touching = (rows.join(F.broadcast(sizes), PART).where((F.col(AT) == 0) | (F.col(AT) == F.col("_rows") - 1))
-                .select(F.col(PART).alias("_p"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).distinct())
+                .select(F.col(PART).alias("_p"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).distinct().coalesce(1))
     same = F.col(PART) == F.col("_p")
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
     near = rows.join(F.broadcast(touching), same, "left_semi")
     chunks = (near.groupBy(PART, *keys)
               .agg(F.min(AT).alias("_from"), F.max(AT).alias("_to"),
-                   *[v.total.alias(f"_t_{k}") for k, v in running.items()]))
+                   *[v.total.alias(f"_t_{k}") for k, v in running.items()]).coalesce(1))
     # the first and the last few rows of each of these: as many as the steps ask for
     values = F.struct(AT, *[v.value.alias(k) for k, v in shifted.items()])
     w = Window.partitionBy(*keys).orderBy(PART)
@@ -147,7 +147,7 @@ def _edges(rows: DataFrame, keys: list[str], running: dict[str, Running], shifte
                 .where((F.col(AT) - F.col("_from") < ahead) | (F.col("_to") - F.col(AT) < back))
                 .groupBy(F.col("_p").alias("_ep"), F.col("_from").alias("_ef"))
                 .agg(F.sort_array(F.collect_list(F.when(F.col(AT) - F.col("_from") < ahead, values))).alias("_head"),
-                     F.sort_array(F.collect_list(F.when(F.col("_to") - F.col(AT) < back, values))).alias("_tail")))
+                     F.sort_array(F.collect_list(F.when(F.col("_to") - F.col(AT) < back, values))).alias("_tail")).coalesce(1))
         chunks = chunks.join(F.broadcast(ends), (F.col(PART) == F.col("_ep")) & (F.col("_from") == F.col("_ef")))
     reach = []
     if back:  # every chunk has a row at least, so `back` chunks hold enough

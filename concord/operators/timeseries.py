@@ -1,10 +1,13 @@
 """Sensor time-series shaping.
 
-Long form (name, timestamp, value) -> per-grain value lists and exact median
--> dense grid of every tag x step between the global min and max -> left join
--> forward fill -> wide pivot and name map.  The global bounds are scalar
-subqueries (no collect); the grid is generated per (tag, chunk) so that no
-single row expands into a huge array; the fill is bucketed (see ``fill``).
+Long form (name, timestamp, value) -> value counts per (name, grain) -> exact median from cumulative counts -> one row per
+step from a name's first reading to the last of all, forward filled -> wide pivot and name map.
+
+* Readings are counted per (name, grain, value) and never collected: a grain's state is its sorted *runs* of (value, n).
+  Runs of two outputs merge by adding the counts of equal values, so an incremental run needs no reading of the old one.
+* The grid is not joined to the states and filled: each state is carried forward to the next state of its name (one ordered
+  scan over the states, see :mod:`.ordered`) and then unfolded to its steps, a day or so of steps at a time.  Grid, join and
+  fill are one step, windows run over the states alone, and a NULL name is a name like any other.
 """
 
 from __future__ import annotations
@@ -15,19 +18,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .fill import forward_fill
+from . import ordered as O
 
 
 # ------------------------------------------------------------------ F2 names
 
-#: What a cleaned name may hold, and the mark that stands for anything else.
-NAME_CHARS, NAME_MARK = "a-zA-Z0-9_", "_"
+#: Fixed value: a run of characters that a cleaned name does not hold (or of marks) becomes one mark.
+NAME_PATTERN = "([^a-zA-Z0-9_]|_)+"
 
 
 def clean_name(c: Column, strip_edges: bool = False) -> Column:
     """Each run of other characters and marks becomes one mark (N12: edge marks stay unless asked)."""
-    one = F.regexp_replace(c, f"([^{NAME_CHARS}]|{NAME_MARK})+", NAME_MARK)
-    return F.trim(F.lit(NAME_MARK), one) if strip_edges else one
+    one = F.regexp_replace(c, NAME_PATTERN, "_")
+    return F.trim(F.lit("_"), one) if strip_edges else one
 
 
 def add_cleaned_name(df: DataFrame, strip_edges: bool = False) -> DataFrame:
@@ -47,90 +50,116 @@ def _is_ntz(df: DataFrame, col: str) -> bool:
     return isinstance(df.schema[col].dataType, T.TimestampNTZType)
 
 
-def median_of_sorted(values: Column) -> Column:
-    """Median of a sorted array: the mean of the values at both middle ranks; NULL for an empty array."""
-    low, high = F.floor((F.array_size(values) - 1) / 2).cast("int"), F.floor(F.array_size(values) / 2).cast("int")
-    a, b = F.get(values, low), F.get(values, high)
-    return F.when(low == high, a).otherwise((a + b) / 2.0).cast("double")
+RUNS = "array<struct<value:double,n:bigint>>"
 
 
-def grain_lists(stream: DataFrame, grain: str = "second") -> DataFrame:
-    """V1: value cast to double, timestamp truncated to ``grain``, values collected per (name, timestamp),
-    sorted, with the exact median."""
-    g = (stream.select("name", truncate(F.col("timestamp"), grain, _is_ntz(stream, "timestamp")).alias("timestamp"),
-                       F.col("value").cast("double").alias("value"))
-         .groupBy("name", "timestamp").agg(F.collect_list("value").alias("values")))
-    return with_median(g)
+def median_of_runs(runs: Column) -> Column:
+    """Exact median of sorted (value, n) runs: the mean of the values at both middle ranks; NULL without values."""
+    total = F.aggregate(runs, F.lit(0).cast("bigint"), lambda acc, r: acc + r["n"])
 
+    def at(rank: Column) -> Column:
+        """The value of the first run whose cumulative count reaches ``rank`` (from 1)."""
+        start = F.struct(F.lit(0).cast("bigint").alias("upto"), F.lit(None).cast("double").alias("value"))
+        found = F.aggregate(runs, start, lambda acc, r: F.struct(
+            (acc["upto"] + r["n"]).alias("upto"),
+            F.when((acc["upto"] < rank) & (acc["upto"] + r["n"] >= rank), r["value"]).otherwise(acc["value"]).alias("value")))
+        return found["value"]
 
-def grain_medians(stream: DataFrame, grain: str = "second") -> DataFrame:
-    """V1 without the value lists: (name, timestamp, n_values, median) per grain.
-
-    For high-rate tags a per-grain list can hold millions of values; here no
-    group is ever collected: the count is a plain aggregate and the exact
-    median comes from ranked value counts (:func:`profile.grouped_median`).
-    A group whose values are all NULL is present with n_values = 0.
-    """
-    from .profile import grouped_median
+    low, high = F.floor((total + 1) / 2), F.floor(total / 2) + 1
+    return F.when(low == high, at(low)).otherwise((at(low) + at(high)) / 2.0)
 
-    s = stream.select("name", truncate(F.col("timestamp"), grain, _is_ntz(stream, "timestamp")).alias("timestamp"),
-                      F.col("value").cast("double").alias("value"))
-    present = s.groupBy("name", "timestamp").agg(F.count("value").cast("bigint").alias("n_values"))
-    return present.join(grouped_median(s, ["name", "timestamp"], "value"), ["name", "timestamp"], "left")
 
+def values_of_runs(runs: Column) -> Column:
+    """The readings of sorted runs, one by one."""
+    return F.flatten(F.transform(runs, lambda r: F.array_repeat(r["value"], r["n"].cast("int"))))
 
-def with_median(df: DataFrame, col: str = "values") -> DataFrame:
-    s = F.array_sort(F.col(col))
-    return df.select("name", "timestamp", s.alias("values"), median_of_sorted(s).alias("median"))
 
+def value_counts(stream: DataFrame, grain: str = "second") -> DataFrame:
+    """(name, timestamp, value, n): how often a name had a value in a grain; a NULL value is counted too."""
+    return (stream.select("name", truncate(F.col("timestamp"), grain, _is_ntz(stream, "timestamp")).alias("timestamp"),
+                          F.col("value").cast("double").alias("value"))
+            .groupBy("name", "timestamp", "value").agg(F.count(F.lit(1)).alias("n")))
 
-# ------------------------------------------------------------------ V2 grid
 
-def dense_grid(names: DataFrame, end: Column, step: str = "1 hour", chunk: str = "1 day") -> DataFrame:
-    """Every name x every step from the name's own ``start`` to ``end``, in half-open chunks.
-
-    ``names`` has one row (name, start) per name; ``end`` is a scalar column.
-    One row per (name, chunk) is produced first and spread over the cluster,
-    then each chunk row is exploded into its steps.
-    """
-    st = F.expr(f"INTERVAL {step}")
-    ck = F.expr(f"INTERVAL {chunk}")
-    chunks = names.where(F.col("start") <= end).select("name", F.explode(F.sequence(F.col("start"), end, ck)).alias("_cs"))
-    n_parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunks = chunks.repartition(n_parts, "name", "_cs")
-    last = F.least(F.col("_cs") + ck - st, end)
-    return chunks.select("name", F.explode(F.sequence(F.col("_cs"), last, st)).alias("timestamp"))
+def runs_of(counts: DataFrame) -> DataFrame:
+    """V1: (name, timestamp, runs, median) of value counts; a grain whose values are all NULL has no runs."""
+    g = counts.groupBy("name", "timestamp").agg(F.sort_array(F.collect_list(
+        F.when(F.col("value").isNotNull(), F.struct("value", "n")))).cast(RUNS).alias("runs"))
+    return g.withColumn("median", median_of_runs(F.col("runs")))
 
 
-# ------------------------------------------------------------------ V3 / V5 full run
+def grain_medians(stream: DataFrame, grain: str = "second") -> DataFrame:
+    """V1 without runs: (name, timestamp, n_values, median) per grain.
 
-def fill_on_grid(lists: DataFrame, names: DataFrame, end: Column, step: str, chunk: str = "1 day",
-                 fill_bucket: str = "day", cols: Sequence[str] = ("values", "median")) -> DataFrame:
-    """J9 + W4: left join the grid to the lists and forward fill ``cols`` per name (the first one flags)."""
-    grid = dense_grid(names, end, step, chunk)
-    j = grid.join(lists, ["name", "timestamp"], "left")
-    return forward_fill(j, ["name"], "timestamp", list(cols), "forward_filled", bucket=fill_bucket,
-                        values_from=lists, until=end)
+    For grains with millions of different values no group is gathered at all: the counts are put in order of
+    (name, grain, value) and the middle ranks are found from their running sums, so one grain may span many partitions.
+    """
+    key = ["name", "timestamp"]
+    counts = value_counts(stream, grain)
+    rows = O.in_order(counts.filter("value is not null"), key, ["value"], "grain-values")
+    upto = O.scan(rows, key, upto=O.running_sum(F.col("n")))
+    totals = counts.groupBy(*key).agg(F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))),
+                                                 F.lit(0)).alias("n_values"))
+    same = F.col("name").eqNullSafe(F.col("_n")) & F.col("timestamp").eqNullSafe(F.col("_t"))
+    ranked = upto.join(totals.select(F.col("name").alias("_n"), F.col("timestamp").alias("_t"), "n_values"), same)
+    low, high = F.floor((F.col("n_values") + 1) / 2), F.floor(F.col("n_values") / 2) + 1
+    holds = lambda rank: (F.col("upto") >= rank) & (F.col("upto") - F.col("n") < rank)
+    middle = (ranked.where(holds(low) | holds(high)).groupBy(F.col("_n"), F.col("_t"))
+              .agg(F.max(F.when(holds(low), F.col("value"))).alias("a"), F.max(F.when(holds(high), F.col("value"))).alias("b")))
+    return totals.join(middle, same, "left").select(
+        *key, "n_values", F.when(F.col("a") == F.col("b"), F.col("a")).otherwise((F.col("a") + F.col("b")) / 2.0).alias("median"))
+
+
+# ------------------------------------------------------------------ V2 / V3 / V5 steps, filled
+
+def unfold(states: DataFrame, end: Column, step: str = "1 hour", chunk: str = "1 day", cols: Sequence[str] = (),
+           emit: str | None = None) -> DataFrame:
+    """V2, V3 (J9, J10, F20, W4): a row per step from each state (name, timestamp, ``cols``, median) to the next state of
+    its name, or to ``end`` after the last one.  The state's own row has ``forward_filled`` 0, those after it repeat it
+    with 1; a NULL median is the one before it.  States where ``emit`` is false give only the rows after them.
+
+    States of one name must be different whole steps apart.  A state is unfolded to chunks first, which are spread over
+    the cluster, and then each chunk to its steps, so that a name that falls silent for years is no single task's work.
+    """
+    st, ck = F.expr(f"INTERVAL {step}"), F.expr(f"INTERVAL {chunk}")
+    extra = [emit] if emit else []
+    rows = O.in_order(states.select("name", "timestamp", *cols, "median", *extra), ["name"], ["timestamp"], "sensor-states")
+    s = O.scan(rows, ["name"], _next=O.lead(F.col("timestamp")), _median=O.carried(F.col("median")))
+    last = F.coalesce(F.col("_next") - st, end)
+    s = s.withColumn("_last", last).where(F.col("timestamp") <= F.col("_last"))
+    chunks = s.withColumn("_chunk", F.explode(F.sequence(F.col("timestamp"), F.col("_last"), ck)))
+    n = int(states.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = chunks.repartition(n, "name", "_chunk")
+    upto = F.least(F.col("_chunk") + ck - st, F.col("_last"))
+    out = chunks.withColumn("_step", F.explode(F.sequence(F.col("_chunk"), upto, st)))
+    own = F.col("_step") == F.col("timestamp")
+    if emit:
+        out = out.where(~own | F.col(emit))
+    return out.select("name", F.col("_step").alias("timestamp"), F.when(own, 0).otherwise(1).alias("forward_filled"),
+                      *cols, F.col("_median").alias("median"))
 
 
 def sensor_long(stream: DataFrame, grain: str = "second", step: str = "1 second", chunk: str = "1 hour",
-                fill_bucket: str = "day", strip_edges: bool = False, keep_values: bool = True) -> DataFrame:
+                strip_edges: bool = False, keep: str = "values") -> DataFrame:
     """V5 full run -> (name, timestamp, forward_filled, values, median, name_cleaned).
 
-    A name's rows run from its own first reading to the last reading of all.
-
-    ``keep_values=False`` replaces the per-grain value list by its size
-    ``n_values`` and computes the median without collecting any group (for
-    tags whose rate makes a single list too large for one task).
+    A name's rows run from its own first reading to the last reading of all.  ``keep`` says what stands for a grain's
+    readings: "values" (the sorted readings), "runs" (sorted (value, n), which :func:`sensor_incremental` merges) or
+    "count" (``n_values`` alone, for grains with too many different values to gather).
     """
-    lists = grain_lists(stream, grain) if keep_values else grain_medians(stream, grain)
-    first = "values" if keep_values else "n_values"
-    # names and bounds straight from the input (truncation is monotone): no extra pass over the lists
-    ntz = _is_ntz(stream, "timestamp")
-    names = stream.groupBy("name").agg(truncate(F.min("timestamp"), grain, ntz).alias("start"))
-    end = truncate(stream.select(F.max("timestamp")).scalar(), grain, ntz)
-    out = fill_on_grid(lists, names, end, step, chunk, fill_bucket, cols=[first, "median"])
-    return add_cleaned_name(out.select("name", "timestamp", "forward_filled", first, "median"), strip_edges)
+    if keep not in ("values", "runs", "count"):
+        raise ValueError(f"unknown keep: {keep!r}")
+    states = grain_medians(stream, grain) if keep == "count" else runs_of(value_counts(stream, grain))
+    end = truncate(stream.select(F.max("timestamp")).scalar(), grain, _is_ntz(stream, "timestamp"))
+    column = "n_values" if keep == "count" else "runs"
+    return finished(unfold(states, end, step, chunk, [column]), keep, strip_edges)
+
+
+def finished(long: DataFrame, keep: str, strip_edges: bool = False) -> DataFrame:
+    column = {"values": values_of_runs(F.col("runs")).alias("values") if keep == "values" else None,
+              "runs": F.col("runs") if keep == "runs" else None,
+              "count": F.col("n_values") if keep == "count" else None}[keep]
+    return add_cleaned_name(long.select("name", "timestamp", "forward_filled", column, "median"), strip_edges)
 
 
 # ------------------------------------------------------------------ V4 wide + map
@@ -155,56 +184,33 @@ def name_map(names: DataFrame, strip_edges: bool = False) -> DataFrame:
 # ------------------------------------------------------------------ M15 incremental
 
 def sensor_incremental(prev_long: DataFrame, added: DataFrame, grain: str = "second", step: str = "1 second",
-                       chunk: str = "1 hour", fill_bucket: str = "day", strip_edges: bool = False) -> DataFrame:
+                       chunk: str = "1 hour", strip_edges: bool = False, keep: str = "values") -> DataFrame:
     """New long output equal to a full run over old + added input.
 
-    ``prev_long`` is the stored previous output; the added values are aggregated once and stored in the shared
-    folder, as both are read several times.
+    ``prev_long`` is the stored previous output with ``keep="runs"``; the added value counts are stored in the shared
+    folder, as they are read several times.
 
-    Each name is recomputed from its own region start: its first added time
-    or, without added values, the step after the previous end.  Rows before
-    it are kept.  Inside the region the raw lists (rows of the previous
-    output that were not forward-filled) are concatenated with the added
-    values per (name, time) (J7), re-sorted and re-medianed, laid on the grid
-    and filled, seeded with the name's last previous row before the region.
+    A name's rows before its first added reading are kept (all of them, without added readings).  After them the states
+    of the old output (its rows that were not filled, J7) and the added counts are merged: the counts of equal values
+    of a (name, grain) are added up.  They are unfolded together with the name's last kept row (J8), which carries the
+    fill in and gives no row itself.
     """
     spark = prev_long.sparkSession
-    st = F.expr(f"INTERVAL {step}")
     path = scratch_path(spark, "sensor-added")
-    grain_lists(added, grain).select("name", "timestamp", F.col("values").alias("added_values")).write.parquet(path)
-    new_lists = spark.read.parquet(path)
-    prev_end = prev_long.select(F.max("timestamp")).scalar()
-    g_end = F.greatest(prev_end, new_lists.select(F.max("timestamp")).scalar())
-
-    # per name: first row and region start (a name's rows start at its first reading, old or added)
-    firsts = (prev_long.select("name", F.col("timestamp").alias("_p"), F.lit(None).cast(new_lists.schema["timestamp"].dataType).alias("_a"))
-              .unionByName(new_lists.select("name", F.lit(None).cast(prev_long.schema["timestamp"].dataType).alias("_p"),
-                                            F.col("timestamp").alias("_a")))
-              .groupBy("name").agg(F.min("_p").alias("_p"), F.min("_a").alias("_a")))
-    region_start = F.least(F.col("_a"), prev_end + st)
-    path = scratch_path(spark, "sensor-regions")
-    firsts.select("name", region_start.alias("region"),
-                  F.greatest(region_start, F.least("_p", "_a")).alias("start")).write.parquet(path)
-    regions = spark.read.parquet(path)
-
-    prev = prev_long.join(regions.select("name", "region"), "name")
-    raw_prev = (prev.where((F.col("forward_filled") == 0) & (F.col("timestamp") >= F.col("region")))
-                .select("name", "timestamp", "values"))
-    empty = F.array().cast("array<double>")
-    combined = (raw_prev.join(new_lists, ["name", "timestamp"], "full")
-                .select("name", "timestamp", F.concat(F.coalesce("values", empty),
-                                                      F.coalesce("added_values", empty)).alias("values")))
-    lists = with_median(combined)
-    region = dense_grid(regions.select("name", "start"), g_end, step, chunk).join(lists, ["name", "timestamp"], "left")
-    region = region.select("*", F.when(F.col("values").isNull(), 1).otherwise(0).alias("forward_filled"),
-                           F.lit(1).alias("_keep"))
-    # seed: each name's last row before its region (already filled) carries the fill in
-    before = prev.where(F.col("timestamp") < F.col("region"))
-    seed = (before.groupBy("name").agg(F.max_by(F.struct("values", "median", "timestamp"), "timestamp").alias("s"))
-            .select("name", F.col("s.timestamp").alias("timestamp"), F.col("s.values").alias("values"),
-                    F.col("s.median").alias("median"), F.lit(0).alias("forward_filled"), F.lit(0).alias("_keep")))
-    filled = forward_fill(region.unionByName(seed), ["name"], "timestamp", ["values", "median"], None,
-                          bucket=fill_bucket)
-    new_part = filled.where(F.col("_keep") == 1).select("name", "timestamp", "forward_filled", "values", "median")
-    kept = before.select("name", "timestamp", "forward_filled", "values", "median")
-    return add_cleaned_name(kept.unionByName(new_part), strip_edges)
+    value_counts(added, grain).write.parquet(path)
+    new = spark.read.parquet(path)
+    end = F.greatest(prev_long.select(F.max("timestamp")).scalar(), new.select(F.max("timestamp")).scalar())
+    region = new.groupBy(F.col("name").alias("_name")).agg(F.min("timestamp").alias("_from"))
+    prev = prev_long.join(region, F.col("name").eqNullSafe(F.col("_name")), "left")
+    later = F.coalesce(F.col("timestamp") >= F.col("_from"), F.lit(False))
+    kept = prev.where(~later).select("name", "timestamp", "forward_filled", "runs", "median")
+    old = prev.where(later & (F.col("forward_filled") == 0))
+    # a grain without values is one NULL value, so that it stays a state
+    no_value = F.array(F.struct(F.lit(None).cast("double").alias("value"), F.lit(1).cast("bigint").alias("n"))).cast(RUNS)
+    old = old.select("name", "timestamp", F.inline(F.when(F.size("runs") > 0, F.col("runs")).otherwise(no_value)))
+    merged = old.unionByName(new).groupBy("name", "timestamp", "value").agg(F.sum("n").alias("n"))
+    states = runs_of(merged).withColumn("_emit", F.lit(True))
+    seeds = (kept.groupBy("name").agg(F.max_by(F.struct("timestamp", "runs", "median"), "timestamp").alias("s"))
+             .select("name", "s.*", F.lit(False).alias("_emit")))
+    grown = unfold(states.unionByName(seeds), end, step, chunk, ["runs"], "_emit")
+    return finished(kept.unionByName(grown), keep, strip_edges)

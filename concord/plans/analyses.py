@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import returns as R
 from . import data as D
+from . import sqlparts as S
 from .registry import query, rounded
 
 DAILY_SQL = """SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS date, avg(o_totalprice) AS price
@@ -56,7 +57,7 @@ def _with_finish(ev):
 
 
 @query("event_groups", ("W5", "W6", "N19", "F16"),
-       sql="""WITH e AS (SELECT event_id, user_id, ts, ts + to_microseconds(CAST(round(value * 1000000) AS BIGINT)) AS finish FROM events),
+       sql=f"""WITH e AS (SELECT event_id, user_id, ts, ts + to_microseconds(CAST(round(value * 1000000) AS BIGINT)) AS finish FROM ({S.ANONYMOUS})),
                    f AS (SELECT *, lead(ts) OVER w AS next_start, lag(finish, 2) OVER w AS lag2_finish FROM e
                          WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
               SELECT event_id, user_id, ts, finish, next_start, lag2_finish,
@@ -65,10 +66,24 @@ def _with_finish(ev):
                           THEN 0 ELSE 1 END AS TINYINT) AS group_start
               FROM f""")
 def event_groups(spark, sf):
-    ev = _with_finish(D.load(spark, sf, "events"))
+    ev = _with_finish(D.anonymous(D.load(spark, sf, "events")))
     return EV.event_groups(ev, "user_id", "ts", "finish", tie_break=["event_id"])
 
 
+@query("asof_purchases", ("J12",),
+       sql=f"""WITH e AS ({S.ANONYMOUS}),
+                    p AS (SELECT user_id, ts, max(value) AS last_value FROM e WHERE event_type = 'purchase' GROUP BY ALL)
+               SELECT e.event_id, e.user_id, e.ts, p.ts AS asof_ts, p.last_value
+               FROM e ASOF LEFT JOIN p ON coalesce(e.user_id, -1) = coalesce(p.user_id, -1) AND e.ts >= p.ts""")
+def asof_purchases(spark, sf):
+    """Each event with its user's latest purchase up to then (unknown users as one)."""
+    from ..operators.fill import asof_join
+
+    ev = D.anonymous(D.load(spark, sf, "events"))
+    bought = ev.where(F.col("event_type") == "purchase").select("user_id", "ts", F.col("value").alias("last_value"))
+    return asof_join(ev.select("event_id", "user_id", "ts"), bought, ["user_id"], "ts", "ts", ["last_value"])
+
+
 @query("usage_summary", ("V11", "A19", "F24"),
        sql="""SELECT CAST(user_id AS VARCHAR) AS user_id, coalesce(json_extract_string(props, '$.user'), 'Unknown') AS user_email,
                      CAST(count(*) AS BIGINT) AS total_activities, min(ts) AS first_access, max(ts) AS last_access
@@ -159,7 +174,7 @@ def scalar_functions(spark, sf):
 
 
 @query("event_rollup", ("A20", "W6", "W5"),
-       sql="""WITH e AS (SELECT event_id, user_id, ts, value, ts + to_microseconds(CAST(round(value * 1000000) AS BIGINT)) AS finish FROM events),
+       sql=f"""WITH e AS (SELECT event_id, user_id, ts, value, ts + to_microseconds(CAST(round(value * 1000000) AS BIGINT)) AS finish FROM ({S.ANONYMOUS})),
                    f AS (SELECT *, lead(ts) OVER w AS next_start, lag(finish, 2) OVER w AS lag2_finish FROM e
                          WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
                    g AS (SELECT *, CASE WHEN next_start IS NOT NULL
@@ -170,7 +185,7 @@ def scalar_functions(spark, sf):
                      CAST(count(*) AS BIGINT) AS events, round(sum(value), 6) AS sum_value
               FROM h GROUP BY user_id, event_group""")
 def event_rollup(spark, sf):
-    ev = D.load(spark, sf, "events")
+    ev = D.anonymous(D.load(spark, sf, "events"))
     ev = ev.select("event_id", "user_id", "ts", "value",
                    (F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("value"))).alias("finish"))
     flagged = EV.event_groups(ev, "user_id", "ts", "finish", tie_break=["event_id"])

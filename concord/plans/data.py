@@ -108,9 +108,14 @@ def orders_snapshot2(o: DataFrame) -> DataFrame:
     return o.select(F.explode(F.filter(rows, lambda x: x.isNotNull())).alias("r")).select("r.*")
 
 
+def anonymous(ev: DataFrame) -> DataFrame:
+    """events of which one user in 40 is unknown: user_id NULL."""
+    return ev.withColumn("user_id", F.when(F.col("user_id") % 40 != 0, F.col("user_id")))
+
+
 def sensor_stream(ev: DataFrame) -> DataFrame:
-    """events as a sensor stream: name = 'user_' || user_id, timestamp = ts, value."""
-    return ev.select(F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("name"),
+    """events as a sensor stream: name = 'user_' || user_id (NULL for unknown users), timestamp = ts, value."""
+    return anonymous(ev).select(F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("name"),
                      F.col("ts").alias("timestamp"), F.col("value"))
 
 

@@ -22,7 +22,7 @@ m AS (SELECT name, timestamp, values,
                   ELSE (values[len(values) // 2] + values[len(values) // 2 + 1]) / 2.0 END AS median FROM s),
 g AS (SELECT name, unnest(generate_series(start, (SELECT max(timestamp) FROM s), INTERVAL 1 HOUR)) AS timestamp
       FROM (SELECT name, min(timestamp) AS start FROM s GROUP BY name)),
-j AS (SELECT g.name, g.timestamp, m.values, m.median FROM g LEFT JOIN m ON g.name = m.name AND g.timestamp = m.timestamp)
+j AS (SELECT g.name, g.timestamp, m.values, m.median FROM g LEFT JOIN m ON g.name IS NOT DISTINCT FROM m.name AND g.timestamp = m.timestamp)
 SELECT name, timestamp, CASE WHEN values IS NULL THEN 1 ELSE 0 END AS forward_filled,
        last_value(values IGNORE NULLS) OVER w AS values, round(last_value(median IGNORE NULLS) OVER w, 6) AS median,
        trim(regexp_replace(regexp_replace(name, '[^a-zA-Z0-9_]', '_', 'g'), '_+', '_', 'g')) AS name_cleaned
@@ -70,7 +70,8 @@ def sensor_incremental(spark, sf):
     added = _added()
     # the previous output is a stored dataset, as in a real incremental run: written once, then read back
     path = scratch_path(spark, "sensor-long-previous")
-    TS.sensor_long(D.sensor_stream(ev.where(~added)), GRAIN, STEP, CHUNK).write.parquet(path)
+    TS.sensor_long(D.sensor_stream(ev.where(~added)), GRAIN, STEP, CHUNK,
+                   keep="runs").write.parquet(path)
     prev = spark.read.parquet(path)
     out = TS.sensor_incremental(prev, D.sensor_stream(ev.where(added)), GRAIN, STEP, CHUNK)
     return rounded(out)
@@ -82,5 +83,5 @@ MEDIANS_SQL = LONG_SQL.replace("last_value(values IGNORE NULLS) OVER w AS values
 
 @query("sensor_long_medians", ("V1", "V3", "A17", "W4"), sql=MEDIANS_SQL)
 def sensor_long_medians(spark, sf):
-    """The long output without value lists: exact medians from ranked value counts (no collected group)."""
-    return rounded(TS.sensor_long(D.sensor_stream(D.load(spark, sf, "events")), GRAIN, STEP, CHUNK, keep_values=False))
+    """The long output without value lists: exact medians from running value counts (no gathered group)."""
+    return rounded(TS.sensor_long(D.sensor_stream(D.load(spark, sf, "events")), GRAIN, STEP, CHUNK, keep="count"))

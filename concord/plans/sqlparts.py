@@ -66,7 +66,8 @@ ORDERS_SNAPSHOT2 = """
   FROM orders WHERE o_orderkey % 41 = 0
 """
 
-SENSOR = "SELECT 'user_' || CAST(user_id AS VARCHAR) AS name, ts AS timestamp, value FROM events"
+ANONYMOUS = "SELECT * REPLACE (CASE WHEN user_id % 40 <> 0 THEN user_id END AS user_id) FROM events"
+SENSOR = f"SELECT 'user_' || CAST(user_id AS VARCHAR) AS name, ts AS timestamp, value FROM ({ANONYMOUS})"
 
 
 def match_metrics(counts_cte: str, group: str | None = None) -> str:

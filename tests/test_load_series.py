@@ -72,18 +72,24 @@ def test_scd2_cases(spark):
 
 
 def test_median_cases(spark):
-    df = spark.createDataFrame([("odd", [3.0, 1.0, 2.0]), ("even", [4.0, 1.0, 3.0, 2.0]), ("one", [7.0]),
-                                ("empty", [])], "name string, vals array<double>")
-    m = {r.name: r.m for r in df.select("name", TS.median_of_sorted(F.array_sort("vals")).alias("m")).collect()}
-    assert m == {"odd": 2.0, "even": 2.5, "one": 7.0, "empty": None}
+    df = spark.createDataFrame([("odd", [(1.0, 1), (2.0, 1), (3.0, 1)]), ("even", [(1.0, 1), (2.0, 1), (3.0, 1), (4.0, 1)]),
+                                ("one", [(7.0, 1)]), ("empty", []), ("many", [(1.0, 3), (2.0, 2), (9.0, 1)]),
+                                ("half", [(1.0, 500), (2.0, 500)])], f"name string, runs {TS.RUNS}")
+    got = {r.name: (r.m, r.v) for r in df.select("name", TS.median_of_runs(F.col("runs")).alias("m"),
+                                                 TS.values_of_runs(F.col("runs")).alias("v")).collect()}
+    assert {k: v[0] for k, v in got.items()} == {"odd": 2.0, "even": 2.5, "one": 7.0, "empty": None, "many": 1.5, "half": 1.5}
+    assert got["many"][1] == [1.0, 1.0, 1.0, 2.0, 2.0, 9.0] and got["empty"][1] == []
 
 
 def test_grid_half_open_chunks(spark):
-    names = spark.createDataFrame([("a", T(2024, 1, 1)), ("b", T(2024, 1, 1, 1, 30)), ("c", T(2024, 1, 1, 3))],
-                                  "name string, start timestamp_ntz")
-    g = TS.dense_grid(names, F.lit(T(2024, 1, 1, 2, 0, 0)).cast("timestamp_ntz"), "1 second", "1 hour")
+    states = spark.createDataFrame([("a", T(2024, 1, 1), 1.0), ("a", T(2024, 1, 1, 1, 0, 7), None),
+                                    (None, T(2024, 1, 1, 1, 30), 2.0), ("c", T(2024, 1, 1, 3), 3.0)],
+                                   "name string, timestamp timestamp_ntz, median double")
+    g = TS.unfold(states, F.lit(T(2024, 1, 1, 2, 0, 0)).cast("timestamp_ntz"), "1 second", "1 hour")
     assert g.count() == g.distinct().count() == 7201 + 1801  # N10: no duplicated chunk edges; own starts; c is later
-    one = TS.dense_grid(names.limit(1), F.lit(T(2024, 1, 1)).cast("timestamp_ntz"), "1 second", "1 hour")
+    assert {(r.name, r.median, r.forward_filled): r["count"] for r in g.groupBy("name", "median", "forward_filled").count().collect()} == {
+        ("a", 1.0, 0): 2, ("a", 1.0, 1): 7199, (None, 2.0, 0): 1, (None, 2.0, 1): 1800}
+    one = TS.unfold(states.limit(1), F.lit(T(2024, 1, 1)).cast("timestamp_ntz"), "1 second", "1 hour")
     assert one.count() == 1
 
 
@@ -100,24 +106,29 @@ def test_name_cleaning_collision(spark):
 def test_incremental_equals_full(spark):
     base = [("t1", T(2024, 1, 1, 0, 0, s), float(s)) for s in range(0, 20, 3)]
     base += [("t2", T(2024, 1, 1, 0, 0, 5), None)]  # an all-null second
+    base += [(None, T(2024, 1, 1, 0, 0, s), float(s % 5)) for s in (1, 1, 4, 4, 4, 9, 15)]  # a NULL name
     added = [("t1", T(2024, 1, 1, 0, 0, 9), 100.0),  # overlap in the middle
              ("t1", T(2024, 1, 1, 0, 0, 30), 1.0),  # new time after the old end
-             ("t3", T(2024, 1, 1, 0, 0, 25), 2.0)]  # new name
+             ("t3", T(2024, 1, 1, 0, 0, 25), 2.0),  # new name
+             ("t2", T(2024, 1, 1, 0, 0, 5), 4.0), (None, T(2024, 1, 1, 0, 0, 4), 4.0), (None, T(2024, 1, 1, 0, 0, 9), None)]
     sch = "name string, timestamp timestamp_ntz, value double"
     old_df, add_df = spark.createDataFrame(base, sch), spark.createDataFrame(added, sch)
-    prev = TS.sensor_long(old_df, "second", "1 second", "1 hour")
+    prev = TS.sensor_long(old_df, "second", "1 second", "1 hour", keep="runs")
     inc = TS.sensor_incremental(prev, add_df, "second", "1 second", "1 hour")
     full = TS.sensor_long(old_df.unionByName(add_df), "second", "1 second", "1 hour")
     cols = ("name", "timestamp", "forward_filled", "values", "median", "name_cleaned")
-    norm = lambda d: sorted((r[0], r[1], r[2], tuple(r[3] or ()), r[4], r[5]) for r in d.select(*cols).collect())
+    norm = lambda d: sorted(((r[0], r[1], r[2], tuple(r[3]), r[4], r[5]) for r in d.select(*cols).collect()), key=str)
     assert norm(inc) == norm(full)
+    counts = TS.sensor_long(old_df.unionByName(add_df), "second", "1 second", "1 hour", keep="count")
+    assert sorted(((r.name, r.timestamp, r.forward_filled, r.n_values, r.median) for r in counts.collect()), key=str) == sorted(
+        ((r.name, r.timestamp, r.forward_filled, len(r.values), r.median) for r in full.collect()), key=str)
 
 
 def test_incremental_before_old_start(spark):
     sch = "name string, timestamp timestamp_ntz, value double"
     old_df = spark.createDataFrame([("t1", T(2024, 1, 1, 0, 0, 10), 1.0), ("t1", T(2024, 1, 1, 0, 0, 12), 2.0)], sch)
     add_df = spark.createDataFrame([("t1", T(2024, 1, 1, 0, 0, 5), 3.0)], sch)
-    prev = TS.sensor_long(old_df, "second", "1 second", "1 hour")
+    prev = TS.sensor_long(old_df, "second", "1 second", "1 hour", keep="runs")
     inc = TS.sensor_incremental(prev, add_df, "second", "1 second", "1 hour")
     full = TS.sensor_long(old_df.unionByName(add_df), "second", "1 second", "1 hour")
     key = lambda d: sorted((r.name, r.timestamp, r.forward_filled, r.median) for r in d.collect())
@@ -128,7 +139,7 @@ def test_forward_fill_across_buckets(spark):
     df = spark.createDataFrame([("a", T(2024, 1, 1, 23), 1.0), ("a", T(2024, 1, 2, 1), None),
                                 ("a", T(2024, 1, 4, 1), None), ("b", T(2024, 1, 4, 2), None)],
                                "k string, t timestamp_ntz, v double")
-    out = FL.forward_fill(df, ["k"], "t", ["v"], "filled", bucket="day")
+    out = FL.forward_fill(df, ["k"], "t", ["v"], "filled")
     assert rows(out, "k", "t", "v", "filled") == [("a", T(2024, 1, 1, 23), 1.0, 0), ("a", T(2024, 1, 2, 1), 1.0, 1),
                                                   ("a", T(2024, 1, 4, 1), 1.0, 1), ("b", T(2024, 1, 4, 2), None, 1)]
 
@@ -183,17 +194,29 @@ def test_long_path_with_shuffled_ids_is_one_component(spark):
     assert got == {**dict.fromkeys(range(n), 0), 5000: 5000, 5001: 5000, 7000: 7000}
 
 
-def test_forward_fill_values_from_spans_empty_buckets(spark):
-    grid = spark.createDataFrame([("a", T(2024, 1, d, 12)) for d in range(1, 6)], "k string, t timestamp_ntz")
-    data = spark.createDataFrame([("a", T(2024, 1, 2, 12), 7.0), ("a", T(2024, 1, 4, 12), 9.0)],
-                                 "k string, t timestamp_ntz, v double")
-    j = grid.join(data, ["k", "t"], "left")
-    fast = FL.forward_fill(j, ["k"], "t", ["v"], "f", bucket="day", values_from=data,
-                           until=F.lit(T(2024, 1, 5, 12)).cast("timestamp_ntz"))
-    slow = FL.forward_fill(j, ["k"], "t", ["v"], "f", bucket="day")
-    assert rows(fast, "t", "v", "f") == rows(slow, "t", "v", "f") == [
-        (T(2024, 1, 1, 12), None, 1), (T(2024, 1, 2, 12), 7.0, 0), (T(2024, 1, 3, 12), 7.0, 1),
-        (T(2024, 1, 4, 12), 9.0, 0), (T(2024, 1, 5, 12), 9.0, 1)]
+def test_null_keys_are_one_key(spark):
+    day = lambda d: T(2024, 1, d)
+    df = spark.createDataFrame([(None, i, day(i), day(i), 1.0 if i == 1 else None) for i in (1, 2, 3)] + [("a", 9, day(2), day(2), 5.0)],
+                               "a string, id int, s timestamp_ntz, f timestamp_ntz, v double")
+    ll = {r.id: r for r in EV.lead_lag(df, ["a"], "s", ["id"], "s", "f").collect()}
+    assert [ll[i].lead1 for i in (1, 2, 3, 9)] == [day(2), day(3), None, None]
+    assert [ll[i].lag2 for i in (1, 2, 3)] == [None, None, day(1)]
+    n = {r.id: r for r in EV.neighbours(df, ["a"], ["s"], lag_cols=["id"], running_sums=["id"]).collect()}
+    assert [(n[i].seq, n[i].cum_id, n[i].lag1_id) for i in (1, 2, 3, 9)] == [(1, 1, None), (2, 3, 1), (3, 6, 2), (1, 9, None)]
+    filled = FL.forward_fill(df, ["a"], "s", ["v"], "was_null")
+    assert rows(filled.filter("a is null"), "s", "v", "was_null") == [(day(1), 1.0, 0), (day(2), 1.0, 1), (day(3), 1.0, 1)]
+    groups = EV.event_rollup(EV.event_groups(df, "a", "s", "f", ["id"]), "a", "s", "f", ["id"])
+    assert groups.filter("a is null").count() == 3  # hours apart: a group each
+    last = FL.asof_join(df.select("a", "id", "s"), df.filter("v > 0").select("a", "s", "v"), ["a"], "s", "s", ["v"])
+    assert {r.id: (r.v, r.asof_s) for r in last.collect()} == {1: (1.0, day(1)), 2: (1.0, day(1)), 3: (1.0, day(1)), 9: (5.0, day(2))}
+
+
+def test_change_history_of_a_null_key(spark):
+    from concord.operators.dedup import change_history
+    feed = spark.createDataFrame([(k, "insert", v) for k in (None, 1) for v in (1, 2, 3)],
+                                 "k int, _change_type string, _commit_version long")
+    got = change_history(feed, ["k"]).filter("k is null")
+    assert rows(got, "_commit_version", "prev_version", "change_seq") == [(1, None, 1), (2, 1, 2), (3, 2, 3)]
 
 
 def test_first_run_detection(spark):
@@ -222,7 +245,7 @@ def test_asof_across_empty_buckets(spark):
     targets = spark.createDataFrame([("s", T(2024, 1, 1)), ("s", T(2024, 1, 6)), ("s", T(2024, 1, 9)),
                                      ("s", T(2024, 1, 20)), ("u", T(2024, 1, 4)), ("u", T(2024, 1, 30)),
                                      ("v", T(2024, 1, 3))], "k string, t timestamp_ntz")
-    out = FL.asof_join(targets, prices, ["k"], "t", "d", ["price"], bucket="day")
+    out = FL.asof_join(targets, prices, ["k"], "t", "d", ["price"])
     assert rows(out, "k", "t", "price") == [("s", T(2024, 1, 1), None), ("s", T(2024, 1, 6), 10.0),
                                             ("s", T(2024, 1, 9), 20.0), ("s", T(2024, 1, 20), 20.0),
                                             ("u", T(2024, 1, 4), None), ("u", T(2024, 1, 30), 7.0),
