@@ -38,8 +38,8 @@ from .common import materialize, ship
 PATH = 6
 #: Messages that a queue holds in memory.
 QUEUE_ROWS = 1 << 17
-#: Trees of at most so many nodes are solved in one shard.
-ONE_SHARD = 200_000
+#: Nodes for which a shard is worth its overhead; trees of at most so many are solved in one.
+ONE_SHARD = 50_000
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
 KEYS = ["k1", "k2"]
@@ -266,12 +266,13 @@ def level_order(shard: str | None = None) -> list[Column]:
 
 def subtree_totals(nodes: DataFrame, one_shard: int = ONE_SHARD, queue_rows: int = QUEUE_ROWS,
                    shards: int | None = None) -> DataFrame:
-    """k1, k2, parent (the parent's conv_id), n_children, leaves, saved of NODE rows, totals over whole subtrees.
-    ``shards`` is the number of shards, Spark's shuffle partitions unless given."""
+    """k1, k2, parent (the parent's conv_id), n_children, leaves, saved of stored NODE rows, totals over whole subtrees.
+    ``shards`` is the number of shards; unless given, one per ``one_shard`` nodes, as many as Spark's shuffle partitions
+    at most."""
     spark = nodes.sparkSession
-    order = [*PATHS, "conv_id", "depth"]
-    n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = (nodes.repartitionByRange(n, *order).withColumn("shard", F.spark_partition_id().cast("long"))
+    n = shards or min(-(-nodes.count() // one_shard), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = nodes.repartitionByRange(n, *PATHS, "conv_id", "depth") if n > 1 else nodes.coalesce(1)
+    dealt = (dealt.withColumn("shard", F.spark_partition_id().cast("long"))
              .select("shard", *NODE).sortWithinPartitions(*level_order()))
     done = materialize(run_shards(dealt, queue_rows), "trie-shards")
     roots = done.filter("root and depth > 0").select(*KEYS, "p1", "p2", "leaves", "saved")
@@ -295,8 +296,8 @@ def subtree_totals(nodes: DataFrame, one_shard: int = ONE_SHARD, queue_rows: int
                           "pd": F.coalesce("ud", F.lit(0)), "p1": F.coalesce("u1", F.lit(0)),
                           "p2": F.coalesce("u2", F.lit(0)), "n_children": F.lit(0).cast("long")}))
     tree = materialize(tree.select(*NODE), "trie-tree")
-    small = tree.limit(one_shard + 1).count() <= one_shard
-    solved = subtree_totals(tree, one_shard, queue_rows, 1 if small else max(1, n // 8))
+    fewer = max(1, min(n - 1, -(-tree.count() // one_shard)))  # in the end one shard
+    solved = subtree_totals(tree, one_shard, queue_rows, fewer)
     total = (heads.join(solved.select(*KEYS, F.col("leaves").alias("tl"), F.col("saved").alias("ts")), KEYS, "left")
              .groupBy("p1", "p2").agg(F.sum(F.coalesce("tl", "leaves")).alias("m_leaves"),
                                       F.sum(F.coalesce("ts", "saved")).alias("m_saved")))

@@ -56,7 +56,7 @@ def sample(seed, n, words):
     return rows
 
 
-@pytest.mark.parametrize("one_shard,queue_rows,shards", [(200_000, 1 << 17, None), (3, 4, 7)])
+@pytest.mark.parametrize("one_shard,queue_rows,shards", [(50_000, 1 << 17, None), (3, 4, 7)])
 def test_equals_brute_force(spark, one_shard, queue_rows, shards):
     rows = sample(1, 60, ["a", "é", "tsch\U0001F600s"])
     rows += [(c, t, "user", "same") for c in range(300, 330) for t in range(12)]  # copies of one conversation
