@@ -8,6 +8,8 @@ join wherever the result is keyed.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -112,7 +114,9 @@ def key_gap(left: DataFrame, right: DataFrame, keys: Sequence[str],
     counts = g.agg(F.count_if(F.col("in_l") == 1).cast("bigint").alias("left_keys"),
                    F.count_if(left_only).cast("bigint").alias("left_only"),
                    F.count_if((F.col("in_r") == 1) & ~both).cast("bigint").alias("right_only"))
-    rem = left.join(g.where(left_only).select(*keys), list(keys), "left_semi")
+    gone = g.where(left_only).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    rem = left.join(gone, same, "left_semi")  # rows with a NULL in their key are in it
     extra = [F.count_distinct(F.col(c)).cast("bigint").alias(f"remainder_distinct_{c}") for c in describe_cols]
     rem_stats = rem.agg(F.count(F.lit(1)).cast("bigint").alias("remainder_rows"), *extra)
     share = F.try_divide(F.col("left_only").cast("double"), F.col("left_keys").cast("double"))

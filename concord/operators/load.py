@@ -241,9 +241,10 @@ def forward_append(target: DataFrame, source: DataFrame, wm_col: str, last_water
 
 
 def ranged_reload(target: DataFrame, source: DataFrame, date_col: str, start: Column, end: Column) -> DataFrame:
-    """Replace the target's rows in [start, end) with the source's rows of that window."""
+    """Replace the target's rows in [start, end) with the source's rows of that window; rows without a date are in no
+    window, so the target's stay and the source's do not come in."""
     inwin = (F.col(date_col) >= start) & (F.col(date_col) < end)
-    return target.where(~inwin).unionByName(source.where(inwin))
+    return target.where(~F.coalesce(inwin, F.lit(False))).unionByName(source.where(inwin))
 
 
 # ------------------------------------------------------------------ M11 SCD
@@ -261,8 +262,9 @@ def scd2(target: DataFrame, source: DataFrame, keys: Sequence[str], tracked: Seq
     pass over the join.
     """
     biz = [c for c in source.columns]
-    hist = target.where(~F.col(current))
-    cur = target.where(F.col(current))
+    is_current = F.coalesce(F.col(current), F.lit(False))  # an unset flag: history
+    hist = target.where(~is_current)
+    cur = target.where(is_current)
     sp = merge_split(cur, source, keys, compare_cols=list(tracked))
     m = F.col("_merge")
     t_deleted = F.coalesce(F.col(f"t.`{deleted}`"), F.lit(False))

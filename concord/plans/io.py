@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
+from ..sources import html as HT
 from ..sources import readers as RD
 from ..sources import sinks as SK
 from ..streaming import jobs as J
@@ -48,14 +49,14 @@ _LI_SQL = """WITH c AS (SELECT page_id, unnest(string_split(html, '<li')[2:]) AS
 
 @query("html_list_items", ("S20",), sql=_LI_SQL)
 def html_list_items(spark, sf):
-    return RD.html_rows(D.load(spark, sf, "pages"), "page_id", "html")
+    return HT.html_items(D.load(spark, sf, "pages"), "page_id", "html")
 
 
 @query("html_links", ("S20",),
        sql="""SELECT page_id, CAST(generate_subscripts(h, 1) - 1 AS BIGINT) AS position, unnest(h) AS href
               FROM (SELECT page_id, regexp_extract_all(html, '<a\\s+href="([^"]*)"', 1) AS h FROM pages)""")
 def html_links(spark, sf):
-    return RD.html_links(D.load(spark, sf, "pages"), "page_id", "html")
+    return HT.html_links(D.load(spark, sf, "pages"), "page_id", "html")
 
 
 @query("html_table_rows", ("S20",),
@@ -70,18 +71,21 @@ def html_table_rows(spark, sf):
     page = F.concat(F.lit("<table><thead><tr><th>Key</th><td>not a row</td></tr></thead><tbody>"),
                     F.array_join(F.transform(rows, lambda x: x["tr"]), "\n"), F.lit("</tbody></table>"))
     pages = o.groupBy("o_custkey").agg(page.alias("html"))
-    r = RD.html_table_rows(pages, "o_custkey", "html")
+    r = HT.html_table_rows(pages, "o_custkey", "html")
     return r.select("o_custkey", "position", F.get("cells", 0).alias("c1"), F.get("cells", 1).alias("c2"))
 
 
 @query("csv_roundtrip", ("S6", "S21", "S1"),
-       sql="SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer WHERE c_acctbal > 0")
+       sql="""SELECT c_custkey, c_acctbal, CASE c_custkey % 6 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN c_name || chr(13) || chr(10) || '"x",'
+                WHEN 3 THEN '  ' || c_name || ' ' WHEN 4 THEN '\\N' ELSE c_mktsegment END AS note FROM customer WHERE c_acctbal > 0""")
 def csv_roundtrip(spark, sf):
+    """Customers with notes that are NULL, empty, quoted, of two lines, blank-padded or look like the mark of NULL."""
     path = scratch_path(spark, "csv")
-    SK.write_csv(D.load(spark, sf, "customer"), path)
-    back = RD.read_csv(spark, path, "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
-    return RD.scan(spark, path, "csv", ["c_custkey", "c_name", "c_nationkey", "c_acctbal"], F.col("c_acctbal") > 0,
-                   schema=back.schema, header=True)
+    k = F.col("c_custkey") % 6
+    note = (F.when(k == 0, F.lit(None)).when(k == 1, "").when(k == 2, F.concat("c_name", F.lit('\r\n"x",')))
+            .when(k == 3, F.concat(F.lit("  "), "c_name", F.lit(" "))).when(k == 4, "\\N").otherwise(F.col("c_mktsegment")))
+    SK.write_csv(D.load(spark, sf, "customer").select("c_custkey", "c_acctbal", note.alias("note")), path)
+    return RD.read_csv(spark, path, "c_custkey bigint, c_acctbal double, note string").where(F.col("c_acctbal") > 0)
 
 
 @query("partitioned_fact", ("S16",),
@@ -174,10 +178,13 @@ EVENTS_SCHEMA = T.StructType([T.StructField("event_id", T.LongType()), T.StructF
                               T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
 
 
-def _land_events(spark, sf):
-    """The events table landed by two loads in a landing folder (the stream's source files follow the input's)."""
+def _land_events(spark, sf, again=False):
+    """The events table landed by two loads in a landing folder (the stream's source files follow the input's); with
+    ``again`` a third load brings every third event once more."""
     path = scratch_path(spark, "landing-events")
     ev = D.load(spark, sf, "events")
+    if again:
+        ev.where(F.pmod("event_id", F.lit(3)) == 0).write.parquet(path)
     for part in (0, 1):  # two loads, so that there is more than one file whatever the input's own files
         ev.where(F.pmod("event_id", F.lit(2)) == part).write.mode("append").parquet(path)
     return path
@@ -186,10 +193,11 @@ def _land_events(spark, sf):
 @query("stream_ingest", ("R1", "R2", "R3", "S17", "S15"),
        sql="SELECT event_type, CAST(count(*) AS BIGINT) AS events, round(sum(value), 4) AS value_sum FROM events GROUP BY 1")
 def stream_ingest(spark, sf):
-    src = _land_events(spark, sf)
+    """Landed events, some of them twice, each copied once."""
+    src = _land_events(spark, sf, again=True)
     target = scratch_path(spark, "bronze-events")
-    q = J.append_to_table(J.file_stream(spark, src, EVENTS_SCHEMA, max_files_per_trigger=1), target)
-    J.run_to_completion(q)
+    events = J.distinct_events(J.file_stream(spark, src, EVENTS_SCHEMA, max_files_per_trigger=1), ["event_id"], "ts", "31 days")
+    J.run_to_completion(J.append_to_table(events, target))
     t = spark.read.parquet(target)
     return t.groupBy("event_type").agg(F.count(F.lit(1)).cast("bigint").alias("events"),
                                        F.round(F.sum("value"), 4).alias("value_sum"))
@@ -204,6 +212,7 @@ def stream_window_counts(spark, sf):
     agg = J.windowed_counts(J.file_stream(spark, src, EVENTS_SCHEMA, max_files_per_trigger=1), "ts", "1 day",
                             "31 days", ["event_type"])
     J.run_to_completion(J.upsert_batches(agg, root))
+    J.compact_table(spark, root, ["window_start", "event_type"], agg.schema)
     return J.read_table(spark, root, ["window_start", "event_type"], agg.schema)
 
 
@@ -229,9 +238,11 @@ def stream_cdc_merge(spark, sf):
     feed = D.orders_change_feed(o)
     land = scratch_path(spark, "landing-feed")
     feed.write.partitionBy("_commit_version").parquet(land)  # a version = a folder of files
-    stream = spark.readStream.schema(FEED_SCHEMA).option("maxFilesPerTrigger", 4).parquet(land)
     root = scratch_path(spark, "silver-orders")
-    J.run_to_completion(J.apply_change_feed(stream, root, o.schema))
+    for odd in (0, 1):  # two streams into one table, folded in between
+        stream = spark.readStream.schema(FEED_SCHEMA).option("maxFilesPerTrigger", 4).parquet(land)
+        J.run_to_completion(J.apply_change_feed(stream.where(F.pmod("o_orderkey", F.lit(2)) == odd), root, o.schema))
+        J.compact_change_table(spark, root, ["o_orderkey"], o.schema)
     return J.read_change_table(spark, root, ["o_orderkey"], o.schema)
 
 
@@ -245,7 +256,7 @@ def stream_bookmark(spark, sf):
     land, root = scratch_path(spark, "landing-history"), scratch_path(spark, "orders-history")
     D.orders_change_feed(o).write.parquet(land)
     J.run_to_completion(J.apply_change_feed(J.file_stream(spark, land, FEED_SCHEMA, max_files_per_trigger=2), root, o.schema))
-    history = spark.read.parquet(root)
+    history = J.change_rows(spark, root, o.schema)
     counts = history.agg(F.count(F.lit(1)).alias("changes"), F.count_distinct("o_orderkey").alias("keys"),
                          F.max("_commit_version").alias("last_version"))
     mark = J.applied_bookmark(spark, root, o.schema, "orders_feed", "orders_history")

@@ -1,4 +1,4 @@
-"""Readers: projected scans, capped and sampled reads, JSON envelopes, CSV, HTML rows."""
+"""Readers: projected scans, capped and sampled reads, JSON envelopes, CSV."""
 
 from __future__ import annotations
 
@@ -61,42 +61,20 @@ def parse_iso_utc(c: Column) -> Column:
     return F.when(c.rlike(ISO_UTC), parsed)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True) -> DataFrame:
-    """CSV read-back with an explicit schema (no inference pass)."""
-    return spark.read.schema(schema).option("header", header).csv(path)
-
-
-LI_ITEM = r"(?s)<li(?:\s[^>]*)?>(.*?)</li\s*>"
-TAG = r"<[^>]+>"
-#: Character references; the ampersand comes last, so that nothing is decoded twice.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&copy;", "©"),
-            ("&reg;", "®"), ("&middot;", "·"), ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"), ("&amp;", "&"))
-
-
-def html_cell(raw: Column) -> Column:
-    """Text of a piece of HTML: tags dropped, character references decoded, white space collapsed."""
-    text = F.regexp_replace(raw, TAG, "")
-    for name, char in ENTITIES:
-        text = F.replace(text, F.lit(name), F.lit(char))
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
-
+#: NULL in a CSV file (other values that begin with a backslash get one more), and the format's options.
+CSV_NULL = "\\N"
+CSV_FORMAT = {"nullValue": CSV_NULL, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+              "ignoreTrailingWhiteSpace": "false"}
 
-def html_rows(pages: DataFrame, id_col: str, html_col: str, item_regex: str = LI_ITEM) -> DataFrame:
-    """Text of each item matched by ``item_regex`` with its position.
-
-    A per-row regex over the whole page text, then ``posexplode``; stays
-    JVM-side, no parser library.
-    """
-    items = F.regexp_extract_all(F.col(html_col), F.lit(item_regex), 1)
-    return (pages.select(id_col, F.posexplode(items).alias("position", "raw"))
-            .select(id_col, F.col("position").cast("bigint").alias("position"), html_cell(F.col("raw")).alias("text")))
 
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True) -> DataFrame:
+    """Files of :func:`.sinks.write_csv` with an explicit schema (no inference pass), value for value.
 
-def html_links(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
-    """S20 variant: every ``<a href="...">`` target with its position."""
-    hrefs = F.regexp_extract_all(F.col(html_col), F.lit(r'<a\s+href="([^"]*)"'), 1)
-    return pages.select(id_col, F.posexplode(hrefs).alias("position", "href")) \
-        .select(id_col, F.col("position").cast("bigint").alias("position"), "href")
+    Values may hold quotes and line ends, so a file is read by one task; the writer makes a file per partition."""
+    df = spark.read.schema(schema).options(**CSV_FORMAT).option("emptyValue", "").option("multiLine", True).option("header", header).csv(path)
+    plain = lambda c: F.when(c.startswith("\\\\"), F.substring(c, 2, (1 << 31) - 1)).otherwise(c)
+    return df.select(*[plain(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType)
+                       else F.col(f"`{f.name}`") for f in df.schema.fields])
 
 
 def jdbc_table(spark: SparkSession, url: str, table: str, properties: dict, columns: Sequence[str] | None = None,
@@ -126,18 +104,3 @@ def jdbc_catalogue(spark: SparkSession, url: str, properties: dict, schema: str,
     cols = ["table_name", "upper(column_name) AS column_name", "data_type", "numeric_precision", "numeric_scale",
             "ordinal_position"]
     return jdbc_table(spark, url, "information_schema.columns", properties, cols, where)
-
-
-TBODY = r"(?s)<tbody(?:\s[^>]*)?>(.*?)</tbody\s*>"
-TR = r"(?s)<tr(?:\s[^>]*)?>(.*?)</tr\s*>"
-TD = r"(?s)<td(?:\s[^>]*)?>(.*?)</td\s*>"
-
-
-def html_table_rows(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
-    """S20 (``tbody tr td``): one row per table row that has cells, with its position and the cell texts."""
-    bodies = F.array_join(F.regexp_extract_all(F.col(html_col), F.lit(TBODY), 1), "")
-    rows = F.regexp_extract_all(bodies, F.lit(TR), 1)
-    cells = F.transform(F.regexp_extract_all(F.col("tr"), F.lit(TD), 1), html_cell)
-    return (pages.select(id_col, F.posexplode(rows).alias("position", "tr"))
-            .select(id_col, F.col("position").cast("bigint").alias("position"), cells.alias("cells"))
-            .where(F.size("cells") > 0))

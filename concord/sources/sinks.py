@@ -6,13 +6,19 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.dedup import latest_per_key
+from .readers import CSV_FORMAT
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with header, written in parallel (one file per partition)."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """CSV with header, written in parallel (one file per partition); :func:`.readers.read_csv` gives every value
+    back, NULL and the empty string, line ends and outer blanks included."""
+    marked = lambda c: F.when(c.startswith("\\"), F.concat(F.lit("\\"), c)).otherwise(c)
+    out = df.select(*[marked(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType)
+                      else F.col(f"`{f.name}`") for f in df.schema.fields])
+    out.write.mode(mode).options(**CSV_FORMAT).option("emptyValue", '""').option("header", True).csv(path)
 
 
 def write_partitioned_fact(df: DataFrame, path: str, date_col: str, extra_keys: Sequence[str] = (),

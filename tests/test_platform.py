@@ -8,6 +8,8 @@ from concord.operators import sync as SY
 from concord.operators import usage as U
 from concord.session import scratch_path
 from concord.sources import catalog as CT
+from concord.sources import readers as RD
+from concord.sources import sinks as SK
 
 
 def test_expectation_actions(spark):
@@ -101,3 +103,36 @@ def test_scalar_helpers(spark):
     z = spark.createDataFrame([(dt.datetime(2024, 1, 1, 8, 0), "0")], "t timestamp_ntz, z string")
     utc = z.select(SC.local_to_utc(F.col("t"), F.col("z"), {"0": "Australia/Perth"}).alias("u")).collect()[0].u
     assert utc == dt.datetime(2024, 1, 1, 0, 0)
+
+
+def test_csv_keeps_every_value(spark):
+    values = [None, "", " ", "\n", "a\nb", "a\r\nb", "\r", '"', '""', 'say "x", y', "  pad  ", "\\", "\\N", "\\\\N", "null", "#c", "é\t|", ",", "'"]
+    df = spark.createDataFrame([(i, v, w) for i, v in enumerate(values) for w in (v, None, "x")], "i int, v string, w string")
+    path = scratch_path(spark, "csv-values")
+    SK.write_csv(df.repartition(3), path)
+    got = RD.read_csv(spark, path, "i int, v string, w string")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+
+
+def test_ranged_reload_keeps_rows_without_a_date(spark):
+    from concord.operators import load as L
+    t = spark.createDataFrame([(1, None), (2, 5), (3, 50)], "k int, d int")
+    s = spark.createDataFrame([(9, 6), (8, None)], "k int, d int")
+    assert sorted(r.k for r in L.ranged_reload(t, s, "d", F.lit(0), F.lit(10)).collect()) == [1, 3, 9]
+
+
+def test_scd2_keeps_rows_without_a_current_flag(spark):
+    from concord.operators import load as L
+    h = L.scd2_initial(spark.createDataFrame([(1, "a")], "k int, v string"), F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00")))
+    odd = h.withColumns({"k": F.lit(7), "is_current": F.lit(None).cast("boolean")})
+    out = L.scd2(h.unionByName(odd), spark.createDataFrame([(1, "a")], "k int, v string"), ["k"], ["v"],
+                 F.to_timestamp_ntz(F.lit("2024-02-01 00:00:00")))
+    assert sorted((r.k, r.is_current) for r in out.collect()) == [(1, True), (7, None)]
+
+
+def test_key_gap_counts_rows_without_a_key(spark):
+    from concord.operators import drilldown as DD
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (None, "d")], "k int, v string")
+    right = spark.createDataFrame([(1, "a"), (None, "z")], "k int, v string")
+    row = DD.key_gap(left, right, ["k"], ["v"]).first()
+    assert row.remainder_rows == left.join(right, "k", "left_anti").count() == 3 and row.remainder_distinct_v == 3

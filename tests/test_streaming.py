@@ -33,20 +33,76 @@ def test_upserted_table_keeps_the_newest_and_survives_a_replayed_epoch(spark):
             os.remove(f"{commits}/{f}")
     _upserts(spark, root, cp, land)
     assert len(rows()) == 20 and rows()[0] == "b"
-    assert spark.read.parquet(root).count() == 21
+    assert spark.read.parquet(f"{root}/{J.BATCHES}").count() == 21
+
+
+def test_two_streams_into_one_table_keep_all_rows(spark):
+    root, a, b = (scratch_path(spark, x) for x in ("two", "two-a", "two-b"))
+    spark.createDataFrame([(i, "a") for i in range(10)], SCHEMA).write.parquet(a)
+    spark.createDataFrame([(i, "b") for i in range(8, 13)], SCHEMA).write.parquet(b)
+    rows = lambda: {r.k: r.v for r in J.read_table(spark, root, ["k"], SCHEMA).collect()}
+    want = {**{i: "a" for i in range(8)}, **{i: "b" for i in range(8, 13)}}
+    _upserts(spark, root, None, a)
+    _upserts(spark, root, None, b)
+    assert rows() == want
+    assert J.compact_table(spark, root, ["k"], SCHEMA) == 0
+    assert rows() == want
+    plan = J.read_table(spark, root, ["k"], SCHEMA)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [" in plan and "epoch" in plan  # folded batches are left out by name
+    spark.createDataFrame([(0, "c"), (99, "c")], SCHEMA).write.parquet(a + "-c")
+    _upserts(spark, root, None, a + "-c")
+    assert rows() == want | {0: "c", 99: "c"}
+    assert J.compact_table(spark, root, ["k"], SCHEMA) == 1 and rows() == want | {0: "c", 99: "c"}
+    assert J._read_epochs(spark, root, SCHEMA).count() == 14  # one row a key
+
+
+def test_a_stream_goes_on_after_a_fold(spark):
+    root, land, cp = (scratch_path(spark, x) for x in ("on", "on-land", "on-cp"))
+    spark.createDataFrame([(1, "a"), (2, "a")], SCHEMA).write.parquet(land)
+    _upserts(spark, root, cp, land)
+    J.compact_table(spark, root, ["k"], SCHEMA)
+    spark.createDataFrame([(2, "b"), (3, "b")], SCHEMA).write.mode("append").parquet(land)
+    _upserts(spark, root, cp, land)
+    assert {r.k: r.v for r in J.read_table(spark, root, ["k"], SCHEMA).collect()} == {1: "a", 2: "b", 3: "b"}
+
+
+def test_a_repeated_file_changes_nothing(spark):
+    import datetime as dt
+
+    sch = "id long, ts timestamp_ntz, v string"
+    events = spark.createDataFrame([(i, dt.datetime(2024, 1, 1, i % 24), "x") for i in range(30)], sch).coalesce(1)
+    land, target, cp = (scratch_path(spark, x) for x in ("rep", "rep-out", "rep-cp"))
+    for n in (1, 2):
+        events.write.mode("append").parquet(land)  # the second file brings the same events
+        s = J.distinct_events(J.file_stream(spark, land, events.schema, max_files_per_trigger=1), ["id"], "ts", "7 days")
+        J.run_to_completion(J.append_to_table(s, target, checkpoint=cp))
+        assert spark.read.parquet(target).count() == 30
+
+
+def test_a_folded_change_table_keeps_its_tombstones(spark):
+    fs = "k long, v string, _change_type string, _commit_version long"
+    root, land = scratch_path(spark, "tomb"), scratch_path(spark, "tomb-land")
+    spark.createDataFrame([(1, "a", "delete", 5), (2, "b", "insert", 5)], fs).write.parquet(land)
+    apply = lambda path: J.run_to_completion(J.apply_change_feed(spark.readStream.schema(fs).parquet(path), root, SCHEMA))
+    apply(land)
+    J.compact_change_table(spark, root, ["k"], SCHEMA)
+    late = scratch_path(spark, "tomb-late")
+    spark.createDataFrame([(1, "old", "insert", 4), (2, "old", "insert", 4)], fs).write.parquet(late)
+    apply(late)
+    assert sorted(tuple(r) for r in J.read_change_table(spark, root, ["k"], SCHEMA).collect()) == [(2, "b")]
 
 
 def test_a_failing_read_raises(spark):
     import pytest
 
     root = scratch_path(spark, "broken")
-    spark.createDataFrame([(1, "a")], SCHEMA).write.parquet(f"{root}/epoch=0")
+    spark.createDataFrame([(1, "a")], SCHEMA).write.parquet(f"{root}/{J.BATCHES}/run=r/epoch=0")
     path = root.removeprefix("file:")
     import glob
-    for f in glob.glob(f"{path}/epoch=0/*.parquet"):
+    for f in glob.glob(f"{path}/{J.BATCHES}/run=r/epoch=0/*.parquet"):
         with open(f, "wb") as out:
             out.write(b"no parquet")
-    for f in glob.glob(f"{path}/epoch=0/.*.crc"):
+    for f in glob.glob(f"{path}/{J.BATCHES}/run=r/epoch=0/.*.crc"):
         import os
         os.remove(f)
     with pytest.raises(Exception):
@@ -104,7 +160,7 @@ def test_watermark_drops_late_rows(spark):
 
 
 def test_html_table_rows(spark):
-    from concord.sources import readers as RD
+    from concord.sources import html as RD
     html = ("<table><thead><tr><th>Date</th><th>Close</th></tr></thead><tbody>"
             "<tr><td> 2024-01-02 </td><td><b>10.5</b></td></tr>\n<tr><td>2024-01-03</td><td>11</td></tr></tbody></table>")
     pages = spark.createDataFrame([(1, html)], "page_id long, html string")
@@ -112,7 +168,7 @@ def test_html_table_rows(spark):
     assert got == [(0, ["2024-01-02", "10.5"]), (1, ["2024-01-03", "11"])]
     items = spark.createDataFrame([(1, "<link href='x'><ul><li>a &amp;\n <b>b</b></li><li class=z>&amp;lt;</li></ul>")],
                                   "page_id long, html string")
-    assert [r.text for r in RD.html_rows(items, "page_id", "html").orderBy("position").collect()] == ["a & b", "&lt;"]
+    assert [r.text for r in RD.html_items(items, "page_id", "html").orderBy("position").collect()] == ["a & b", "&lt;"]
 
 
 def test_complete_mode_equals_batch(spark):
