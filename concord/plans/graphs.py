@@ -78,3 +78,28 @@ def closeness(spark, sf):
     n_nodes = G.nodes_of(G.undirected(e)).unionByName(_region_nodes(spark, sf)).distinct() \
         .select(F.count(F.lit(1))).scalar()
     return rounded(G.closeness(d, n_nodes))
+
+
+_PAIRS_SQL = """SELECT c_custkey AS a, c_custkey * 7 % (SELECT count(*) FROM customer) AS b FROM customer"""
+
+
+@query("pair_distances", ("V9",),
+       sql=f"""SELECT 'c:' || CAST(p.a AS VARCHAR) AS source, 'c:' || CAST(p.b AS VARCHAR) AS target,
+                      CASE WHEN t.c_custkey IS NULL THEN NULL WHEN p.a = p.b THEN 0 WHEN s.c_nationkey = t.c_nationkey THEN 2
+                           WHEN m.n_regionkey = n.n_regionkey THEN 4 END AS distance
+               FROM ({_PAIRS_SQL}) p JOIN customer s ON s.c_custkey = p.a LEFT JOIN customer t ON t.c_custkey = p.b
+               LEFT JOIN nation m ON m.n_nationkey = s.c_nationkey LEFT JOIN nation n ON n.n_nationkey = t.c_nationkey""")
+def pair_distances(spark, sf):
+    """Each customer and one other: steps through nations and regions, by hub labels of all nodes."""
+    e = _geo_edges(spark, sf, True, False)
+    c = D.load(spark, sf, "customer").select("c_custkey")
+    n = c.select(F.count(F.lit(1))).scalar()
+    name = lambda k: F.concat(F.lit("c:"), k.cast("string"))
+    pairs = c.select(name(F.col("c_custkey")).alias("source"), name(F.col("c_custkey") * 7 % n).alias("target"))
+    return G.label_distances(pairs, G.hub_labels(e))
+
+
+@query("closeness_all", ("V10",))
+def closeness_all(spark, sf):
+    """Every node's closeness, estimated (no SQL twin: sketches; held against exact distances in the tests)."""
+    return rounded(G.closeness_estimates(_geo_edges(spark, sf, True, True)))
