@@ -10,6 +10,8 @@ costs one record per map task, not one per copy.  Only metric rows come back.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from itertools import combinations
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -286,6 +288,54 @@ def key_uniqueness(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                     .alias("is_unique")))
 
 
+def composite_keys(df: DataFrame, cols: Sequence[str], max_columns: int = 3) -> DataFrame:
+    """(key_columns, n_columns) of the minimal keys of at most ``max_columns`` of ``cols``: sets of columns without
+    NULLs in which no two rows agree, none of which holds a smaller key.  An empty table has no key.
+
+    Level by level, one scan a level: all candidate sets of a size are counted together by 128-bit fingerprints (equal
+    ones of a task are one row before the shuffle).  A set is no candidate if it holds a known key, if one of its columns
+    has NULLs, or if its distinct counts cannot reach the row count: a set has at most as many distinct values as the
+    product of those of any two parts it is made of.
+    """
+    cols = list(cols)
+    rows, bound, keys, open_cols = None, {}, [], cols
+    for size in range(1, max_columns + 1):
+        sets = []
+        for s in combinations(open_cols, size):
+            if any(set(k) <= set(s) for k in keys):
+                continue
+            if size > 1:
+                bound[s] = min(bound[a] * bound[tuple(c for c in s if c not in a)]
+                               for n in range(1, size // 2 + 1) for a in combinations(s, n))
+                if bound[s] < rows:
+                    continue
+            sets.append(s)
+        if not sets:
+            continue
+        entry = lambda i, s: F.struct(F.lit(i).alias("i"), *[F.when(~_any_null(s), F.xxhash64(F.lit(k), *[F.col(f"`{c}`") for c in s]))
+                                                             .alias(f"h{k}") for k in (1, 2)])
+        marked = df.select(F.explode(F.array(*[entry(i, s) for i, s in enumerate(sets)])).alias("e")).select("e.*")
+        counted = marked.groupBy("i", "h1", "h2").agg(F.count(F.lit(1)).alias("n")).groupBy("i").agg(
+            F.sum("n").alias("rows"), F.count("h1").alias("distinct"), F.sum(F.when(F.col("h1").isNotNull(), F.col("n"))).alias("full"))
+        for r in counted.collect():  # one row a candidate set
+            rows, s = r["rows"], sets[r["i"]]
+            bound[s] = r["distinct"]
+            if r["distinct"] == rows:
+                keys.append(s)
+            if size == 1 and r["full"] != rows:
+                open_cols = [c for c in open_cols if c != s[0]]
+        if rows is None:
+            break
+    return df.sparkSession.createDataFrame([(",".join(k), len(k)) for k in keys], "key_columns string, n_columns int")
+
+
+def _any_null(cols: Sequence[str]) -> Column:
+    out = F.lit(False)
+    for c in cols:
+        out = out | F.col(f"`{c}`").isNull()
+    return out
+
+
 # ------------------------------------------------------------ Q1 schema diff
 
 def schema_frame(spark: SparkSession, df: DataFrame, case: str = "upper") -> DataFrame:
@@ -363,33 +413,38 @@ PAIR_REPORT = ("pair_name string, left_row_count bigint, right_row_count bigint,
                "stats_mismatches string, error string")
 
 
-def compare_tables(pairs: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+def _compare_pair(name: str, left: DataFrame, right: DataFrame) -> tuple:
+    from .profile import table_comparison
+
+    l_types, r_types = ({f.name: f.dataType.simpleString() for f in d.schema.fields} for d in (left, right))
+    missing = sorted(l_types.keys() ^ r_types.keys())
+    retyped = sorted(c for c in l_types.keys() & r_types.keys() if l_types[c] != r_types[c])
+    same = sorted(c for c in l_types.keys() & r_types.keys() if c not in retyped)
+    schema = [",".join(missing), ",".join(retyped), not missing and not retyped]
+    try:
+        if same:  # the rows of a side are those of any of its columns
+            stats = table_comparison(left, right, same).select("column_name", "stats_match", "left_rows", "right_rows").collect()
+            l_rows, r_rows = stats[0]["left_rows"], stats[0]["right_rows"]
+        else:
+            stats = []
+            l_rows, r_rows = row_counts(left, right).select("left_row_count", "right_row_count").first()
+        unlike = sorted(r["column_name"] for r in stats if not r["stats_match"])
+        return (name, l_rows, r_rows, l_rows == r_rows, *schema, len(stats), ",".join(unlike), None)
+    except PySparkException as e:  # this pair only
+        return (name, None, None, None, *schema, None, None, e.getMessage() or str(e))
+
+
+def compare_tables(pairs: Mapping[str, tuple[DataFrame, DataFrame]], at_once: int = 4) -> DataFrame:
     """Q13: one row per pair: counts, columns on one side only, common columns of different type, and common columns
     whose statistics differ; the lists are sorted and joined by commas.
 
-    Each pair runs by itself, so what fails while it runs is that pair's error.
+    ``at_once`` pairs run at a time, each with one scan per side; what fails while a pair runs is that pair's error.
     """
-    from .profile import column_stats_compare
-
-    report = []
-    spark = None
-    for name, (left, right) in pairs.items():
-        spark = left.sparkSession
-        l_types, r_types = ({f.name: f.dataType.simpleString() for f in d.schema.fields} for d in (left, right))
-        missing = sorted(l_types.keys() ^ r_types.keys())
-        retyped = sorted(c for c in l_types.keys() & r_types.keys() if l_types[c] != r_types[c])
-        same = sorted(c for c in l_types.keys() & r_types.keys() if c not in retyped)
-        schema = [",".join(missing), ",".join(retyped), not missing and not retyped]
-        try:
-            n = row_counts(left, right).first()
-            stats = column_stats_compare(left, right, same).select("column_name", "stats_match").collect() if same else []
-            unlike = sorted(r["column_name"] for r in stats if not r["stats_match"])
-            report.append((name, n["left_row_count"], n["right_row_count"], n["row_count_matches"], *schema, len(stats),
-                           ",".join(unlike), None))
-        except PySparkException as e:  # this pair only
-            report.append((name, None, None, None, *schema, None, None, e.getMessage() or str(e)))
-    if spark is None:
+    if not pairs:
         raise ValueError("no pairs to compare")
+    spark = next(iter(pairs.values()))[0].sparkSession
+    with ThreadPoolExecutor(at_once) as pool:
+        report = list(pool.map(lambda p: _compare_pair(p[0], *p[1]), pairs.items()))
     return batch_summary(spark.createDataFrame(report, PAIR_REPORT))
 
 

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import combinations
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .compare import pct
@@ -166,3 +167,67 @@ def year_scope_test(left: DataFrame, right: DataFrame, date_col: str) -> DataFra
     return c.select(first.alias("first_left_year"), "left_rows", "right_rows_from_year",
                     (d == 0).alias("matches"), d.alias("remaining_diff"),
                     F.round(pct(d, F.col("left_rows"), 0.0), 2).alias("remaining_pct"))
+
+
+# ------------------------------------------------------------------ Q12 search for a cause
+
+def gap_causes(left: DataFrame, right: DataFrame, keys: Sequence[str], attributes: Sequence[str], max_columns: int = 2,
+               min_support: float = 0.05, min_ratio: float = 2.0) -> DataFrame:
+    """Q12 without a hand-given filter: which attribute values, or combinations of them, mark the left rows that are
+    missing on the right (by key; a NULL key is missing).
+
+    (cause, n_columns, missing, present, support, precision, risk_ratio, f1, place): a cause is ``a=x`` or ``a=x & b=y``;
+    ``missing`` and ``present`` are its left rows without and with a right row, ``support`` its share of all missing rows,
+    ``precision`` its share that is missing, ``risk_ratio`` that share against the same share outside the cause (NULL
+    where nothing is missing outside), and ``place`` ranks by ``f1``, the balance of support and precision, smaller
+    combinations first.  Causes of less than ``min_support`` or ``min_ratio`` are not reported.
+
+    The rows are counted once per combination of all attributes; the lattice is then searched level by level, all
+    combinations of a level in one aggregate.  A value whose support is too small, or whose risk ratio could not reach
+    ``min_ratio`` even if every present row went away, cannot be part of a cause and is left out of the next level; at
+    most 1 / ``min_support`` values of an attribute can pass, so these lists are small whatever the data.
+    """
+    attributes = list(attributes)
+    here = right.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.lit(True).alias("_here")).distinct()
+    same = reduce(and_, [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)])
+    gone = F.col("_here").isNull().cast("bigint")
+    names = [f"_a{i}" for i in range(len(attributes))]
+    told = left.join(here, same, "left").select(
+        *[F.coalesce(F.col(a).cast("string"), F.lit("NULL")).alias(n) for a, n in zip(attributes, names)], gone.alias("_gone"))
+    cube = told.groupBy(*names).agg(F.sum("_gone").alias("o"), F.sum(1 - F.col("_gone")).alias("i")).checkpoint()
+    total = cube.agg(F.coalesce(F.sum("o"), F.lit(0)).alias("o"), F.coalesce(F.sum("i"), F.lit(0)).alias("i")).first()
+    o, i = F.col("missing"), F.col("present")
+    rest = F.lit(total.o) - o
+    reach = F.try_divide(rest + F.lit(total.i), rest)  # the risk ratio without any present row
+    may = (o >= min_support * total.o) & (o > 0) & (reach.isNull() | (reach >= min_ratio))
+    levels, passing = [], {n: None for n in names}
+    alive: set[tuple[str, ...]] = set()
+    for size in range(1, max_columns + 1):
+        sets = [s for s in combinations(names, size) if size == 1 or all(t in alive for t in combinations(s, size - 1))]
+        if not sets or not total.o:
+            break
+        ok = lambda n: F.lit(True) if passing[n] is None else F.col(n).isin(passing[n])
+        cause = lambda s: F.concat_ws(" & ", *[F.concat(F.lit(f"{attributes[names.index(n)]}="), n) for n in s])
+        entries = F.array_compact(F.array(*[F.when(reduce(and_, [ok(n) for n in s]), F.struct(
+            F.lit(",".join(s)).alias("s"), cause(s).alias("cause"), *[F.col(n) if n in s else F.lit(None).cast("string").alias(n) for n in names]))
+            for s in sets]))
+        counts = (cube.select(F.explode(entries).alias("e"), "o", "i").groupBy("e.s", "e.cause", *[F.col(f"e.{n}").alias(n) for n in names])
+                  .agg(F.sum("o").alias("missing"), F.sum("i").alias("present")).filter(may).checkpoint())
+        levels.append(counts.select("cause", F.lit(size).alias("n_columns"), "missing", "present"))
+        alive = {tuple(r.s.split(",")) for r in counts.select("s").distinct().collect()}
+        if size == 1:
+            for n in names:
+                passing[n] = [r[0] for r in counts.filter(F.col("s") == n).select(n).collect()]
+    if not levels:
+        empty = "cause string, n_columns int, missing bigint, present bigint"
+        levels = [left.sparkSession.createDataFrame([], empty)]
+    found = reduce(DataFrame.unionAll, levels)
+    inside = F.try_divide(o, (o + i).cast("double"))
+    outside = F.try_divide(rest, (rest + F.lit(total.i) - i).cast("double"))
+    support = F.try_divide(o, F.lit(float(total.o)))
+    scored = found.select("*", support.alias("support"), inside.alias("precision"), F.try_divide(inside, outside).alias("risk_ratio"))
+    f1 = 2 * F.col("support") * F.col("precision") / (F.col("support") + F.col("precision"))
+    scored = scored.filter("risk_ratio is null or risk_ratio >= " + repr(float(min_ratio))).withColumn("f1", f1)
+    # a report of bounded size: at most 1 / min_support causes per combination of attributes
+    place = F.row_number().over(Window.orderBy(F.round("f1", 9).desc(), "n_columns", "cause"))
+    return scored.withColumn("place", place)

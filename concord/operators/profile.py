@@ -1,7 +1,7 @@
 """Column profiles: one-pass summary statistics (A2-A4), numeric and string profiles.
 
-Scale notes.  All per-column scalar statistics of a table come from a single
-``agg`` (one scan).  Exact quantiles and the mode are NOT computed with
+Scale notes.  The summary of all columns comes from one scan that counts each
+column's distinct values; profiles take their scalar statistics from one ``agg``.  Exact quantiles and the mode are NOT computed with
 ``percentile``/``mode`` on a global group (their buffers would hold every
 distinct value in one task): values are first counted per distinct value
 (map-side combine collapses hot values), range-partitioned, checkpointed to the
@@ -32,31 +32,62 @@ def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def _value_counts(df: DataFrame, cols: Sequence[str], fam: dict) -> DataFrame:
+    """(column number, value, occurrences) of all columns in one scan.  A value is its 128-bit fingerprint, with what the
+    statistics need of it: its number, time or length.  Equal values of a task are one row before the shuffle."""
+    def entry(i: int, c: str) -> Column:
+        x, f = _c(c), fam[c]
+        return F.struct(F.lit(i).alias("i"), F.xxhash64(F.lit(1), x).alias("h1"), F.xxhash64(F.lit(2), x).alias("h2"),
+                        x.isNull().alias("null"),
+                        (x.cast("double") if f == "numeric" else F.lit(None).cast("double")).alias("num"),
+                        (x.cast("timestamp_ntz") if f == "date" else F.lit(None).cast("timestamp_ntz")).alias("day"),
+                        (F.char_length(x) if f == "string" else F.lit(None).cast("int")).alias("len"))
+
+    values = df.select(F.explode(F.array(*[entry(i, c) for i, c in enumerate(cols)])).alias("v")).select("v.*")
+    return values.groupBy("i", "h1", "h2", "null").agg(F.count(F.lit(1)).alias("n"), F.min("num").alias("num"),
+                                                       F.min("day").alias("day"), F.min("len").alias("len"))
+
+
+def _column_profile(df: DataFrame, cols: Sequence[str], fam: dict) -> DataFrame:
+    """column_name, type_family, rows and STAT_COLS of :func:`_value_counts`; a column of an empty table has zeros."""
+    there, valued = F.col("n"), F.col("num").isNotNull()
+    g = _value_counts(df, cols, fam).groupBy("i").agg(
+        F.sum(there).alias("rows"), F.coalesce(F.sum(F.when(F.col("null"), there)), F.lit(0)).alias("nulls"),
+        F.count_if(~F.col("null")).alias("distinct_values"), F.min("num").alias("num_min"), F.max("num").alias("num_max"),
+        F.try_divide(F.sum(F.col("num") * there), F.sum(F.when(valued, there))).alias("num_avg"),
+        F.date_format(F.min("day"), TS_FMT).alias("date_min"), F.date_format(F.max("day"), TS_FMT).alias("date_max"),
+        F.min("len").cast("bigint").alias("len_min"), F.max("len").cast("bigint").alias("len_max"))
+    names = df.sparkSession.createDataFrame([(i, c, fam[c]) for i, c in enumerate(cols)],
+                                            "i int, column_name string, type_family string")
+    zero = {k: F.coalesce(k, F.lit(0)).alias(k) for k in ("rows", "nulls", "distinct_values")}
+    return names.join(g, "i", "left").select("column_name", "type_family",
+                                             *[zero.get(k, F.col(k)) for k in ("rows", *STAT_COLS)])
+
+
 def column_stats(df: DataFrame, cols: Sequence[str] | None = None, families: dict | None = None,
-                 distinct: str = "exact", distinct_group: int = 8) -> DataFrame:
+                 distinct: str = "exact") -> DataFrame:
     """Long-form per-column summary (A2, A3, A4).
 
     nulls and distinct for every column; numeric min/max/avg as double; date
     min/max (as text); string length min/max.  ``families`` may force a type
     family per column (e.g. the left system's types).
 
-    All statistics except the distinct counts come from one ``agg`` (one scan,
-    no row expansion).  Exact distinct counts are computed in groups of at
-    most ``distinct_group`` columns: a multi-column ``count(DISTINCT)`` expands
-    every row once per column, so grouping bounds that expansion while column
-    pruning still reads each column only once overall.  ``distinct="approx"``
-    uses HyperLogLog++ in the main pass instead.
+    The input is read once, whatever the number of columns: its distinct
+    values are counted per column, and every statistic follows from these
+    counts.  What is shuffled is one row per task, column and distinct value.
+    ``distinct="approx"`` uses HyperLogLog++ in one plain aggregate instead
+    and shuffles one row per task.
     """
     cols = list(cols or df.columns)
     fam = {f.name: TY.spark_family(f.dataType) for f in df.schema.fields}
     fam.update(families or {})
+    if distinct != "approx":
+        return _column_profile(df, cols, fam).drop("rows")
     aggs, rows = [], []
     null = F.lit(None)
     for i, c in enumerate(cols):
         x = _c(c)
-        a = {"nulls": F.count_if(x.isNull()).cast("bigint"),
-             "distinct_values": (F.approx_count_distinct(x).cast("bigint") if distinct == "approx"
-                                 else null.cast("bigint")),
+        a = {"nulls": F.count_if(x.isNull()).cast("bigint"), "distinct_values": F.approx_count_distinct(x).cast("bigint"),
              "num_min": null.cast("double"), "num_max": null.cast("double"), "num_avg": null.cast("double"),
              "date_min": null.cast("string"), "date_max": null.cast("string"),
              "len_min": null.cast("bigint"), "len_max": null.cast("bigint")}
@@ -73,34 +104,24 @@ def column_stats(df: DataFrame, cols: Sequence[str] | None = None, families: dic
     wide = df.agg(*aggs)
     st = F.stack(F.lit(len(cols)), *[e for i, (c, f) in enumerate(rows)
                                      for e in [F.lit(c), F.lit(f)] + [F.col(f"s{i}__{k}") for k in STAT_COLS]])
-    out = wide.select(st.alias("column_name", "type_family", *STAT_COLS))
-    if distinct == "approx":
-        return out
-    dist = None
-    for g in range(0, len(cols), max(1, distinct_group)):
-        part = cols[g:g + distinct_group]
-        d = df.agg(*[F.count_distinct(_c(c)).cast("bigint").alias(f"d{j}") for j, c in enumerate(part)])
-        d = d.select(F.stack(F.lit(len(part)), *[e for j, c in enumerate(part) for e in (F.lit(c), F.col(f"d{j}"))])
-                     .alias("column_name", "_d"))
-        dist = d if dist is None else dist.unionByName(d)
-    # both sides have one row per column: a metadata-sized join
-    return (out.join(dist, "column_name", "left")
-            .select("column_name", "type_family", *[F.col("_d").alias(k) if k == "distinct_values" else F.col(k)
-                                                     for k in STAT_COLS]))
+    return wide.select(st.alias("column_name", "type_family", *STAT_COLS))
 
 
 def column_stats_compare(left: DataFrame, right: DataFrame, cols: Sequence[str] | None = None,
-                         distinct: str = "exact", distinct_group: int = 8) -> DataFrame:
+                         distinct: str = "exact") -> DataFrame:
     """Q3: stats of every common column on both sides, joined on the column (J4), with per-stat equality.
 
     Averages count as equal within a relative 1e-9: the order of a distributed sum of doubles is not fixed.
     """
     cols = list(cols or sorted(set(left.columns) & set(right.columns)))
     fam = {f.name: TY.spark_family(f.dataType) for f in left.schema.fields}
-    l = column_stats(left, cols, fam, distinct, distinct_group)
-    r = column_stats(right, cols, fam, distinct, distinct_group).drop("type_family")
-    l = l.select("column_name", "type_family", *[F.col(k).alias(f"left_{k}") for k in STAT_COLS])
-    r = r.select("column_name", *[F.col(k).alias(f"right_{k}") for k in STAT_COLS])
+    return _stats_side_by_side(column_stats(left, cols, fam, distinct), column_stats(right, cols, fam, distinct))
+
+
+def _stats_side_by_side(l: DataFrame, r: DataFrame) -> DataFrame:
+    also = [c for c in l.columns if c == "rows"]
+    l = l.select("column_name", "type_family", *[F.col(k).alias(f"left_{k}") for k in [*also, *STAT_COLS]])
+    r = r.select("column_name", *[F.col(k).alias(f"right_{k}") for k in [*also, *STAT_COLS]])
     same = None
     for k in STAT_COLS:
         a, b = F.col(f"left_{k}"), F.col(f"right_{k}")
@@ -111,6 +132,12 @@ def column_stats_compare(left: DataFrame, right: DataFrame, cols: Sequence[str]
     return l.join(r, "column_name", "inner").withColumn("stats_match", same)
 
 
+def table_comparison(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """:func:`column_stats_compare` with each side's rows, left_rows and right_rows: still one scan per side."""
+    fam = {f.name: TY.spark_family(f.dataType) for f in left.schema.fields}
+    return _stats_side_by_side(_column_profile(left, cols, fam), _column_profile(right, cols, fam))
+
+
 # ------------------------------------------------------------------ exact ranks
 
 def _ranked_value_counts(vc: DataFrame, partitions: int | None = None, group: Sequence[str] = ()) -> DataFrame:

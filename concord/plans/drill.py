@@ -115,3 +115,35 @@ def window_sample(spark, sf):
 def year_scope_test(spark, sf):
     left, right = _sides(spark, sf)
     return DD.year_scope_test(left, right, "o_orderdate")
+
+
+_CAUSE_ATTRS = ("status", "priority", "year", "segment")
+_CAUSE_SETS = [(a,) for a in _CAUSE_ATTRS] + [(a, b) for i, a in enumerate(_CAUSE_ATTRS) for b in _CAUSE_ATTRS[i + 1:]]
+
+
+@query("gap_causes", ("Q12", "A15"),
+       sql=f"""WITH l AS (SELECT o_orderkey, o_orderstatus AS status, o_orderpriority AS priority,
+                            CAST(year(o_orderdate) AS VARCHAR) AS year, CAST(o_custkey % 5 AS VARCHAR) AS segment FROM orders),
+                    r AS (SELECT o_orderkey FROM orders
+                          WHERE NOT (o_orderstatus = 'F' AND o_orderpriority = '1-URGENT') AND o_orderkey % 50 <> 0),
+                    t AS (SELECT l.*, CASE WHEN r.o_orderkey IS NULL THEN 1 ELSE 0 END AS gone FROM l LEFT JOIN r USING (o_orderkey)),
+                    n AS (SELECT sum(gone) AS o, count(*) - sum(gone) AS i FROM t),
+                    c AS (SELECT concat_ws(' & ', {", ".join(f"CASE WHEN grouping({a}) = 0 THEN '{a}=' || {a} END" for a in _CAUSE_ATTRS)}) AS cause,
+                                 CAST(4 - {" - ".join(f"grouping({a})" for a in _CAUSE_ATTRS)} AS INTEGER) AS n_columns,
+                                 CAST(sum(gone) AS BIGINT) AS missing, CAST(count(*) - sum(gone) AS BIGINT) AS present
+                          FROM t GROUP BY GROUPING SETS ({", ".join("(" + ", ".join(s) + ")" for s in _CAUSE_SETS)})),
+                    s AS (SELECT c.*, CAST(missing AS DOUBLE) / o AS support, CAST(missing AS DOUBLE) / (missing + present) AS precision,
+                                 CASE WHEN o > missing THEN (CAST(missing AS DOUBLE) / (missing + present))
+                                      / (CAST(o - missing AS DOUBLE) / (o - missing + i - present)) END AS risk_ratio FROM c, n),
+                    f AS (SELECT *, 2 * support * precision / (support + precision) AS f1 FROM s
+                          WHERE support >= 0.05 AND missing > 0 AND (risk_ratio IS NULL OR risk_ratio >= 2))
+               SELECT cause, n_columns, missing, present, round(support, 6) AS support, round(precision, 6) AS precision,
+                      round(risk_ratio, 6) AS risk_ratio, round(f1, 6) AS f1,
+                      CAST(row_number() OVER (ORDER BY round(f1, 9) DESC, n_columns, cause) AS INTEGER) AS place FROM f""")
+def gap_causes(spark, sf):
+    """Which orders are missing: a copy without urgent finished orders (and a few others), the cause searched for."""
+    o = D.load(spark, sf, "orders")
+    left = o.select("o_orderkey", F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"),
+                    F.year("o_orderdate").alias("year"), (F.col("o_custkey") % 5).alias("segment"))
+    lost = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT") | (F.col("o_orderkey") % 50 == 0)
+    return rounded(DD.gap_causes(left, o.where(~lost), ["o_orderkey"], _CAUSE_ATTRS))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from ..operators import compare as C
+from ..operators import fingerprints as FP
+from ..session import scratch_path
 from . import data as D
 from . import sqlparts as S
 from .registry import query, rounded
@@ -155,3 +159,41 @@ def key_uniqueness(spark, sf):
 def copies_describe(spark, sf):
     li = D.load(spark, sf, "lineitem")
     return rounded(C.copies_describe(C.copies_histogram(D.lineitem_right(li), dataset="right")))
+
+
+_KEY_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag"]
+_KEY_SETS = [s for n in (1, 2, 3) for s in combinations(_KEY_COLS, n)]
+
+
+def _smaller(s: tuple[str, ...]) -> str:
+    inside = [",".join(t) for n in range(1, len(s)) for t in combinations(s, n)]
+    return ", ".join(f"'{t}'" for t in inside) or "''"
+
+
+@query("composite_keys", ("P14", "A3"),
+       sql="WITH k AS (" + " UNION ALL ".join(
+           f"SELECT '{','.join(s)}' AS key_columns, CAST({len(s)} AS INTEGER) AS n_columns, [{_smaller(s)}] AS inside FROM lineitem "
+           f"HAVING count(*) = (SELECT count(*) FROM (SELECT DISTINCT {', '.join(s)} FROM lineitem WHERE {' AND '.join(c + ' IS NOT NULL' for c in s)}))"
+           for s in _KEY_SETS) + ") SELECT key_columns, n_columns FROM k "
+           "WHERE NOT EXISTS (SELECT 1 FROM k j WHERE list_contains(k.inside, j.key_columns))")
+def composite_keys(spark, sf):
+    """The smallest sets of lineitem columns that identify a line."""
+    return C.composite_keys(D.load(spark, sf, "lineitem"), _KEY_COLS)
+
+
+_NEARLY = """SELECT * FROM orders WHERE o_orderkey % 4999 <> 0
+             UNION ALL SELECT * FROM orders WHERE o_orderkey % 7919 = 0"""
+
+
+@query("row_match_stored", ("Q5", "A6", "A5"),
+       sql=f"""WITH counts AS {S.multiset_counts('SELECT * FROM orders', _NEARLY, S.ORDERS_COLS)}
+               SELECT left_rows, right_rows, matched_rows, only_left_rows, only_right_rows FROM ({S.match_metrics("counts")})""")
+def row_match_stored(spark, sf):
+    """Orders against a copy that differs in a few rows, by stored fingerprint trees."""
+    o = D.load(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    right = o.where(k % 4999 != 0).unionByName(o.where(k % 7919 == 0))
+    roots = [scratch_path(spark, f"fingerprints-{side}") for side in ("left", "right")]
+    for df, root in zip((o, right), roots):
+        FP.store(df, sorted(o.columns), root)
+    return FP.match_stored(spark, *roots).drop("leaves_read")

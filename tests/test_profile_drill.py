@@ -69,11 +69,27 @@ def test_column_stats_one_pass(spark):
     assert st["t"].date_min == "2024-01-01 00:00:00.000000"
 
 
-def test_distinct_groups_agree(spark):
+def test_column_stats_read_the_input_once(spark, tmp_path):
+    path = str(tmp_path / "wide")
+    row = {f"c{j}": (lambda i, j=j: [i % 3, f"s{i % 5}", float(i % 7), None][j % 4]) for j in range(23)}
+    spark.createDataFrame([tuple(f(i) for f in row.values()) for i in range(60)],
+                          ", ".join(f"c{j} {('int', 'string', 'double', 'date')[j % 4]}" for j in range(23))).write.parquet(path)
+    df = spark.read.parquet(path)
+    st = P.column_stats(df)
+    got = {r.column_name: (r.distinct_values, r.nulls) for r in st.collect()}
+    assert got == {f"c{j}": ((3, 5, 7, 0)[j % 4], (0, 0, 0, 60)[j % 4]) for j in range(23)}
+    assert st._jdf.queryExecution().optimizedPlan().toString().count("] parquet") == 1
+    empty = {r.column_name: (r.distinct_values, r.nulls, r.num_avg) for r in P.column_stats(df.limit(0)).collect()}
+    assert set(empty.values()) == {(0, 0, None)} and len(empty) == 23
+    plain = df.agg(*[F.avg("c0"), F.max("c2"), F.min(F.length("c1"))]).first()
+    c = {r.column_name: r for r in st.collect()}
+    assert (c["c0"].num_avg, c["c2"].num_max, c["c1"].len_min) == tuple(plain)
+
+
+def test_distinct_counts_agree(spark):
     df = spark.createDataFrame([(i % 3, f"s{i % 5}", float(i % 7)) for i in range(50)], "a int, b string, c double")
-    one = {r.column_name: r.distinct_values for r in P.column_stats(df, distinct_group=1).collect()}
-    all_ = {r.column_name: r.distinct_values for r in P.column_stats(df, distinct_group=8).collect()}
-    assert one == all_ == {"a": 3, "b": 5, "c": 7}
+    exact = {r.column_name: r.distinct_values for r in P.column_stats(df).collect()}
+    assert exact == {"a": 3, "b": 5, "c": 7}
     approx = {r.column_name: r.distinct_values for r in P.column_stats(df, distinct="approx").collect()}
     assert approx == {"a": 3, "b": 5, "c": 7}
 
