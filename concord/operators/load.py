@@ -27,17 +27,24 @@ def _c(n: str) -> Column:
 def replicate(df: DataFrame, count_col: str, chunk: int = REPLICATE_CHUNK) -> DataFrame:
     """Emit each row ``count_col`` times without putting a hot row's copies in one task.
 
-    Each row is first cut into units of at most ``chunk`` x ``chunk`` copies
-    (one unit for all but huge counts), the units are spread round-robin, and
-    each unit is expanded where it lands (``chunk`` rows of at most ``chunk``
+    Rows with at most ``chunk`` copies, all but a few, are expanded where they
+    are, without a shuffle.  A row with more is cut into units of at most
+    ``chunk`` x ``chunk`` copies, the units are spread round-robin, and each
+    unit is expanded where it lands (``chunk`` rows of at most ``chunk``
     copies).  A row holding a third of all copies thus becomes many units on
-    many tasks; no task expands more than ``chunk`` x ``chunk`` copies.
+    many tasks.
     """
+    n = F.col(count_col)
+    one = F.explode(F.array_repeat(F.lit(1), n.cast("int"))).alias("_x")
+    return (df.where((n > 0) & (n <= chunk)).select("*", one).drop("_x", count_col)
+            .unionByName(_replicate_hot(df.where(n > chunk), count_col, chunk)))
+
+
+def _replicate_hot(df: DataFrame, count_col: str, chunk: int) -> DataFrame:
     n = F.col(count_col)
     unit = chunk * chunk
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    units = (df.where(n > 0)
-             .select("*", F.explode(F.sequence(F.lit(0), F.ceil(n / unit).cast("int") - 1)).alias("_u"))
+    units = (df.select("*", F.explode(F.sequence(F.lit(0), F.ceil(n / unit).cast("int") - 1)).alias("_u"))
              .repartition(parts))
     in_unit = F.least(F.lit(unit), n - F.col("_u") * unit)
     chunks = (units.select("*", in_unit.alias("_nu"))
@@ -150,12 +157,6 @@ def full_merge(target: DataFrame, source: DataFrame, keys: Sequence[str], compar
     return new_target, changes
 
 
-def merge_metrics(changes: DataFrame) -> DataFrame:
-    """Counts of inserted / deleted change rows (updates count once on each side)."""
-    return changes.agg(F.count_if(F.col("_change_type") == "insert").cast("bigint").alias("inserted"),
-                       F.count_if(F.col("_change_type") == "delete").cast("bigint").alias("deleted"))
-
-
 def split_counts(split: DataFrame) -> DataFrame:
     """J13 counts: one row per ``_merge`` class."""
     return split.groupBy("_merge").agg(F.count(F.lit(1)).cast("bigint").alias("rows"))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import ordered as O
 from .compare import pct
 
 
@@ -26,8 +27,8 @@ def measure_parity(left: DataFrame, right: DataFrame, period: Column | str, meas
     ``measures`` maps a name to an aggregate expression.  Both sides are
     unioned with a tag and grouped once per period (full outer by
     construction).  ``clean_streak`` is true when this and the previous
-    period are both within tolerance for every measure (``lag`` over the few
-    period rows).
+    period are both within tolerance for every measure (a ``lag`` over the
+    periods by an ordered scan, so any number of periods will do).
     """
     p = F.col(period) if isinstance(period, str) else period
     l = left.select(p.alias("period"), F.lit("left").alias("_side"), "*")
@@ -49,10 +50,9 @@ def measure_parity(left: DataFrame, right: DataFrame, period: Column | str, meas
         ok = ok & F.col(f"{name}_ok")
         cols += [f"left_{name}", f"right_{name}", f"{name}_diff_pct", f"{name}_ok"]
     g = g.withColumn("within_tolerance", ok)
-    w = Window.orderBy("period")  # one row per period: a small, bounded frame
-    return g.select(*cols, "within_tolerance",
-                    (F.col("within_tolerance") & F.coalesce(F.lag("within_tolerance").over(w), F.lit(False)))
-                    .alias("clean_streak"))
+    s = O.scan(O.in_order(g, [], ["period"], "parity-periods"), [], _before=O.lag(F.col("within_tolerance")))
+    return s.select(*cols, "within_tolerance",
+                    (F.col("within_tolerance") & F.coalesce("_before", F.lit(False))).alias("clean_streak"))
 
 
 def verdict(checks: DataFrame, name_col: str = "check", passed_col: str = "passed",

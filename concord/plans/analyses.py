@@ -96,6 +96,18 @@ def usage_summary(spark, sf):
     return U.user_summary(f, ["user_id", "user_email"], "ts")
 
 
+@query("dataset_usage", ("V11", "A19", "F24"),
+       sql="""SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(count(*) AS BIGINT) AS total_activities, min(ts) AS first_access,
+                     max(ts) AS last_access
+              FROM events WHERE json_extract_string(props, '$.k') = '42' GROUP BY ALL""")
+def dataset_usage(spark, sf):
+    """Who used one dataset, by its id alone."""
+    ev = D.load(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("user_id"), "ts", U.json_field(F.col("props"), "$.k", None).alias("dataset_id"),
+        F.col("event_type").alias("dataset_name"))
+    return U.user_summary(U.usage_filter(ev, "dataset_id", "dataset_name", "42"), ["user_id"], "ts")
+
+
 @query("top_users", ("T4", "T1", "A19"),
        sql="""SELECT user_id, CAST(count(*) AS BIGINT) AS total_activities, min(ts) AS first_access, max(ts) AS last_access
               FROM events GROUP BY user_id ORDER BY total_activities DESC, user_id LIMIT 10""")

@@ -177,6 +177,33 @@ def remainder_head(spark, sf):
     return li.exceptAll(D.lineitem_right(li)).orderBy(*S.LINEITEM_COLS).limit(10)
 
 
+_LI_TYPES = {**dict.fromkeys(S.LINEITEM_COLS, "double"), **dict.fromkeys(("l_orderkey", "l_partkey", "l_suppkey"), "bigint"),
+             "l_linenumber": "int", "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp_ntz"}
+
+
+def _head_cells_sql(a: str, b: str, side: str) -> str:
+    order = ", ".join(S.LINEITEM_COLS)
+    cells = " UNION ALL ".join(f"SELECT position, '{c}' AS column_name, '{t}' AS {side}_type, CAST({c} AS VARCHAR) AS {side}_value FROM h"
+                               for c, t in _LI_TYPES.items())
+    return f"""(WITH h AS (SELECT *, CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS position
+                          FROM (SELECT * FROM ({a}) EXCEPT ALL SELECT * FROM ({b})) ORDER BY position LIMIT 10) {cells})"""
+
+
+_LI_WHOLE = "SELECT * FROM lineitem"
+
+
+@query("remainder_cells", ("Q21", "T3"),
+       sql=f"""SELECT coalesce(l.position, r.position) AS position, coalesce(l.column_name, r.column_name) AS column_name,
+                      left_type, left_value, right_type, right_value
+               FROM {_head_cells_sql(_LI_WHOLE, S.LINEITEM_RIGHT, "left")} l
+               FULL JOIN {_head_cells_sql(S.LINEITEM_RIGHT, _LI_WHOLE, "right")} r
+                 ON l.position = r.position AND l.column_name = r.column_name""")
+def remainder_cells(spark, sf):
+    """The first rows that only lineitem and only its copy have, with their types, beside each other."""
+    li = D.load(spark, sf, "lineitem")
+    return C.remainder_cells(li, D.lineitem_right(li), S.LINEITEM_COLS)
+
+
 _PARITY_SQL = f"""WITH l AS (SELECT date_trunc('month', l_shipdate) AS period, sum(l_quantity) AS q, count(*) AS n FROM lineitem GROUP BY 1),
      r AS (SELECT date_trunc('month', l_shipdate) AS period, sum(l_quantity) AS q, count(*) AS n FROM ({S.LINEITEM_RIGHT}) GROUP BY 1),
      j AS (SELECT coalesce(l.period, r.period) AS period, l.q AS left_quantity, r.q AS right_quantity, l.n AS left_rows, r.n AS right_rows
