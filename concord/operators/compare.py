@@ -343,7 +343,7 @@ def composite_keys(df: DataFrame, cols: Sequence[str], max_columns: int = 3) ->
             sets.append(s)
         if not sets:
             continue
-        entry = lambda i, s: F.struct(F.lit(i).alias("i"), *[F.when(~_any_null(s), F.xxhash64(F.lit(k), *[F.col(f"`{c}`") for c in s]))
+        entry = lambda i, s: F.struct(F.lit(i).alias("i"), *[F.when(~_has_null(s), F.xxhash64(F.lit(k), *[F.col(f"`{c}`") for c in s]))
                                                              .alias(f"h{k}") for k in (1, 2)])
         marked = df.select(F.explode(F.array(*[entry(i, s) for i, s in enumerate(sets)])).alias("e")).select("e.*")
         counted = marked.groupBy("i", "h1", "h2").agg(F.count(F.lit(1)).alias("n")).groupBy("i").agg(
@@ -360,7 +360,7 @@ def composite_keys(df: DataFrame, cols: Sequence[str], max_columns: int = 3) ->
     return df.sparkSession.createDataFrame([(",".join(k), len(k)) for k in keys], "key_columns string, n_columns int")
 
 
-def _any_null(cols: Sequence[str]) -> Column:
+def _has_null(cols: Sequence[str]) -> Column:
     out = F.lit(False)
     for c in cols:
         out = out | F.col(f"`{c}`").isNull()
