@@ -128,7 +128,7 @@ def _op3_sql() -> str:
         return (f"('urn:uuid:' || substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-' || substr({h}, 13, 4) || '-' || "
                 f"substr({h}, 17, 4) || '-' || substr({h}, 21, 12))")
 
-    hidden = [r"(?s)<!--.*?(?:-->|\z)"] + [rf"(?is)<{x}(?:[\s/][^>]*)?>.*?(?:</{x}\s*>|\z)" for x in
+    hidden = [r"(?s)<!--.*?(?:-->|\z)"] + [rf"(?is)<{x}(?:[\s/][^<>]*)?>.*?(?:</{x}\s*>|\z)" for x in
                                            ("script", "style", "noscript", "template")]
     bare = "h"
     for x in hidden:
@@ -136,13 +136,13 @@ def _op3_sql() -> str:
     # the entities that the test pages hold; the operator decodes all of them
     plain = lambda x: ("replace(replace(replace(replace({}, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), "
                        "'&amp;', '&')").format(x)
-    tagless = rf"regexp_replace({{}}, '<[/!?A-Za-z][^>]*>', '', 'g')"
+    tagless = rf"regexp_replace({{}}, '<[/!?A-Za-z][^<>]*>', '', 'g')"
     text = tagless.format(f"regexp_replace(bare, '{BLOCK.pattern}', chr(10), 'g')")
     lines = (rf"list_transform(string_split({plain(text)}, chr(10)), "
              r"lambda x: trim(regexp_replace(x, '[ \t\r\f\v\x{A0}]+', ' ', 'g')))")
     blank = r"trim(regexp_replace({}, '\s+', ' ', 'g'))"
-    title = blank.format(plain(tagless.format(r"regexp_extract(h, '(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>', 1)")))
-    links = (r"list_transform(regexp_extract_all(bare, '(?is)<a\s(?:[^>]*?\s)?href\s*=\s*"
+    title = blank.format(plain(tagless.format(r"regexp_extract(h, '(?is)<title(?:\s[^<>]*)?>(.*?)</title\s*>', 1)")))
+    links = (r"list_transform(regexp_extract_all(bare, '(?is)<a\s(?:[^<>]*?\s)?href\s*=\s*"
              rf"""("[^"]*")', 1), lambda x: 'outlink: ' || trim({plain("substr(x, 2, length(x) - 2)")}) || chr(13) || chr(10))""")
     return rf"""
 WITH p AS (SELECT page_id, url AS target_uri, coalesce(html, '') AS h FROM pages),
@@ -153,7 +153,7 @@ s AS (
     array_to_string(list_filter({lines}, lambda x: x <> ''), chr(10)) AS txt,
     'source-date: {CRAWLED}' || chr(13) || chr(10) || 'source-payload-digest: ' || pd || chr(13) || chr(10)
       || 'source-length: ' || strlen(h) || chr(13) || chr(10)
-      || CASE WHEN regexp_matches(h, '(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>')
+      || CASE WHEN regexp_matches(h, '(?is)<title(?:\s[^<>]*)?>(.*?)</title\s*>')
               THEN 'title: ' || {title} || chr(13) || chr(10) ELSE '' END
       || array_to_string({links}, '') AS meta
   FROM r),

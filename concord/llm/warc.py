@@ -3,11 +3,12 @@
 :func:`response_records` describes pages as responses; :func:`derive_records` gives two records per response, each
 referring to it (WARC-Refers-To) and carrying its URI, HTTP headers and payload digest; :func:`record_text` serialises
 any record, :func:`write_warc` and :func:`read_warc` are the files.  There is no shuffle: a page becomes its two records
-where it is read.
+where it is read.  Pages without stored HTTP headers get those of a plain 200 answer with their length.
 
 Edge cases: a NULL page body is an empty payload, whose conversion is empty; a NULL URL leaves out WARC-Target-URI;
 record ids come from what a record holds, so repeated rows give repeated records with equal ids; an empty table gives no
-record; other columns of the input are ignored.
+record; other columns of the input are ignored.  Tags end at the next ``<`` if nothing closes them, so no pattern runs over
+a whole page from every tag, and very long pages of unclosed tags take time in proportion to their length.
 """
 
 from __future__ import annotations
@@ -22,16 +23,17 @@ from pyspark.sql import functions as F
 
 from .common import vector_udf
 
-HIDDEN = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<script(?:[\s/][^>]*)?>.*?(?:</script\s*>|\Z)|<style(?:[\s/][^>]*)?>.*?(?:</style\s*>|\Z)"
-                    r"|<noscript(?:[\s/][^>]*)?>.*?(?:</noscript\s*>|\Z)|<template(?:[\s/][^>]*)?>.*?(?:</template\s*>|\Z)")
+HIDDEN = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<script(?:[\s/][^<>]*)?>.*?(?:</script\s*>|\Z)|<style(?:[\s/][^<>]*)?>.*?(?:</style\s*>|\Z)"
+                    r"|<noscript(?:[\s/][^<>]*)?>.*?(?:</noscript\s*>|\Z)|<template(?:[\s/][^<>]*)?>.*?(?:</template\s*>|\Z)")
 #: Elements that begin a new line of text.
 BLOCK = re.compile(r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|"
                    r"form|h[1-6]|head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|tbody|td|tfoot|th|thead|"
-                   r"title|tr|ul)(?:[\s/][^>]*)?>")
-TAG = re.compile(r"<[/!?A-Za-z][^>]*>")
+                   r"title|tr|ul)(?:[\s/][^<>]*)?>")
+TAG = re.compile(r"<[/!?A-Za-z][^<>]*>")
 BLANKS = re.compile(r"[ \t\r\f\v\xa0]+")
-TITLE = re.compile(r"(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>")
-LINK = re.compile(r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""")
+TITLE = re.compile(r"(?is)<title(?:\s[^<>]*)?>(.*?)</title\s*>")
+TITLE_END = re.compile(r"(?i)</title\s*>")
+LINK = re.compile(r"""(?is)<a\s(?:[^<>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""")
 EXTRACT = "text string, title string, links array<string>"
 
 
@@ -42,7 +44,8 @@ def html_text(page: str) -> str:
 
 
 def html_title(page: str) -> str | None:
-    found = TITLE.search(page)
+    ends = [m.end() for m in TITLE_END.finditer(page)]
+    found = TITLE.search(page, 0, ends[-1]) if ends else None  # where none closes there is none
     return " ".join(html_entities.unescape(TAG.sub("", found[1])).split()) if found else None
 
 

@@ -46,3 +46,20 @@ def test_records_link_to_their_response_and_survive_files(spark, tmp_path):
 def test_empty(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert derive_records(response_records(pages, "d"), "d").count() == 0
+
+
+def test_long_pages_of_unclosed_tags_take_linear_time():
+    import time
+    for tag in ("<title>", "<title ", "<p ", "<a ", "<a href=\"", "<script ", "<td", "<", "</title", "<!--", "<a href="):
+        page = tag * ((1 << 20) // len(tag))
+        t = time.time()
+        html_text(page), html_title(page), html_links(page)
+        assert time.time() - t < 5, tag
+    assert html_title("<title>never") is None and html_title("<title >a</title x></title>b") == "a"
+
+
+def test_very_long_pages_and_no_pages(spark):
+    pages = spark.createDataFrame([(1, "u", "<title> " * 100_000 + "<p " * 100_000 + "</p>end")], "page_id long, url string, html string")
+    out = {r.record_type: r for r in derive_records(response_records(pages, "d"), "d").collect()}
+    assert out["conversion"].block.endswith("end") and "title:" not in out["metadata"].block
+    assert derive_records(response_records(pages.limit(0), "d"), "d").count() == 0
