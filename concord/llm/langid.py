@@ -1,11 +1,12 @@
 """Language identification by compression: the language whose dictionary compresses a text best.
 
-Each language gets a zstandard raw-content dictionary, made of many short pieces of its labelled texts.  A text is
-compressed block by block with every dictionary; the language with the fewest bytes wins, and the operator answers
-``und`` when the runner-up is nearly as good (``rejected``).
+Each language gets a zstandard raw-content dictionary, made of whole labelled texts.  A text is compressed block by block
+with every dictionary; the language with the fewest bytes wins, and the operator answers ``und`` when the runner-up is
+nearly as good (``rejected``).
 
-The dictionaries are fitted on a bounded sample: at most ``pieces`` labelled rows a language, chosen by the MD5 of the
-id, ``piece_chars`` characters each; with ``max_languages`` that bounds what is broadcast.  Prediction uses whole texts.
+The dictionaries are fitted on a bounded sample of labelled rows: in the order of the MD5 of their ids, the different ids
+of a language whose texts fit into ``dict_bytes`` together, at most ``sample`` of them; an id's texts are taken once, the
+least if they differ.  With ``max_languages`` that bounds what is broadcast.  Prediction uses whole texts.
 
 Edge cases: a NULL text or one without a letter is ``und`` with score 0; ties go to the language with more labelled
 rows, then to the first in code point order; with nothing to learn from every text is ``und``; repeated rows are
@@ -22,7 +23,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import unit_hash, vector_udf
+from .common import materialize, unit_hash, vector_udf
 
 UNDETERMINED = "und"
 RESULT = "lang string, best string, score double, margin double, rejected boolean, sizes array<long>"
@@ -48,8 +49,8 @@ def has_letter(text: str | None) -> bool:
     return text is not None and any(map(str.isalpha, text))
 
 
-def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", pieces: int = 1000,
-        piece_chars: int = 128, level: int = 5, block_bytes: int = 2048, min_margin: float = 0.01,
+def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", sample: int = 1000,
+        dict_bytes: int = 256 << 10, level: int = 5, block_bytes: int = 2048, min_margin: float = 0.01,
         max_languages: int = 256, seed: str = "langid-1") -> Model:
     rows = labelled.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     rows = rows.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}"))
@@ -58,21 +59,21 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str
               .limit(max_languages + 1).collect()}
     if len(counts) > max_languages:
         raise ValueError(f"more than {max_languages} languages; raise max_languages if that is meant")
-    # ids first, so that the ranking carries no text; of a language's many rows only those whose number is small enough
-    # to be among the first are ranked (four times as many as are needed, on average)
-    few = rows.sparkSession.createDataFrame([(x, 4.0 * pieces / n) for x, n in counts.items()], "lang string, most double")
+    # ids first, each once, so that the ranking carries no text; of a language's many ids only those whose number is
+    # small enough to be among the first are ranked (four times as many as are needed, on average)
+    ids = materialize(rows.select("lang", "doc_id", u.alias("u")).distinct(), "langid-ids")
+    few = F.broadcast(ids.groupBy("lang").agg((F.lit(4.0 * sample) / F.count(F.lit(1))).alias("most")))  # a row a language
     best = Window.partitionBy("lang").orderBy("u", "doc_id")
-    picked = (rows.select("doc_id", "lang", u.alias("u")).join(F.broadcast(few), "lang").filter("u <= most")
-              .withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= pieces)
-              .select("doc_id", "lang", "u").distinct())
-    # one piece of each picked text, from a place that its hash chooses
-    start = F.floor(F.col("u") * F.greatest(F.char_length("text") - piece_chars, F.lit(1))) + 1
-    got = (rows.join(F.broadcast(picked), ["doc_id", "lang"])
-           .select("lang", "u", F.substring("text", start.cast("int"), F.lit(piece_chars)).alias("piece"))
-           .groupBy("lang", "u").agg(F.min("piece").alias("piece")).collect())
+    picked = (ids.join(few, "lang").filter("u <= most").withColumn("rank", F.row_number().over(best))
+              .filter(F.col("rank") <= sample).select("lang", "doc_id", "rank"))
+    # whole texts in that order as far as they fit; one that does not is passed over
+    whole = (rows.join(F.broadcast(picked), ["lang", "doc_id"]).filter(F.octet_length("text") <= dict_bytes)
+             .groupBy("lang", "rank").agg(F.min("text").alias("text")))
+    upto = F.sum(F.octet_length("text")).over(Window.partitionBy("lang").orderBy("rank"))
+    got = whole.withColumn("upto", upto).filter(F.col("upto") <= dict_bytes).select("lang", "rank", "text").collect()
     languages = tuple(sorted(counts, key=lambda x: (-counts[x], x)))
-    pieces_of = {x: sorted((r["u"], normal(r["piece"])) for r in got if r["lang"] == x) for x in languages}
-    return Model(languages, tuple("\n".join(p for _, p in pieces_of[x]).encode() for x in languages), level,
+    texts_of = {x: [normal(r["text"]) for r in sorted(got, key=lambda r: r["rank"]) if r["lang"] == x] for x in languages}
+    return Model(languages, tuple("\n".join(texts_of[x]).encode() for x in languages), level,
                  block_bytes, min_margin)
 
 

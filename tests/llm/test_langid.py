@@ -45,3 +45,32 @@ def test_nothing_to_learn_from(spark, docs_table):
     assert model.languages == ()
     assert {r.p.best for r in docs.select(predict(model, F.col("text")).alias("p")).collect()} == {"und"}
     assert docs.limit(0).select(predict(model, F.col("text"))).count() == 0
+
+
+def test_copies_of_one_id_leave_the_other_texts_in_the_dictionary(spark, docs_table):
+    rows = [(i, f"the house number {i} and the {chr(97 + i % 26) * 5} garden", "en") for i in range(400)]
+    for copied in (0, 7, 123):
+        model = fit(docs_table(rows + [rows[copied]] * 3000, f"c{copied}"), sample=300)
+        alone = fit(docs_table(rows, f"a{copied}"), sample=300)
+        assert model.dictionaries == alone.dictionaries and model.dictionaries[0].count(b"\n") == 299
+
+
+def test_dictionaries_are_whole_texts_within_their_bytes(spark, docs_table):
+    rows = [(i, f"text number {i} " * 20, "en") for i in range(200)] + [(999, "long " * 10_000, "en")]
+    model = fit(docs_table(rows), dict_bytes=5000)
+    lines = model.dictionaries[0].decode().split("\n")
+    assert 4000 < len(model.dictionaries[0]) <= 5000 and all(x.count("text number") == 20 for x in lines)
+
+
+def test_sizes_by_a_plain_loop(spark, docs_table):
+    import zstandard
+    rows = [(i, f"the cat {i} and the dog", "en") for i in range(40)] + [(100 + i, f"der hund {i} und die katze", "de") for i in range(30)]
+    docs = docs_table(rows)
+    model = fit(docs)
+    for r in docs.select("text", predict(model, F.col("text")).alias("p")).collect():
+        plain = []
+        for d in model.dictionaries:
+            c = zstandard.ZstdCompressor(level=5, write_content_size=False, write_checksum=False, write_dict_id=False,
+                                         dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
+            plain.append(len(c.compress(" ".join(r.text.lower().split()).encode())))
+        assert r.p.sizes == plain and r.p.best == model.languages[min(range(2), key=lambda i: plain[i])]
