@@ -113,12 +113,12 @@ def rules_column(rules: list[Rule]) -> Column:
 
 
 def learn_rules(labelled: DataFrame, features: tuple[str, ...] = FEATURES, bad: str = "bad", doc_id: str = "doc_id",
-                bins: int = 32, max_rules: int = 12, max_conditions: int = 4, min_precision: float = 0.9,
-                min_support: float = 0.002) -> list[Rule]:
+                bins: int = 32, min_precision: float = 0.9, min_support: float = 0.002) -> list[Rule]:
     """Sequential covering over rows of (doc_id, bad boolean, features).
 
     ``min_support`` is the least share of the labelled bad rows a rule must find; a rule whose precision on the pruning
-    third stays under ``min_precision`` ends the list.
+    third stays under ``min_precision`` ends the list.  Nothing else ends it, nor a rule: a condition is added while one
+    gains, and every rule takes bad rows away.
     """
     labelled = labelled.filter(F.col(bad).isNotNull())
     # candidate thresholds: quantiles of each feature over bad and over other rows, so rare kinds of junk get cuts too
@@ -163,13 +163,13 @@ def learn_rules(labelled: DataFrame, features: tuple[str, ...] = FEATURES, bad:
 
     rules: list[Rule] = []
     all_bad = counts(cells, [[]])[0][0]
-    while len(rules) < max_rules:
+    while True:
         left = cells
         for r in rules:
             left = left.filter(~in_bins(r))
         grow, prune = left.filter("not _prune"), left.filter("_prune")
         rule: Rule = []
-        while len(rule) < max_conditions:
+        while True:
             h = histogram(grow.filter(in_bins(rule)))
             pos0 = sum(p for p, _ in next(iter(h.values())).values())
             n0 = sum(n for _, n in next(iter(h.values())).values())
