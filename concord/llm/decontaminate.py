@@ -14,7 +14,8 @@ budget of 0 below 13 characters, and of 1 to 3 above.
 
 Edge cases: NULL and empty texts and items match nothing; equal items with different ids are all reported; an item with
 a NULL id is searched like any other and reported with a NULL id; repeated documents are reported as often as they
-appear, NULL ids with a NULL id; empty tables give no match; other columns are ignored.
+appear, NULL ids with a NULL id; empty tables give no match; other columns are ignored.  Very long texts are searched
+whole: places that overlap are one stretch as soon as they are found, so a text that repeats an item holds no list of them.
 """
 
 from __future__ import annotations
@@ -112,7 +113,11 @@ class Matcher:
                 a, b = max(edge, start - k), min(len(text) - edge, start + len(item) + k)
                 if b - a < len(item) - k:
                     continue
-                spans.setdefault(n, []).append([a, b])
+                found = spans.setdefault(n, [])
+                if found and a <= found[-1][1] and b >= found[-1][0]:
+                    found[-1] = [min(a, found[-1][0]), max(b, found[-1][1])]
+                else:
+                    found.append([a, b])
         for n, found in spans.items():
             found.sort()
             merged = [found[0]]

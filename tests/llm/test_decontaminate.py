@@ -103,3 +103,17 @@ def test_items_with_null_ids_are_searched(spark, docs_table):
     only = benchmark.filter("item_id is null")
     assert [(r.doc_id, r.item_id) for r in find_leaks(docs, only).collect()] == [(1, None)]
     assert [r.doc_id for r in without_leaks(docs, only).collect()] == [2]
+
+
+def test_a_very_long_repeated_text_needs_little_memory():
+    import tracemalloc
+
+    from concord.llm.decontaminate import Items, Matcher
+    item = "the same words over and over again in one long line of words"
+    m = Matcher(Items(((item, 4, (7,)), (" over and ", 0, (8,)))))
+    text = plain((item + " ") * 20_000)
+    tracemalloc.start()
+    found = m.matches(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [f[:2] for f in found] == [(7, 0), (8, 0)] and peak < 40 * len(text)
