@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import materialize, text_of
 from .license_texts import EQUIVALENT_SPELLINGS, LICENSE_TEXTS
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -73,16 +73,11 @@ def license_digests(known: DataFrame) -> DataFrame:
             .agg(F.min("license_id").alias("license_id"), F.min(F.substring_index("form", " ", 2)).alias("opening")))
 
 
-#: Known texts up to this number are broadcast; more are joined by a shuffle.
-MOST_BROADCAST = 100_000
-
-
 def license_scan(docs: DataFrame, known: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, text_digest, license_id (of the whole text, or NULL), n_license_lines, line_licenses (sorted, distinct)
     per row of ``docs``."""
-    digests = license_digests(known)
-    if known.count() <= MOST_BROADCAST:
-        digests = F.broadcast(digests)
+    # written, so that Spark knows its size in bytes and broadcasts it only below its own threshold
+    digests = materialize(license_digests(known), "license-digests")
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text_of(text)).alias("text_key"),
                        ascii_lower(text_of(text)).alias("text"))
     whole = rows.select("doc_id", "text_key", digest_of(F.col("text")).alias("text_digest"))
