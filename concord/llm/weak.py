@@ -121,10 +121,10 @@ def kind(c: str) -> str:
 
 @lru_cache(maxsize=50_000)
 def shape(word: str) -> str:
-    """Letters as X and x, digits as 9, runs shortened to one; at most twelve characters.  Letters without case, and
-    the marks on them, count as x, and their scripts' sentence ends as a full stop."""
+    """Letters as X and x, digits as 9, runs shortened to one.  Letters without case, and the marks on them, count as x,
+    and their scripts' sentence ends as a full stop."""
     kinds = "".join(map(kind, word.translate(SHAPES)))
-    return RUNS.sub(r"\1", kinds)[:12]
+    return RUNS.sub(r"\1", kinds)
 
 
 @lru_cache(maxsize=50_000)
@@ -312,5 +312,8 @@ def score(model: Model, m: Column) -> Column:
 
 def accepted(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` that the scorer, fitted on all of them, keeps."""
-    model = fit(measured(docs, text, doc_id), **options)
-    return docs.filter(score(model, measure(F.col(text)))["kept"])
+    # the rows with what is measured of them, so that each text is read once
+    rows = materialize(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                                   measure(F.col(text)).alias("m")), "weak-rows")
+    model = fit(rows.select(F.col(f"row.`{doc_id}`").alias("doc_id"), "m"), **options)
+    return rows.filter(score(model, F.col("m"))["kept"]).select("row.*")

@@ -82,3 +82,32 @@ def test_sample_is_of_distinct_ids(spark, docs_table, monkeypatch):
     monkeypatch.setattr(weak, "train", lambda rows, *a, **o: (seen.append((len(rows), o["times"].sum())), was(rows, *a, **o))[1])
     weak.fit(measured(docs), sample=41)
     assert seen == [(41, 340.0)]
+
+
+def test_posteriors_by_enumerating_patterns():
+    from itertools import product
+
+    from concord.llm.weak import LabelModel
+    rng = np.random.default_rng(5)
+    vote = rng.random((len(LABELLERS), 2, 3)) + 0.05
+    vote /= vote.sum(axis=2, keepdims=True)
+    model = LabelModel(0.7, vote)
+    patterns = list(product(range(3), repeat=len(LABELLERS)))[::37]
+    numbers = np.array([int("".join(map(str, p)), 3) for p in patterns])
+    for p, got in zip(patterns, posterior(model, numbers)):
+        bad, good = 0.3, 0.7
+        for j, v in enumerate(p):
+            bad, good = bad * vote[j, 0, v], good * vote[j, 1, v]
+        assert abs(got - good / (good + bad)) < 1e-9
+
+
+def test_accepted_rows_are_those_the_scorer_keeps(spark, docs_table):
+    from concord.llm.weak import accepted
+    rng = random.Random(3)
+    clean = lambda: ". ".join(" ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(8)).capitalize() for _ in range(9)) + "."
+    docs = docs_table([(i, clean()) for i in range(200)] + [(500 + i, clean().upper().replace(" ", "!!### ")) for i in range(20)] + [(900, None), (3, clean())])
+    m = measured(docs)
+    model = fit(m)
+    want = sorted((r.doc_id, r.text) for r in docs.filter(score(model, measure(F.col("text")))["kept"]).collect())
+    got = accepted(docs)
+    assert got.columns == docs.columns and sorted((r.doc_id, r.text) for r in got.collect()) == want and len(want) >= 190
