@@ -8,10 +8,12 @@ tile.  Within tiles
 1. every node is paired with its tile's most central node only; hashed bitmaps bound the overlap from above, exact intersection
    of the sorted arrays decides, and the links form classes;
 2. nodes of a tile that are still in different classes are compared with each other in blocks by their bitmaps (a large
-   tile is spread over pairs of blocks), and what the bound lets through is again decided exactly.
+   tile is spread over pairs of blocks; nodes of its largest class are not compared with each other).  At first each node
+   takes its most promising partner only, which is again decided exactly and joins classes; ``rounds`` times;
+3. then all pairs of nodes that are still in different classes and that the bound lets through are decided.
 
-The second step covers every pair of a tile that the first left apart, so no link between different classes is missed;
-pairs inside a class are never spelled out.
+The last step covers every pair of a tile that the others left apart, so no link between different classes is missed;
+pairs inside a class are never spelled out, and after the rounds hardly any pair is left outside.
 
 The bitmap of a set has a bit per hash bucket, flipped by each shingle in it: two sets differ in at least as many
 shingles as their bitmaps differ in bits, so |A and B| <= (|A| + |B| - bit count of the difference) / 2.  Its length
@@ -44,7 +46,9 @@ COMMON_IN_TASK, COMMON = 4, 32
 #: Most entries in the list of common shingles (8 bytes each), which is broadcast.
 MAX_COMMON = 1 << 20
 #: Members of a block; larger tiles are spread over pairs of blocks.
-BLOCK_NODES = 512
+BLOCK_NODES = 1024
+#: Times that every node is linked with its most promising partner before all pairs are looked at.
+ROUNDS = 2
 LEAST_BITS, MOST_BITS = 64, 1 << 16
 
 
@@ -188,16 +192,17 @@ def alike(pairs: DataFrame, described: DataFrame, docs: DataFrame, percent: int,
     ids = wanted.join(sketch.select("node", "doc_id"), "node")
 
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts(batches, 1):
-            rows = [(i, long_of(s)) for i, t in zip(batch.column(0).to_pylist(), texts(batch, 1))
-                    if (s := shingle_set(t, size)) is not None and node_of(s) == i]
+        for batch in parts(batches, 0):
+            sets = [shingle_set(t, size) for t in texts(batch, 0)]
+            rows = [(node_of(s), long_of(s)) for s in sets if len(s)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()),
                                               pa.array([r[1] for r in rows], pa.list_(pa.int64()))],
                                              names=["node", "shingles"])
 
-    sets = (ids.join(docs, ids["doc_id"].eqNullSafe(docs["doc_id"])).select("node", docs["text"])
-            .mapInArrow(arrays, "node long, shingles array<long>").dropDuplicates(["node"]))
-    sets = materialize(sets, "jaccard-sets")
+    named = ids.select(F.col("doc_id").alias("wanted_id")).distinct()
+    sets = (docs.join(named, docs["doc_id"].eqNullSafe(named["wanted_id"]), "left_semi").select("text")
+            .mapInArrow(arrays, "node long, shingles array<long>"))
+    sets = materialize(sets.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "jaccard-sets")
     both = (near.join(sets.withColumnsRenamed({"node": "a", "shingles": "x"}), "a")
             .join(sets.withColumnsRenamed({"node": "b", "shingles": "y"}), "b"))
 
@@ -281,9 +286,10 @@ def differing_bits(words: np.ndarray, start: np.ndarray, length: np.ndarray, lef
     return out
 
 
-def compare_units(rows: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def compare_units(rows: pa.Table, percent: int, best: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Nodes of the pairs within units that are in different classes and that sizes and bitmaps allow: of two blocks
-    each with the other, of one block each with the later ones; one of the two at least is the tile's own."""
+    each with the other, of one block each with the later ones; one of the two at least is the tile's own.  With
+    ``best`` each node's pair whose bitmaps differ least for its size only."""
     rows = rows.combine_chunks()
     unit, node, n, cls, own, block = (rows.column(i).to_numpy() for i in range(6))
     maps = rows.column(6).combine_chunks() if rows.num_rows else rows.column(6)
@@ -294,7 +300,8 @@ def compare_units(rows: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]
     first = np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1]]))
     single = np.repeat(np.minimum.reduceat(block, first) == np.maximum.reduceat(block, first),
                        np.diff(np.append(first, len(unit))))
-    one, two = [], []
+    one, two = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    close = [np.zeros(0)]
     for left, right in unit_pairs(unit):
         keep = ((cls[left] != cls[right]) & (own[left] | own[right]) & (single[left] | (block[left] != block[right]))
                 & (100 * np.minimum(n[left], n[right]) >= percent * np.maximum(n[left], n[right])))
@@ -303,31 +310,55 @@ def compare_units(rows: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]
         keep = (n[left] + n[right] - apart) // 2 >= need(n[left], n[right], percent)
         one.append(node[left[keep]])
         two.append(node[right[keep]])
+        close.append(apart[keep] / (n[left[keep]] + n[right[keep]]))
+        if best:  # what has been found so far, once for each node
+            a, b, c = (np.concatenate(x) for x in (one, two, close))
+            first = []
+            for side in (a, b):
+                order = np.lexsort((a, b, c, side))
+                first.append(order[np.concatenate([[True], np.diff(side[order]) != 0])] if len(order) else order)
+            keep = np.unique(np.concatenate(first))
+            one, two, close = [a[keep]], [b[keep]], [c[keep]]
     return np.concatenate(one), np.concatenate(two)
 
 
 def remaining_pairs(rows: DataFrame, classes: DataFrame, described: DataFrame, percent: int,
-                    block_nodes: int) -> DataFrame:
-    """(a, b) of tiles whose nodes are in different classes, as far as the bitmaps allow."""
+                    block_nodes: int, best: bool = False) -> DataFrame:
+    """(a, b) of tiles whose nodes are in different classes, as far as the bitmaps allow; with ``best`` a few pairs for
+    each node at most.
+
+    The nodes of a tile's largest class are dealt into blocks of their own, which never meet each other: a tile of one
+    large class and a few other nodes is copied once for each block of those."""
     named = rows.join(classes, "node", "left").withColumn("cls", F.coalesce("cls", "node"))
     t = tiles(named, percent)
-    mixed = (t.groupBy("shingle", "band")
-             .agg(F.min("cls").alias("low"), F.max("cls").alias("high"), F.max("own").alias("some"),
-                  F.count(F.lit(1)).alias("members")).filter("low != high and some")
-             .select("shingle", "band", F.ceil(F.col("members") / block_nodes).alias("blocks")))
+    per_class = t.groupBy("shingle", "band", "cls").agg(F.count(F.lit(1)).alias("k"), F.max("own").alias("some"))
+    blocks = lambda n: F.ceil(n / block_nodes).cast("long")
+    mixed = (per_class.groupBy("shingle", "band")
+             .agg(F.max(F.struct("k", "cls")).alias("top"), F.sum("k").alias("members"), F.count(F.lit(1)).alias("classes"),
+                  F.max("some").alias("some")).filter("classes > 1 and some")
+             .select("shingle", "band", F.col("top.cls").alias("top"), blocks(F.col("top.k")).alias("majors"),
+                     blocks(F.col("members") - F.col("top.k")).alias("minors")))
+    mixed = materialize(mixed, "jaccard-mixed")
     bits = described.filter("not common and node is not null").groupBy("node").agg(F.first("bitmap").alias("bitmap"))
-    t = t.join(mixed, ["shingle", "band"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    # block b meets every other block j once, in the unit (least, greatest) of the two
-    t = t.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    unit = F.xxhash64("shingle", "band", F.least("block", "other"), F.greatest("block", "other"))
-    t = t.select(unit.alias("unit"), "node", "n", "cls", "own", "block").join(bits, "node")
+    t = t.join(mixed, ["shingle", "band"]).withColumn("major", F.col("cls") == F.col("top"))
+    t = t.withColumn("block", F.pmod(F.xxhash64("node"), F.when(F.col("major"), F.col("majors")).otherwise(F.col("minors"))))
+    # a block of the largest class meets every other block once; those meet each other once, in the unit (least, greatest)
+    pair = lambda a, b: F.struct(a.alias("x"), b.alias("y"))
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    of_major = F.transform(upto(F.col("minors")), lambda j: pair(-1 - F.col("block"), j))
+    of_minor = F.concat(F.transform(upto(F.col("minors")), lambda j: pair(F.least("block", j), F.greatest("block", j))),
+                        F.transform(upto(F.col("majors")), lambda j: pair(-1 - j, F.col("block"))))
+    t = t.withColumn("at", F.explode(F.when(F.col("major"), of_major).otherwise(of_minor)))
+    own_block = F.when(F.col("major"), -1 - F.col("block")).otherwise(F.col("block"))
+    unit = F.xxhash64("shingle", "band", "at.x", "at.y")
+    t = t.select(unit.alias("unit"), "node", "n", "cls", "own", own_block.alias("block")).join(bits, "node")
     t = t.repartition("unit").sortWithinPartitions("unit")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def pairs(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-            a, b = compare_units(pa.Table.from_batches(parts), percent)
+            a, b = compare_units(pa.Table.from_batches(parts), percent, best)
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for batch in batches:
@@ -348,7 +379,8 @@ def remaining_pairs(rows: DataFrame, classes: DataFrame, described: DataFrame, p
 
 
 def similarity_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 80, size: int = 5,
-                       block_nodes: int = BLOCK_NODES, max_common: int = MAX_COMMON) -> tuple[DataFrame, DataFrame]:
+                       block_nodes: int = BLOCK_NODES, max_common: int = MAX_COMMON,
+                       rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """(doc_id, node, n_shingles) per document, and (node, component, component_id) per node, where a component is the
     class of nodes reachable by links and component_id its least document id."""
     ship(docs.sparkSession)
@@ -357,10 +389,11 @@ def similarity_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     common = common_shingles(described, max_common)
     rows = materialize(shared_rows(leading_rows(docs, common, percent, size)), "jaccard-rows")
     links = materialize(alike(first_pairs(rows, percent), described, docs, percent, size), "jaccard-links")
-    classes = connected_components(links, src="a", dst="b").withColumnRenamed("component", "cls")
-    classes = materialize(classes, "jaccard-classes")
-    more = alike(remaining_pairs(rows, classes, described, percent, block_nodes), described, docs, percent, size)
-    links = materialize(links.unionAll(more), "jaccard-all-links")
+    for k in range(rounds + 1):  # the last time all pairs
+        classes = connected_components(links, src="a", dst="b").withColumnRenamed("component", "cls")
+        classes = materialize(classes, "jaccard-classes")
+        pairs = remaining_pairs(rows, classes, described, percent, block_nodes, best=k < rounds)
+        links = materialize(links.unionAll(alike(pairs, described, docs, percent, size)), "jaccard-links")
     members = described.filter("not common").select("doc_id", "node", F.col("n").alias("n_shingles"))
     least = members.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     named = (least.join(connected_components(links, src="a", dst="b"), "node", "left")
