@@ -238,8 +238,11 @@ def repeated_spans(docs: DataFrame, length: int = 35, anchor: int = ANCHOR, bloc
                    group: int = GROUP) -> DataFrame:
     """(doc, start, windows) of (key, text) documents: runs of windows that also start elsewhere, in no order."""
     rows = materialize(context_rows(docs, length, anchor), "rlz-contexts")
+    # small tables by key are written before they are joined, so that both sides of a join are dealt for it alone and
+    # adaptive execution may split a key with many rows
     anchors = (rows.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("low"), F.max("c").alias("high"))
                .filter("n > 1").select("h", (F.col("low") != F.col("high")).alias("mixed")))
+    anchors = materialize(anchors, "rlz-anchors")
     met = materialize(rows.join(anchors, "h"), "rlz-met")
     alike = met.filter("not mixed").select("doc", "start", "windows")
     mixed = met.filter("mixed").drop("mixed")
@@ -255,6 +258,7 @@ def repeated_spans(docs: DataFrame, length: int = 35, anchor: int = ANCHOR, bloc
         return found.unionAll(parse_blocks(firsts, length, block_words))
     windows = materialize(whole_windows(firsts.join(large, "h", "left_semi"), length), "rlz-windows")
     again = windows.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h", "c")
+    again = materialize(again, "rlz-again")
     found = found.unionAll(windows.join(again, ["h", "c"], "left_semi").select("doc", "start", "windows"))
     return found.unionAll(parse_blocks(firsts.join(large, "h", "left_anti"), length, block_words))
 
