@@ -195,5 +195,5 @@ def row_match_stored(spark, sf):
     right = o.where(k % 4999 != 0).unionByName(o.where(k % 7919 == 0))
     roots = [scratch_path(spark, f"fingerprints-{side}") for side in ("left", "right")]
     for df, root in zip((o, right), roots):
-        FP.store(df, sorted(o.columns), root)
+        FP.store(df, sorted(o.columns), root, bits=6)
     return FP.match_stored(spark, *roots).drop("leaves_read")
