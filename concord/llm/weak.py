@@ -312,8 +312,6 @@ def score(model: Model, m: Column) -> Column:
 
 def accepted(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` that the scorer, fitted on all of them, keeps."""
-    # the rows with what is measured of them, so that each text is read once
-    rows = materialize(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                                   measure(F.col(text)).alias("m")), "weak-rows")
-    model = fit(rows.select(F.col(f"row.`{doc_id}`").alias("doc_id"), "m"), **options)
-    return rows.filter(score(model, F.col("m"))["kept"]).select("row.*")
+    model = fit(measured(docs, text, doc_id), **options)
+    # measured again rather than stored with the rows: that took as much disk as the texts
+    return docs.filter(score(model, measure(F.col(text)))["kept"])
