@@ -322,23 +322,28 @@ def compare_units(rows: pa.Table, percent: int, best: bool = False) -> tuple[np.
     return np.concatenate(one), np.concatenate(two)
 
 
-def remaining_pairs(rows: DataFrame, classes: DataFrame, described: DataFrame, percent: int,
-                    block_nodes: int, best: bool = False) -> DataFrame:
-    """(a, b) of tiles whose nodes are in different classes, as far as the bitmaps allow; with ``best`` a few pairs for
-    each node at most.
+def mixed_tiles(t: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of :func:`tiles` that lie in a tile with nodes of different classes, with their class.  Classes only grow
+    together, so a later round starts from these."""
+    named = t.select("shingle", "band", "own", "node", "n").join(classes, "node", "left")
+    named = named.withColumn("cls", F.coalesce("cls", "node"))
+    mixed = (named.groupBy("shingle", "band").agg(F.min("cls").alias("low"), F.max("cls").alias("high"), F.max("own").alias("some"))
+             .filter("low != high and some").select("shingle", "band"))
+    return materialize(named.join(mixed, ["shingle", "band"]), "jaccard-mixed")
+
+
+def remaining_pairs(t: DataFrame, described: DataFrame, percent: int, block_nodes: int, best: bool = False) -> DataFrame:
+    """(a, b) of :func:`mixed_tiles` whose nodes are in different classes, as far as the bitmaps allow; with ``best`` a
+    few pairs for each node at most.
 
     The nodes of a tile's largest class are dealt into blocks of their own, which never meet each other: a tile of one
     large class and a few other nodes is copied once for each block of those."""
-    named = rows.join(classes, "node", "left").withColumn("cls", F.coalesce("cls", "node"))
-    t = tiles(named, percent)
-    per_class = t.groupBy("shingle", "band", "cls").agg(F.count(F.lit(1)).alias("k"), F.max("own").alias("some"))
+    per_class = t.groupBy("shingle", "band", "cls").agg(F.count(F.lit(1)).alias("k"))
     blocks = lambda n: F.ceil(n / block_nodes).cast("long")
-    mixed = (per_class.groupBy("shingle", "band")
-             .agg(F.max(F.struct("k", "cls")).alias("top"), F.sum("k").alias("members"), F.count(F.lit(1)).alias("classes"),
-                  F.max("some").alias("some")).filter("classes > 1 and some")
+    mixed = (per_class.groupBy("shingle", "band").agg(F.max(F.struct("k", "cls")).alias("top"), F.sum("k").alias("members"))
              .select("shingle", "band", F.col("top.cls").alias("top"), blocks(F.col("top.k")).alias("majors"),
                      blocks(F.col("members") - F.col("top.k")).alias("minors")))
-    mixed = materialize(mixed, "jaccard-mixed")
+    mixed = materialize(mixed, "jaccard-blocks")
     bits = described.filter("not common and node is not null").groupBy("node").agg(F.first("bitmap").alias("bitmap"))
     t = t.join(mixed, ["shingle", "band"]).withColumn("major", F.col("cls") == F.col("top"))
     t = t.withColumn("block", F.pmod(F.xxhash64("node"), F.when(F.col("major"), F.col("majors")).otherwise(F.col("minors"))))
@@ -389,10 +394,11 @@ def similarity_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     common = common_shingles(described, max_common)
     rows = materialize(shared_rows(leading_rows(docs, common, percent, size)), "jaccard-rows")
     links = materialize(alike(first_pairs(rows, percent), described, docs, percent, size), "jaccard-links")
+    t = tiles(rows, percent)
     for k in range(rounds + 1):  # the last time all pairs
         classes = connected_components(links, src="a", dst="b").withColumnRenamed("component", "cls")
-        classes = materialize(classes, "jaccard-classes")
-        pairs = remaining_pairs(rows, classes, described, percent, block_nodes, best=k < rounds)
+        t = mixed_tiles(t, materialize(classes, "jaccard-classes"))
+        pairs = remaining_pairs(t, described, percent, block_nodes, best=k < rounds)
         links = materialize(links.unionAll(alike(pairs, described, docs, percent, size)), "jaccard-links")
     members = described.filter("not common").select("doc_id", "node", F.col("n").alias("n_shingles"))
     least = members.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
