@@ -319,52 +319,44 @@ def key_uniqueness(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                     .alias("is_unique")))
 
 
+#: Of the values of a set of columns one in SLICE is looked at before all of them are.
+SLICE = 64
+
+
 def composite_keys(df: DataFrame, cols: Sequence[str], max_columns: int = 3) -> DataFrame:
     """(key_columns, n_columns) of the minimal keys of at most ``max_columns`` of ``cols``: sets of columns without
     NULLs in which no two rows agree, none of which holds a smaller key.  An empty table has no key.
 
-    Level by level, one scan a level: all candidate sets of a size are counted together by 128-bit fingerprints (equal
-    ones of a task are one row before the shuffle).  A set is no candidate if it holds a known key, if one of its columns
-    has NULLs, or if its distinct counts cannot reach the row count: a set has at most as many distinct values as the
-    product of those of any two parts it is made of.
+    Level by level: a set is no candidate if it holds a known key or if one of its columns has NULLs.  Two rows that agree
+    prove that a candidate is no key, so all candidates of a size are first held against one value in SLICE, chosen by
+    fingerprint (rows that agree have the same one), and only those without a repeat there are held against all rows.  A
+    key is always one by all rows.
     """
     cols = list(cols)
-    rows, bound, keys, open_cols = None, {}, [], cols
+    filled = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    open_cols = [c for i, c in enumerate(cols) if filled["rows"] and filled[f"n{i}"] == filled["rows"]]
+    keys = []
     for size in range(1, max_columns + 1):
-        sets = []
-        for s in combinations(open_cols, size):
-            if any(set(k) <= set(s) for k in keys):
-                continue
-            if size > 1:
-                bound[s] = min(bound[a] * bound[tuple(c for c in s if c not in a)]
-                               for n in range(1, size // 2 + 1) for a in combinations(s, n))
-                if bound[s] < rows:
-                    continue
-            sets.append(s)
-        if not sets:
-            continue
-        entry = lambda i, s: F.struct(F.lit(i).alias("i"), *[F.when(~_has_null(s), F.xxhash64(F.lit(k), *[F.col(f"`{c}`") for c in s]))
-                                                             .alias(f"h{k}") for k in (1, 2)])
-        marked = df.select(F.explode(F.array(*[entry(i, s) for i, s in enumerate(sets)])).alias("e")).select("e.*")
-        counted = marked.groupBy("i", "h1", "h2").agg(F.count(F.lit(1)).alias("n")).groupBy("i").agg(
-            F.sum("n").alias("rows"), F.count("h1").alias("distinct"), F.sum(F.when(F.col("h1").isNotNull(), F.col("n"))).alias("full"))
-        for r in counted.collect():  # one row a candidate set
-            rows, s = r["rows"], sets[r["i"]]
-            bound[s] = r["distinct"]
-            if r["distinct"] == rows:
-                keys.append(s)
-            if size == 1 and r["full"] != rows:
-                open_cols = [c for c in open_cols if c != s[0]]
-        if rows is None:
-            break
+        sets = [s for s in combinations(open_cols, size) if not any(set(k) <= set(s) for k in keys)]
+        for share in (SLICE, 1):
+            repeated = _repeated(df, sets, share)
+            sets = [s for i, s in enumerate(sets) if i not in repeated]
+        keys += sets
     return df.sparkSession.createDataFrame([(",".join(k), len(k)) for k in keys], "key_columns string, n_columns int")
 
 
-def _has_null(cols: Sequence[str]) -> Column:
-    out = F.lit(False)
-    for c in cols:
-        out = out | F.col(f"`{c}`").isNull()
-    return out
+def _repeated(df: DataFrame, sets: Sequence[Sequence[str]], share: int) -> set[int]:
+    """Numbers of the ``sets`` of columns of which two rows agree, among the rows whose fingerprint ``share`` divides.  All
+    sets are counted in one scan by 128-bit fingerprints; equal ones of a task are one row before the shuffle."""
+    if not sets:
+        return set()
+    entries = F.array(*[F.struct(F.lit(i).alias("i"), *[F.xxhash64(F.lit(k), *[F.col(f"`{c}`") for c in s]).alias(f"h{k}") for k in (1, 2)])
+                        for i, s in enumerate(sets)])
+    if share > 1:
+        entries = F.filter(entries, lambda e: e["h1"] % share == 0)
+    marked = df.select(F.explode(entries).alias("e")).select("e.*")
+    counted = marked.groupBy("i", "h1", "h2").agg(F.count(F.lit(1)).alias("n"))
+    return {r["i"] for r in counted.where("n > 1").select("i").distinct().collect()}  # one row a set
 
 
 # ------------------------------------------------------------ Q1 schema diff

@@ -103,3 +103,19 @@ def test_fingerprint_tree_reads_what_differs(spark):
     assert same.leaves_read == 0 and same.matched_rows == same.left_rows == 5040
     empty = FP.match_stored(spark, roots["a"], roots["none"]).first()
     assert (empty.right_rows, empty.matched_rows, empty.only_left_rows) == (0, 0, 5040)
+
+
+def test_composite_keys_hold_few_sets_against_all_rows(spark, monkeypatch):
+    asked = []
+    real = C._repeated
+    monkeypatch.setattr(C, "_repeated", lambda df, sets, share: asked.append((share, list(sets))) or real(df, sets, share))
+    df = spark.range(6000).select((F.col("id") / 6).cast("int").alias("a"), (F.col("id") % 6).alias("b"), (F.col("id") / 3).cast("int").alias("c"))
+    assert [r.key_columns for r in C.composite_keys(df, ["a", "b", "c"]).collect()] == ["a,b", "b,c"]
+    assert [s for share, sets in asked if share == 1 for s in sets] == [("b",), ("a", "b"), ("b", "c")]
+
+
+def test_one_repeat_is_found_whatever_its_fingerprint(spark):
+    for twice in range(5):  # one value in 64 is looked at first, all of them after that
+        df = spark.range(300).select(F.when(F.col("id") == 299, twice).otherwise(F.col("id")).alias("a"))
+        assert C.composite_keys(df, ["a"]).count() == 0
+    assert C.composite_keys(spark.range(300), ["id"]).count() == 1
