@@ -11,11 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from itertools import combinations
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import normalize as N
 from ..functions import types as TY
@@ -244,10 +246,15 @@ def copies_describe(hist: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------ Q8/Q9 keys
 
+#: Types of which the value itself, at most 8 bytes, is grouped by, which is less to shuffle than a fingerprint.
+_SHORT = (T.LongType, T.DoubleType, T.DateType, T.TimestampNTZType)
+
+
 def key_diagnostics(left: DataFrame, right: DataFrame, key_sets: Sequence[Sequence[str]]) -> DataFrame:
-    """Key overlap (Q8) and key multiplicity (Q9) for several candidate keys in one shuffle.
+    """Key overlap (Q8) and key multiplicity (Q9) for several candidate keys, with one shuffle of both sides each.
 
-    A key holding a NULL never matches (as in an anti join), but counts as one
+    Both sides are counted together, by a key's values where they are short and of one type on both sides, and by its
+    128-bit fingerprint otherwise.  A key holding a NULL never matches (as in an anti join), but counts as one
     distinct key on its side.  Output per key set: key_name,
     left_distinct_keys, right_distinct_keys, keys_only_in_left,
     keys_only_in_right, keys_where_left_has_duplicates,
@@ -258,26 +265,27 @@ def key_diagnostics(left: DataFrame, right: DataFrame, key_sets: Sequence[Sequen
     usable = [list(k) for k in key_sets if set(k) <= set(left.columns) and set(k) <= set(right.columns)]
     if not usable:
         raise ValueError("no usable key set")
+    return reduce(DataFrame.unionAll, [_key_overlap(left, right, ks) for ks in usable])
+
+
+def _key_overlap(left: DataFrame, right: DataFrame, ks: Sequence[str]) -> DataFrame:
+    """The row of one key set; none if both sides are empty."""
+    l, r = (N.normalise_types(df.select(*[F.col(f"`{c}`") for c in ks])) for df in (left, right))
+    plain = all(l.schema[c].dataType == r.schema[c].dataType and isinstance(l.schema[c].dataType, _SHORT) for c in ks)
+    cols = [F.col(f"`{c}`") for c in ks]
 
     def side(df: DataFrame, is_left: bool) -> DataFrame:
-        arr = []
-        for ks in usable:
-            cols = [F.col(f"`{c}`") for c in ks]
-            mask = N.null_mask(ks)
-            arr.append(F.struct(F.lit(len(arr)).cast("tinyint").alias("key_id"),
-                                F.xxhash64(*cols, mask).alias("h1"),
-                                F.xxhash64(F.lit("concord-fp2"), *cols, mask).alias("h2"),
-                                _any_null(cols).alias("has_null")))
-        return (N.normalise_types(df.select(*[F.col(f"`{c}`") for c in sorted({c for k in usable for c in k})]))
-                .select(F.explode(F.array(*arr)).alias("k"))
-                .select("k.*", F.lit(1 if is_left else 0).alias("_l"), F.lit(0 if is_left else 1).alias("_r")))
-
-    g = (side(left, True).unionByName(side(right, False))
-         .groupBy("key_id", "h1", "h2", "has_null")
-         .agg(F.sum("_l").alias("l_n"), F.sum("_r").alias("r_n")))
-    both = (F.col("l_n") > 0) & (F.col("r_n") > 0) & ~F.col("has_null")
-    names = F.create_map(*[x for i, ks in enumerate(usable) for x in (F.lit(i).cast("tinyint"), F.lit(" + ".join(ks)))])
-    out = g.groupBy("key_id").agg(
+        mask = N.null_mask(ks)
+        key = cols if plain else [F.xxhash64(*cols, mask), F.xxhash64(F.lit("concord-fp2"), *cols, mask), _any_null(cols)]
+        return df.select(*[k.alias(f"k{i}") for i, k in enumerate(key)],
+                         F.lit(1 if is_left else 0).alias("_l"), F.lit(0 if is_left else 1).alias("_r"))
+
+    u = side(l, True).unionByName(side(r, False))
+    keys = [c for c in u.columns if c not in ("_l", "_r")]
+    g = u.groupBy(*keys).agg(F.sum("_l").alias("l_n"), F.sum("_r").alias("r_n"))
+    has_null = _any_null([F.col(k) for k in keys]) if plain else F.col("k2")
+    both = (F.col("l_n") > 0) & (F.col("r_n") > 0) & ~has_null
+    return g.groupBy(F.lit(" + ".join(ks)).alias("key_name")).agg(
         F.count_if(F.col("l_n") > 0).cast("bigint").alias("left_distinct_keys"),
         F.count_if(F.col("r_n") > 0).cast("bigint").alias("right_distinct_keys"),
         F.count_if((F.col("l_n") > 0) & ~both).cast("bigint").alias("keys_only_in_left"),
@@ -288,7 +296,6 @@ def key_diagnostics(left: DataFrame, right: DataFrame, key_sets: Sequence[Sequen
         F.coalesce(F.sum(F.when(both, F.greatest(F.col("r_n") - F.col("l_n"), F.lit(0)))), F.lit(0))
         .cast("bigint").alias("extra_right_rows_by_key_multiplicity"),
     )
-    return out.select(names[F.col("key_id")].alias("key_name"), *[c for c in out.columns if c != "key_id"])
 
 
 def _any_null(cols: Sequence[Column]) -> Column:

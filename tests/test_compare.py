@@ -134,3 +134,17 @@ def test_scan_formats(spark):
     spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string").createOrReplaceTempView("scan_src")
     df = RD.scan(spark, "scan_src", "table", ["k"], "k > 1")
     assert [r.k for r in df.collect()] == [2]
+
+
+def test_short_keys_are_grouped_by_their_values(spark):
+    l = spark.createDataFrame([(1, 0.0, "a"), (1, -0.0, "a"), (None, 1.0, "b"), (2, float("nan"), None)], "k int, d double, s string")
+    r = spark.createDataFrame([(1, 0.0, "a"), (None, 1.0, "b"), (2, float("nan"), None), (3, 3.0, "c")], "k long, d double, s string")
+    out = C.key_diagnostics(l, r, [["k", "d"], ["k"]])
+    assert "xxhash64" not in out._jdf.queryExecution().toString()
+    got = {x.key_name: list(x)[1:] for x in out.collect()}
+    assert got == {"k + d": [3, 4, 1, 2, 1, 0, 0, 0], "k": [3, 4, 1, 2, 1, 0, 0, 0]}
+    mixed = C.key_diagnostics(l, r, [["k", "s"]])
+    assert list(one(mixed).values())[1:] == [3, 4, 2, 3, 1, 0, 0, 0]
+    text = r.withColumn("k", F.col("k").cast("string"))  # values of other types never match
+    assert list(one(C.key_diagnostics(l, text, [["k"]])).values())[1:5] == [3, 4, 3, 4]
+    assert C.key_diagnostics(l.limit(0), r.limit(0), [["k"]]).count() == 0
