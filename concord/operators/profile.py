@@ -32,20 +32,42 @@ def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _kind(dt: T.DataType, family: str) -> str:
+    """What stands for a value of the type in :func:`_value_counts`."""
+    if family == "numeric" and isinstance(dt, _WHOLE):
+        return "whole"
+    if family == "numeric" and isinstance(dt, (T.FloatType, T.DoubleType)):
+        return "num"
+    if family == "date" and isinstance(dt, (T.DateType, T.TimestampNTZType)):
+        return "day"
+    return "hash"
+
+
 def _value_counts(df: DataFrame, cols: Sequence[str], fam: dict) -> DataFrame:
-    """(column number, value, occurrences) of all columns in one scan.  A value is its 128-bit fingerprint, with what the
-    statistics need of it: its number, time or length.  Equal values of a task are one row before the shuffle."""
+    """(column number, value, occurrences) of all columns in one scan.  Numbers and times are grouped by themselves (8
+    bytes to shuffle): ``h1`` holds a whole number, ``num`` a floating one, ``day`` a time.  Any other value is its 128-bit
+    fingerprint, with what the statistics need of it: its number, time or length.  Equal values of a task are one row
+    before the shuffle."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    kinds = [_kind(types[c], fam[c]) for c in cols]
+
     def entry(i: int, c: str) -> Column:
-        x, f = _c(c), fam[c]
-        return F.struct(F.lit(i).alias("i"), F.xxhash64(F.lit(1), x).alias("h1"), F.xxhash64(F.lit(2), x).alias("h2"),
-                        x.isNull().alias("null"),
-                        (x.cast("double") if f == "numeric" else F.lit(None).cast("double")).alias("num"),
-                        (x.cast("timestamp_ntz") if f == "date" else F.lit(None).cast("timestamp_ntz")).alias("day"),
-                        (F.char_length(x) if f == "string" else F.lit(None).cast("int")).alias("len"))
+        x, f, kind = _c(c), fam[c], kinds[i]
+        hashed, none = kind == "hash", F.lit(None)
+        return F.struct(F.lit(i).alias("i"),
+                        (x.cast("bigint") if kind == "whole" else F.xxhash64(F.lit(1), x) if hashed else none.cast("bigint")).alias("h1"),
+                        (F.xxhash64(F.lit(2), x) if hashed else none.cast("bigint")).alias("h2"), x.isNull().alias("null"),
+                        (x.cast("double") if f == "numeric" and kind != "whole" else none.cast("double")).alias("num"),
+                        (x.cast("timestamp_ntz") if f == "date" else none.cast("timestamp_ntz")).alias("day"),
+                        (F.char_length(x) if f == "string" else none.cast("int")).alias("len"))
 
     values = df.select(F.explode(F.array(*[entry(i, c) for i, c in enumerate(cols)])).alias("v")).select("v.*")
-    return values.groupBy("i", "h1", "h2", "null").agg(F.count(F.lit(1)).alias("n"), F.min("num").alias("num"),
-                                                       F.min("day").alias("day"), F.min("len").alias("len"))
+    counts = values.groupBy("i", "h1", "h2", "null", "num", "day").agg(F.count(F.lit(1)).alias("n"), F.min("len").alias("len"))
+    whole = [i for i, kind in enumerate(kinds) if kind == "whole"]
+    return counts.withColumn("num", F.when(F.col("i").isin(whole), F.col("h1").cast("double")).otherwise(F.col("num")))
 
 
 def _column_profile(df: DataFrame, cols: Sequence[str], fam: dict) -> DataFrame:

@@ -110,3 +110,14 @@ def test_profiles_all_null_and_many_columns(spark):
     assert sp["s"].n_unique == 0 and sp["s"].mode is None and sp["s"].null_count == 3 and sp["s"].len_q1 is None
     npf = {r.column_name: r for r in P.numeric_profile(df).collect()}
     assert npf["a"].median == 2.0 and npf["a"].null_count == 1 and npf["b"].q1 == 20.0 and npf["b"].q3 == 30.0  # round(0.5) = 1, round(1.5) = 2
+
+
+def test_numbers_and_times_are_counted_by_themselves(spark):
+    df = spark.createDataFrame([(1, 0.0, 1.5, None), (1, -0.0, None, "2024-01-02"), (None, float("nan"), 1.5, "2024-01-02"),
+                                (2 ** 53 + 1, float("nan"), 2.5, "2024-01-01")], "k long, d double, f float, t string")
+    df = df.withColumn("t", F.col("t").cast("date"))
+    assert "xxhash64" not in P.column_stats(df)._jdf.queryExecution().toString()
+    st = {r.column_name: r for r in P.column_stats(df).collect()}
+    assert {c: (r.distinct_values, r.nulls) for c, r in st.items()} == {"k": (2, 1), "d": (2, 0), "f": (2, 1), "t": (2, 1)}
+    assert (st["k"].num_min, st["k"].num_max, st["f"].num_avg) == (1.0, float(2 ** 53 + 1), 5.5 / 3)
+    assert (st["t"].date_min[:10], st["t"].date_max[:10]) == ("2024-01-01", "2024-01-02")
