@@ -2,6 +2,7 @@
 
 import random
 from collections import deque
+from pathlib import Path
 
 import pytest
 
@@ -64,3 +65,22 @@ def test_closeness_of_an_edgeless_node(spark):
     nodes = spark.createDataFrame([(1,), (2,), (3,)], "node long")
     rows = {r.node: r.closeness for r in G.closeness_estimates(spark.createDataFrame([(1, 2), (2, 2)], "src long, dst long"), nodes).collect()}
     assert rows == {1: 0.5, 2: 0.5, 3: 0.0}
+
+
+def test_closeness_stores_no_sketch_for_nodes_with_one_neighbour(spark):
+    root = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    stored = lambda: sum(f.stat().st_size for f in root.rglob("*") if f.is_file())
+    before = stored()
+    edges = [(0, i) for i in range(1, 3001)] + [(5000, 5001)]
+    rows = {r.node: r for r in G.closeness_estimates(spark.createDataFrame(edges, "src long, dst long")).collect()}
+    assert stored() - before < 2_000_000  # a sketch of 4 KB a node and round is more than 20 MB
+    assert len(rows) == 3003 and {rows[i].total_distance - rows[0].total_distance - rows[0].reachable for i in range(1, 3001)} == {-2}
+    assert abs(rows[0].reachable - 3001) < 150 and rows[9].reachable == rows[0].reachable
+    assert [(rows[i].reachable, rows[i].total_distance) for i in (5000, 5001)] == [(2, 1), (2, 1)]
+
+
+def test_closeness_counts_edges_between_given_nodes_only(spark):
+    nodes = spark.createDataFrame([(1,), (2,), (3,)], "node long")
+    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 9)], "src long, dst long")
+    rows = {r.node: (r.reachable, r.total_distance) for r in G.closeness_estimates(edges, nodes).collect()}
+    assert rows == {1: (3, 3), 2: (3, 2), 3: (3, 3)}
