@@ -41,6 +41,8 @@ BLOCK = 64
 COMMON_SHARE, MOST_COMMON = 0.02, 512
 #: Queries that are looked at together.
 QUERIES_AT_ONCE = 32
+#: Examples that are weighed or put in order together on the driver.
+ROWS_AT_ONCE = 256
 #: Letters of the beginnings of words that are terms besides the words themselves.
 STARTS = (4, 5, 6)
 
@@ -120,20 +122,26 @@ def build_index(ids: np.ndarray, labels: np.ndarray, vectors: np.ndarray | Rows)
     column = np.full(rows.width, -1, dtype=np.int32)
     column[often] = np.arange(len(often))
     common = np.zeros((n, len(often)))
-    of = np.repeat(np.arange(n), np.diff(rows.start))
-    is_common = column[rows.term] >= 0
+    of = np.repeat(np.arange(n, dtype=np.int32), np.diff(rows.start))
+    is_common = (column >= 0)[rows.term]
     common[of[is_common], column[rows.term[is_common]]] = rows.weight[is_common]
     # examples with the same strongest common terms lie together, which keeps the maxima of a block tight
-    strong = np.argsort(-common, axis=1, kind="stable")[:, :3]
+    strong = np.empty((n, min(3, len(often))), dtype=np.int64)
+    for i in range(0, n, ROWS_AT_ONCE):
+        strong[i:i + ROWS_AT_ONCE] = np.argsort(-common[i:i + ROWS_AT_ONCE], axis=1, kind="stable")[:, :3]
     order = np.lexsort((ids, *strong.T[::-1])) if n else np.zeros(0, int)
     place = np.empty(n, dtype=np.int32)
     place[order] = np.arange(n)
-    term, at, weight = rows.term[~is_common], place[of[~is_common]], rows.weight[~is_common]
+    rare = ~is_common
+    at, term = place[of[rare]], rows.term[rare]
+    del of, is_common
     by_term = np.lexsort((at, term))
+    at, weight = at[by_term], rows.weight[rare][by_term]
+    starts = np.append(0, np.cumsum(np.bincount(term, minlength=rows.width)))
+    del term, rare, by_term
     common = common[order]
     maxima = [common[i:i + BLOCK].max(axis=0) for i in range(0, n, BLOCK)]
-    return Index(ids[order], labels[order], np.searchsorted(term[by_term], np.arange(rows.width + 1)), at[by_term],
-                 weight[by_term], column, common, np.array(maxima).reshape(len(maxima), len(often)))
+    return Index(ids[order], labels[order], starts, at, weight, column, common, np.array(maxima).reshape(len(maxima), len(often)))
 
 
 def nearest(index: Index, queries: np.ndarray | Rows, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -205,10 +213,14 @@ def unit_rows(terms: list[np.ndarray], counts: list[np.ndarray], idf: np.ndarray
     start = np.append(0, np.cumsum(lengths))
     if not start[-1]:
         return Rows(start, np.zeros(0, np.int32), np.zeros(0), len(idf))
-    term = np.concatenate(terms).astype(np.int32)
-    w = (1.0 + np.log(np.concatenate(counts).astype(float))) * idf[term]
-    of = np.repeat(np.arange(len(lengths)), lengths)
-    return Rows(start, term, w / np.sqrt(np.bincount(of, w * w, len(lengths)))[of], len(idf))
+    term = np.concatenate(terms).astype(np.int32, copy=False)
+    w = np.concatenate(counts).astype(float)
+    for i in range(0, len(lengths), ROWS_AT_ONCE):  # in place: all entries of all examples are on the driver at once
+        some, rows = slice(start[i], start[min(i + ROWS_AT_ONCE, len(lengths))]), lengths[i:i + ROWS_AT_ONCE]
+        part = (1.0 + np.log(w[some])) * idf[term[some]]
+        of = np.repeat(np.arange(len(rows)), rows)
+        w[some] = part / np.sqrt(np.bincount(of, part * part, len(rows)))[of]
+    return Rows(start, term, w, len(idf))
 
 
 def votes(model: Model, top: np.ndarray, who: np.ndarray) -> np.ndarray:

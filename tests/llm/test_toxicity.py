@@ -2,7 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from concord.llm.queries import QUERIES
-from concord.llm.toxicity import build_index, fit, isotonic, matrix, nearest, score, terms_of, vector_column
+from concord.llm.toxicity import build_index, fit, isotonic, matrix, nearest, score, terms_of, unit_rows, vector_column
 
 SF = "/root/testdata/sf0.01"
 
@@ -85,3 +85,21 @@ def test_vectors_hold_the_terms_of_the_text(spark):
     names = list(vocabulary)
     for r in table.select("text", vector_column(vocabulary, F.col("text")).alias("v")).collect():
         assert {names[t]: n for t, n in zip(r.v.terms, r.v.counts)} == terms_of(r.text)
+
+
+def test_examples_are_weighed_without_copies_of_all_entries():
+    """The driver holds the entries of all examples: 36 bytes an entry were taken to weigh them, the rows have 12."""
+    import tracemalloc
+    rng = np.random.default_rng(1)
+    terms = [np.sort(rng.choice(50_000, 400, replace=False)).astype(np.int32) for _ in range(1500)]
+    counts = [rng.integers(1, 5, 400).astype(np.int32) for _ in terms]
+    idf = rng.random(50_000) + 1.0
+    tracemalloc.start()
+    rows = unit_rows(terms, counts, idf)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 * len(rows.term)
+    for i in (0, 255, 256, 1499):
+        w = (1.0 + np.log(counts[i])) * idf[terms[i]]
+        part = slice(rows.start[i], rows.start[i + 1])
+        assert (rows.term[part] == terms[i]).all() and np.allclose(rows.weight[part], w / np.sqrt((w * w).sum()), rtol=1e-12)
