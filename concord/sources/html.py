@@ -1,8 +1,9 @@
 """List items, table rows and links of web pages (S20), in time proportional to the page.
 
-A page is split at ``<`` into tokens, one row each; running counts over the tokens of a page tell which list or table,
-row and cell a token stands in.  No pattern spans tags, so pages of tags that are never closed cost no more than others.
-All of it is JVM-side: one shuffle brings the tokens of a page together, and every step after it keeps that partitioning.
+A page is split at ``<`` into tokens, which are read in one pass, in the task that holds the page: which list or table,
+row and cell a token stands in follows from the tags before it.  No pattern spans tags, so pages of tags that are never
+closed cost no more than others.  Tokens never leave their page, so nothing is shuffled or sorted and a task needs no
+more memory for more pages; texts are decoded by the JVM.
 
 An element that is not closed ends where the next one of its kind begins, or with its list or table.  What stands in a
 nested list or table belongs to the items and rows of that one, not to the outer item or cell.
@@ -10,9 +11,12 @@ nested list or table belongs to the items and rows of that one, not to the outer
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from html.entities import name2codepoint
 
-from pyspark.sql import Column, DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
@@ -50,56 +54,61 @@ def plain(text: Column) -> Column:
     return F.trim(F.regexp_replace(decoded(text), r"\s+", " "))
 
 
-def tokens(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
-    """_page (a number for each row), id, _i, _tag (lower case, ``/td`` when it closes; '' for no tag), _text after it."""
-    numbered = pages.select(F.monotonically_increasing_id().alias("_page"), F.col(id_col), F.col(html_col).alias("_html"))
-    t = numbered.select("_page", F.col(id_col), F.posexplode(F.split("_html", "<")).alias("_i", "_t"))
-    tag = F.when(F.col("_i") == 0, "").otherwise(F.lower(F.regexp_extract("_t", r"^(/?[A-Za-z][A-Za-z0-9]*)", 1)))
-    end = F.instr("_t", ">")
-    no_tag = (F.col("_tag") == "") & ~F.substring("_t", 1, 1).isin("!", "/", "?")
-    text = (F.when(F.col("_i") == 0, F.col("_t")).when(no_tag, F.concat(F.lit("<"), F.col("_t")))
-            .when(end > 0, F.substring(F.col("_t"), end + 1, F.lit((1 << 31) - 1))).otherwise(""))
-    return t.withColumn("_tag", tag).withColumn("_text", text).drop("_t")
-
-
-def _within(t: DataFrame, containers: tuple[str, ...], **marks: tuple[tuple[str, ...], tuple[str, ...]]) -> DataFrame:
-    """Tokens with a column per mark: the place of the last token of the first tags in the same list or table, -1 after
-    one of the second tags or before any."""
-    closing = [f"/{c}" for c in containers]
-    page = Window.partitionBy("_page").orderBy("_i")
-    depth = F.sum(F.when(F.col("_tag").isin(*containers), 1).when(F.col("_tag").isin(*closing), -1).otherwise(0)).over(page)
-    same = Window.partitionBy("_page", "_depth").orderBy("_i")
-    state = {name: F.coalesce(F.last(F.when(F.col("_tag").isin(*opens), F.col("_i"))
-                                     .when(F.col("_tag").isin(*containers, *ends), -1), ignorenulls=True).over(same), F.lit(-1))
-             for name, (opens, ends) in marks.items()}
-    return t.withColumn("_depth", depth).withColumns(state)
-
-
-def _joined() -> Column:
-    pieces = F.sort_array(F.collect_list(F.struct("_i", "_text")))
-    return plain(F.array_join(F.transform(pieces, lambda p: p["_text"]), ""))
+def _pieces(html: Column, containers: tuple[str, ...], marks: tuple[tuple[tuple[str, ...], tuple[str, ...]], ...]) -> Column:
+    """The texts of a page's cells (array of arrays of texts, by row), read in one pass over its tokens.
+
+    ``marks`` hold, from the outermost to the cell, the tags after which a token stands in one and those after which it
+    does not.  The state of each list or table that is open is kept by its depth; only one page is in memory at a time."""
+    opens, ends = [frozenset(m[0]) for m in marks], [frozenset(m[1]) for m in marks]
+    down, up = frozenset(containers), frozenset(f"/{c}" for c in containers)
+    name = re.compile(rb"/?[A-Za-z][A-Za-z0-9]*")
+
+    def cells(page: bytes) -> list[list[bytes]]:
+        depth, state, none = 0, {}, (-1,) * len(marks)
+        found: dict[int, dict[int, list[bytes]]] = {}
+        for i, token in enumerate(page.split(b"<")):
+            tag, text = "", token
+            if i:
+                if match := name.match(token):
+                    tag = match[0].decode().lower()
+                if tag or token[:1] in (b"!", b"/", b"?"):
+                    text = token.partition(b">")[2]
+                else:
+                    text = b"<" + token
+            depth += (tag in down) - (tag in up)
+            if tag in down:
+                state[depth] = none
+            elif tag:
+                state[depth] = tuple(i if tag in a else -1 if tag in b else was
+                                     for a, b, was in zip(opens, ends, state.get(depth, none)))
+            at = state.get(depth, none)
+            if min(at) >= 0:
+                found.setdefault(at[-2] if len(at) > 1 else at[-1], {}).setdefault(at[-1], []).append(text)
+        return [[b"".join(row[c]) for c in sorted(row)] for _, row in sorted(found.items())]
+
+    @F.pandas_udf("array<array<binary>>")
+    def run(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for some in pages:
+            yield some.map(lambda page: None if page is None else cells(page))
+
+    return run(html.cast("binary")).cast("array<array<string>>")
 
 
 def html_items(pages: DataFrame, id_col: str, html_col: str, item: str = "li",
                lists: tuple[str, ...] = ("ul", "ol", "menu")) -> DataFrame:
     """id, position, text of each ``item`` element, in the order in which they begin."""
-    t = _within(tokens(pages, id_col, html_col), lists, _item=((item,), (f"/{item}",)))
-    items = t.where(F.col("_item") >= 0).groupBy("_page", id_col, "_item").agg(_joined().alias("text"))
-    position = F.row_number().over(Window.partitionBy("_page").orderBy("_item")) - 1
-    return items.select(id_col, position.cast("bigint").alias("position"), "text")
+    items = _pieces(F.col(html_col), lists, (((item,), (f"/{item}",)),))
+    return (pages.select(F.col(id_col), F.posexplode(items).alias("position", "_cells"))
+            .select(id_col, F.col("position").cast("bigint").alias("position"), plain(F.col("_cells")[0]).alias("text")))
 
 
 def html_table_rows(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
     """``tbody tr td``: id, position and cell texts of each table row that has cells, in the order in which they begin."""
     sections = ("tbody", "/tbody", "thead", "/thead", "tfoot", "/tfoot")
-    t = _within(tokens(pages, id_col, html_col), ("table",), _body=(("tbody",), sections[1:]), _row=(("tr",), ("/tr", *sections)),
-                _cell=(("td",), ("/td", "tr", "/tr", "th", "/th", *sections)))
-    cells = (t.where((F.col("_body") >= 0) & (F.col("_row") >= 0) & (F.col("_cell") >= 0))
-             .groupBy("_page", id_col, "_row", "_cell").agg(_joined().alias("text")))
-    ordered = F.transform(F.sort_array(F.collect_list(F.struct("_cell", "text"))), lambda c: c["text"])
-    rows = cells.groupBy("_page", id_col, "_row").agg(ordered.alias("cells"))
-    position = F.row_number().over(Window.partitionBy("_page").orderBy("_row")) - 1
-    return rows.select(id_col, position.cast("bigint").alias("position"), "cells")
+    rows = _pieces(F.col(html_col), ("table",), ((("tbody",), sections[1:]), (("tr",), ("/tr", *sections)),
+                                                 (("td",), ("/td", "tr", "/tr", "th", "/th", *sections))))
+    return (pages.select(F.col(id_col), F.posexplode(rows).alias("position", "_cells"))
+            .select(id_col, F.col("position").cast("bigint").alias("position"), F.transform("_cells", plain).alias("cells")))
 
 
 def html_links(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
