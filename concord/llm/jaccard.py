@@ -162,10 +162,11 @@ def leading_rows(docs: DataFrame, common: np.ndarray, percent: int, size: int) -
 
 
 def shared_rows(rows: DataFrame, witness: str = "node") -> DataFrame:
-    """The distinct rows whose shingle has two or more different witnesses."""
-    keys = (rows.groupBy("shingle").agg(F.min(witness).alias("a"), F.max(witness).alias("b"))
-            .filter("a != b").select("shingle"))
-    return rows.join(keys, "shingle").distinct()
+    """The distinct rows whose shingle has two or more different witnesses: one shuffle, for the rows are made from the
+    texts each time they are read."""
+    of = Window.partitionBy("shingle")
+    return (rows.withColumn("_a", F.min(witness).over(of)).withColumn("_b", F.max(witness).over(of))
+            .filter("_a != _b").drop("_a", "_b").distinct())
 
 
 def alike(pairs: DataFrame, described: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:

@@ -4,7 +4,8 @@ from collections import defaultdict
 
 import numpy as np
 
-from concord.llm.jaccard import bitmap, differing_bits, jaccard_components, need, unit_pairs, unpack
+from concord.llm.jaccard import (bitmap, differing_bits, jaccard_components, leading_rows, need, shared_rows, unit_pairs,
+                                 unpack)
 from concord.llm.queries import QUERIES
 from concord.llm.textarrays import shingle_set
 
@@ -131,3 +132,19 @@ def test_differing_bits_fold_the_longer_bitmap():
     for i, j, k in zip(left, right, got):
         bits = 8 * min(len(maps[i]), len(maps[j]))
         assert k == np.bitwise_count(unpack([maps[i]], bits) ^ unpack([maps[j]], bits)).sum()
+
+
+def test_leading_shingles_are_made_and_shuffled_once(spark):
+    rng = random.Random(3)
+    base = [words(rng, 40) for _ in range(6)]
+    rows = [(i, " ".join(base[i % 6] if i < 12 else base[i % 6][:30] + words(rng, 4 + i % 3))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lead = leading_rows(docs, np.zeros(0, np.uint64), 80, 5)
+    holders = defaultdict(set)
+    for r in lead.collect():
+        holders[r.shingle].add((r.node, r.n))
+    shared = shared_rows(lead)
+    want = sorted((s, node, n) for s, of in holders.items() if len(of) > 1 for node, n in of)
+    assert want and sorted(tuple(r) for r in shared.collect()) == want
+    plan = shared._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("MapInArrow") == 1 and plan.count("Exchange hashpartitioning") == 1
