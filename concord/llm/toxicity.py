@@ -41,6 +41,8 @@ BLOCK = 64
 COMMON_SHARE, MOST_COMMON = 0.02, 512
 #: Queries that are looked at together.
 QUERIES_AT_ONCE = 32
+#: Queries whose postings are summed together: a query has up to tens of thousands, with some fifty bytes each.
+SUMS_AT_ONCE = 4
 #: Examples that are weighed or put in order together on the driver.
 ROWS_AT_ONCE = 256
 #: Letters of the beginnings of words that are terms besides the words themselves.
@@ -160,9 +162,15 @@ def nearest_of(index: Index, rows: Rows, k: int) -> tuple[np.ndarray, np.ndarray
     n, m = len(rows), len(index.ids)
     slack = 1e-9  # rounding of the bound
     of = np.repeat(np.arange(n), np.diff(rows.start))
-    at, lengths = spread(index.start, rows.term)
-    cosine = np.bincount(np.repeat(of * m, lengths) + index.at[at], index.weight[at] * np.repeat(rows.weight, lengths),
-                         n * m).astype(float, copy=False).reshape(n, m)
+    cosine = np.empty((n, m))
+    for i in range(0, n, SUMS_AT_ONCE):
+        upto = min(i + SUMS_AT_ONCE, n)
+        some = slice(rows.start[i], rows.start[upto])
+        at, lengths = spread(index.start, rows.term[some])
+        cell = np.repeat((of[some] - i) * m, lengths) + index.at[at]
+        sums = np.bincount(cell, index.weight[at] * np.repeat(rows.weight[some], lengths), (upto - i) * m)
+        cosine[i:upto] = sums.reshape(upto - i, m)
+    del at, cell, sums
     column = index.column[rows.term]
     often = np.zeros((n, index.common.shape[1]))
     often[of[column >= 0], column[column >= 0]] = rows.weight[column >= 0]
@@ -399,6 +407,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     ids, y = np.array([g[0] for g in held], dtype=np.int64), np.array([g[1] for g in held], dtype=np.int64)
     x = unit_rows([v[0] for v in held.values()], [v[1] for v in held.values()], idf)
     del got, held, known, t, c  # as large as the index
+    pa.default_memory_pool().release_unused()
     some = np.flatnonzero(np.diff(x.start) > 0)
     weight = tuple(counts.get(s, 0) / max(1, int((y == s).sum())) for s in (0, 1))
     w = np.where(y == 1, weight[1], weight[0])
