@@ -5,7 +5,7 @@ of the labelled examples, counts their document frequencies over the whole corpu
 examples: posting lists for the terms of few examples, and for the common terms rows in blocks, each block with the
 largest weight of every common term (block maxima).  The rare terms' share of a cosine is summed from the postings; with
 a block's maxima it bounds the cosine of any example in it, and a block is looked at unless its bound lies below the
-k-th best sum, so the neighbours are exact.  Terms that clearly mark toxic examples weigh ``boost`` times their TF-IDF;
+least cosine of the k examples with the best sums, so the neighbours are exact.  Terms that clearly mark toxic examples weigh ``boost`` times their TF-IDF;
 all other terms weigh as they are, so an exact copy of an example has cosine 1.  The neighbours' labels vote with
 weight 1 / (distance + softening); an isotonic fit on the examples' own leave-one-out votes turns votes into calibrated
 scores.
@@ -26,11 +26,13 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from hashlib import blake2b
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialize, ship, unit_hash, vector_udf
@@ -40,9 +42,13 @@ BLOCK = 64
 #: Terms of at least this share of the examples are common, but no more terms than MOST_COMMON.
 COMMON_SHARE, MOST_COMMON = 0.02, 512
 #: Queries that are looked at together.
-QUERIES_AT_ONCE = 32
-#: Queries whose postings are summed together: a query has up to tens of thousands, with some fifty bytes each.
-SUMS_AT_ONCE = 4
+QUERIES_AT_ONCE = 64
+#: Postings of a query that are summed together: a long text has a million, with some fifty bytes each.
+SUMS_AT_ONCE = 1 << 17
+#: Texts whose terms are taken together, and their letters.
+TEXTS_AT_ONCE, LETTERS_AT_ONCE = 256, 1 << 20
+#: Words whose terms a worker remembers from one piece to the next.
+MOST_SEEN = 200_000
 #: Examples that are weighed or put in order together on the driver.
 ROWS_AT_ONCE = 256
 #: Letters of the beginnings of words that are terms besides the words themselves.
@@ -90,7 +96,9 @@ def spread(start: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     """Places of all entries of ``rows``, one row after the other, and the rows' lengths."""
     lengths = start[rows + 1] - start[rows]
     before = np.cumsum(lengths) - lengths
-    return np.repeat(start[rows] - before, lengths) + np.arange(int(lengths.sum())), lengths
+    places = np.repeat(start[rows] - before, lengths)
+    places += np.arange(len(places))
+    return places, lengths
 
 
 def sparse(vectors: np.ndarray | Rows) -> Rows:
@@ -114,6 +122,20 @@ class Index:
     common: np.ndarray  # examples x common terms
     maxima: np.ndarray  # blocks x common terms
 
+    def __reduce__(self):
+        """The zeros of the common terms stay here: every executor keeps the bytes of a broadcast on its disk."""
+        held = np.flatnonzero(self.common)
+        short = held.astype(np.min_scalar_type(self.common.size))
+        return unpacked, (self.ids, self.labels, self.start, self.at, self.weight, self.column, self.common.shape, short,
+                          self.common.ravel()[held], self.maxima)
+
+
+def unpacked(ids: np.ndarray, labels: np.ndarray, start: np.ndarray, at: np.ndarray, weight: np.ndarray, column: np.ndarray,
+             shape: tuple[int, int], held: np.ndarray, value: np.ndarray, maxima: np.ndarray) -> Index:
+    common = np.zeros(shape)
+    common.ravel()[held] = value
+    return Index(ids, labels, start, at, weight, column, common, maxima)
+
 
 def build_index(ids: np.ndarray, labels: np.ndarray, vectors: np.ndarray | Rows) -> Index:
     rows = sparse(vectors)
@@ -138,7 +160,7 @@ def build_index(ids: np.ndarray, labels: np.ndarray, vectors: np.ndarray | Rows)
     at, term = place[of[rare]], rows.term[rare]
     del of, is_common
     by_term = np.lexsort((at, term))
-    at, weight = at[by_term], rows.weight[rare][by_term]
+    at, weight = at[by_term].astype(np.min_scalar_type(n)), rows.weight[rare][by_term]
     starts = np.append(0, np.cumsum(np.bincount(term, minlength=rows.width)))
     del term, rare, by_term
     common = common[order]
@@ -163,19 +185,25 @@ def nearest_of(index: Index, rows: Rows, k: int) -> tuple[np.ndarray, np.ndarray
     slack = 1e-9  # rounding of the bound
     of = np.repeat(np.arange(n), np.diff(rows.start))
     cosine = np.empty((n, m))
-    for i in range(0, n, SUMS_AT_ONCE):
-        upto = min(i + SUMS_AT_ONCE, n)
-        some = slice(rows.start[i], rows.start[upto])
-        at, lengths = spread(index.start, rows.term[some])
-        cell = np.repeat((of[some] - i) * m, lengths) + index.at[at]
-        sums = np.bincount(cell, index.weight[at] * np.repeat(rows.weight[some], lengths), (upto - i) * m)
-        cosine[i:upto] = sums.reshape(upto - i, m)
-    del at, cell, sums
+    for i in range(n):
+        own = slice(rows.start[i], rows.start[i + 1])
+        term, weight = rows.term[own], rows.weight[own]
+        held = np.flatnonzero(index.start[term + 1] > index.start[term])
+        term, weight = term[held], weight[held]
+        piece = np.cumsum(index.start[term + 1] - index.start[term]) // SUMS_AT_ONCE
+        cuts = np.flatnonzero(np.diff(piece, append=-1)) + 1
+        cosine[i] = 0.0
+        for a, b in zip(np.append(0, cuts[:-1]), cuts):
+            at, lengths = spread(index.start, term[a:b])
+            share = index.weight.take(at, mode="clip")  # all places are there, and clip is the faster way
+            share *= np.repeat(weight[a:b], lengths)
+            cosine[i] += np.bincount(index.at.take(at, mode="clip"), share, m)
     column = index.column[rows.term]
     often = np.zeros((n, index.common.shape[1]))
     often[of[column >= 0], column[column >= 0]] = rows.weight[column >= 0]
-    k_th = max(0, m - k)
-    least = np.partition(cosine, k_th, axis=1)[:, k_th] if m > k else np.zeros(n)
+    # the whole cosines of the k best sums: the k-th best is no less than the least of them
+    first = np.argpartition(cosine, max(0, m - k), axis=1)[:, max(0, m - k):]
+    least = np.array([(cosine[i, f] + index.common[f] @ often[i]).min() for i, f in enumerate(first)])
     bound = often @ index.maxima.T + np.maximum.reduceat(cosine, np.arange(0, m, BLOCK), axis=1) + slack
     for b in range(bound.shape[1]):
         if len(look := np.flatnonzero(bound[:, b] >= least)):
@@ -183,7 +211,6 @@ def nearest_of(index: Index, rows: Rows, k: int) -> tuple[np.ndarray, np.ndarray
             cosine[look, part] += often[look] @ index.common[part].T
     top = np.full((n, k), -1.0)
     who = np.full((n, k), -1, dtype=np.int64)
-    least = np.partition(cosine, k_th, axis=1)[:, k_th] if m > k else np.zeros(n)
     for i in range(n):
         found = np.flatnonzero(cosine[i] >= max(least[i] - slack, slack))
         c = np.round(cosine[i, found], 12)
@@ -195,6 +222,7 @@ def nearest_of(index: Index, rows: Rows, k: int) -> tuple[np.ndarray, np.ndarray
 @dataclass(frozen=True)
 class Model:
     vocabulary: dict[str, int]
+    terms: Broadcast | None  # the vocabulary as Terms, for the workers
     idf: np.ndarray  # times the boost of the terms that mark toxic examples
     index: Index
     label_weight: tuple[float, float]  # labelled rows per example, of label 0 and 1
@@ -217,12 +245,15 @@ def matrix(vectors: list[tuple[list[int], list[int]]], idf: np.ndarray) -> np.nd
 
 def unit_rows(terms: list[np.ndarray], counts: list[np.ndarray], idf: np.ndarray) -> Rows:
     """The same as sparse rows."""
-    lengths = np.array([len(t) for t in terms], dtype=np.int64)
-    start = np.append(0, np.cumsum(lengths))
+    start = np.append(0, np.cumsum([len(t) for t in terms], dtype=np.int64))
     if not start[-1]:
         return Rows(start, np.zeros(0, np.int32), np.zeros(0), len(idf))
-    term = np.concatenate(terms).astype(np.int32, copy=False)
-    w = np.concatenate(counts).astype(float)
+    return weighed(start, np.concatenate(terms).astype(np.int32, copy=False), np.concatenate(counts), idf)
+
+
+def weighed(start: np.ndarray, term: np.ndarray, n: np.ndarray, idf: np.ndarray) -> Rows:
+    """Unit rows of the terms term[start[i]:start[i + 1]], each n times in its text."""
+    w, lengths = n.astype(float), np.diff(start)
     for i in range(0, len(lengths), ROWS_AT_ONCE):  # in place: all entries of all examples are on the driver at once
         some, rows = slice(start[i], start[min(i + ROWS_AT_ONCE, len(lengths))]), lengths[i:i + ROWS_AT_ONCE]
         part = (1.0 + np.log(w[some])) * idf[term[some]]
@@ -304,78 +335,124 @@ def marking(counts: pa.Table, totals: dict[int, int], max_terms: int, min_z: flo
     return found[np.argsort(-z[found], kind="stable")][:max_terms]
 
 
-class Places(dict):
-    """word -> numbers of the word and of its beginnings in the vocabulary, or -1; bounded."""
+class Terms:
+    """The vocabulary as the workers hold it: numbers of the words and of the beginnings of words, and by the number of a
+    beginning those of its levels ("2", "3", "%"), which need no names there."""
 
     def __init__(self, vocabulary: dict[str, int]):
-        self.vocabulary = vocabulary
+        self.width = max(1, len(vocabulary))
+        self.words = {t: i for t, i in vocabulary.items() if "*" not in t}
+        self.starts = {t[:-1]: i for t, i in vocabulary.items() if t[-1] == "*"}
+        levels: dict[int, list[int]] = {}
+        for name, i in vocabulary.items():
+            if "*" in name[:-1]:
+                levels.setdefault(vocabulary[name[:-1]], [-1, -1, -1])["23%".index(name[-1])] = i
+        self.levels = np.array([(i, *n) for i, n in levels.items()], dtype=np.int32).reshape(-1, 4)
+
+
+class Seen(dict):
+    """word -> its place among the words seen; takes up the new ones."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = place = len(self)
+        self.new.append(word)
+        return place
+
+
+class Reader:
+    """Takes the terms from texts; remembers the numbers of a bounded number of words and of their beginnings."""
+
+    def __init__(self, terms: Terms):
+        self.terms = terms
+        self.seen = Seen()
+        self.numbers = np.zeros((0, 1 + len(STARTS)), dtype=np.int32)  # by place, -1: no term
+        self.levels = np.full((terms.width, 3), -1, dtype=np.int32)  # by number of a beginning
+        self.levels[terms.levels[:, 0]] = terms.levels[:, 1:]
+
+    def look_up(self) -> None:
+        """The numbers of the new words and of their beginnings."""
+        new, words, starts = self.seen.new, self.terms.words, self.terms.starts
+        found = [[words.get(w, -1) for w in new], *([starts.get(w[:k], -1) if len(w) > k else -1 for w in new] for k in STARTS)]
+        self.numbers = np.concatenate([self.numbers, np.array(found, dtype=np.int32).T])
+        self.seen.new = []
+
+    def read(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row starts, terms and their counts, as :func:`terms_of`; a row's terms rise."""
+        if len(self.seen) > MOST_SEEN:
+            self.seen, self.numbers = Seen(), self.numbers[:0]
+        found = [TOKEN.findall((t or "").lower()) for t in texts]
+        words = np.array([len(f) for f in found], dtype=np.int64)
+        at = np.fromiter(map(self.seen.__getitem__, chain.from_iterable(found)), np.int32, int(words.sum()))
+        del found
+        self.look_up()
+        term = self.numbers[at]
+        width = self.terms.width
+        key = (np.repeat(np.arange(len(texts)) * width, words)[:, None] + term)[term >= 0]
+        key.sort()
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        n = np.diff(first, append=len(key))
+        key = key[first]
+        often = np.flatnonzero(n >= 2)
+        doc, term = np.divmod(key[often], width)
+        times, level = n[often], self.levels[term]
+        told = (level >= 0) & np.stack([times >= 2, times >= 3, 100 * times >= words[doc]], 1)
+        key = np.concatenate([key, ((doc * width)[:, None] + level)[told]])
+        n = np.concatenate([n, np.broadcast_to(times[:, None], told.shape)[told]])
+        order = np.argsort(key, kind="stable")
+        doc, term = np.divmod(key[order], width)
+        return np.searchsorted(doc, np.arange(len(texts) + 1)), term.astype(np.int32), n[order].astype(np.int32)
+
+    def pieces(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """:meth:`read` of a bounded number of texts and letters at a time, but for a single text beyond them."""
+        i = letters = 0
+        for j, t in enumerate(texts):
+            letters += len(t or "")
+            if j - i == TEXTS_AT_ONCE or (j > i and letters > LETTERS_AT_ONCE):
+                yield self.read(texts[i:j])
+                i, letters = j, len(t or "")
+        if i < len(texts):
+            yield self.read(texts[i:])
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        get = self.vocabulary.get
-        out = (get(word, -1), *(get(word[:k] + "*", -1) if len(word) > k else -1 for k in STARTS))
-        if len(self) >= 200_000:
-            self.clear()
-        self[word] = out
-        return out
 
+def broadcast(value: object) -> Broadcast:
+    """``value`` for the workers: a worker loads it once, not at every task and for every function that needs it."""
+    spark = SparkSession.active()
+    ship(spark)
+    return spark.sparkContext.broadcast(value)
 
-def vector_column(vocabulary: dict[str, int], text: Column) -> Column:
+
+def vector_column(vocabulary: dict[str, int] | Broadcast, text: Column) -> Column:
     """struct(terms array<int>, counts array<int>) of the terms of the vocabulary that a text has, as :func:`terms_of`."""
-    width = max(1, len(vocabulary))
-
-    def vectors(texts: list[str | None], places: Places, levels: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        at: list[tuple[int, ...]] = []
-        times: list[int] = []
-        words, distinct = [], []
-        for t in texts:
-            found = TOKEN.findall((t or "").lower())
-            seen = Counter(found)
-            at += map(places.__getitem__, seen)
-            times += seen.values()
-            words.append(len(found))
-            distinct.append(len(seen))
-        term = np.array(at, dtype=np.int64).reshape(-1, 1 + len(STARTS))
-        keys = np.repeat(np.arange(len(texts)) * width, distinct)[:, None] + term
-        n = np.broadcast_to(np.array(times, dtype=np.int64).reshape(-1, 1), term.shape)
-        key, which = np.unique(keys[term >= 0], return_inverse=True)
-        n = np.bincount(which, n[term >= 0], len(key)).astype(np.int32)
-        doc, term = np.divmod(key, width)
-        level = levels[term]
-        told = (level >= 0) & np.stack([n >= 2, n >= 3, (n >= 2) & (100 * n.astype(np.int64) >= np.array(words)[doc])], 1)
-        key = np.concatenate([key, ((doc * width)[:, None] + level)[told]])
-        n = np.concatenate([n, np.broadcast_to(n[:, None], told.shape)[told]])
-        order = np.argsort(key, kind="stable")
-        doc, term = np.divmod(key[order], width)
-        cuts = np.searchsorted(doc, np.arange(1, len(texts)))
-        return list(zip(np.split(term.astype(np.int32), cuts), np.split(n[order], cuts)))
+    terms = vocabulary if isinstance(vocabulary, Broadcast) else broadcast(Terms(vocabulary))
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        places = Places(vocabulary)
-        levels = np.full((width, 3), -1, dtype=np.int64)
-        for name, i in vocabulary.items():
-            if "*" in name[:-1]:
-                levels[vocabulary[name[:-1]], "23%".index(name[-1])] = i
+        reader = Reader(terms.value)
         for batch in batches:
             out = []
-            for i in range(0, len(batch), 256):
-                out += vectors(batch.iloc[i:i + 256].tolist(), places, levels)
+            for start, term, n in reader.pieces(batch.tolist()):
+                out += zip(np.split(term, start[1:-1]), np.split(n, start[1:-1]))
             yield pd.DataFrame(out, columns=["terms", "counts"])
 
     return vector_udf(run, "terms array<int>, counts array<int>")(text)
 
 
-def frequencies(vectors: DataFrame, width: int) -> tuple[np.ndarray, int]:
-    """Per term the number of (doc_id, v) rows that have it, and the number of rows; each task counts for itself."""
+def frequencies(texts: DataFrame, terms: Broadcast, width: int) -> tuple[np.ndarray, int]:
+    """Per term the number of (text) rows that have it, and the number of rows; each task counts for itself."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(terms.value)
         seen, rows = np.zeros(width, dtype=np.int64), 0
         for batch in batches:
-            seen += np.bincount(batch.column(0).flatten().to_numpy(zero_copy_only=False), minlength=width)
+            for _, term, _ in reader.pieces(batch.column(0).to_pylist()):
+                seen += np.bincount(term, minlength=width)
             rows += batch.num_rows
         held = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(held, -1)), pa.array(np.append(seen[held], rows))],
                                          names=["t", "n"])
 
-    got = (vectors.select("v.terms").mapInArrow(run, "t long, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow())
+    got = texts.mapInArrow(run, "t long, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(width + 1)
     out[got["t"].to_numpy()] = got["n"].to_numpy()  # -1 is the last
     return out[:-1], int(out[-1])
@@ -386,18 +463,19 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
         k: int = 15, softening: float = 0.05, seed: str = "toxic-1", boost: float = 10.0) -> tuple[Model, DataFrame]:
     """``labels`` are the rows to learn from; ``docs`` all documents, for their texts and document frequencies.
 
-    Returns the model, and (doc_id, v) with every document's terms, which reads the texts when it is evaluated: the
-    terms of all texts take more room than the texts."""
+    Returns the model, and (doc_id, text, v) with every document's terms, which reads the texts when it is evaluated:
+    the terms of all texts take more room than the texts."""
     examples, counts = labelled_examples(labels, doc_id, label, per_label, seed)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     labelled = materialize(rows.join(F.broadcast(examples), "doc_id").distinct(), "toxicity-examples")
     known, totals = term_counts(labelled)
     vocabulary = {t: i for i, t in enumerate(known["term"].to_pylist())}
-    vectors = rows.select("doc_id", vector_column(vocabulary, F.col("text")).alias("v"))
-    frequency, n_docs = frequencies(vectors, len(vocabulary))
+    terms = broadcast(Terms(vocabulary))
+    vectors = rows.select("doc_id", "text", vector_column(terms, F.col("text")).alias("v"))
+    frequency, n_docs = frequencies(rows.select("text"), terms, len(vocabulary))
     idf = np.log((n_docs + 1.0) / (frequency + 1.0)) + 1.0
     idf[marking(known, totals, max_terms, min_z, min_ratio, min_docs)] *= boost
-    got = (labelled.select("doc_id", "label", vector_column(vocabulary, F.col("text")).alias("v"))
+    got = (labelled.select("doc_id", "label", vector_column(terms, F.col("text")).alias("v"))
            .select("doc_id", "label", "v.terms", "v.counts").toArrow().sort_by("doc_id"))
     t = c = None
     held, of = {}, [got[c].to_pylist() for c in ("doc_id", "label")]
@@ -416,7 +494,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     own, known_x = ids[some], x if len(some) == len(x) else x.take(some)
     del x
     index = build_index(own, y[some], known_x)
-    model = Model(vocabulary, idf, index, weight, k, softening, no_term, (np.zeros(0), np.zeros(0)))
+    model = Model(vocabulary, terms, idf, index, weight, k, softening, no_term, (np.zeros(0), np.zeros(0)))
     # leave one out: an example's nearest neighbours without itself
     raw = np.full(len(own), np.nan)
     for i in range(0, len(own), 512):
@@ -430,29 +508,50 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     return model, vectors
 
 
+RESULT = "score double, n_terms int, neighbours array<long>, cosines array<double>, neighbour_labels array<int>"
+
+
+def judged(model: Model, rows: Rows) -> pd.DataFrame:
+    """The columns of RESULT for unit rows."""
+    value = np.full(len(rows), model.no_term)
+    evidence: list[tuple] = [((), (), ())] * len(rows)
+    n_terms = np.diff(rows.start)
+    some = np.flatnonzero(n_terms)
+    top, who = nearest(model.index, rows.take(some), model.k)
+    raw = votes(model, top, who)
+    if len(model.curve[0]):
+        value[some] = np.where(np.isnan(raw), model.no_term, np.interp(raw, *model.curve))
+    for i, a, b in zip(some, top, who):
+        b = b[b >= 0]
+        evidence[i] = (model.index.ids[b].tolist(), a[:len(b)].tolist(), model.index.labels[b].tolist())
+    return pd.DataFrame({"score": value, "n_terms": n_terms, "neighbours": [list(e[0]) for e in evidence],
+                         "cosines": [list(e[1]) for e in evidence], "neighbour_labels": [list(e[2]) for e in evidence]})
+
+
 def score(model: Model, v: Column) -> Column:
-    """From :func:`vector_column` of the model's vocabulary: struct(score, n_terms, neighbours, cosines, neighbour_labels): the calibrated score and its evidence."""
-    model = replace(model, vocabulary={})  # the terms come as numbers
+    """From :func:`vector_column` of the model's vocabulary: struct(score, n_terms, neighbours, cosines, neighbour_labels):
+    the calibrated score and its evidence."""
+    shared = broadcast(replace(model, vocabulary={}, terms=None))  # the terms come as numbers
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = shared.value
         for v in batches:
-            rows = list(zip(v["terms"], v["counts"]))
-            value = np.full(len(rows), model.no_term)
-            evidence: list[tuple] = [((), (), ())] * len(rows)
-            some = [i for i, (t, _) in enumerate(rows) if len(t)]
-            for j in range(0, len(some), 1024):
-                part = some[j:j + 1024]
-                top, who = nearest(model.index, unit_rows([rows[i][0] for i in part], [rows[i][1] for i in part], model.idf),
-                                   model.k)
-                raw = votes(model, top, who)
-                if len(model.curve[0]):
-                    value[part] = np.where(np.isnan(raw), model.no_term, np.interp(raw, *model.curve))
-                for i, a, b in zip(part, top, who):
-                    b = b[b >= 0]
-                    evidence[i] = (model.index.ids[b].tolist(), a[:len(b)].tolist(), model.index.labels[b].tolist())
-            yield pd.DataFrame({"score": value, "n_terms": [len(t) for t, _ in rows],
-                                "neighbours": [list(e[0]) for e in evidence], "cosines": [list(e[1]) for e in evidence],
-                                "neighbour_labels": [list(e[2]) for e in evidence]})
-
-    result = "score double, n_terms int, neighbours array<long>, cosines array<double>, neighbour_labels array<int>"
-    return vector_udf(run, result)(v)
+            terms, counts = v["terms"].tolist(), v["counts"].tolist()
+            out = [judged(model, unit_rows(terms[i:i + 1024], counts[i:i + 1024], model.idf))
+                   for i in range(0, max(1, len(v)), 1024)]
+            yield pd.concat(out, ignore_index=True)
+
+    return vector_udf(run, RESULT)(v)
+
+
+def score_text(model: Model, text: Column) -> Column:
+    """:func:`score` straight from the texts: one Python worker a task takes the terms and looks for the neighbours."""
+    terms, shared = model.terms, broadcast(replace(model, vocabulary={}, terms=None))
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        reader, model = Reader(terms.value), shared.value
+        for batch in batches:
+            out = [judged(model, weighed(*piece, model.idf)) for piece in reader.pieces(batch.tolist() or [None])]
+            yield pd.concat(out, ignore_index=True).iloc[:len(batch)]
+
+    return vector_udf(run, RESULT)(text)

@@ -5,6 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from concord.llm.queries import QUERIES
+from concord.llm import toxicity
 from concord.llm.toxicity import (Rows, build_index, fit, isotonic, matrix, nearest, score, terms_of, unit_rows,
                                   vector_column)
 
@@ -129,3 +130,49 @@ def test_postings_are_summed_for_a_few_queries_at_a_time():
     cosine = dense[:32] @ dense.T
     assert np.allclose(top, -np.sort(-cosine, axis=1)[:, :5])
     assert peak < 50e6  # 32 queries have 3.8 million postings: 124 MB when they were summed at once
+
+
+def test_a_task_scores_its_texts_in_one_python_worker(spark, docs_table):
+    """Two workers a task held the vocabulary and the index, and all terms of a batch went from one to the other."""
+    rng = np.random.default_rng(8)
+    texts = [" ".join(rng.choice(["rogue", "rogues", "rogueish", "fine", "finery", "day"], 9)) for _ in range(300)]
+    docs = docs_table(list(enumerate(texts)) + [(900, None), (901, ""), (902, "rogue " * 300_000), (None, "rogue")])
+    model, rows = fit(docs, spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int"))
+    whole = rows.select("doc_id", toxicity.score_text(model, F.col("text")).alias("s"))
+    assert whole._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    steps = rows.select("doc_id", score(model, F.col("v")).alias("s"))
+    key = lambda r: (r.doc_id is None, r.doc_id)
+    assert sorted(whole.collect(), key=key) == sorted(steps.collect(), key=key) and whole.count() == 304
+    out = QUERIES["op1_toxicity_knn"](spark, "/root/testdata/sf0.001")
+    assert out._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_postings_of_a_long_text_are_summed_in_parts():
+    """All postings of four texts were summed at once: a text with all terms has as many as the index."""
+    rng = np.random.default_rng(6)
+    m, width, each = 3000, 50_000, 400
+    term = np.concatenate([np.sort(rng.choice(width, each, replace=False)) for _ in range(m)]).astype(np.int32)
+    index = build_index(np.arange(m), np.arange(m) % 2, Rows(np.arange(m + 1) * each, term, rng.random(m * each), width))
+    query = Rows(np.arange(5) * width, np.tile(np.arange(width, dtype=np.int32), 4), rng.random(4 * width), width)
+    tracemalloc.start()
+    top, who = nearest(index, query, 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    for weight, best in zip(query.weight.reshape(4, width), top):
+        cosine = np.bincount(index.at, index.weight * np.repeat(weight, np.diff(index.start)), m)
+        assert np.allclose(best, -np.sort(-cosine)[:5])
+    assert peak < 40e6  # 4.8 million postings: 190 MB
+
+
+def test_words_seen_are_bounded(monkeypatch):
+    texts = [f"rotten{i % 7} word{i} rotten{i % 7} x{i}y" for i in range(400)] + [None, ""]
+    names = sorted(set().union(*map(terms_of, texts[::3])))
+    monkeypatch.setattr(toxicity, "TEXTS_AT_ONCE", 10)
+    monkeypatch.setattr(toxicity, "MOST_SEEN", 50)
+    reader = toxicity.Reader(toxicity.Terms({t: i for i, t in enumerate(names)}))
+    got, most = [], 0
+    for start, term, n in reader.pieces(texts):
+        got += [{names[t]: k for t, k in zip(term[a:b], n[a:b])} for a, b in zip(start[:-1], start[1:])]
+        most = max(most, len(reader.seen))
+    known = set(names)
+    assert got == [{t: k for t, k in terms_of(text).items() if t in known} for text in texts] and most <= 80
