@@ -5,10 +5,10 @@ of the labelled examples, counts their document frequencies over the whole corpu
 examples: posting lists for the terms of few examples, and for the common terms rows in blocks, each block with the
 largest weight of every common term (block maxima).  The rare terms' share of a cosine is summed from the postings; with
 a block's maxima it bounds the cosine of any example in it, and a block is looked at unless its bound lies below the
-least cosine of the k examples with the best sums, so the neighbours are exact.  Terms that clearly mark toxic examples weigh ``boost`` times their TF-IDF;
-all other terms weigh as they are, so an exact copy of an example has cosine 1.  The neighbours' labels vote with
-weight 1 / (distance + softening); an isotonic fit on the examples' own leave-one-out votes turns votes into calibrated
-scores.
+least cosine of the k examples with the best sums, so the neighbours are exact.  Terms that clearly mark toxic examples
+weigh ``boost`` times their TF-IDF; all other terms weigh as they are, so an exact copy of an example has cosine 1.  The
+neighbours' labels vote with weight 1 / (distance + softening); an isotonic fit on the examples' own leave-one-out votes
+turns votes into calibrated scores.
 
 The examples are a bounded sample of the labelled rows: at most ``per_label`` of each label, chosen by the MD5 of the id;
 the index of all their terms is broadcast.  Document frequencies cover all documents.
@@ -375,7 +375,8 @@ class Reader:
     def look_up(self) -> None:
         """The numbers of the new words and of their beginnings."""
         new, words, starts = self.seen.new, self.terms.words, self.terms.starts
-        found = [[words.get(w, -1) for w in new], *([starts.get(w[:k], -1) if len(w) > k else -1 for w in new] for k in STARTS)]
+        found = [[words.get(w, -1) for w in new]]
+        found += [[starts.get(w[:k], -1) if len(w) > k else -1 for w in new] for k in STARTS]
         self.numbers = np.concatenate([self.numbers, np.array(found, dtype=np.int32).T])
         self.seen.new = []
 
